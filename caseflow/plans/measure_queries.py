@@ -229,8 +229,10 @@ def bridge_ticket_change(spark, sf_dir):
 
 @register("e18_dim_date", sql("""
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date,
-       year(d) AS year, quarter(d) AS quarter, month(d) AS month_number, monthname(d) AS month_name,
-       weekofyear(d) AS iso_week, isodow(d) AS iso_weekday, dayname(d) AS weekday_name
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month_number, monthname(d) AS month_name,
+       CAST(weekofyear(d) AS INTEGER) AS iso_week, CAST(isodow(d) AS INTEGER) AS iso_weekday,
+       dayname(d) AS weekday_name
 FROM (SELECT unnest(generate_series(min(CAST(opened_at AS DATE)),
                                     greatest(max(CAST(opened_at AS DATE)), max(CAST(resolved_at AS DATE))),
                                     INTERVAL 1 DAY)) AS d FROM inc)""", "inc"))

@@ -102,12 +102,42 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
          'https://assets.example.invalid/images/' || CAST(page_id AS VARCHAR) AS mock_url,
          CAST(page_id % 1000 + 640 AS INTEGER) AS width_px, CAST(page_id % 500 + 480 AS INTEGER) AS height_px
   FROM pages"""),
-    "notes": (("inc",), """
+    "notes": (("inc", "asg"), """
   SELECT CAST(c.conv_id AS VARCHAR) || '-' || CAST(c.turn AS VARCHAR) AS note_id,
-         inc.incident_id, c.turn, c.role AS author_user_id,
+         inc.incident_id, c.turn, c.role,
+         CASE WHEN c.role = 'user' THEN 'C' || CAST(inc.requester_id AS VARCHAR)
+              ELSE 'S' || CAST(asg.assignee_id AS VARCHAR) END AS author_user_id,
          inc.opened_at + to_hours(CAST(c.turn + 1 AS INTEGER)) AS created_at,
          c.text AS note_text, c.role = 'system' AS is_resolution
-  FROM conversations c JOIN inc ON c.conv_id = inc.incident_id"""),
+  FROM conversations c JOIN inc ON c.conv_id = inc.incident_id
+       LEFT JOIN asg ON asg.incident_id = inc.incident_id"""),
+    "users": ((), """
+  SELECT 'C' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS full_name, 'Requester' AS title,
+         c_nationkey AS nationkey
+  FROM customer
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR), s_name, 'Agent', s_nationkey FROM supplier"""),
+    "usr": (("users",), """
+  SELECT users.*, lower(regexp_replace(full_name, '[^A-Za-z0-9]+', '.', 'g')) || '@example.invalid' AS email
+  FROM users"""),
+    "chg": ((), """
+  SELECT s_suppkey AS change_request_id, printf('CHG%07d', s_suppkey) AS number,
+         'Change by ' || s_name AS title,
+         CASE WHEN s_acctbal < 0 THEN 'Cancelled' ELSE 'Implemented' END AS state,
+         CASE WHEN s_acctbal < 1000 THEN 'High' ELSE 'Low' END AS risk
+  FROM supplier"""),
+    "lkeys": (("inc",), """
+  SELECT CASE WHEN incident_id % 2 = 0 THEN CAST(incident_id AS VARCHAR) ELSE number END AS lookup_key
+  FROM inc WHERE follow_up_required AND lower(state) IN ('new', 'in progress', 'on hold')"""),
+    "assets": (("att", "img"), """
+  SELECT incident_id, attachment_id AS asset_id, 'attachment' AS asset_class, file_name, content_type FROM att
+  UNION ALL SELECT incident_id, image_id, 'image', file_name, content_type FROM img"""),
+    "txt": ((), """
+  SELECT COALESCE(d.doc_id, p.page_id) AS incident_id, d.text AS description_text,
+         p.html AS resolution_summary_html,
+         trim(regexp_replace(regexp_replace(p.html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))
+           AS resolution_summary_text
+  FROM documents d FULL JOIN pages p ON d.doc_id = p.page_id"""),
 }
 
 

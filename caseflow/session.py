@@ -33,7 +33,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = builder.master(master or os.environ.get("CASEFLOW_MASTER", "local[*]"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -276,15 +276,22 @@ class TicketModel:
 
     # ---- notes and texts ------------------------------------------------
     def notes(self) -> DataFrame:
-        """All conversation turns as notes with timestamps (join to incident opened_at)."""
+        """All conversation turns as notes.
+
+        created_at = opened_at + (turn + 1) hours; the author of a 'user' turn is
+        the requester ('C<key>'), of any other turn the assignee ('S<key>').
+        """
         c = self.raw("conversations")
-        inc = self.incidents_base().select("incident_id", "opened_at")
-        return c.join(inc, c.conv_id == inc.incident_id, "inner").select(
+        inc = self.incidents_base().select("incident_id", "opened_at", "requester_id")
+        j = c.join(inc, c.conv_id == inc.incident_id, "inner").join(self.assignees(), "incident_id", "left")
+        return j.select(
             F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
              .alias("note_id"),
             "incident_id",
             F.col("turn"),
-            F.col("role").alias("author_user_id"),
+            F.col("role"),
+            F.when(F.col("role") == "user", F.concat(F.lit("C"), F.col("requester_id").cast("string")))
+             .otherwise(F.concat(F.lit("S"), F.col("assignee_id").cast("string"))).alias("author_user_id"),
             add_hours(F.col("opened_at"), F.col("turn") + 1).alias("created_at"),
             F.col("text").alias("note_text"),
             (F.col("role") == "system").alias("is_resolution"),
@@ -299,9 +306,15 @@ class TicketModel:
             .withColumnRenamed("note_id", "resolution_note_id")
 
     def incident_texts(self) -> DataFrame:
-        """(incident_id, description_text, resolution_summary_html) for incidents with any text."""
+        """(incident_id, description_text, resolution_summary_html, resolution_summary_text).
+
+        The plain resolution text is the simple tag strip (I6) of the HTML, as
+        the source system stores it next to the HTML.
+        """
+        from caseflow.functions.text import strip_tags_simple
         d = self.raw("documents").select(F.col("doc_id").alias("incident_id"),
                                          F.col("text").alias("description_text"))
         p = self.raw("pages").select(F.col("page_id").alias("incident_id"),
                                      F.col("html").alias("resolution_summary_html"))
-        return d.join(p, "incident_id", "full")
+        return d.join(p, "incident_id", "full").withColumn(
+            "resolution_summary_text", strip_tags_simple(F.col("resolution_summary_html")))

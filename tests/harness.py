@@ -65,16 +65,26 @@ def digest(lines: list[str]) -> str:
     return h.hexdigest()
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "DATE": "date", "FLOAT": "float",
+                 "SMALLINT": "smallint", "HUGEINT": "hugeint", "FLOAT[]": "array<float>",
+                 "DOUBLE[]": "array<double>", "VARCHAR[]": "array<string>", "BIGINT[]": "array<bigint>"}
+
+
 def compare(spark_df, con, sql: str) -> dict:
     srows = [tuple(r) for r in spark_df.collect()]
     scols = spark_df.columns
+    stypes = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in res.description}
     drows = res.fetchall()
+    type_diff = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+                 if stypes.get(c) != dtypes.get(c)}
     sc, sl = canonical(scols, srows)
     dc, dl = canonical(dcols, drows)
     out = {"spark_rows": len(sl), "oracle_rows": len(dl), "schema_match": sc == dc,
-           "spark_cols": sc, "oracle_cols": dc, "hash_match": digest(sl) == digest(dl)}
+           "spark_cols": sc, "oracle_cols": dc, "hash_match": digest(sl) == digest(dl), "type_diff": type_diff}
     if not out["hash_match"]:
         sset, dset = set(sl), set(dl)
         out["only_spark"] = sorted(sset - dset)[:3]
