@@ -75,7 +75,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
   SELECT DISTINCT l_orderkey AS incident_id, l_suppkey AS change_request_id, 'caused_by' AS relationship_type
   FROM lineitem"""),
     "asg": ((), """
-  SELECT l_orderkey AS incident_id, l_suppkey AS assignee_id FROM lineitem WHERE l_linenumber = 1"""),
+  SELECT l_orderkey AS incident_id, min(l_suppkey) AS assignee_id FROM lineitem WHERE l_linenumber = 1
+  GROUP BY l_orderkey"""),
     "kb": ((), """
   SELECT p_partkey AS kb_article_id, printf('KB%07d', p_partkey) AS kb_article_number,
          p_name AS title_raw, CASE WHEN p_size < 25 THEN 'internal' ELSE 'public' END AS audience,

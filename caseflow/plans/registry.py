@@ -27,6 +27,7 @@ def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryF
 def load_all() -> None:
     """Import every module that registers queries."""
     from caseflow.plans import (  # noqa: F401
+        curate_queries,
         listing_queries,
         measure_queries,
     )

@@ -142,10 +142,10 @@ class TicketModel:
                                     F.col("requester_name")))
 
     def assignees(self) -> DataFrame:
-        """(incident_id, assignee_id): supplier of line 1 of the order."""
+        """(incident_id, assignee_id): supplier of line 1 of the order (lowest key if repeated)."""
         li = self.raw("lineitem")
-        return li.where(F.col("l_linenumber") == 1).select(
-            F.col("l_orderkey").alias("incident_id"), F.col("l_suppkey").alias("assignee_id"))
+        return li.where(F.col("l_linenumber") == 1).groupBy(F.col("l_orderkey").alias("incident_id")) \
+            .agg(F.min("l_suppkey").alias("assignee_id"))
 
     # ---- users / groups / categories ------------------------------------
     def users(self) -> DataFrame:
