@@ -156,7 +156,100 @@ def sql(body: str, *ctes: str) -> str:
 
     for c in ctes:
         visit(c)
+    body = body.strip()
     if not order:
-        return body.strip()
+        return body
     with_clause = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
-    return f"WITH {with_clause}\n{body.strip()}"
+    if body[:5].upper() == "WITH ":  # the body brings CTEs of its own: append them
+        return f"WITH {with_clause},\n{body[5:]}"
+    return f"WITH {with_clause}\n{body}"
+
+
+def initcap_sql(x: str) -> str:
+    """DuckDB restatement of Spark's initcap (words split on single spaces)."""
+    return (f"array_to_string(list_transform(string_split(lower({x}), ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+
+
+def pattern_label_sql(x: str) -> str:
+    t = f"lower(trim(regexp_replace({x}, '[^A-Za-z0-9]', ' ', 'g')))"
+    return f"CASE WHEN length({t}) > 20 THEN array_to_string(string_split({t}, ' ')[1:12], ' ') END"
+
+
+CTES.update({
+    "g_inc": (("incd", "asg"), """
+  SELECT CAST(incident_id AS VARCHAR) AS incident_id, number, state, priority, opened_at,
+         'C' || CAST(requester_id AS VARCHAR) AS requester_id,
+         'S' || CAST(asg.assignee_id AS VARCHAR) AS assignee_id,
+         CAST(assignment_group_id AS VARCHAR) AS assignment_group_id, category_id
+  FROM incd LEFT JOIN asg USING (incident_id)"""),
+    "g_cat": (("incd", "kb"), """
+  SELECT DISTINCT category_id, category_name AS name, category_subcategory AS subcategory FROM incd
+  WHERE category_id IS NOT NULL
+  UNION SELECT DISTINCT category_id, category_name, NULL FROM kb"""),
+    "g_docs": (("notes", "kb"), f"""
+  SELECT 'incident:' || CAST(doc_id AS VARCHAR) AS retrieval_document_id, CAST(doc_id AS VARCHAR) AS incident_id,
+         NULL AS kb_article_id, printf('INC%07d', doc_id) AS title, 'incident' AS source_type
+  FROM documents WHERE trim(text) <> ''
+  UNION ALL
+  SELECT CASE WHEN is_resolution THEN 'resolution-note:' ELSE 'work-note:' END || note_id,
+         CAST(incident_id AS VARCHAR), NULL,
+         CASE WHEN is_resolution THEN 'Resolution note for ' ELSE 'Work note for ' END || CAST(incident_id AS VARCHAR),
+         CASE WHEN is_resolution THEN 'resolution_note' ELSE 'work_note' END
+  FROM notes WHERE trim(note_text) <> ''
+  UNION ALL
+  SELECT 'kb-article:' || CAST(kb_article_id AS VARCHAR), NULL, CAST(kb_article_id AS VARCHAR),
+         {initcap_sql('title_raw')}, 'kb_article' FROM kb"""),
+    "g_pl": (("notes",), f"""
+  SELECT CAST(incident_id AS VARCHAR) AS incident_id, {pattern_label_sql('note_text')} AS pattern_label
+  FROM notes WHERE is_resolution"""),
+    "g_pat": (("g_pl",), """
+  SELECT sha256(pattern_label) AS resolution_pattern_id, pattern_label,
+         CAST(count(DISTINCT incident_id) AS BIGINT) AS incident_count
+  FROM g_pl WHERE pattern_label IS NOT NULL GROUP BY pattern_label"""),
+    "g_nodes": (("g_inc", "g_cat", "g_docs", "g_pat", "usr", "kb", "att", "img", "chg", "cdim"), f"""
+  SELECT DISTINCT node_id, node_type, name FROM (
+    SELECT 'incident:' || incident_id AS node_id, 'Incident' AS node_type, number AS name FROM g_inc
+    UNION ALL SELECT 'user:' || user_id, 'User', full_name FROM usr
+      WHERE user_id IN (SELECT requester_id FROM g_inc UNION SELECT assignee_id FROM g_inc)
+    UNION ALL SELECT 'group:' || CAST(n_nationkey AS VARCHAR), 'AssignmentGroup', n_name FROM nation
+    UNION ALL SELECT 'category:' || category_id, 'Category', concat_ws(' / ', name, subcategory) FROM g_cat
+    UNION ALL SELECT DISTINCT 'service:' || sha256(concat_ws('|', i.assignment_group_id, i.category_id)),
+                     'BusinessService', concat_ws(' / ', n.n_name, c.name)
+      FROM g_inc i LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = i.assignment_group_id
+                   LEFT JOIN (SELECT DISTINCT category_id, name FROM g_cat) c ON c.category_id = i.category_id
+    UNION ALL SELECT 'kb:' || CAST(kb_article_id AS VARCHAR), 'KnowledgeArticle', {initcap_sql('title_raw')} FROM kb
+    UNION ALL SELECT 'attachment:' || attachment_id, 'Attachment', file_name FROM att
+    UNION ALL SELECT 'image:' || image_id, 'Image', file_name FROM img
+    UNION ALL SELECT 'document:' || retrieval_document_id, 'Document', title FROM g_docs
+    UNION ALL SELECT 'change:' || CAST(change_request_id AS VARCHAR), 'ChangeRequest', number FROM chg
+    UNION ALL SELECT 'pattern:' || resolution_pattern_id, 'ResolutionPattern', {initcap_sql('pattern_label')}
+      FROM g_pat)"""),
+    "g_e0": (("g_inc", "g_docs", "g_pl", "kbl", "chl", "att", "img", "kb"), """
+  SELECT 'incident:' || incident_id AS s, 'user:' || requester_id AS t, 'OPENED_BY' AS r FROM g_inc
+  UNION ALL SELECT 'incident:' || incident_id, 'user:' || assignee_id, 'ASSIGNED_TO_USER' FROM g_inc
+  UNION ALL SELECT 'incident:' || incident_id, 'group:' || assignment_group_id, 'ASSIGNED_TO_GROUP' FROM g_inc
+  UNION ALL SELECT 'incident:' || incident_id, 'category:' || category_id, 'BELONGS_TO_CATEGORY' FROM g_inc
+  UNION ALL SELECT 'incident:' || incident_id, 'service:' || sha256(concat_ws('|', assignment_group_id, category_id)),
+                   'IMPACTS_SERVICE' FROM g_inc WHERE assignment_group_id IS NOT NULL AND category_id IS NOT NULL
+  UNION ALL SELECT 'incident:' || CAST(incident_id AS VARCHAR), 'kb:' || CAST(kb_article_id AS VARCHAR), 'REFERENCES_KB' FROM kbl
+  UNION ALL SELECT 'incident:' || CAST(incident_id AS VARCHAR), 'attachment:' || attachment_id, 'HAS_ATTACHMENT' FROM att
+  UNION ALL SELECT 'incident:' || CAST(incident_id AS VARCHAR), 'image:' || image_id, 'HAS_IMAGE' FROM img
+  UNION ALL SELECT 'incident:' || incident_id, 'document:' || retrieval_document_id, 'HAS_DOCUMENT' FROM g_docs
+    WHERE incident_id IS NOT NULL
+  UNION ALL SELECT 'kb:' || kb_article_id, 'document:' || retrieval_document_id, 'BACKED_BY_DOCUMENT' FROM g_docs
+    WHERE kb_article_id IS NOT NULL
+  UNION ALL SELECT 'incident:' || incident_id, 'pattern:' || sha256(pattern_label), 'RESOLVED_BY_PATTERN' FROM g_pl
+    WHERE pattern_label IS NOT NULL
+  UNION ALL SELECT 'incident:' || CAST(incident_id AS VARCHAR), 'change:' || CAST(change_request_id AS VARCHAR),
+                   'RELATES_TO_CHANGE' FROM chl
+  UNION ALL SELECT 'kb:' || CAST(kb_article_id AS VARCHAR), 'category:' || category_id, 'KB_APPLIES_TO_CATEGORY'
+    FROM kb WHERE category_id IS NOT NULL
+  UNION ALL SELECT DISTINCT 'group:' || assignment_group_id,
+                   'service:' || sha256(concat_ws('|', assignment_group_id, category_id)), 'GROUP_SUPPORTS_SERVICE'
+    FROM g_inc WHERE assignment_group_id IS NOT NULL AND category_id IS NOT NULL"""),
+    "g_edges": (("g_e0",), """
+  SELECT DISTINCT sha256(concat_ws('|', r, s, t)) AS edge_id, s AS source_node_id, t AS target_node_id,
+         r AS relationship_type
+  FROM g_e0 WHERE s IS NOT NULL AND t IS NOT NULL"""),
+})

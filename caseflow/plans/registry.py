@@ -28,6 +28,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from caseflow.plans import (  # noqa: F401
         curate_queries,
+        graph_queries,
         listing_queries,
         measure_queries,
     )

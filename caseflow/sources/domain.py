@@ -318,3 +318,59 @@ class TicketModel:
                                      F.col("html").alias("resolution_summary_html"))
         return d.join(p, "incident_id", "full").withColumn(
             "resolution_summary_text", strip_tags_simple(F.col("resolution_summary_html")))
+
+
+def graph_inputs(tm: TicketModel) -> dict[str, DataFrame]:
+    """String-keyed frames the graph builder expects, from the driver tables.
+
+    Documents are the text units of the corpus without cleaning: incident
+    descriptions (non-blank document text), conversation notes and articles.
+    """
+    s = lambda c: F.col(c).cast("string")
+    inc = tm.incidents().join(tm.assignees(), "incident_id", "left").select(
+        s("incident_id").alias("incident_id"), "number", "state", "priority", "opened_at",
+        F.concat(F.lit("C"), s("requester_id")).alias("requester_id"),
+        F.concat(F.lit("S"), s("assignee_id")).alias("assignee_id"),
+        s("assignment_group_id").alias("assignment_group_id"), "category_id")
+    kb = tm.kb_articles()
+    cats = tm.incidents().select("category_id", F.col("category_name").alias("name"),
+                                 F.col("category_subcategory").alias("subcategory")) \
+        .where(F.col("category_id").isNotNull()) \
+        .unionByName(kb.select("category_id", F.col("category_name").alias("name"),
+                               F.lit(None).cast("string").alias("subcategory"))).distinct()
+    notes = tm.notes().where(F.trim(F.col("note_text")) != "")
+    docs = tm.raw("documents").where(F.trim(F.col("text")) != "").select(
+        F.concat(F.lit("incident:"), s("doc_id")).alias("retrieval_document_id"),
+        s("doc_id").alias("incident_id"), F.lit(None).cast("string").alias("kb_article_id"),
+        incident_number(F.col("doc_id")).alias("title"), F.lit("incident").alias("source_type")) \
+        .unionByName(notes.select(
+            F.concat(F.when(F.col("is_resolution"), "resolution-note:").otherwise("work-note:"),
+                     F.col("note_id")).alias("retrieval_document_id"),
+            s("incident_id").alias("incident_id"), F.lit(None).cast("string").alias("kb_article_id"),
+            F.concat(F.when(F.col("is_resolution"), "Resolution note for ").otherwise("Work note for "),
+                     s("incident_id")).alias("title"),
+            F.when(F.col("is_resolution"), "resolution_note").otherwise("work_note").alias("source_type"))) \
+        .unionByName(kb.select(
+            F.concat(F.lit("kb-article:"), s("kb_article_id")).alias("retrieval_document_id"),
+            F.lit(None).cast("string").alias("incident_id"), s("kb_article_id").alias("kb_article_id"),
+            "title", F.lit("kb_article").alias("source_type")))
+    return {
+        "incidents": inc,
+        "users": tm.users().select("user_id", "full_name", "title"),
+        "groups": tm.assignment_groups().select(s("assignment_group_id").alias("assignment_group_id"), "name"),
+        "categories": cats,
+        "kb": kb.select(s("kb_article_id").alias("kb_article_id"), "title", "category_id"),
+        "attachments": tm.attachments().select("attachment_id", s("incident_id").alias("incident_id"),
+                                               "file_name", "content_type"),
+        "images": tm.images().select("image_id", s("incident_id").alias("incident_id"), "file_name"),
+        "documents": docs,
+        "changes": tm.change_requests().select(s("change_request_id").alias("change_request_id"),
+                                               "number", "title"),
+        "incident_kb_links": tm.incident_kb_links().select(s("incident_id").alias("incident_id"),
+                                                           s("kb_article_id").alias("kb_article_id")),
+        "incident_changes": tm.incident_changes().select(s("incident_id").alias("incident_id"),
+                                                         s("change_request_id").alias("change_request_id"),
+                                                         "relationship_type"),
+        "resolution_notes": tm.resolution_notes().select("resolution_note_id",
+                                                         s("incident_id").alias("incident_id"), "note_text"),
+    }
