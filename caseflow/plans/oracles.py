@@ -136,7 +136,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "txt": ((), """
   SELECT COALESCE(d.doc_id, p.page_id) AS incident_id, d.text AS description_text,
          p.html AS resolution_summary_html,
-         trim(regexp_replace(regexp_replace(p.html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))
+         trim(regexp_replace(regexp_replace(p.html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))
            AS resolution_summary_text
   FROM documents d FULL JOIN pages p ON d.doc_id = p.page_id"""),
 }

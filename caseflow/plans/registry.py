@@ -31,4 +31,5 @@ def load_all() -> None:
         graph_queries,
         listing_queries,
         measure_queries,
+        retrieval_queries,
     )
