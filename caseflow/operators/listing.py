@@ -278,8 +278,14 @@ def orphan_check(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataF
 
 # ---- G: paging, ordering, top-k -------------------------------------------------------------------
 
-INCIDENT_ORDER = [F.col("updated_at").desc(), F.col("number").asc()]
-FOLLOW_UP_ORDER = [F.col("updated_at").asc(), F.col("number").asc()]
+def incident_order() -> list[Column]:
+    """updated_at DESC, number ASC."""
+    return [F.col("updated_at").desc(), F.col("number").asc()]
+
+
+def follow_up_order() -> list[Column]:
+    """updated_at ASC, number ASC."""
+    return [F.col("updated_at").asc(), F.col("number").asc()]
 
 
 def clamp_page(page: int, size: int) -> tuple[int, int]:
@@ -311,7 +317,7 @@ def page_totals(df: DataFrame, size: int = PAGE_SIZE_DEFAULT) -> DataFrame:
 def follow_up_queue(incidents: DataFrame, limit: int = 10) -> DataFrame:
     """B6 + G3: open follow-up tickets, oldest update first, limit 1..50."""
     limit = min(FOLLOW_UP_LIMIT_MAX, max(1, int(limit)))
-    return incidents.where(open_follow_up()).orderBy(*FOLLOW_UP_ORDER).limit(limit)
+    return incidents.where(open_follow_up()).orderBy(*follow_up_order()).limit(limit)
 
 
 def top_by_score(df: DataFrame, k: int, partition: list[str], score: str = "score",

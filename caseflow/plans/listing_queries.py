@@ -48,7 +48,7 @@ ORDER BY updated_at DESC, number ASC LIMIT 20 OFFSET 20""", "incd", "usr", "asg"
 def list_page(spark, sf_dir):
     """B4 + G1 + G2: page 2 of 20 In Progress tickets in category BUILDING."""
     df = _c1(spark, sf_dir).where(L.list_filter(state="In Progress", category="BUILDING"))
-    return L.page(df.select(*C1_COLS), L.INCIDENT_ORDER, page_no=2, size=20)
+    return L.page(df.select(*C1_COLS), L.incident_order(), page_no=2, size=20)
 
 
 @register("d04_list_totals", sql(f"""
