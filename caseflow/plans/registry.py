@@ -32,4 +32,5 @@ def load_all() -> None:
         listing_queries,
         measure_queries,
         retrieval_queries,
+        text_queries,
     )
