@@ -32,5 +32,6 @@ def load_all() -> None:
         listing_queries,
         measure_queries,
         retrieval_queries,
+        question_queries,
         text_queries,
     )
