@@ -55,11 +55,11 @@ def list_page(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS total_items,
        CAST(CASE WHEN count(*) = 0 THEN 0 ELSE greatest(1, ceil(count(*) / 20.0)) END AS BIGINT) AS total_pages
 FROM ({C1_SQL}) c1
-WHERE lower(state) = 'in progress' AND lower(assignment_group_name) = 'france'
+WHERE lower(state) = 'in progress' AND lower(assignment_group_name) = 'nation_7'
   AND updated_at >= TIMESTAMP '1998-01-01 00:00:00'""", "incd", "usr", "asg"))
 def list_totals(spark, sf_dir):
     """D4 + G1: total items and pages for a filtered list."""
-    df = _c1(spark, sf_dir).where(L.list_filter(state="In Progress", group="FRANCE",
+    df = _c1(spark, sf_dir).where(L.list_filter(state="In Progress", group="NATION_7",
                                                 updated_since="1998-01-01 00:00:00"))
     return L.page_totals(df, size=20)
 

@@ -217,12 +217,12 @@ def m14(spark, sf_dir):
 
 @register("m15_log_files_for_group", sql("""
 SELECT a.attachment_id, a.incident_id, a.file_name FROM att a JOIN incd USING (incident_id)
-WHERE incd.assignment_group_name = 'FRANCE'
+WHERE incd.assignment_group_name = 'NATION_7'
   AND lower(regexp_extract(a.file_name, '\\.([^.]*)$', 1)) IN ('log', 'txt')""", "att", "incd"))
 def m15(spark, sf_dir):
     """Log files (I17 type 'log') on tickets of one group."""
     tm = TicketModel(spark, sf_dir)
-    inc = tm.incidents().where(F.col("assignment_group_name") == "FRANCE").select("incident_id")
+    inc = tm.incidents().where(F.col("assignment_group_name") == "NATION_7").select("incident_id")
     a = tm.attachments().join(inc, "incident_id")
     return a.where(asset_type_from_name(F.col("file_name")) == "log").select("attachment_id", "incident_id",
                                                                             "file_name")
