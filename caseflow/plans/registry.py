@@ -34,4 +34,5 @@ def load_all() -> None:
         retrieval_queries,
         question_queries,
         text_queries,
+        upsert_queries,
     )
