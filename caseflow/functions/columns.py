@@ -48,12 +48,13 @@ def normalize_pattern(text: Column, strip_prefix: str | None = None) -> Column:
 
     Non-alphanumerics -> space, trim, lower; kept only if longer than 20
     characters; then the first 12 space-separated tokens (repeated spaces give
-    empty tokens, which count).  ``strip_prefix`` (ours) removes a leading
-    phrase first so that tickets can share a pattern.
+    empty tokens, which count).  ``strip_prefix`` (ours) is a regular
+    expression for a leading phrase (e.g. ``resolution for \\w+``) removed
+    from the normalised text first, so that tickets can share a pattern.
     """
     t = F.lower(F.trim(F.regexp_replace(text, r"[^A-Za-z0-9]", " ")))
     if strip_prefix:
-        t = F.trim(F.regexp_replace(t, "^" + strip_prefix.lower(), ""))
+        t = F.trim(F.regexp_replace(t, "^(?:" + strip_prefix + ")", ""))
     return F.when(F.length(t) > PATTERN_MIN_LENGTH,
                   F.array_join(F.slice(F.split(t, " "), 1, PATTERN_TOKENS), " "))
 
