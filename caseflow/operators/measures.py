@@ -105,6 +105,20 @@ MEASURES: dict[str, tuple[Callable[[], Column], str | None]] = {
     "follow_up_tickets": (lambda: _blank0(F.count_if(F.col("follow_up_required"))), None),
 }
 
+# Additive parts of the measures that carry their own state filter: (sum part, count part or None).
+# A ticket has exactly one state, so per-state parts add up to the state-free value.
+_PARTS: dict[str, tuple[Callable[[], Column], Callable[[], Column] | None]] = {
+    "open_ticket_count": (lambda: F.count_if(F.col("is_open")).cast("bigint"), None),
+    "resolved_ticket_count": (lambda: F.count_if(F.col("is_resolved")).cast("bigint"), None),
+    "aging_open_tickets": (lambda: F.count_if(F.col("is_open") & (F.col("age_days") > AGING_THRESHOLD_DAYS))
+                           .cast("bigint"), None),
+    "avg_resolution_time": (lambda: F.sum(F.when(F.col("is_resolved"), F.col("resolution_hour_boundaries")))
+                            .cast("double"),
+                            lambda: F.count(F.when(F.col("is_resolved"), F.col("resolution_hour_boundaries")))),
+    "open_ticket_age_days": (lambda: F.sum(F.when(F.col("is_open"), F.col("age_days"))).cast("double"),
+                             lambda: F.count(F.when(F.col("is_open"), F.col("age_days")))),
+}
+
 
 def measure(name: str) -> Column:
     builder, _ = MEASURES[name]
@@ -126,8 +140,10 @@ def summarize(fact: DataFrame, axes: list[str], measures: list[str],
     """Axes x measures in one aggregation; all-blank rows dropped.
 
     ``mode="replace"``: a measure whose filter column is also an axis ignores
-    that axis (DAX CALCULATE with a plain boolean filter), so it is evaluated
-    without the axis and joined back on the remaining axes.
+    that axis (DAX CALCULATE with a plain boolean filter).  It is computed
+    from additive parts in the same aggregation and summed over the replaced
+    axis with a window on the aggregated rows (one row per axis value
+    combination), so there is still a single shuffle and no join.
     """
     if mode not in ("keep", "replace"):
         raise ValueError("mode must be 'keep' or 'replace'")
@@ -136,21 +152,25 @@ def summarize(fact: DataFrame, axes: list[str], measures: list[str],
     if not replaced:
         out = fact.groupBy(*axes).agg(*_agg_cols(kept)) if axes else fact.agg(*_agg_cols(kept))
     else:
-        other_axes = [a for a in axes if a not in {MEASURES[m][1] for m in replaced}]
-        rows = fact.groupBy(*axes).agg(*(_agg_cols(kept) or [F.count(F.lit(1)).alias("_n")]))
-        if other_axes:
-            rep = fact.groupBy(*other_axes).agg(*_agg_cols(replaced))
-            # null-safe: the blank member of a dimension matches itself
-            cond = reduce(lambda a, b: a & b,
-                          [rows[a].eqNullSafe(rep[a]) for a in other_axes])
-            out = rows.join(rep, cond, "left").select(
-                *[rows[a] for a in axes], *[rows[m] for m in kept], *[rep[m] for m in replaced])
-        else:
-            # one-row result: equi-join on a constant key (size bound: one row)
-            rep = fact.agg(*_agg_cols(replaced)).withColumn("_k", F.lit(0))
-            out = rows.withColumn("_k", F.lit(0)).join(F.broadcast(rep), "_k", "left").drop("_k")
-        out = out.drop("_n") if not kept else out
-        out = out.select(*axes, *measures)
+        from pyspark.sql import Window
+        dropped_axes = {MEASURES[m][1] for m in replaced}
+        other_axes = [a for a in axes if a not in dropped_axes]
+        parts = []
+        for m in replaced:
+            s_part, c_part = _PARTS[m]
+            parts.append(s_part().alias(f"_s_{m}"))
+            if c_part is not None:
+                parts.append(c_part().alias(f"_c_{m}"))
+        rows = fact.groupBy(*axes).agg(*_agg_cols(kept), *parts)
+        w = Window.partitionBy(*other_axes)
+        for m in replaced:
+            total = F.sum(f"_s_{m}").over(w)
+            if _PARTS[m][1] is None:
+                val = F.nullif(total.cast("bigint"), F.lit(0).cast("bigint"))
+            else:
+                val = F.try_divide(total, F.sum(f"_c_{m}").over(w).cast("double"))
+            rows = rows.withColumn(m, val)
+        out = rows.select(*axes, *measures)
     if drop_blank and measures:
         out = out.where(reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures]))
     return out

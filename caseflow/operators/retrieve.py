@@ -94,12 +94,18 @@ def bm25_scores(postings: DataFrame, queries: DataFrame, weights: dict[str, floa
     terms = qt.select("term").distinct()
     hits = postings.join(F.broadcast(terms) if qt_b is not qt else terms, "term", "left_semi")
     dfs = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    stats = F.broadcast(field_stats(postings))  # one row per field
+    # Index statistics are a few scalars per field (the caller fixes the fields): computed by
+    # one distributed aggregate, then inlined as literal maps instead of joined.
+    stats = field_stats(postings).collect()
+    n_docs = F.create_map(*[x for r in stats for x in (F.lit(r["field"]), F.lit(float(r["n_docs"])))])
+    avgdl = F.create_map(*[x for r in stats for x in (F.lit(r["field"]), F.lit(float(r["avgdl"])))])
     w = weights or {}
     wcol = F.lit(1.0)
     for f, v in w.items():
         wcol = F.when(F.col("field") == f, F.lit(float(v))).otherwise(wcol)
-    j = hits.join(qt_b, "term").join(dfs, ["field", "term"]).join(stats, "field")
+    j = hits.join(qt_b, "term").join(dfs, ["field", "term"]) \
+        .withColumn("n_docs", F.element_at(n_docs, F.col("field"))) \
+        .withColumn("avgdl", F.element_at(avgdl, F.col("field")))
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
     norm = tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
@@ -126,8 +132,10 @@ def keyword_topk(postings: DataFrame, queries: DataFrame, k: int, weights: dict[
         empty = queries.where(F.size(tokens(F.col("text"))) == 0).select("query_id")
         docs = match_all_docs.select("doc_id") if candidates is None else \
             match_all_docs.select("doc_id").join(candidates.select("doc_id"), "doc_id", "left_semi")
-        first_k = docs.orderBy("doc_id").limit(k).withColumn("_k", F.lit(0))
-        all_hits = empty.withColumn("_k", F.lit(0)).join(F.broadcast(first_k), "_k").drop("_k") \
+        # the k lowest ids are k scalars (k <= 20): fetched once, attached as a literal array
+        first_k = [r[0] for r in docs.orderBy("doc_id").limit(k).collect()]
+        ids = F.array(*[F.lit(v) for v in first_k]) if first_k else F.array().cast("array<long>")
+        all_hits = empty.select("query_id", F.explode(ids).alias("doc_id")) \
             .withColumn("bm25", F.lit(0.0)).withColumn("score", F.lit(0.0))
         out = out.unionByName(rank_top(all_hits, k, "score"))
     return out
@@ -144,13 +152,18 @@ def rank_top(df: DataFrame, k: int, score: str = "score", partition: str = "quer
 # ---- J8: exact vector top-k --------------------------------------------------------------------
 
 def _blocks(df: DataFrame, id_col: str, part_cols: list[str], block: int, name: str) -> DataFrame:
-    """Assign each row a block number in [0, n_blocks) of its partition, n = ceil(rows / block)."""
-    counts = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")) if part_cols else \
-        df.agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn(f"_nb_{name}", F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int")) \
-        .drop("_n")
-    joined = df.join(F.broadcast(counts), part_cols) if part_cols else \
-        df.withColumn("_k", F.lit(0)).join(F.broadcast(counts.withColumn("_k", F.lit(0))), "_k").drop("_k")
+    """Assign each row a block number in [0, n_blocks) of its partition, n = ceil(rows / block).
+
+    Without partition columns n is one scalar (a distributed count); with them,
+    the per-partition counts (one row per partition value) are broadcast.
+    """
+    if not part_cols:
+        n = max(1, -(-df.count() // block))
+        return df.withColumn(f"_nb_{name}", F.lit(n)) \
+            .withColumn(f"_b_{name}", F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("int"))
+    counts = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn(f"_nb_{name}", F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int")).drop("_n")
+    joined = df.join(F.broadcast(counts), part_cols)
     return joined.withColumn(f"_b_{name}", F.pmod(F.xxhash64(F.col(id_col)), F.col(f"_nb_{name}")).cast("int"))
 
 
@@ -196,17 +209,15 @@ def vector_topk(queries: DataFrame, docs: DataFrame, k: int, partition_cols: lis
     pc = partition_cols or []
     q = _blocks(queries, "query_id", pc, query_block, "q")
     d = _blocks(docs, "doc_id", pc, doc_block, "d")
-    # Each query meets every doc block of its partition and vice versa.
-    # (one row per partition value: small, broadcast)
-    # (fresh aliases: both sides may come from one frame, so avoid ambiguous self-joins)
-    dcount = d.select(*[F.col(c).alias(c) for c in pc], "_nb_d").distinct()
-    qcount = q.select(*[F.col(c).alias(c) for c in pc], "_nb_q").distinct()
     if pc:
+        # one row per partition value, broadcast; fresh aliases avoid an ambiguous self-join
+        dcount = d.select(*[F.col(c).alias(c) for c in pc], "_nb_d").distinct()
+        qcount = q.select(*[F.col(c).alias(c) for c in pc], "_nb_q").distinct()
         q = q.join(F.broadcast(dcount), pc)
         d = d.join(F.broadcast(qcount), pc)
     else:
-        q = q.withColumn("_k", F.lit(0)).join(F.broadcast(dcount.withColumn("_k", F.lit(0))), "_k").drop("_k")
-        d = d.withColumn("_k", F.lit(0)).join(F.broadcast(qcount.withColumn("_k", F.lit(0))), "_k").drop("_k")
+        q = q.withColumn("_nb_d", F.lit(d.select("_nb_d").first()[0]))
+        d = d.withColumn("_nb_q", F.lit(q.select("_nb_q").first()[0]))
     # Partition keys get fresh names (new attribute ids) on each side: both sides may
     # derive from one frame, and cogroup must not see one attribute on both children.
     pk = [F.col(c).alias(f"_pk{i}") for i, c in enumerate(pc)]

@@ -326,8 +326,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM orders) AS incident_count,
 def health_counts(spark, sf_dir):
     """Incident and article counts in one row."""
     tm = TicketModel(spark, sf_dir)
-    a = tm.incidents_base().agg(F.count(F.lit(1)).cast("bigint").alias("incident_count")) \
-        .withColumn("_k", F.lit(0))
-    b = tm.kb_articles().agg(F.count(F.lit(1)).cast("bigint").alias("kb_article_count")) \
-        .withColumn("_k", F.lit(0))
-    return a.join(b, "_k").drop("_k")
+    a = tm.incidents_base().select(F.lit(1).alias("i"), F.lit(0).alias("k"))
+    b = tm.kb_articles().select(F.lit(0).alias("i"), F.lit(1).alias("k"))
+    return a.unionByName(b).agg(F.sum("i").cast("bigint").alias("incident_count"),
+                                F.sum("k").cast("bigint").alias("kb_article_count"))

@@ -216,14 +216,15 @@ def land_list_pages(items: DataFrame, root: str, dataset: str, load_date: str, k
     """
     path = os.path.join(root, dataset, "list")
     paged = items.withColumn("_page", (F.col(key_col).cast("bigint") / page_size).cast("bigint") + 1)
-    totals = items.agg(F.count(F.lit(1)).cast("int").alias("total_items"),
-                       (F.max(F.col(key_col).cast("bigint")) / page_size).cast("int").alias("_maxp")) \
-        .withColumn("_k", F.lit(0))
+    # two scalars from one distributed aggregate
+    tot = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key_col).cast("bigint")).alias("mx")).first()
+    total_items, total_pages = int(tot["n"]), (int(tot["mx"]) // page_size + 1 if tot["mx"] is not None else 0)
     env = paged.groupBy("_page").agg(
         F.collect_list(F.struct(*[F.col(c) for c in items.columns])).alias("items"))
-    env = env.withColumn("_k", F.lit(0)).join(F.broadcast(totals), "_k").select(
+    env = env.select(
         F.struct(F.col("_page").cast("int").alias("page"), F.lit(page_size).alias("page_size"),
-                 F.col("total_items"), (F.col("_maxp") + 1).alias("total_pages")).alias("pagination"),
+                 F.lit(total_items).alias("total_items"), F.lit(total_pages).alias("total_pages"))
+        .alias("pagination"),
         "items", F.col("_page").cast("int").alias("page_number"))
     env.withColumn("load_date", F.lit(load_date)).write.mode("append").partitionBy("load_date").json(path)
     return path
@@ -263,7 +264,8 @@ def manifest_for_pages(pages: DataFrame, dataset: str, endpoint: str,
         F.lit(dataset).alias("dataset_name"), F.lit("page").alias("record_type"), F.lit(endpoint).alias("endpoint"),
         F.col("pagination.page").alias("page_number"), F.lit(None).cast("string").alias("entity_id"),
         F.size("items").cast("int").alias("item_count"), F.col("source_file").alias("landed_path"),
-        F.lit(extracted_at).alias("extracted_at_utc"), F.current_timestamp().alias("landed_at_utc"))
+        F.lit(extracted_at).alias("extracted_at_utc"), F.current_timestamp().alias("landed_at_utc"),
+        F.col("pagination.total_items").cast("bigint").alias("total_reported"))
 
 
 def manifest_for_details(details: DataFrame, dataset: str, endpoint: str,
@@ -288,15 +290,16 @@ def field_inventory(spark: SparkSession, schema_by_endpoint: dict[str, T.StructT
     return spark.createDataFrame(rows, "endpoint string, field_name string").orderBy("endpoint", "field_name")
 
 
-def endpoint_summary(manifest: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Per dataset: records returned, total reported, status and a note."""
+def endpoint_summary(manifest: DataFrame) -> DataFrame:
+    """Per dataset: records returned, files landed, total reported by the source, status, note.
+
+    One aggregation: the reported total travels on each manifest row.
+    """
+    total = F.max("total_reported") if "total_reported" in manifest.columns else F.sum("item_count")
     s = manifest.groupBy("dataset_name").agg(
         F.sum("item_count").cast("bigint").alias("records_returned"),
-        F.count(F.lit(1)).cast("bigint").alias("files_landed"))
-    if totals is not None:
-        s = s.join(totals, "dataset_name", "left")
-    else:
-        s = s.withColumn("total_reported", F.col("records_returned"))
+        F.count(F.lit(1)).cast("bigint").alias("files_landed"),
+        total.cast("bigint").alias("total_reported"))
     return s.withColumn("status", F.when(F.col("records_returned") > 0, "ok").otherwise("empty")) \
         .withColumn("note", F.when(F.col("records_returned") != F.col("total_reported"),
                                    F.lit("returned differs from reported total")).otherwise(F.lit("")))
