@@ -237,6 +237,7 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
     adj = edges.select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst"))
     if not directed:
         adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    adj = adj.checkpoint(eager=True)  # built once, read by every round
     visited = seeds.select("node_id").distinct().withColumn("hops", F.lit(0))
     frontier = visited
     for h in range(1, hops + 1):

@@ -57,16 +57,21 @@ def fact_tickets(incidents: DataFrame, as_of: _dt.date | str = AS_OF,
                  reopen_counts: DataFrame | None = None) -> DataFrame:
     """The ticket fact with date keys, flags, durations, age and bucket."""
     asof = _as_of_col(as_of)
-    f = incidents.withColumn("is_open", is_open(F.col("state"))) \
-        .withColumn("is_resolved", is_resolved(F.col("state")))
-    f = f.withColumn("opened_date_key", date_key(F.col("opened_at"))) \
-        .withColumn("resolved_date_key", date_key(F.col("resolved_at"))) \
-        .withColumn("resolution_hours",
-                    F.timestamp_diff("SECOND", F.col("opened_at"), F.col("resolved_at")) / 3600.0) \
-        .withColumn("resolution_hour_boundaries", hour_boundaries(F.col("opened_at"), F.col("resolved_at"))) \
-        .withColumn("age_days", F.datediff(asof, F.col("opened_at").cast("date")).cast("bigint")) \
-        .withColumn("open_age_days", F.when(F.col("is_open"), F.col("age_days"))) \
-        .withColumn("open_age_bucket", F.when(F.col("is_open"), age_bucket(F.col("age_days"))))
+    opened, resolved = F.col("opened_at"), F.col("resolved_at")
+    open_ = is_open(F.col("state"))
+    age = F.datediff(asof, opened.cast("date")).cast("bigint")
+    # one projection (withColumns) instead of a chain of re-analysed withColumn calls
+    f = incidents.withColumns({
+        "is_open": open_,
+        "is_resolved": is_resolved(F.col("state")),
+        "opened_date_key": date_key(opened),
+        "resolved_date_key": date_key(resolved),
+        "resolution_hours": F.timestamp_diff("SECOND", opened, resolved) / 3600.0,
+        "resolution_hour_boundaries": hour_boundaries(opened, resolved),
+        "age_days": age,
+        "open_age_days": F.when(open_, age),
+        "open_age_bucket": F.when(open_, age_bucket(age)),
+    })
     if reopen_counts is not None:
         f = f.join(reopen_counts, "incident_id", "left") \
              .withColumn("reopen_count", F.coalesce(F.col("reopen_count"), F.lit(0).cast("bigint")))

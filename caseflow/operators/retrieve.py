@@ -62,6 +62,8 @@ def build_postings(docs: DataFrame, id_col: str, fields: dict[str, str]) -> Data
     (map-side) aggregation already yields exact term frequencies and only one
     row per (doc, field, term) is shuffled.
     """
+    from caseflow.session import spread
+    docs = spread(docs, id_col)
     parts = [docs.select(F.col(id_col).alias("doc_id"), F.lit(f).alias("field"), tokens(F.col(c)).alias("toks"))
              for f, c in fields.items()]
     u = reduce(DataFrame.unionByName, parts).withColumn("dl", F.size("toks")).where(F.col("dl") > 0)
@@ -69,6 +71,27 @@ def build_postings(docs: DataFrame, id_col: str, fields: dict[str, str]) -> Data
         .groupBy("doc_id", "field", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
 
 
+class TermIndex:
+    """A materialised inverted index: postings plus per-field statistics (scalars)."""
+
+    def __init__(self, postings: DataFrame, stats: dict[str, tuple[float, float]]):
+        self.postings = postings
+        self.stats = stats
+
+
+def build_index(docs: DataFrame, id_col: str, fields: dict[str, str], materialize: bool = True) -> TermIndex:
+    """Build the postings once and checkpoint them (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``), so scoring, statistics and every query reuse one
+    materialised index instead of re-tokenising the corpus."""
+    post = build_postings(docs, id_col, fields)
+    if materialize:
+        from caseflow.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(post.sparkSession)
+        post = post.checkpoint(eager=True)
+    stats = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(post).collect()}
+    return TermIndex(post, stats)
+
+
 def field_stats(postings: DataFrame) -> DataFrame:
     """Per field: number of documents with the field and mean field length."""
     per_doc = postings.select("doc_id", "field", "dl").distinct()
@@ -81,7 +104,7 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
                           F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
 
 
-def bm25_scores(postings: DataFrame, queries: DataFrame, weights: dict[str, float] | None = None,
+def bm25_scores(postings: "DataFrame | TermIndex", queries: DataFrame, weights: dict[str, float] | None = None,
                 k1: float = BM25_K1, b: float = BM25_B, id_col: str = "query_id",
                 text_col: str = "text") -> DataFrame:
     """(query_id, doc_id, bm25) for every document matching at least one query term.
@@ -89,6 +112,11 @@ def bm25_scores(postings: DataFrame, queries: DataFrame, weights: dict[str, floa
     score = sum over query terms t and fields f of
             w_f * ln(1 + (N_f - df + 0.5) / (df + 0.5)) * tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl_f))
     """
+    if isinstance(postings, TermIndex):
+        stat_rows = postings.stats
+        postings = postings.postings
+    else:
+        stat_rows = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(postings).collect()}
     qt = query_terms(queries, id_col, text_col)
     qt_b = maybe_broadcast(qt)
     terms = qt.select("term").distinct()
@@ -96,9 +124,8 @@ def bm25_scores(postings: DataFrame, queries: DataFrame, weights: dict[str, floa
     dfs = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     # Index statistics are a few scalars per field (the caller fixes the fields): computed by
     # one distributed aggregate, then inlined as literal maps instead of joined.
-    stats = field_stats(postings).collect()
-    n_docs = F.create_map(*[x for r in stats for x in (F.lit(r["field"]), F.lit(float(r["n_docs"])))])
-    avgdl = F.create_map(*[x for r in stats for x in (F.lit(r["field"]), F.lit(float(r["avgdl"])))])
+    n_docs = F.create_map(*[x for f, (n, _) in stat_rows.items() for x in (F.lit(f), F.lit(n))])
+    avgdl = F.create_map(*[x for f, (_, a) in stat_rows.items() for x in (F.lit(f), F.lit(a))])
     w = weights or {}
     wcol = F.lit(1.0)
     for f, v in w.items():
@@ -115,7 +142,7 @@ def bm25_scores(postings: DataFrame, queries: DataFrame, weights: dict[str, floa
     return j.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("bm25"))
 
 
-def keyword_topk(postings: DataFrame, queries: DataFrame, k: int, weights: dict[str, float] | None = None,
+def keyword_topk(postings: "DataFrame | TermIndex", queries: DataFrame, k: int, weights: dict[str, float] | None = None,
                  candidates: DataFrame | None = None, match_all_docs: DataFrame | None = None,
                  digits: int = 6) -> DataFrame:
     """Top k documents per query by BM25 (score rounded to ``digits``, ties by doc id).
@@ -125,7 +152,11 @@ def keyword_topk(postings: DataFrame, queries: DataFrame, k: int, weights: dict[
     any token (empty or '*') match all documents: they get the k lowest doc
     ids of ``match_all_docs`` with score 0.
     """
-    p = postings if candidates is None else postings.join(candidates.select("doc_id"), "doc_id", "left_semi")
+    if candidates is not None:
+        base = postings.postings if isinstance(postings, TermIndex) else postings
+        p = base.join(candidates.select("doc_id"), "doc_id", "left_semi")  # stats change with the candidates
+    else:
+        p = postings
     s = bm25_scores(p, queries, weights).withColumn("score", F.round("bm25", digits))
     out = rank_top(s, k, "score")
     if match_all_docs is not None:

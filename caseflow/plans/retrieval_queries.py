@@ -41,8 +41,9 @@ def doc_vectors(tm: TicketModel) -> DataFrame:
     return doc_texts(tm).join(e, F.col("doc_id") == e.vec_id).select("doc_id", F.col("embedding").alias("dvec"))
 
 
-def doc_postings(tm: TicketModel) -> DataFrame:
-    return R.build_postings(doc_texts(tm), "doc_id", {"content": "text"})
+def doc_postings(tm: TicketModel) -> R.TermIndex:
+    """The document index, built once per query and checkpointed."""
+    return R.build_index(doc_texts(tm), "doc_id", {"content": "text"})
 
 
 Q_SQL = "SELECT item_id AS query_id, text FROM benchmark"
@@ -74,7 +75,7 @@ def bm25_kb_fields(spark, sf_dir):
     tm = TicketModel(spark, sf_dir)
     kb = tm.kb_articles().select(F.col("kb_article_id").alias("doc_id"), "title",
                                  F.col("content_text").alias("content"))
-    post = R.build_postings(kb, "doc_id", {"title": "title", "content": "content"})
+    post = R.build_index(kb, "doc_id", {"title": "title", "content": "content"})
     return R.keyword_topk(post, bench_queries(tm), K, R.KB_FIELD_WEIGHTS).select("query_id", "doc_id", "score",
                                                                                   "rank")
 
@@ -146,7 +147,7 @@ def kb_boosted(spark, sf_dir):
     tm = TicketModel(spark, sf_dir)
     kb = tm.kb_articles()
     docs = kb.select(F.col("kb_article_id").alias("doc_id"), "title", F.col("content_text").alias("content"))
-    post = R.build_postings(docs, "doc_id", {"title": "title", "content": "content"})
+    post = R.build_index(docs, "doc_id", {"title": "title", "content": "content"})
     kw = R.keyword_topk(post, bench_queries(tm), K, R.KB_FIELD_WEIGHTS)
     best = kw.groupBy("query_id").agg(F.max("bm25").alias("best"))
     sig = kb.select(F.col("kb_article_id").alias("doc_id"), "useful_count", "view_count")
@@ -189,15 +190,16 @@ SELECT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d ON cont
 def relevance_judgments(spark, sf_dir):
     """J24 input: documents containing a benchmark passage (rarest-token candidates, exact check)."""
     tm = TicketModel(spark, sf_dir)
-    return R.contains_judgments(bench_queries(tm), doc_texts(tm), doc_postings(tm))
+    return R.contains_judgments(bench_queries(tm), doc_texts(tm), doc_postings(tm).postings)
 
 
 @register("j24_search_quality")
 def search_quality(spark, sf_dir):
     """Keyword vs hybrid recall@5 and MRR per judged query (rows-only)."""
     tm = TicketModel(spark, sf_dir)
-    judg = R.contains_judgments(bench_queries(tm), doc_texts(tm), doc_postings(tm))
-    kw = R.keyword_topk(doc_postings(tm), bench_queries(tm), K_FUSED)
+    idx = doc_postings(tm)
+    judg = R.contains_judgments(bench_queries(tm), doc_texts(tm), idx.postings)
+    kw = R.keyword_topk(idx, bench_queries(tm), K_FUSED)
     hy = _hybrid(spark, sf_dir)
     a = R.ranking_quality(kw, judg, K_FUSED, "keyword")
     b = R.ranking_quality(hy, judg, K_FUSED, "hybrid").drop("n_relevant")
@@ -323,14 +325,14 @@ def _multi_index(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     kb = SD.kb_search_docs(tm.kb_articles())
     inc = _incident_docs(spark, sf_dir)
     att = _asset_docs(spark, sf_dir)
-    kb_hits = R.keyword_topk(R.build_postings(kb.withColumnRenamed("id", "doc_id"), "doc_id",
+    kb_hits = R.keyword_topk(R.build_index(kb.withColumnRenamed("id", "doc_id"), "doc_id",
                                               {"title": "title", "content": "content"}),
                              q, k, R.KB_FIELD_WEIGHTS).withColumn("index_name", F.lit("kb"))
-    inc_hits = R.keyword_topk(R.build_postings(inc.withColumnRenamed("id", "doc_id"), "doc_id",
+    inc_hits = R.keyword_topk(R.build_index(inc.withColumnRenamed("id", "doc_id"), "doc_id",
                                                {"incident_summary": "incident_summary", "description": "description",
                                                 "work_notes": "work_notes", "resolution_notes": "resolution_notes"}),
                               q, k, R.INCIDENT_FIELD_WEIGHTS).withColumn("index_name", F.lit("incident"))
-    att_hits = R.keyword_topk(R.build_postings(att.withColumnRenamed("id", "doc_id"), "doc_id",
+    att_hits = R.keyword_topk(R.build_index(att.withColumnRenamed("id", "doc_id"), "doc_id",
                                                {"file_name": "file_name", "description": "description"}),
                               q, k).withColumn("index_name", F.lit("attachment"))
     return kb_hits.unionByName(inc_hits).unionByName(att_hits)
@@ -455,7 +457,7 @@ def similar_incidents(spark, sf_dir):
     q = doc_texts(tm).join(seeds.select(F.col("incident_id").alias("doc_id")), "doc_id") \
         .select(F.col("doc_id").alias("query_id"), "text")
     docs = _incident_docs(spark, sf_dir).where(F.lower("incident_state").isin("resolved", "closed"))
-    post = R.build_postings(docs.withColumnRenamed("id", "doc_id"), "doc_id",
+    post = R.build_index(docs.withColumnRenamed("id", "doc_id"), "doc_id",
                             {"incident_summary": "incident_summary", "description": "description",
                              "work_notes": "work_notes", "resolution_notes": "resolution_notes"})
     s = R.bm25_scores(post, q, R.INCIDENT_FIELD_WEIGHTS).withColumn("score", F.round("bm25", 6))

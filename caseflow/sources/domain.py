@@ -109,13 +109,11 @@ class TicketModel:
             ((key % 4) >= 2).alias("follow_up_required"),
             F.col("o_custkey").alias("requester_id"),
             F.col("o_totalprice").alias("total_price"),
-        ).withColumn(
-            "impact", F.when(F.col("priority_rank") <= 2, "1 - High")
-                       .when(F.col("priority_rank") == 3, "2 - Medium").otherwise("3 - Low")
-        ).withColumn(
-            "follow_up_reason",
-            F.when(F.col("follow_up_required"), F.lit("Awaiting requester confirmation")),
-        )
+        ).withColumns({
+            "impact": F.when(F.col("priority_rank") <= 2, "1 - High")
+                       .when(F.col("priority_rank") == 3, "2 - Medium").otherwise("3 - Low"),
+            "follow_up_reason": F.when(F.col("follow_up_required"), F.lit("Awaiting requester confirmation")),
+        })
 
     def customer_dims(self) -> DataFrame:
         """customer -> group (nation) and category (segment / region); small dims joined."""

@@ -25,12 +25,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, required: bool = True,
                schema: T.StructType | None = None) -> DataFrame:
-    """A required table that is missing raises; an optional one is an empty typed frame."""
+    """A required table that is missing raises; an optional one is an empty typed frame.
+
+    The Parquet schema is inferred once per path and then passed explicitly, so
+    building a plan that reads the same table many times does not re-read
+    footers; every call still creates a fresh relation (no shared attributes).
+    """
     path = table_path(sf_dir, name)
     if os.path.exists(path) or "://" in path:
-        return spark.read.parquet(path)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
     if required:
         raise FileNotFoundError(f"required table {name!r} not found at {path}")
     return spark.createDataFrame([], schema or T.StructType([]))
