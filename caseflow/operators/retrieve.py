@@ -62,8 +62,10 @@ def build_postings(docs: DataFrame, id_col: str, fields: dict[str, str]) -> Data
     (map-side) aggregation already yields exact term frequencies and only one
     row per (doc, field, term) is shuffled.
     """
-    from caseflow.session import spread
-    docs = spread(docs, id_col)
+    # Hash-partition the documents by id once: every later per-document aggregation
+    # (term frequencies here, field sums at query time) then needs no further shuffle.
+    par = max(docs.sparkSession.sparkContext.defaultParallelism, docs.rdd.getNumPartitions())
+    docs = docs.repartition(par, id_col)
     parts = [docs.select(F.col(id_col).alias("doc_id"), F.lit(f).alias("field"), tokens(F.col(c)).alias("toks"))
              for f, c in fields.items()]
     u = reduce(DataFrame.unionByName, parts).withColumn("dl", F.size("toks")).where(F.col("dl") > 0)
@@ -111,6 +113,11 @@ def bm25_scores(postings: "DataFrame | TermIndex", queries: DataFrame, weights:
 
     score = sum over query terms t and fields f of
             w_f * ln(1 + (N_f - df + 0.5) / (df + 0.5)) * tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl_f))
+
+    The field-weighted contribution of each (document, query term) is summed
+    over fields first, on the doc-partitioned index (no shuffle), and only
+    then joined with the (query, term) pairs, so the join carries one row per
+    (document, term) instead of one per field.
     """
     if isinstance(postings, TermIndex):
         stat_rows = postings.stats
@@ -118,28 +125,29 @@ def bm25_scores(postings: "DataFrame | TermIndex", queries: DataFrame, weights:
     else:
         stat_rows = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(postings).collect()}
     qt = query_terms(queries, id_col, text_col)
-    qt_b = maybe_broadcast(qt)
+    small = qt.count() <= BROADCAST_MAX_ROWS  # the query side is broadcast only below a checked size
     terms = qt.select("term").distinct()
-    hits = postings.join(F.broadcast(terms) if qt_b is not qt else terms, "term", "left_semi")
-    dfs = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    # Index statistics are a few scalars per field (the caller fixes the fields): computed by
-    # one distributed aggregate, then inlined as literal maps instead of joined.
-    n_docs = F.create_map(*[x for f, (n, _) in stat_rows.items() for x in (F.lit(f), F.lit(n))])
-    avgdl = F.create_map(*[x for f, (_, a) in stat_rows.items() for x in (F.lit(f), F.lit(a))])
     w = weights or {}
+    p = postings.where(F.col("field").isin(list(w))) if w else postings
+    hits = p.join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    dfs = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))  # <= query terms x fields
+    # Index statistics are a few scalars per field (the caller fixes the fields): inlined as
+    # literal maps instead of joined.
+    n_docs = F.element_at(F.create_map(*[x for f, (n, _) in stat_rows.items() for x in (F.lit(f), F.lit(n))]),
+                          F.col("field"))
+    avgdl = F.element_at(F.create_map(*[x for f, (_, a) in stat_rows.items() for x in (F.lit(f), F.lit(a))]),
+                         F.col("field"))
     wcol = F.lit(1.0)
     for f, v in w.items():
         wcol = F.when(F.col("field") == f, F.lit(float(v))).otherwise(wcol)
-    j = hits.join(qt_b, "term").join(dfs, ["field", "term"]) \
-        .withColumn("n_docs", F.element_at(n_docs, F.col("field"))) \
-        .withColumn("avgdl", F.element_at(avgdl, F.col("field")))
-    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
-    norm = tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+    norm = tf + k1 * (1 - b + b * F.col("dl") / avgdl)
     contrib = wcol * idf * tf * (k1 + 1) / norm
-    if w:
-        j = j.where(F.col("field").isin(list(w)))
-    return j.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("bm25"))
+    per_term = hits.join(F.broadcast(dfs) if small else dfs, ["field", "term"]) \
+        .groupBy("doc_id", "term").agg(F.sum(contrib).alias("c"))
+    return per_term.join(F.broadcast(qt) if small else qt, "term") \
+        .groupBy("query_id", "doc_id").agg(F.sum("c").alias("bm25"))
 
 
 def keyword_topk(postings: "DataFrame | TermIndex", queries: DataFrame, k: int, weights: dict[str, float] | None = None,
