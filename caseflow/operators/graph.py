@@ -232,18 +232,17 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
     session's shared checkpoint dir) so lineage stays one round deep and a lost
     executor recomputes at most one round.
     """
-    from caseflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from caseflow.session import materialize
     adj = edges.select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst"))
     if not directed:
         adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    adj = adj.checkpoint(eager=True)  # built once, read by every round
+    adj = materialize(adj)  # built once, read by every round
     visited = seeds.select("node_id").distinct().withColumn("hops", F.lit(0))
     frontier = visited
     for h in range(1, hops + 1):
         nxt = frontier.join(adj, frontier.node_id == adj.src).select(F.col("dst").alias("node_id")).distinct()
         nxt = nxt.join(visited.select("node_id"), "node_id", "left_anti").withColumn("hops", F.lit(h))
-        visited = visited.unionByName(nxt).checkpoint(eager=True)
+        visited = materialize(visited.unionByName(nxt))
         frontier = visited.where(F.col("hops") == h)
     return visited
 

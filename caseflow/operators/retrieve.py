@@ -87,9 +87,8 @@ def build_index(docs: DataFrame, id_col: str, fields: dict[str, str], materializ
     materialised index instead of re-tokenising the corpus."""
     post = build_postings(docs, id_col, fields)
     if materialize:
-        from caseflow.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(post.sparkSession)
-        post = post.checkpoint(eager=True)
+        from caseflow.session import materialize as cut
+        post = cut(post)
     stats = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(post).collect()}
     return TermIndex(post, stats)
 
@@ -144,8 +143,12 @@ def bm25_scores(postings: "DataFrame | TermIndex", queries: DataFrame, weights:
     tf = F.col("tf").cast("double")
     norm = tf + k1 * (1 - b + b * F.col("dl") / avgdl)
     contrib = wcol * idf * tf * (k1 + 1) / norm
-    per_term = hits.join(F.broadcast(dfs) if small else dfs, ["field", "term"]) \
-        .groupBy("doc_id", "term").agg(F.sum(contrib).alias("c"))
+    scored = hits.join(F.broadcast(dfs) if small else dfs, ["field", "term"])
+    fields = list(w) if w else list(stat_rows)
+    if len(fields) > 1:
+        per_term = scored.groupBy("doc_id", "term").agg(F.sum(contrib).alias("c"))
+    else:  # one field: already one row per (document, term)
+        per_term = scored.select("doc_id", "term", contrib.alias("c"))
     return per_term.join(F.broadcast(qt) if small else qt, "term") \
         .groupBy("query_id", "doc_id").agg(F.sum("c").alias("bm25"))
 

@@ -71,3 +71,19 @@ def spread(df, *keys: str):
     if df.rdd.getNumPartitions() >= par:
         return df
     return df.repartition(par, *keys) if keys else df.repartition(par)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    The frame is persisted first so the checkpoint job reads the computed rows
+    instead of recomputing the plan (an unpersisted reliable checkpoint runs
+    the plan twice); the cache is dropped once the files exist.  Never a
+    local checkpoint: the files must survive the loss of an executor.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
