@@ -155,7 +155,7 @@ def bm25_scores(postings: "DataFrame | TermIndex", queries: DataFrame, weights:
 
 def keyword_topk(postings: "DataFrame | TermIndex", queries: DataFrame, k: int, weights: dict[str, float] | None = None,
                  candidates: DataFrame | None = None, match_all_docs: DataFrame | None = None,
-                 digits: int = 6) -> DataFrame:
+                 digits: int = 6, post_filter: bool = False) -> DataFrame:
     """Top k documents per query by BM25 (score rounded to ``digits``, ties by doc id).
 
     ``candidates`` (doc_id) restricts the searchable documents before ranking
@@ -163,6 +163,10 @@ def keyword_topk(postings: "DataFrame | TermIndex", queries: DataFrame, k: int,
     any token (empty or '*') match all documents: they get the k lowest doc
     ids of ``match_all_docs`` with score 0.
     """
+    if candidates is not None and post_filter:
+        # J15 as the design documents describe it: search everything, then filter (may leave < k)
+        top = keyword_topk(postings, queries, k, weights, None, match_all_docs, digits)
+        return top.join(candidates.select("doc_id"), "doc_id", "left_semi")
     if candidates is not None:
         base = postings.postings if isinstance(postings, TermIndex) else postings
         p = base.join(candidates.select("doc_id"), "doc_id", "left_semi")  # stats change with the candidates

@@ -95,6 +95,18 @@ def vector_lsh(spark, sf_dir):
         "query_id", "doc_id", "score", "rank")
 
 
+@register("j15_b10_filter_then_search", sql(
+    f"WITH {bm25_ctes('b', "SELECT doc_id, text FROM documents WHERE lang = 'en'", {'content': 'text'}, Q_SQL, K)}\n"
+    "SELECT query_id, doc_id, score, rank FROM b_top"))
+def filter_then_search(spark, sf_dir):
+    """J15 + B10: filters limit the candidates before ranking, so k results remain (English only)."""
+    from caseflow.operators.listing import filter_from_dict
+    tm = TicketModel(spark, sf_dir)
+    cand = tm.raw("documents").where(filter_from_dict({"lang": "en"})).select("doc_id")
+    return R.keyword_topk(doc_postings(tm), bench_queries(tm), K, candidates=cand).select(
+        "query_id", "doc_id", "score", "rank")
+
+
 # ---- J10-J14 -------------------------------------------------------------------------------------------
 
 def _hybrid(spark: SparkSession, sf_dir: str, k: int = K_FUSED) -> DataFrame:
