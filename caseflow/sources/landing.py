@@ -176,8 +176,6 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
 
     first = spark.createDataFrame([(d, 1) for d in datasets], "dataset string, page int") \
         .mapInPandas(fetch_batches, out_schema)
-    env = json_rows_to_df(first.withColumnRenamed("payload", "_p").select("dataset", "page", "_p"), "_p",
-                          schemas.envelope(T.StructType([])))
     totals = first.select("dataset", F.get_json_object("payload", "$.pagination.total_pages")
                           .cast("int").alias("total_pages"))
     rest = totals.where(F.col("total_pages") > 1).select(
@@ -192,7 +190,6 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
     pages = pages.withColumn("load_date", F.lit(load_date))
     pages.select("dataset", "load_date", "page", "payload").write.mode("append") \
         .partitionBy("dataset", "load_date").json(os.path.join(root, "_pages"))
-    del env
     return pages
 
 
