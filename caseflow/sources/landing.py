@@ -174,8 +174,10 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
                     for d, p in zip(pdf["dataset"], pdf["page"])]
             yield pd.DataFrame(rows, columns=["dataset", "page", "payload"])
 
-    first = spark.createDataFrame([(d, 1) for d in datasets], "dataset string, page int") \
-        .mapInPandas(fetch_batches, out_schema)
+    from caseflow.session import materialize
+    # fetched pages are materialised (checkpoint) so no page is ever fetched twice
+    first = materialize(spark.createDataFrame([(d, 1) for d in datasets], "dataset string, page int")
+                        .mapInPandas(fetch_batches, out_schema))
     totals = first.select("dataset", F.get_json_object("payload", "$.pagination.total_pages")
                           .cast("int").alias("total_pages"))
     rest = totals.where(F.col("total_pages") > 1).select(
@@ -187,7 +189,7 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
     first_empty = pages.where(F.col("item_count") == 0).groupBy("dataset").agg(F.min("page").alias("_stop"))
     pages = pages.join(first_empty, "dataset", "left") \
         .where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))).drop("_stop")
-    pages = pages.withColumn("load_date", F.lit(load_date))
+    pages = materialize(pages.withColumn("load_date", F.lit(load_date)))
     pages.select("dataset", "load_date", "page", "payload").write.mode("append") \
         .partitionBy("dataset", "load_date").json(os.path.join(root, "_pages"))
     return pages
