@@ -108,8 +108,13 @@ def build_nodes(g: dict[str, DataFrame], strip_prefix: str | None = None) -> Dat
     return nodes.dropDuplicates(["node_id"])
 
 
-def build_edges(g: dict[str, DataFrame], strip_prefix: str | None = None, extra: bool = True) -> DataFrame:
-    """K5 + K6 + K7: all edge types, hashed ids, one row per edge_id."""
+def build_edges(g: dict[str, DataFrame], strip_prefix: str | None = None, extra: bool = True,
+                dedupe: bool = True) -> DataFrame:
+    """K5 + K6 + K7: all edge types, hashed ids, one row per edge_id.
+
+    ``dedupe=False`` skips the global de-duplication (and, when ``edge_id`` is
+    not selected, the hashing) for traversals that only need the endpoints.
+    """
     inc = g["incidents"]
     images = g.get("images")
     if images is None:
@@ -146,7 +151,8 @@ def build_edges(g: dict[str, DataFrame], strip_prefix: str | None = None, extra:
                   nid("AssignmentGroup", F.col("assignment_group_id")),
                   nid("BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")))),
         ]
-    return reduce(DataFrame.unionByName, parts).dropDuplicates(["edge_id"]).select(*EDGE_COLUMNS)
+    out = reduce(DataFrame.unionByName, parts)
+    return (out.dropDuplicates(["edge_id"]) if dedupe else out).select(*EDGE_COLUMNS)
 
 
 # ---- K8 -----------------------------------------------------------------------------------------
@@ -236,7 +242,7 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
     adj = edges.select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst"))
     if not directed:
         adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    adj = materialize(adj)  # built once, read by every round
+    adj = materialize(adj.distinct())  # built once, read by every round
     visited = seeds.select("node_id").distinct().withColumn("hops", F.lit(0))
     frontier = visited
     for h in range(1, hops + 1):

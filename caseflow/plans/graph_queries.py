@@ -133,7 +133,7 @@ SELECT DISTINCT node_id, 0 AS hops FROM seeds UNION ALL SELECT node_id, 1 FROM h
 """, "g_edges", "inc"))
 def reach_two_hops(spark, sf_dir):
     """Nodes within two hops (undirected) of the tickets opened in the last two days."""
-    _, e = _graph(spark, sf_dir)
+    e = G.build_edges(graph_inputs(TicketModel(spark, sf_dir)), dedupe=False)
     inc = TicketModel(spark, sf_dir).incidents_base()
     seeds = inc.where(F.col("opened_at") >= F.lit("2001-07-31").cast("timestamp_ntz")) \
         .select(G.nid("Incident", F.col("incident_id")).alias("node_id"))
