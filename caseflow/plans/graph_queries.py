@@ -176,3 +176,16 @@ def service_of_oldest_open(spark, sf_dir):
     return inc.join(svc, "incident_node_id").join(names, "service_node_id", "left") \
         .select("incident_node_id", "opened_at", "service_node_id", "service_name")
 
+
+
+@register("k08_node_degree", sql("""
+SELECT n.node_id, n.node_type, CAST(COALESCE(o.c, 0) AS BIGINT) AS out_degree, CAST(COALESCE(i.c, 0) AS BIGINT) AS in_degree
+FROM g_nodes n
+LEFT JOIN (SELECT source_node_id AS node_id, count(*) AS c FROM g_edges GROUP BY 1) o USING (node_id)
+LEFT JOIN (SELECT target_node_id AS node_id, count(*) AS c FROM g_edges GROUP BY 1) i USING (node_id)""",
+                                 "g_nodes", "g_edges"))
+def node_degree(spark, sf_dir):
+    """K8: in and out degree of every node of the whole graph (0 for isolated nodes)."""
+    n, e = _graph(spark, sf_dir)
+    return G.degree(n, e).select("node_id", "node_type", F.col("out_degree").cast("bigint").alias("out_degree"),
+                                 F.col("in_degree").cast("bigint").alias("in_degree"))
