@@ -23,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values (ours where the reference leaves them to a hosted ranker).
 TOKEN_PATTERN = "[a-z0-9]+"
@@ -48,11 +47,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise let Spark shuffle."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 # ---- J6 / J7: inverted index and BM25 -------------------------------------------------------
 
 def build_postings(docs: DataFrame, id_col: str, fields: dict[str, str]) -> DataFrame:

@@ -58,21 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/caseflow-ch
     return sc.getCheckpointDir() or target
 
 
-def spread(df, *keys: str):
-    """Hash-repartition ``df`` by ``keys`` only when it has fewer partitions than cores.
-
-    Small inputs (one Parquet row group) arrive as a single partition; CPU-heavy
-    per-row work (tokenising, HTML parsing) then runs in one task.  On a large
-    input the scan already yields many partitions and this is a no-op, so no
-    shuffle is added at scale.  Partitioning by the document key also satisfies
-    a later ``groupBy(key, ...)`` without another exchange.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    return df.repartition(par, *keys) if keys else df.repartition(par)
-
-
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
 

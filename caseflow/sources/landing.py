@@ -28,12 +28,8 @@ from pyspark.sql import types as T
 
 from caseflow import schemas
 from caseflow.functions.columns import iso_z
-from caseflow.functions.text import strip_tags_simple
 from caseflow.sources.domain import INCIDENT_URL_PREFIX, TicketModel
 
-DETAIL_DATASET = "incidents"
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
     from caseflow.session import ensure_checkpoint_dir
@@ -310,5 +306,4 @@ def incident_url(id_col) -> F.Column:
 
 __all__ = ["render_incident_details", "land_details", "land_list_pages", "read_landed_json",
            "landed_files", "manifest_for_pages", "manifest_for_details", "append_manifest",
-           "field_inventory", "endpoint_summary", "json_rows_to_df", "land_paged_collection", "work_dir",
-           "strip_tags_simple"]
+           "field_inventory", "endpoint_summary", "json_rows_to_df", "land_paged_collection", "work_dir"]
