@@ -97,3 +97,17 @@ def test_image_fallback_uses_image_attachments(spark, sf_dir):
 def test_page_clamps(spark):
     assert L.clamp_page(0, 1000) == (1, 100)
     assert L.clamp_k(0) == 1 and L.clamp_k(99) == 20
+
+
+def test_embed_batches_deterministic_unit_vectors(spark):
+    import numpy as np
+
+    from caseflow.operators import searchdocs as SD
+    rows = [(i, f"text number {i} about printers" if i % 5 else "") for i in range(250)]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    a = {r.id: r.vector for r in SD.embed_batches(df, "id", "t", batch_size=100).collect()}
+    b = {r.id: r.vector for r in SD.embed_batches(df.repartition(5), "id", "t", batch_size=7).collect()}
+    assert len(a) == 250 and a == b  # one vector per row, independent of batching and partitioning
+    for i, v in a.items():
+        n = float(np.linalg.norm(np.array(v, dtype=np.float64)))
+        assert len(v) == 64 and (abs(n - 1.0) < 1e-5 if i % 5 else n == 0.0)
