@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import langid, line_spread, mixing, quality
+from caseflow.llm import (
+    bit_mixing,
+    langid,
+    line_spread,
+    mixing,
+    near_join,
+    order_minhash,
+    packing,
+    quality,
+    token_records,
+    warc,
+)
 from caseflow.llm.common import crc_mod
 
 
@@ -19,6 +30,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_duplicate_classes(documents(spark, sf_dir))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
@@ -29,6 +44,19 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_table(documents(spark, sf_dir)).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_bit_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_mixing.score_documents(documents(spark, sf_dir), crc_mod("doc_id", 7) != 2)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = crc_mod("doc_id", 5) == 0
@@ -40,14 +68,23 @@ def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.drop_spread_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprint_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_source_mix": op2_source_mix,
-    "op3_quality_rules": op3_quality_rules,
-    "op7_language_id": op7_language_id,
-    "op8_line_spread": op8_line_spread,
+    f.__name__: f for f in (
+        op1_near_join, op2_source_mix, op3_quality_rules, op4_warc, op5_token_records, op6_bit_mixing,
+        op7_language_id, op8_line_spread, op9_packing, op10_order_minhash)
 }
 
 ORACLES: dict[str, str] = {
+    "op1_near_join": near_join.ORACLE,
     "op3_quality_rules": quality.ORACLE,
+    "op4_warc": warc.ORACLE,
     "op8_line_spread": line_spread.ORACLE,
 }
