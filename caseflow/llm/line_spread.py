@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import BLANKS
+from caseflow.llm.common import BLANKS, write_once
 
 MIN_SITES = 5
 #: Width of the band around the threshold, six standard errors of the sketch.
@@ -65,7 +65,8 @@ def drop_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = keyed.select(F.col(doc_id).alias("id"), F.col("_th").alias("th"), F.col(text).alias("text"),
                         F.col(site).cast("string").alias("site"))
-    bad = boilerplate_lines(rows, min_sites, margin, lg_k)
+    # written first, so that the join below shuffles both sides itself and Spark can split a hot line
+    bad = write_once(boilerplate_lines(rows, min_sites, margin, lg_k), "spread-lines")
     here = F.struct("id", "th", "pos")
     gone = _lines(rows).join(bad, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first"))) \
         .groupBy("id", "th").agg(F.collect_set("pos").alias("_gone")) \

@@ -33,11 +33,14 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = 128) -> tuple[int, int]:
     """(bands, rows): the most rows, so the fewest chance meetings, that reach ``recall`` at ``threshold``."""
-    best = (max_hashes, 1)
+    best = None
     for rows in range(1, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
-        if bands * rows <= max_hashes:
-            best = (bands, rows)
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-threshold ** rows)) if threshold < 1 else 1
+        if bands * rows > max_hashes:
+            break
+        best = (bands, rows)
+    if best is None:
+        raise ValueError(f"{max_hashes} hashes don't reach recall {recall} at {threshold}")
     return best
 
 
