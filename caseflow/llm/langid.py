@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 UNDETERMINED = "und"
 #: Languages one model may hold; the profiles go to every task, so this bounds them.
 MAX_LANGUAGES = 1000
+#: Letters of one language that a task counts together.
+HELD_LETTERS = 1 << 20
 _LETTERS: dict[str, np.ndarray] = {}
 
 
@@ -106,15 +108,24 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     (language, n-gram) in Spark; only the profiles reach the driver.
     """
     def count(batches):
+        by_lang: dict[str, list[np.ndarray]] = {}
+        held: dict[str, int] = {}
+
+        def sums(g: str) -> pa.RecordBatch:
+            held.pop(g)
+            keys, n = counted(gram_keys(np.concatenate(by_lang.pop(g))))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([g] * len(keys), pa.string()), pa.array(keys.astype(np.int64)),
+                 pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+
         for b in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
             for t, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by_lang.setdefault(g, []).append(letter_codes(t))
-            for g, codes in by_lang.items():
-                keys, n = counted(gram_keys(np.concatenate(codes)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([g] * len(keys), pa.string()), pa.array(keys.astype(np.int64)),
-                     pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+                held[g] = held.get(g, 0) + len(by_lang[g][-1])
+                if held[g] > HELD_LETTERS:
+                    yield sums(g)
+            for g in list(by_lang):
+                yield sums(g)
 
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")) \
         .where("text is not null and lang is not null")
