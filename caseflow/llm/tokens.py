@@ -14,6 +14,8 @@ from array import array
 
 #: Units one worker remembers; when it has more, it starts anew.
 REMEMBERED = 1_000_000
+#: Texts cut into units at a time.
+TEXTS = 500
 _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
 _WORKER: dict[tuple, "Encoder"] = {}
 
@@ -40,6 +42,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One bytes object for each text; an empty text has no ids."""
+        return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode(texts[i:i + TEXTS])]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.remembered:
             known.clear()
