@@ -36,7 +36,7 @@ from caseflow.llm.common import mix64, words, write_once
 ORDERS = 6
 BITS = 21
 #: Bytes of text that are handled together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: n-grams of one step of the weights, and the rate of a step.
 STEP, RATE = 1024, 0.5
 APM_CELLS = 33
