@@ -22,7 +22,7 @@ def test_edge_rows(edge, nothing):
 
 def test_lines_are_removed_before_the_document_is_judged(spark):
     good = " ".join(f"word{i}" for i in range(80)) + "."
-    nav = "Home | About | News | Contact | " * 30
+    nav = " | ".join(f"Item{i}" for i in range(150))
     rows = by_id(frame(spark, [(1, good, "en", "a"), (2, f"{good}\nAll rights reserved.", "en", "a"),
                                (3, f"{good}\n{nav}", "en", "a"), (4, good[:-1], "en", "a")], []))
     assert rows[1].kept and rows[1].n_bad_lines == 0 and rows[1].clean_text == good
