@@ -48,11 +48,11 @@ class Encoder:
         known = self.known
         if len(known) > self.remembered:
             known.clear()
-        # the first unit has no blank before it: "\0" marks it
+        # the first unit has no blank before it: "\0" marks it; a text that holds "\0" is asked for whole
         cut = []
         for t in texts:
-            parts = t.split(" ")
-            parts[0] = "\0" + parts[0]
+            parts = t.split(" ") if "\0" not in t else [""]
+            parts[0] = "\0" + parts[0] if parts[0] or "\0" not in t else ""
             cut.append(parts)
         new = list(set().union(*cut).difference(known))
         plain = [u for u in new if len(u) > 1 and not _ODD.search(u) or u == "\0"]
