@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from caseflow.llm import packing, token_records as tr
 from caseflow.llm.common import read_range, run_folder
 from caseflow.llm.tokens import Encoder
-from tests.llm.conftest import EDGE
 
 ENC = Encoder("byte_bpe_50k.json")
 
@@ -100,7 +99,7 @@ def cut(ids):
 
 
 def test_sum_of_squares_rule_step_by_step():
-    """Each placement leaves the least sum of squares that any placement could."""
+    """Each placement leaves the least sum of squares that any open bin allows; a new bin only where none fits."""
     rng = np.random.default_rng(3)
     for capacity in (10, 25):
         sizes = rng.integers(1, capacity + 1, 200)
@@ -113,7 +112,7 @@ def test_sum_of_squares_rule_step_by_step():
 
         for i in np.argsort(-sizes, kind="stable"):
             options = [total(gaps | {b: g - sizes[i]}) for b, g in gaps.items() if g >= sizes[i]]
-            options.append(total(gaps | {-1: capacity - sizes[i]}))
+            options = options or [total(gaps | {-1: capacity - sizes[i]})]
             gaps[bins[i]] = gaps.get(bins[i], capacity) - sizes[i]
             assert total(gaps) == min(options) and gaps[bins[i]] >= 0
 
@@ -122,5 +121,4 @@ def test_packing_is_tight():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 1025, 8000)
     bins, _ = packing.sum_of_squares_pack(sizes, 1024)
-    assert bins.max() + 1 <= 1.02 * sizes.sum() / 1024
-    assert len(EDGE) > 0
+    assert bins.max() + 1 <= 1.005 * sizes.sum() / 1024
