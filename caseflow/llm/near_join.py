@@ -26,7 +26,7 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 #: Members, and n-grams of members, that one block of a bucket holds, about.
-BLOCK_MEMBERS = 512
+BLOCK_MEMBERS = 256
 BLOCK_GRAMS = 1 << 19
 _P = np.uint64(0x9E3779B97F4A7C15)
 
