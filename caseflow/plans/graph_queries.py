@@ -56,12 +56,12 @@ def integrity(spark, sf_dir):
 
 SEEDS_SQL = """
 SELECT 'incident:' || CAST(incident_id AS VARCHAR) AS node_id FROM inc
-WHERE lower(state) IN ('new', 'in progress', 'on hold') AND priority_rank = 1 AND follow_up_required"""
+WHERE lower(state) IN ('new', 'in progress', 'on hold')"""
 
 
 def _seed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     inc = TicketModel(spark, sf_dir).incidents_base()
-    return inc.where(is_open(F.col("state")) & (F.col("priority_rank") == 1) & F.col("follow_up_required")) \
+    return inc.where(is_open(F.col("state"))) \
         .select(G.nid("Incident", F.col("incident_id")).alias("node_id"))
 
 
@@ -76,7 +76,7 @@ FROM (SELECT s.node_id AS seed_node_id, e.target_node_id AS neighbour_node_id, e
       FROM seeds s JOIN g_edges e ON e.target_node_id = s.node_id) x
 LEFT JOIN g_nodes n ON n.node_id = x.neighbour_node_id""", "g_edges", "g_nodes", "inc"))
 def neighbours(spark, sf_dir):
-    """K9: everything one hop from the open P1 follow-up tickets, both directions."""
+    """K9: everything one hop from the open tickets, both directions."""
     n, e = _graph(spark, sf_dir)
     return G.neighbours(_seed_incidents(spark, sf_dir), n, e).select(
         "seed_node_id", "neighbour_node_id", "relationship_type", "direction", "neighbour_type", "neighbour_name")

@@ -322,7 +322,7 @@ SELECT query_id, pattern_label, n_similar FROM (
         FROM notes WHERE is_resolution) p ON p.incident_id = s.incident_id
   WHERE p.pattern_label IS NOT NULL GROUP BY 1, 2) WHERE rn = 1""", "notes"))
 def m18(spark, sf_dir):
-    """Per open P1 follow-up ticket, the most common resolution pattern among its similar tickets."""
+    """Per open ticket, the most common resolution pattern among its similar tickets."""
     from caseflow.plans.retrieval_queries import similar_incidents
     sim = similar_incidents(spark, sf_dir).select(
         "query_id", F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1).alias("incident_id")).distinct()
@@ -342,7 +342,7 @@ def _citations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://tickets.example.invalid/incident/"),
                  F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1)).alias("url"),
         F.least(F.lit(1.0), F.col("score") / 4.0).alias("confidence"))
-    att = attachment_lookup(spark, sf_dir).select(
+    att = attachment_lookup(spark, sf_dir).where("asset_id is not null").select(
         F.col("request_id").alias("subject_id"), F.lit("attachment").alias("source_type"),
         F.col("asset_id").alias("source_id"), "title", F.coalesce("summary", F.lit("")).alias("snippet"), "url",
         "confidence")
@@ -356,12 +356,12 @@ SELECT query_id AS subject_id, 'incident' AS source_type, doc_id AS source_id, d
 FROM ({ORACLES['j20_b12_b13_similar_incidents']})
 UNION ALL
 SELECT request_id, 'attachment', asset_id, title, COALESCE(summary, ''), url, confidence
-FROM ({ORACLES['j21_attachment_lookup']})"""
+FROM ({ORACLES['j21_attachment_lookup']}) WHERE asset_id IS NOT NULL"""
 
 
 @register("l01_citations", CITATIONS_SQL)
 def l01(spark, sf_dir):
-    """L1: every piece of evidence for the open P1 follow-up tickets in one citation shape."""
+    """L1: every piece of evidence for the open tickets in one citation shape."""
     return _citations(spark, sf_dir)
 
 
@@ -413,29 +413,27 @@ def l02(spark, sf_dir):
 @register("l05_evidence_bundle", sql(f"""
 SELECT t.incident_id, COALESCE(s.n, 0) AS similar_tickets, COALESCE(k.n, 0) AS articles,
        COALESCE(a.n, 0) AS assets, COALESCE(c.n, 0) AS changes
-FROM (SELECT incident_id FROM inc WHERE lower(state) IN ('new', 'in progress', 'on hold')
-      AND priority_rank = 1 AND follow_up_required) t
+FROM (SELECT incident_id FROM inc WHERE lower(state) IN ('new', 'in progress', 'on hold')) t
 LEFT JOIN (SELECT query_id AS incident_id, CAST(count(*) AS BIGINT) AS n
            FROM ({ORACLES['j20_b12_b13_similar_incidents']}) GROUP BY 1) s USING (incident_id)
 LEFT JOIN (SELECT incident_id, CAST(count(*) AS BIGINT) AS n FROM kbl GROUP BY 1) k USING (incident_id)
 LEFT JOIN (SELECT request_id AS incident_id, CAST(count(*) AS BIGINT) AS n
-           FROM ({ORACLES['j21_attachment_lookup']}) GROUP BY 1) a USING (incident_id)
+           FROM ({ORACLES['j21_attachment_lookup']}) WHERE asset_id IS NOT NULL GROUP BY 1) a USING (incident_id)
 LEFT JOIN (SELECT incident_id, CAST(count(*) AS BIGINT) AS n FROM chl GROUP BY 1) c USING (incident_id)""",
                                          "inc", "kbl", "chl"))
 def l05(spark, sf_dir):
-    """Per open P1 follow-up ticket, how much evidence of each kind exists
+    """Per open ticket, how much evidence of each kind exists
     (similar tickets, linked articles, assets in scope, linked changes)."""
     from caseflow.plans.retrieval_queries import attachment_lookup, similar_incidents
     tm = TicketModel(spark, sf_dir)
-    t = tm.incidents_base().where(is_open(F.col("state")) & (F.col("priority_rank") == 1) &
-                                  F.col("follow_up_required")).select("incident_id")
+    t = tm.incidents_base().where(is_open(F.col("state"))).select("incident_id")
 
     def counted(df: DataFrame, key: str, name: str) -> DataFrame:
         return df.groupBy(F.col(key).alias("incident_id")).agg(F.count(F.lit(1)).cast("bigint").alias(name))
 
     out = t.join(counted(similar_incidents(spark, sf_dir), "query_id", "similar_tickets"), "incident_id", "left") \
         .join(counted(tm.incident_kb_links(), "incident_id", "articles"), "incident_id", "left") \
-        .join(counted(attachment_lookup(spark, sf_dir), "request_id", "assets"), "incident_id", "left") \
+        .join(counted(attachment_lookup(spark, sf_dir).where("asset_id is not null"), "request_id", "assets"), "incident_id", "left") \
         .join(counted(tm.incident_changes(), "incident_id", "changes"), "incident_id", "left")
     return out.fillna(0, ["similar_tickets", "articles", "assets", "changes"])
 

@@ -7,6 +7,8 @@ document vectors are the embeddings whose id equals the document id.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +90,10 @@ def vector_documents(spark, sf_dir):
 
 
 @register("j09_vector_lsh_approx")
-def vector_lsh(spark, sf_dir):
-    """Approximate cosine top 10 via MLlib LSH + exact re-rank (rows-only; recall tested vs J8)."""
+def vector_approx(spark, sf_dir):
+    """Approximate cosine top 10: coarse cells, exact re-rank (rows-only; recall tested against J8)."""
     tm = TicketModel(spark, sf_dir)
-    return R.vector_topk_approx(spark, query_vectors(tm), doc_vectors(tm), K).select(
-        "query_id", "doc_id", "score", "rank")
+    return R.vector_topk_approx(query_vectors(tm), doc_vectors(tm), K).select("query_id", "doc_id", "score", "rank")
 
 
 @register("j15_b10_filter_then_search", sql(
@@ -109,9 +110,9 @@ def filter_then_search(spark, sf_dir):
 
 # ---- J10-J14 -------------------------------------------------------------------------------------------
 
-def _hybrid(spark: SparkSession, sf_dir: str, k: int = K_FUSED) -> DataFrame:
+def _hybrid(spark: SparkSession, sf_dir: str, k: int = K_FUSED, index: R.TermIndex | None = None) -> DataFrame:
     tm = TicketModel(spark, sf_dir)
-    kw = R.keyword_topk(doc_postings(tm), bench_queries(tm), 2 * k)
+    kw = R.keyword_topk(index or doc_postings(tm), bench_queries(tm), 2 * k)
     vec = R.vector_topk(query_vectors(tm), doc_vectors(tm), 2 * k)
     return R.fuse_linear(kw, vec, k)
 
@@ -152,22 +153,20 @@ def rrf_documents(spark, sf_dir):
                  + CASE WHEN kb.view_count > 100 THEN 0.15e0 ELSE 0.0e0 END)
                 * (1.0e0 + 1.0e0 * least(1.0e0, greatest(0.0e0, (kb.useful_count - 50.0e0) / 450.0e0))
                          + 0.5e0 * least(1.0e0, greatest(0.0e0, (kb.view_count - 100.0e0) / 900.0e0))), 6) AS score
-        FROM b_top t JOIN (SELECT query_id, max(bm25) AS best FROM b_top GROUP BY query_id) m USING (query_id)
+        FROM b_sc t JOIN (SELECT query_id, max(bm25) AS best FROM b_sc GROUP BY query_id) m USING (query_id)
         JOIN kb ON kb.kb_article_id = t.doc_id)) WHERE rank <= 5""", "kb"))
 def kb_boosted(spark, sf_dir):
-    """J13 + J14: KB keyword candidates, signal boosts, then the magnitude scoring profile."""
+    """J13 + J14: signal boosts and the magnitude profile belong to the score of every matching article."""
     tm = TicketModel(spark, sf_dir)
     kb = tm.kb_articles()
     docs = kb.select(F.col("kb_article_id").alias("doc_id"), "title", F.col("content_text").alias("content"))
     post = R.build_index(docs, "doc_id", {"title": "title", "content": "content"})
-    kw = R.keyword_topk(post, bench_queries(tm), K, R.KB_FIELD_WEIGHTS)
-    best = kw.groupBy("query_id").agg(F.max("bm25").alias("best"))
-    sig = kb.select(F.col("kb_article_id").alias("doc_id"), "useful_count", "view_count")
-    j = kw.join(best, "query_id").join(sig, "doc_id")
-    base = F.lit(R.FUSION_KEYWORD_WEIGHT) * F.col("bm25") / F.col("best") + \
-        R.signal_boosts(useful_count=F.col("useful_count"), view_count=F.col("view_count"))
-    scored = j.withColumn("score", F.round(R.scoring_profile(base, F.col("useful_count"), F.col("view_count")), 6))
-    return R.rank_top(scored.select("query_id", "doc_id", "score"), K_FUSED).select(
+    best = R.bm25_topk(post, bench_queries(tm), 1, R.KB_FIELD_WEIGHTS) \
+        .select("query_id", (F.lit(R.FUSION_KEYWORD_WEIGHT) / F.col("bm25")).alias("scale"))
+    mul = R.scoring_profile(F.lit(1.0), F.col("useful_count"), F.col("view_count"))
+    add = mul * R.signal_boosts(useful_count=F.col("useful_count"), view_count=F.col("view_count"))
+    profile = kb.select(F.col("kb_article_id").alias("doc_id"), mul.alias("mul"), add.alias("add"))
+    return R.bm25_topk(post, bench_queries(tm).join(best, "query_id"), K_FUSED, R.KB_FIELD_WEIGHTS, profile).select(
         "query_id", "doc_id", "score", "rank")
 
 
@@ -205,18 +204,33 @@ def relevance_judgments(spark, sf_dir):
     return R.contains_judgments(bench_queries(tm), doc_texts(tm), doc_postings(tm).postings)
 
 
-@register("j24_search_quality")
+def _quality_sql(label: str, ranked: str) -> str:
+    return f"""{label}_m AS (SELECT j.query_id, count(*) AS n_relevant,
+    round(count(r.doc_id) / count(*), 6) AS {label}_recall,
+    round(COALESCE(1.0e0 / min(r.rank), 0.0e0), 6) AS {label}_mrr
+  FROM judged j LEFT JOIN (SELECT * FROM {ranked} WHERE rank <= {K_FUSED}) r USING (query_id, doc_id)
+  GROUP BY j.query_id)"""
+
+
+@register("j24_search_quality", sql(
+    f"WITH {bm25_ctes('b', D_SQL, {'content': 'text'}, Q_SQL, 2 * K_FUSED)},"
+    f"{vector_ctes('v', QV_SQL, DV_SQL, 2 * K_FUSED)},{fuse_ctes('h', 'b_top', 'v_top', K_FUSED)},\n"
+    "judged AS (SELECT b.item_id AS query_id, d.doc_id FROM benchmark b "
+    "JOIN documents d ON contains(d.text, b.text)),\n"
+    f"{_quality_sql('keyword', 'b_top')},\n{_quality_sql('hybrid', 'h_top')}\n"
+    "SELECT k.*, h.hybrid_recall, h.hybrid_mrr, h.hybrid_mrr > k.keyword_mrr AS hybrid_beats_keyword "
+    "FROM keyword_m k JOIN hybrid_m h USING (query_id)"))
 def search_quality(spark, sf_dir):
-    """Keyword vs hybrid recall@5 and MRR per judged query (rows-only)."""
+    """Keyword vs hybrid recall@5 and MRR per judged query."""
     tm = TicketModel(spark, sf_dir)
     idx = doc_postings(tm)
     judg = R.contains_judgments(bench_queries(tm), doc_texts(tm), idx.postings)
     kw = R.keyword_topk(idx, bench_queries(tm), K_FUSED)
-    hy = _hybrid(spark, sf_dir)
+    hy = _hybrid(spark, sf_dir, index=idx)
     a = R.ranking_quality(kw, judg, K_FUSED, "keyword")
     b = R.ranking_quality(hy, judg, K_FUSED, "hybrid").drop("n_relevant")
     return a.join(b, "query_id").withColumn(
-        "hybrid_beats_keyword", F.col("hybrid_mrr") >= F.col("keyword_mrr"))
+        "hybrid_beats_keyword", F.col("hybrid_mrr") > F.col("keyword_mrr"))
 
 
 @register("j25_index_health", sql("""
@@ -280,15 +294,16 @@ def incident_docs(spark, sf_dir):
     return _incident_docs(spark, sf_dir)
 
 
-ATT_DOCS_SQL = """
-SELECT 'attachment_' || asset_id AS id, asset_id AS attachment_id, file_name,
-       lower(regexp_extract(file_name, '\\.([^.]*)$', 1)) AS file_type, description,
-       CAST(incident_id AS VARCHAR) AS incident_id,
-       CASE lower(regexp_extract(file_name, '\\.([^.]*)$', 1))
+ASSET_TYPE_SQL = """CASE lower(regexp_extract(file_name, '\\.([^.]*)$', 1))
          WHEN 'png' THEN 'screenshot' WHEN 'jpg' THEN 'screenshot' WHEN 'jpeg' THEN 'screenshot'
          WHEN 'gif' THEN 'screenshot' WHEN 'log' THEN 'log' WHEN 'txt' THEN 'log' WHEN 'sql' THEN 'script'
          WHEN 'ps1' THEN 'script' WHEN 'sh' THEN 'script' WHEN 'py' THEN 'script' WHEN 'pdf' THEN 'document'
-         WHEN 'docx' THEN 'document' WHEN 'xlsx' THEN 'document' ELSE 'other' END AS attachment_type,
+         WHEN 'docx' THEN 'document' WHEN 'xlsx' THEN 'document' ELSE 'other' END"""
+ATT_DOCS_SQL = f"""
+SELECT 'attachment_' || asset_id AS id, asset_id AS attachment_id, file_name,
+       lower(regexp_extract(file_name, '\\.([^.]*)$', 1)) AS file_type, description,
+       CAST(incident_id AS VARCHAR) AS incident_id,
+       {ASSET_TYPE_SQL} AS attachment_type,
        CAST(file_size_kb AS BIGINT) * 1024 AS size_bytes, mock_url,
        'https://tickets.example.invalid/incident/' || CAST(incident_id AS VARCHAR) AS incident_url
 FROM (SELECT attachment_id AS asset_id, incident_id, file_name, description, file_size_kb, mock_url FROM att
@@ -330,42 +345,46 @@ def embed_batches(spark, sf_dir):
 
 # ---- J16-J22: uniform hits, multi-index search, knowledge search, similar incidents, assets -------------------
 
-def _multi_index(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    """Keyword top k per (query, index) over the KB, incident and attachment indexes."""
+INCIDENT_FIELDS = {f: f for f in ("incident_summary", "description", "work_notes", "resolution_notes")}
+
+
+def _multi_index(spark: SparkSession, sf_dir: str, k: int,
+                 indexes: tuple[str, ...] = ("kb", "incident", "attachment")) -> DataFrame:
+    """Keyword top k per (query, index) over the given indexes."""
     tm = TicketModel(spark, sf_dir)
-    q = bench_queries(tm)
-    kb = SD.kb_search_docs(tm.kb_articles())
-    inc = _incident_docs(spark, sf_dir)
-    att = _asset_docs(spark, sf_dir)
-    kb_hits = R.keyword_topk(R.build_index(kb.withColumnRenamed("id", "doc_id"), "doc_id",
-                                              {"title": "title", "content": "content"}),
-                             q, k, R.KB_FIELD_WEIGHTS).withColumn("index_name", F.lit("kb"))
-    inc_hits = R.keyword_topk(R.build_index(inc.withColumnRenamed("id", "doc_id"), "doc_id",
-                                               {"incident_summary": "incident_summary", "description": "description",
-                                                "work_notes": "work_notes", "resolution_notes": "resolution_notes"}),
-                              q, k, R.INCIDENT_FIELD_WEIGHTS).withColumn("index_name", F.lit("incident"))
-    att_hits = R.keyword_topk(R.build_index(att.withColumnRenamed("id", "doc_id"), "doc_id",
-                                               {"file_name": "file_name", "description": "description"}),
-                              q, k).withColumn("index_name", F.lit("attachment"))
-    return kb_hits.unionByName(inc_hits).unionByName(att_hits)
-
-
-MULTI_SQL_KB = bm25_ctes("bk", "SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, title_raw AS title, "
-                               "content_text AS content FROM kb",
-                         {"title": "title", "content": "content"}, Q_SQL, 3, R.KB_FIELD_WEIGHTS)
-MULTI_SQL_INC = bm25_ctes("bi", "SELECT id AS doc_id, incident_summary, description, work_notes, resolution_notes "
-                                "FROM idocs",
-                          {"incident_summary": "incident_summary", "description": "description",
-                           "work_notes": "work_notes", "resolution_notes": "resolution_notes"},
-                          Q_SQL, 3, R.INCIDENT_FIELD_WEIGHTS)
-MULTI_SQL_ATT = bm25_ctes("ba", "SELECT id AS doc_id, file_name, description FROM adocs",
-                          {"file_name": "file_name", "description": "description"}, Q_SQL, 3)
-MULTI_SQL = (INC_DOCS_SQL + f",\nadocs AS ({ATT_DOCS_SQL}),{MULTI_SQL_KB},{MULTI_SQL_INC},{MULTI_SQL_ATT},\n"
-             """hits AS (SELECT query_id, doc_id, score, rank, 'kb' AS index_name FROM bk_top
+    parts = {
+        "kb": lambda: (SD.kb_search_docs(tm.kb_articles()), {"title": "title", "content": "content"},
+                       R.KB_FIELD_WEIGHTS),
+        "incident": lambda: (_incident_docs(spark, sf_dir), INCIDENT_FIELDS, R.INCIDENT_FIELD_WEIGHTS),
+        "attachment": lambda: (_asset_docs(spark, sf_dir), {"file_name": "file_name", "description": "description"},
+                               None),
+    }
+    hits = []
+    for name in indexes:
+        docs, fields, weights = parts[name]()
+        index = R.build_index(docs.withColumnRenamed("id", "doc_id"), "doc_id", fields)
+        hits.append(R.keyword_topk(index, bench_queries(tm), k, weights).withColumn("index_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, hits)
+
+
+def _multi_sql(k: int) -> str:
+    """CTEs ending in hits(query_id, doc_id, score, rank, index_name): top ``k`` of each index."""
+    kb = bm25_ctes("bk", "SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, title_raw AS title, "
+                         "content_text AS content FROM kb",
+                   {"title": "title", "content": "content"}, Q_SQL, k, R.KB_FIELD_WEIGHTS)
+    inc = bm25_ctes("bi", "SELECT id AS doc_id, incident_summary, description, work_notes, resolution_notes "
+                          "FROM idocs", INCIDENT_FIELDS, Q_SQL, k, R.INCIDENT_FIELD_WEIGHTS)
+    att = bm25_ctes("ba", "SELECT id AS doc_id, file_name, description FROM adocs",
+                    {"file_name": "file_name", "description": "description"}, Q_SQL, k)
+    return (INC_DOCS_SQL + f",\nadocs AS ({ATT_DOCS_SQL}),{kb},{inc},{att},\n"
+            """hits AS (SELECT query_id, doc_id, score, rank, 'kb' AS index_name FROM bk_top
          UNION ALL SELECT query_id, doc_id, score, rank, 'incident' FROM bi_top
          UNION ALL SELECT query_id, doc_id, score, rank, 'attachment' FROM ba_top)""")
 
 
+MULTI_SQL = _multi_sql(3)
+
+
 @register("j22_multi_index_search", sql(MULTI_SQL + "\nSELECT query_id, doc_id, score, rank, index_name FROM hits",
                                         "incd", "notes", "reo", "kb", "att", "img"))
 def multi_index_search(spark, sf_dir):
@@ -433,25 +452,23 @@ def uniform_hits(spark, sf_dir):
     return format_hits(spark, sf_dir, _multi_index(spark, sf_dir, 3))
 
 
-@register("j19_search_knowledge", sql(MULTI_SQL + """
+@register("j19_search_knowledge", sql(_multi_sql(K_FUSED) + """
 SELECT query_id, doc_id, index_name, score, rank, least(1.0e0, score / 4.0e0) AS confidence FROM (
   SELECT query_id, doc_id, index_name, score,
          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS INTEGER) AS rank
   FROM hits WHERE index_name IN ('kb', 'incident')) WHERE rank <= 5""", "incd", "notes", "reo", "kb", "att", "img"))
 def search_knowledge(spark, sf_dir):
     """J19 + G5 + I21: KB and incident indexes searched, results merged by score, top 5, confidence."""
-    hits = _multi_index(spark, sf_dir, 3).where(F.col("index_name").isin("kb", "incident")).drop("rank")
-    top = R.rank_top(hits, 5, "score")
+    hits = _multi_index(spark, sf_dir, K_FUSED, ("kb", "incident")).drop("rank")
+    top = R.rank_top(hits, K_FUSED, "score")
     return top.select("query_id", "doc_id", "index_name", "score", "rank", R.confidence(F.col("score")).alias("confidence"))
 
 
 @register("j20_b12_b13_similar_incidents", sql(INC_DOCS_SQL + ",\n" + bm25_ctes(
     "bs", "SELECT id AS doc_id, incident_summary, description, work_notes, resolution_notes FROM idocs "
-          "WHERE lower(incident_state) IN ('resolved', 'closed')",
-    {"incident_summary": "incident_summary", "description": "description", "work_notes": "work_notes",
-     "resolution_notes": "resolution_notes"},
+          "WHERE lower(incident_state) IN ('resolved', 'closed')", INCIDENT_FIELDS,
     "SELECT d.doc_id AS query_id, d.text FROM documents d JOIN inc ON inc.incident_id = d.doc_id "
-    "WHERE lower(inc.state) IN ('new', 'in progress', 'on hold') AND inc.priority_rank = 1 AND inc.follow_up_required",
+    "WHERE lower(inc.state) IN ('new', 'in progress', 'on hold')",
     5, R.INCIDENT_FIELD_WEIGHTS) + """
 SELECT query_id, doc_id, score, rank FROM (
   SELECT query_id, doc_id, score,
@@ -461,46 +478,45 @@ SELECT query_id, doc_id, score, rank FROM (
 WHERE rank <= 5""",
     "incd", "notes", "reo", "inc"))
 def similar_incidents(spark, sf_dir):
-    """J20 + B12 + B13: for each open P1 follow-up ticket, the 5 most similar resolved tickets'
-    documents by its description text, excluding its own documents."""
+    """J20 + B12 + B13: for each open ticket, the 5 most similar resolved tickets' documents by its
+    description text, excluding its own documents."""
     tm = TicketModel(spark, sf_dir)
-    inc = tm.incidents_base()
-    seeds = inc.where(is_open(F.col("state")) & (F.col("priority_rank") == 1) & F.col("follow_up_required"))
+    seeds = tm.incidents_base().where(is_open(F.col("state")))
     q = doc_texts(tm).join(seeds.select(F.col("incident_id").alias("doc_id")), "doc_id") \
         .select(F.col("doc_id").alias("query_id"), "text")
     docs = _incident_docs(spark, sf_dir).where(F.lower("incident_state").isin("resolved", "closed"))
-    post = R.build_index(docs.withColumnRenamed("id", "doc_id"), "doc_id",
-                            {"incident_summary": "incident_summary", "description": "description",
-                             "work_notes": "work_notes", "resolution_notes": "resolution_notes"})
-    s = R.bm25_scores(post, q, R.INCIDENT_FIELD_WEIGHTS).withColumn("score", F.round("bm25", 6))
-    own = F.concat(F.lit("incident_"), F.format_string("INC%07d", F.col("query_id")), F.lit("_"))
-    s = s.where(~F.col("doc_id").startswith(own))
-    return R.rank_top(s, 5).select("query_id", "doc_id", "score", "rank")
+    docs = docs.withColumnRenamed("id", "doc_id")
+    owner = F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1).cast("long")
+    profile = docs.select("doc_id", owner.alias("owner"))
+    return R.bm25_topk(R.build_index(docs, "doc_id", INCIDENT_FIELDS), q, 5, R.INCIDENT_FIELD_WEIGHTS, profile) \
+        .select("query_id", "doc_id", "score", "rank")
 
 
-@register("j21_attachment_lookup", sql("""
+@register("j21_attachment_lookup", sql(f"""
 WITH req AS (SELECT incident_id AS request_id, incident_id AS ticket_id FROM inc
-             WHERE lower(state) IN ('new', 'in progress', 'on hold') AND priority_rank = 1 AND follow_up_required),
+             WHERE lower(state) IN ('new', 'in progress', 'on hold')),
 scope AS (SELECT request_id, ticket_id AS scope_ticket, true AS direct FROM req
           UNION ALL SELECT request_id, ticket_id - 1, false FROM req
           UNION ALL SELECT request_id, ticket_id + 1, false FROM req),
 assets AS (SELECT attachment_id AS asset_id, incident_id, file_name, description, mock_url FROM att
            UNION ALL SELECT image_id, incident_id, file_name, description, mock_url FROM img),
-hits AS (SELECT s.request_id, a.asset_id, a.incident_id AS related_ticket_id, a.file_name AS title,
-                a.description AS summary, a.mock_url AS url, s.direct
+hits AS (SELECT s.request_id, a.asset_id, {ASSET_TYPE_SQL} AS asset_type, a.incident_id AS related_ticket_id,
+                a.file_name AS title, a.description AS summary, a.mock_url AS url, s.direct
          FROM scope s JOIN assets a ON a.incident_id = s.scope_ticket),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY related_ticket_id, asset_id)
-                          AS INTEGER) AS rank FROM hits),
+ranked AS (SELECT * FROM (
+             SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY related_ticket_id, asset_id)
+                            AS INTEGER) AS rank FROM hits) WHERE rank <= 10),
 conf AS (SELECT request_id, CASE WHEN bool_or(direct) THEN 1.0e0 ELSE 0.6e0 END AS confidence
-         FROM hits GROUP BY request_id)
-SELECT r.request_id, r.asset_id, r.related_ticket_id, r.title, r.summary, r.url, r.rank, c.confidence
-FROM ranked r JOIN conf c USING (request_id) WHERE r.rank <= 10""", "inc", "att", "img"))
+         FROM ranked GROUP BY request_id)
+SELECT q.request_id, r.asset_id, r.asset_type, r.related_ticket_id, r.title, r.summary, r.url, r.rank,
+       COALESCE(c.confidence, 0.0e0) AS confidence
+FROM req q LEFT JOIN conf c USING (request_id) LEFT JOIN ranked r USING (request_id)""", "inc", "att", "img"))
 def attachment_lookup(spark, sf_dir):
-    """Assets of a ticket and its related tickets (scope), match-all keywords, ordered by
-    ticket, top 10 per request; confidence 1.0 with a direct match, 0.6 with related only."""
+    """Assets of every open ticket and its related tickets, match-all keywords, ordered by
+    ticket, top 10 per request; confidence 1.0 with a direct match, 0.6 with related only, 0 with none."""
     tm = TicketModel(spark, sf_dir)
     inc = tm.incidents_base()
-    req = inc.where(is_open(F.col("state")) & (F.col("priority_rank") == 1) & F.col("follow_up_required")) \
+    req = inc.where(is_open(F.col("state"))) \
         .select(F.col("incident_id").alias("request_id"), F.col("incident_id").alias("ticket_id"),
                 F.array(F.col("incident_id") - 1, F.col("incident_id") + 1).alias("related_ticket_ids"))
     assets = tm.attachments().select(F.col("attachment_id").alias("asset_id"), "incident_id", "file_name",

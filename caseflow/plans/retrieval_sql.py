@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-TOK = "regexp_extract_all(lower({x}), '[a-z0-9]+')"
+TOK = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
 
 
 def bm25_ctes(p: str, docs_sql: str, fields: dict[str, str], queries_sql: str, k: int,
