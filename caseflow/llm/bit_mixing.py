@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from caseflow.llm.common import mix64, words, write_once
 
 ORDERS = 6
-BITS = 21
+BITS = 20
 #: Bytes of text that are handled together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 #: n-grams of one step of the weights, and the rate of a step.
 STEP, RATE = 1024, 0.5
 APM_CELLS = 33
@@ -126,7 +126,7 @@ class Model:
     """Counts of both bits per slot, mixing weights by gate, and the refining table."""
 
     bits: int
-    counts: np.ndarray  # 2 x slots
+    counts: np.ndarray  # 2 x slots, log(1 + count) in half precision: the model is copied to every worker
     weights: np.ndarray = field(default_factory=lambda: np.full((8, ORDERS + 1, ORDERS), 0.3))
     apm: np.ndarray = field(default_factory=lambda: np.tile(
         1 / (1 + np.exp(-(np.arange(APM_CELLS) - APM_CELLS // 2) / 2.0)), (256, 1)))
@@ -135,11 +135,11 @@ class Model:
         """(log-odds of the orders, gate, bit) of bit ``k``; ``own`` occurrences of the bit itself don't count."""
         at = slots(key, k, self.bits)
         bit = (key >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
-        n0, n1 = self.counts[0][at], self.counts[1][at]
+        n0, n1 = (np.expm1(c[at].astype(np.float32)) for c in self.counts)
         if own:
             n0 = np.maximum(n0 - own * (1 - bit), 0)
             n1 = np.maximum(n1 - own * bit, 0)
-        gate = ((n0 + n1) > 0).sum(axis=0)
+        gate = (n0 + n1 > 0.5).sum(axis=0)
         return np.log((n1 + 0.4) / (n0 + 0.4)), gate, bit
 
     def mixed(self, odds: np.ndarray, gate: np.ndarray, k: int) -> np.ndarray:
@@ -326,7 +326,7 @@ def _base_rows(merged: DataFrame) -> DataFrame:
 
 
 def _count_tables(grams: DataFrame, bits: int) -> np.ndarray:
-    """Both bits' counts per slot: summed by ranges of slots, so a bounded table reaches the driver."""
+    """Logarithms of both bits' counts per slot: summed by ranges of slots, so a bounded table reaches the driver."""
     span = 1 << 16
     total = sum(table_sizes(bits))
 
@@ -357,7 +357,7 @@ def _count_tables(grams: DataFrame, bits: int) -> np.ndarray:
     out = np.zeros((-(-total // span), 2 * span), np.float32)
     for r in parts:
         out[r.range] = np.frombuffer(r.n, "<f4")
-    return np.ascontiguousarray(out.reshape(-1, 2).T)
+    return np.ascontiguousarray(np.log1p(out.reshape(-1, 2).T).astype(np.float16))
 
 
 def fit(grams: DataFrame, bits: int = BITS) -> Model:
@@ -391,7 +391,7 @@ def fit(grams: DataFrame, bits: int = BITS) -> Model:
     refined = sorted(r.c for r in grams.select("a", "b").mapInArrow(refine, "c binary").collect())
     counts = sum((np.frombuffer(c).reshape(2, 256, APM_CELLS) for c in refined), np.zeros((2, 256, APM_CELLS)))
     model.apm = (counts[0] + 16 * model.apm) / (counts[1] + 16)
-    shared.unpersist()
+    shared.destroy()
     return model
 
 

@@ -102,7 +102,7 @@ def test_no_documents_and_no_training(nothing, spark):
 def test_bit_probabilities_sum_to_one():
     """Over the 256 values of a byte in a context the model is a distribution."""
     bits, rng = 12, np.random.default_rng(0)
-    model = bm.Model(bits, rng.integers(0, 20, (2, sum(bm.table_sizes(bits)))).astype(np.float32))
+    model = bm.Model(bits, np.log1p(rng.integers(0, 20, (2, sum(bm.table_sizes(bits))))).astype(np.float16))
     for context in (0, 0x6162636465, 0x2074686520):
         key = np.uint64(context) << np.uint64(8) | np.arange(256, dtype=np.uint64)
         assert (10 ** model.log10(key)).sum() == pytest.approx(1)
