@@ -1,11 +1,9 @@
-"""Raw landing layer (A1-A5, A10, A13, A15) and the nested JSON fixture.
+"""Raw landing layer.
 
 Landed data are JSON documents: page envelopes (F1) for list endpoints and one
 detail document (F3) per incident.  Landing is re-aimed from a serial driver
 loop to Spark jobs:
 
-* ``render_incident_details`` builds the nested detail documents from the
-  driver's tables with grouped aggregations (C7) - our fixture source;
 * ``land_paged_collection`` fetches pages in parallel with ``mapInPandas`` and a
   pluggable fetcher: page 1 of each dataset first (it reports total_pages),
   then pages 2..n fan out across tasks;
@@ -22,13 +20,13 @@ import uuid
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow import schemas
-from caseflow.functions.columns import iso_z
-from caseflow.sources.domain import INCIDENT_URL_PREFIX, TicketModel
+from caseflow.sources.domain import INCIDENT_URL_PREFIX
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
@@ -37,105 +35,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "caseflow-work", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-# ---- fixture: nested detail documents from the driver's tables ------------------------------
-
-def _user(id_col, name_col, email_col, title: str, loc=None, dept=None):
-    return F.struct(id_col.alias("id"), name_col.alias("full_name"), email_col.alias("email"),
-                    F.lit(title).alias("title"),
-                    (loc if loc is not None else F.lit(None).cast("string")).alias("location"),
-                    (dept if dept is not None else F.lit(None).cast("string")).alias("department"))
-
-
-def render_incident_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One F3 detail document per incident, children as ordered arrays (C7 batched)."""
-    from caseflow.operators.listing import nest_children
-    tm = TicketModel(spark, sf_dir)
-    users = tm.users().select("user_id", "full_name", "email")
-    inc = tm.incidents().join(tm.assignees(), "incident_id", "left")
-    req = users.select(F.col("user_id").alias("_rid"), F.col("full_name").alias("_rname"),
-                       F.col("email").alias("_remail"))
-    agt = users.select(F.col("user_id").alias("_aid"), F.col("full_name").alias("_aname"),
-                       F.col("email").alias("_aemail"))
-    inc = inc.withColumn("_rid", F.concat(F.lit("C"), F.col("requester_id").cast("string"))) \
-        .withColumn("_aid", F.concat(F.lit("S"), F.col("assignee_id").cast("string"))) \
-        .join(req, "_rid", "left").join(agt, "_aid", "left") \
-        .join(tm.incident_texts(), "incident_id", "left")
-    base = inc.select(
-        "incident_id",
-        F.col("incident_id").cast("string").alias("id"), "number", "short_description", "state",
-        "priority", "impact", F.col("impact").alias("urgency"),
-        iso_z(F.col("opened_at")).alias("opened_at"), iso_z(F.col("updated_at")).alias("updated_at"),
-        iso_z(F.col("resolved_at")).alias("resolved_at"), "follow_up_required", "follow_up_reason",
-        _user(F.col("_rid"), F.col("_rname"), F.col("_remail"), "Requester",
-              F.col("assignment_group_name"), F.col("category_name")).alias("requester"),
-        F.when(F.col("assignee_id").isNotNull(),
-               _user(F.col("_aid"), F.col("_aname"), F.col("_aemail"), "Agent")).alias("assignee"),
-        F.struct(F.col("assignment_group_id").cast("string").alias("id"),
-                 F.col("assignment_group_name").alias("name"),
-                 F.concat(F.lit("Support group for "), F.col("assignment_group_name")).alias("description"),
-                 F.concat(F.lower("assignment_group_name"), F.lit("-escalation@example.invalid"))
-                  .alias("escalation_email")).alias("assignment_group"),
-        F.struct(F.col("category_id").alias("id"), F.col("category_name").alias("name"),
-                 F.col("category_subcategory").alias("subcategory")).alias("category"),
-        F.lit(None).cast("string").alias("description_html"), "description_text",
-        "resolution_summary_html", "resolution_summary_text",
-    )
-    kb = tm.kb_articles()
-    kb_items = tm.incident_kb_links().join(kb, "kb_article_id").select(
-        "incident_id", F.col("kb_article_number").alias("number"),
-        F.col("kb_article_id").cast("string").alias("id"), "title",
-        F.struct(F.col("category_id").alias("id"), F.col("category_name").alias("name"),
-                 F.col("category_subcategory").alias("subcategory")).alias("category"),
-        "audience", "content_html", "content_text", "keywords",
-        F.lit(None).cast("string").alias("published_at"), F.lit(None).cast("string").alias("updated_at"),
-        F.lit("Part used on the order").alias("relevance_reason"))
-    notes = tm.notes().join(users.withColumnRenamed("user_id", "author_user_id"), "author_user_id", "left")
-    note_items = notes.select(
-        "incident_id", "is_resolution", iso_z(F.col("created_at")).alias("created_at"),
-        F.col("note_id").alias("id"),
-        F.struct(F.col("author_user_id").alias("id"), F.col("full_name"), F.col("email"),
-                 F.col("role").alias("title"), F.lit(None).cast("string").alias("location"),
-                 F.lit(None).cast("string").alias("department")).alias("author"),
-        F.lit(None).cast("string").alias("note_html"), F.col("note_text"))
-    chg_items = tm.incident_changes().join(tm.change_requests(), "change_request_id").select(
-        "incident_id", "number", F.col("change_request_id").cast("string").alias("id"), "title", "state",
-        "risk", *[F.lit(None).cast("string").alias(c) for c in ("planned_start", "planned_end",
-                                                               "implemented_at")],
-        "relationship_type")
-    sla_items = tm.slas().select("incident_id", F.col("sla_id").alias("id"), "name", "stage",
-                                 "target_hours", "elapsed_hours", "breached")
-
-    def asset_items(df: DataFrame, id_col: str) -> DataFrame:
-        cols = df.columns
-        return df.select(
-            "incident_id", "file_name", F.col(id_col).alias("id"),
-            F.col("incident_id").cast("string").alias("incident_id_s"), "incident_number", "content_type",
-            "description", "mock_url", F.lit(None).cast("string").alias("uploaded_at"),
-            (F.col("file_size_kb") if "file_size_kb" in cols else F.lit(None).cast("int")).alias("file_size_kb"),
-            (F.col("width_px") if "width_px" in cols else F.lit(None).cast("int")).alias("width_px"),
-            (F.col("height_px") if "height_px" in cols else F.lit(None).cast("int")).alias("height_px"))
-
-    refs = tm.raw("pages").select(
-        F.col("page_id").alias("incident_id"),
-        F.concat(F.lit("REF"), F.col("page_id").cast("string")).alias("id"),
-        F.lit("web_page").alias("reference_type"),
-        F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("title"), "url",
-        F.lit("web").alias("source_system"))
-    detail = nest_children(base, "incident_id", {
-        "related_kb_articles": (kb_items, "number"),
-        "work_notes": (note_items.where(~F.col("is_resolution")).drop("is_resolution"), "created_at"),
-        "resolution_notes": (note_items.where(F.col("is_resolution")).drop("is_resolution"), "created_at"),
-        "change_requests": (chg_items, "number"),
-        "slas": (sla_items, "id"),
-        "attachments": (asset_items(tm.attachments(), "attachment_id"), "file_name"),
-        "images": (asset_items(tm.images(), "image_id"), "file_name"),
-        "external_references": (refs, "id"),
-    })
-    detail = detail.withColumn("documents", F.array().cast(T.ArrayType(schemas.ASSET)))
-    # Re-shape every array element to the declared element struct (field order by name).
-    return conform(detail.drop("incident_id"), schemas.INCIDENT_DETAIL)
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Round-trip through JSON text so the frame takes ``schema`` exactly (names, nesting)."""
     return df.select(F.from_json(F.to_json(F.struct(*df.columns)), schema).alias("d")).select("d.*")
@@ -171,7 +70,7 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
             yield pd.DataFrame(rows, columns=["dataset", "page", "payload"])
 
     from caseflow.session import materialize
-    # fetched pages are materialised (checkpoint) so no page is ever fetched twice
+    # page 1 and the rest are each materialised before anything reads them twice: one fetch per page
     first = materialize(spark.createDataFrame([(d, 1) for d in datasets], "dataset string, page int")
                         .mapInPandas(fetch_batches, out_schema))
     totals = first.select("dataset", F.get_json_object("payload", "$.pagination.total_pages")
@@ -179,6 +78,7 @@ def land_paged_collection(spark: SparkSession, datasets: list[str], fetch: Fetch
     rest = totals.where(F.col("total_pages") > 1).select(
         "dataset", F.explode(F.sequence(F.lit(2), F.col("total_pages"))).alias("page")) \
         .repartition("dataset", "page").mapInPandas(fetch_batches, out_schema)
+    rest = materialize(rest)  # two readers follow: the item counts and the first empty page
     pages = first.unionByName(rest).withColumn(
         "item_count", F.coalesce(F.json_array_length(F.get_json_object("payload", "$.items")), F.lit(0)))
     # An empty page ends the walk: drop it and everything after it.
@@ -204,23 +104,27 @@ def land_details(details: DataFrame, root: str, dataset: str, load_date: str) ->
 
 def land_list_pages(items: DataFrame, root: str, dataset: str, load_date: str, key_col: str,
                     page_size: int = 50) -> str:
-    """Group list items into page envelopes of ``page_size`` by a numeric key and land them.
+    """Cut list items, in key order, into full page envelopes of ``page_size`` and land them.
 
-    page = key div page_size + 1 (bounded groups; no global ordering, so no
-    single-task window).  total_items / total_pages come from one aggregate.
+    Items are dealt by ranges of the key; a row's number is the number of rows
+    in the ranges before plus its place in its range, so no task sorts or
+    numbers all items.  Keys of any type, with gaps or ties.
     """
+    from caseflow.session import materialize
     path = os.path.join(root, dataset, "list")
-    paged = items.withColumn("_page", (F.col(key_col).cast("bigint") / page_size).cast("bigint") + 1)
-    # two scalars from one distributed aggregate
-    tot = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key_col).cast("bigint")).alias("mx")).first()
-    total_items, total_pages = int(tot["n"]), (int(tot["mx"]) // page_size + 1 if tot["mx"] is not None else 0)
-    env = paged.groupBy("_page").agg(
-        F.collect_list(F.struct(*[F.col(c) for c in items.columns])).alias("items"))
+    dealt = materialize(items.select(F.struct(*items.columns).alias("item"), F.col(key_col).alias("_key"))
+                        .repartitionByRange("_key").withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n"))
+    total = int(sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_key")) - 1 + F.col("_before")
+    env = dealt.join(before, "_part").withColumn("_page", F.floor(place / page_size).cast("int") + 1) \
+        .groupBy("_page").agg(F.collect_list("item").alias("items"))
     env = env.select(
-        F.struct(F.col("_page").cast("int").alias("page"), F.lit(page_size).alias("page_size"),
-                 F.lit(total_items).alias("total_items"), F.lit(total_pages).alias("total_pages"))
+        F.struct(F.col("_page").alias("page"), F.lit(page_size).alias("page_size"),
+                 F.lit(total).alias("total_items"), F.lit(-(-total // page_size)).alias("total_pages"))
         .alias("pagination"),
-        "items", F.col("_page").cast("int").alias("page_number"))
+        "items", F.col("_page").alias("page_number"))
     env.withColumn("load_date", F.lit(load_date)).write.mode("append").partitionBy("load_date").json(path)
     return path
 
@@ -304,6 +208,6 @@ def incident_url(id_col) -> F.Column:
     return F.concat(F.lit(INCIDENT_URL_PREFIX), id_col)
 
 
-__all__ = ["render_incident_details", "land_details", "land_list_pages", "read_landed_json",
+__all__ = ["conform", "land_details", "land_list_pages", "read_landed_json",
            "landed_files", "manifest_for_pages", "manifest_for_details", "append_manifest",
            "field_inventory", "endpoint_summary", "json_rows_to_df", "land_paged_collection", "work_dir"]
