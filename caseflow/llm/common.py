@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """``mapInArrow`` under a shorter name."""
-    return df.mapInArrow(fn, schema)
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, to bound what a task makes of one batch."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
 
 
 def run_folder(spark: SparkSession, kind: str) -> str:
@@ -60,29 +60,9 @@ def write_once(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def put_file(uri: str, data: bytes) -> None:
-    """Write one file of a task; a rerun of the task replaces it as a whole.
-
-    The bytes go to a name of their own first and are then moved into place,
-    so that no reader sees half a file and two attempts don't mix.
-    """
-    fs, path = pafs.FileSystem.from_uri(uri)
-    fs.create_dir(os.path.dirname(path), recursive=True)
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    with fs.open_output_stream(part, compression=None) as out:
-        out.write(data)
-    fs.move(part, path)
-
-
 def read_range(uri: str, start: int = 0, length: int | None = None) -> bytes:
     """Bytes of a file from ``start``; all that follow where ``length`` is None."""
     fs, path = pafs.FileSystem.from_uri(uri)
     with fs.open_input_file(path) as src:
         src.seek(start)
         return src.read() if length is None else src.read(length)
-
-
-def as_batch(columns: dict[str, tuple[Iterable, pa.DataType]]) -> pa.RecordBatch:
-    """A record batch of named columns, each given as (values, type)."""
-    return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in columns.values()],
-                                      names=list(columns))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import mix64, words, write_once
+from caseflow.llm.common import mix64, sliced, words, write_once
 
 N = 5
 THRESHOLD = 0.8
@@ -71,7 +71,7 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, member, n_grams, bands) of each row; member is the 128-bit digest of the n-gram set, null if empty."""
     def sketch(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
+        for b in sliced(batches):
             member, size, hashes = [], [], []
             for t in b.column(1).to_pylist():
                 g = gram_set(t, n)
@@ -160,7 +160,7 @@ def _verify(tasks: DataFrame, threshold: float) -> DataFrame:
     """(member, other, links, copies): links of a member in one task, or one edge of the task's forest."""
     def verify(batches: Iterator[pa.RecordBatch]):
         held: list[dict] = []
-        for b in batches:
+        for b in sliced(batches):
             for r in b.to_pylist():
                 if held and r["task"] != held[0]["task"]:
                     if (out := result(held)) is not None:
@@ -257,7 +257,7 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     work = members.join(mine, "member").select("rep", "member", "copies", "buckets")
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
+        for b in sliced(batches):
             out = {c: [] for c in ("member", "grams", "kept", "copies", "bucket", "blocks", "band")}
             for r in b.to_pylist():
                 g = gram_set(r["text"], n)
