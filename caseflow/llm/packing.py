@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.llm import tokens
+from caseflow.llm.common import sliced
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -78,7 +79,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
 
     def cut(batches: Iterator[pa.RecordBatch]):
         enc = tokens.encoder(tokenizer)
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for key, ids in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
                 ids += end

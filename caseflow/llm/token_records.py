@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.llm import tokens
-from caseflow.llm.common import read_range, run_folder, write_once
+from caseflow.llm.common import read_range, run_folder, sliced, write_once
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -93,7 +93,7 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
         fs, path = pafs.FileSystem.from_uri(folder)
         name, mark = f"{path}/shard-{shard:06d}", uuid.uuid4().hex
         out, offsets, at, total = None, [], 0, 0
-        for b in batches:
+        for b in sliced(batches):
             if out is None and b.num_rows:
                 fs.create_dir(path, recursive=True)
                 out = fs.open_output_stream(f"{name}.rec.{mark}", compression=None)

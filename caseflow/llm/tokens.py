@@ -12,8 +12,9 @@ import os
 import re
 from array import array
 
-#: Units one worker remembers; when it has more, it starts anew.
-REMEMBERED = 1_000_000
+#: Units one worker remembers in each of two generations: when the young one is
+#: full it becomes the old one, and units found there move on to the next.
+REMEMBERED = 250_000
 #: Texts cut into units at a time.
 TEXTS = 500
 _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
@@ -35,6 +36,7 @@ class Encoder:
         self.lib = Tokenizer.from_file(tokenizer_file(name))
         self.lib.encode_special_tokens = True
         self.known: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         self.remembered = remembered
 
     def _ask(self, texts: list[str]) -> list[bytes]:
@@ -45,16 +47,19 @@ class Encoder:
         return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode(texts[i:i + TEXTS])]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
+        if len(self.known) > self.remembered:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
         # the first unit has no blank before it: "\0" marks it; a text that holds "\0" is asked for whole
         cut = []
         for t in texts:
             parts = t.split(" ") if "\0" not in t else [""]
             parts[0] = "\0" + parts[0] if parts[0] or "\0" not in t else ""
             cut.append(parts)
-        new = list(set().union(*cut).difference(known))
+        new = set().union(*cut).difference(known)
+        kept = new.intersection(old)
+        known.update(zip(kept, map(old.__getitem__, kept)))
+        new -= kept
         plain = [u for u in new if len(u) > 1 and not _ODD.search(u) or u == "\0"]
         known.update(dict.fromkeys(new))
         # letters and a final point or comma are two pieces: only the letters may need asking
