@@ -23,26 +23,11 @@ def hash_key(*parts: Column, sep: str = "|") -> Column:
     return F.sha2(F.concat_ws(sep, *parts), 256)
 
 
-def prefixed_id(prefix: str, key: Column) -> Column:
-    """``prefix + key``; null when the key is null."""
-    return F.concat(F.lit(prefix), key.cast("string"))
-
-
 def label(name: Column, *fallbacks: Column) -> Column:
     """First non-null of name and fallbacks."""
     return F.coalesce(name, *fallbacks)
 
 
-def path_label(a: Column, b: Column, sep: str = " / ") -> Column:
-    """``a / b`` path (null parts skipped)."""
-    return F.concat_ws(sep, a, b)
-
-
-def title_case(c: Column) -> Column:
-    """Title case."""
-    return F.initcap(c)
-
-
 def normalize_pattern(text: Column, strip_prefix: str | None = None) -> Column:
     """I16: resolution-pattern label.
 
@@ -80,16 +65,6 @@ def truncate(text: Column, n: int) -> Column:
     return F.substring(text, 1, n)
 
 
-def link_url(base: str, key: Column) -> Column:
-    """Base URL + id."""
-    return F.concat(F.lit(base), key.cast("string"))
-
-
-def score_round(score: Column, digits: int = 4) -> Column:
-    """Round a score to 4 digits."""
-    return F.round(score, digits)
-
-
 def confidence(score: Column, scale: float = 4.0) -> Column:
     """min(1, score / 4)."""
     return F.least(F.lit(1.0), score / F.lit(scale))
@@ -105,11 +80,6 @@ def try_cast(c: Column, dtype: str) -> Column:
     return c.try_cast(dtype)
 
 
-def join_keywords(arr: Column, sep: str = ", ") -> Column:
-    """Array -> "a, b"."""
-    return F.array_join(arr, sep)
-
-
 def split_keywords(text: Column) -> Column:
     """Split on comma, trim, drop empty."""
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")

@@ -71,13 +71,21 @@ def resolution_patterns(resolution_notes: DataFrame, strip_prefix: str | None =
     return labelled, counts
 
 
+def service_nodes(g: dict[str, DataFrame]) -> DataFrame:
+    """K1: a business service for each pair of group and category that incidents have."""
+    services = g["incidents"].select("assignment_group_id", "category_id").distinct() \
+        .join(g["groups"].select("assignment_group_id", F.col("name").alias("group_name")),
+              "assignment_group_id", "left") \
+        .join(g["categories"].select("category_id", F.col("name").alias("category_name")).distinct(),
+              "category_id", "left")
+    return _node(services, "BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")),
+                 F.concat_ws(" / ", F.col("group_name"), F.col("category_name")),
+                 F.lit("assignment group x category").alias("derivation"))
+
+
 def build_nodes(g: dict[str, DataFrame], strip_prefix: str | None = None) -> DataFrame:
     """K1 + K2 + K4: all node types, one row per node_id."""
     inc = g["incidents"]
-    services = inc.select("assignment_group_id", "category_id").distinct() \
-        .join(g["groups"].select("assignment_group_id", F.col("name").alias("group_name")),
-              "assignment_group_id", "left") \
-        .join(g["categories"].select("category_id", F.col("name").alias("category_name")), "category_id", "left")
     images = g.get("images")
     if images is None:  # K2: fall back to image-typed attachments
         images = g["attachments"].where(F.col("content_type").startswith("image/")) \
@@ -93,9 +101,7 @@ def build_nodes(g: dict[str, DataFrame], strip_prefix: str | None = None) -> Dat
         _node(g["groups"], "AssignmentGroup", F.col("assignment_group_id"), F.col("name")),
         _node(g["categories"], "Category", F.col("category_id"),
               F.concat_ws(" / ", F.col("name"), F.col("subcategory"))),
-        _node(services, "BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")),
-              F.concat_ws(" / ", F.col("group_name"), F.col("category_name")),
-              F.lit("assignment group x category").alias("derivation")),
+        service_nodes(g),
         _node(g["kb"], "KnowledgeArticle", F.col("kb_article_id"), F.col("title"), F.col("category_id")),
         _node(g["attachments"], "Attachment", F.col("attachment_id"), F.col("file_name"), F.col("content_type")),
         _node(images, "Image", F.col("image_id"), F.col("file_name")),
@@ -109,48 +115,55 @@ def build_nodes(g: dict[str, DataFrame], strip_prefix: str | None = None) -> Dat
 
 
 def build_edges(g: dict[str, DataFrame], strip_prefix: str | None = None, extra: bool = True,
-                dedupe: bool = True) -> DataFrame:
-    """K5 + K6 + K7: all edge types, hashed ids, one row per edge_id.
+                dedupe: bool = True, only: set[str] | None = None) -> DataFrame:
+    """K5 + K6 + K7: edges with hashed ids, one row per edge_id.
 
-    ``dedupe=False`` skips the global de-duplication (and, when ``edge_id`` is
-    not selected, the hashing) for traversals that only need the endpoints.
+    ``only`` names the relationship types wanted; the sources of the others
+    aren't read.  ``dedupe=False`` skips the global de-duplication (and, when
+    ``edge_id`` is not selected, the hashing) for traversals that only need
+    the endpoints.
     """
-    inc = g["incidents"]
-    images = g.get("images")
-    if images is None:
-        images = g["attachments"].where(F.col("content_type").startswith("image/")) \
+    inc, docs, i = g["incidents"], g["documents"], F.col("incident_id")
+
+    def images() -> DataFrame:
+        if g.get("images") is not None:
+            return g["images"]
+        return g["attachments"].where(F.col("content_type").startswith("image/")) \
             .withColumnRenamed("attachment_id", "image_id")
-    labelled, _ = resolution_patterns(g["resolution_notes"], strip_prefix)
-    docs = g["documents"]
-    i = F.col("incident_id")
-    parts = [
-        _edge(inc, "OPENED_BY", nid("Incident", i), nid("User", F.col("requester_id"))),
-        _edge(inc, "ASSIGNED_TO_USER", nid("Incident", i), nid("User", F.col("assignee_id"))),
-        _edge(inc, "ASSIGNED_TO_GROUP", nid("Incident", i), nid("AssignmentGroup", F.col("assignment_group_id"))),
-        _edge(inc, "BELONGS_TO_CATEGORY", nid("Incident", i), nid("Category", F.col("category_id"))),
-        _edge(inc.where(F.col("assignment_group_id").isNotNull() & F.col("category_id").isNotNull()),
-              "IMPACTS_SERVICE", nid("Incident", i),
-              nid("BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")))),
-        _edge(g["incident_kb_links"], "REFERENCES_KB", nid("Incident", i), nid("KnowledgeArticle", F.col("kb_article_id"))),
-        _edge(g["attachments"], "HAS_ATTACHMENT", nid("Incident", i), nid("Attachment", F.col("attachment_id"))),
-        _edge(images, "HAS_IMAGE", nid("Incident", i), nid("Image", F.col("image_id"))),
-        _edge(docs.where(F.col("incident_id").isNotNull()), "HAS_DOCUMENT", nid("Incident", i),
-              nid("Document", F.col("retrieval_document_id"))),
-        _edge(docs.where(F.col("kb_article_id").isNotNull()), "BACKED_BY_DOCUMENT",
-              nid("KnowledgeArticle", F.col("kb_article_id")), nid("Document", F.col("retrieval_document_id"))),
-        _edge(labelled, "RESOLVED_BY_PATTERN", nid("Incident", i), nid("ResolutionPattern", F.col("resolution_pattern_id"))),
-        _edge(g["incident_changes"], "RELATES_TO_CHANGE", nid("Incident", i),
-              nid("ChangeRequest", F.col("change_request_id")), F.col("relationship_type")),
-    ]
+
+    served = inc.where(F.col("assignment_group_id").isNotNull() & F.col("category_id").isNotNull())
+    service = nid("BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")))
+    incident, article = nid("Incident", i), nid("KnowledgeArticle", F.col("kb_article_id"))
+    document = nid("Document", F.col("retrieval_document_id"))
+    # relationship -> (source rows, source node, target node, properties)
+    sources = {
+        "OPENED_BY": lambda: (inc, incident, nid("User", F.col("requester_id"))),
+        "ASSIGNED_TO_USER": lambda: (inc, incident, nid("User", F.col("assignee_id"))),
+        "ASSIGNED_TO_GROUP": lambda: (inc, incident, nid("AssignmentGroup", F.col("assignment_group_id"))),
+        "BELONGS_TO_CATEGORY": lambda: (inc, incident, nid("Category", F.col("category_id"))),
+        "IMPACTS_SERVICE": lambda: (served, incident, service),
+        "REFERENCES_KB": lambda: (g["incident_kb_links"], incident, article),
+        "HAS_ATTACHMENT": lambda: (g["attachments"], incident, nid("Attachment", F.col("attachment_id"))),
+        "HAS_IMAGE": lambda: (images(), incident, nid("Image", F.col("image_id"))),
+        "HAS_DOCUMENT": lambda: (docs.where(i.isNotNull()), incident, document),
+        "BACKED_BY_DOCUMENT": lambda: (docs.where(F.col("kb_article_id").isNotNull()), article, document),
+        "RESOLVED_BY_PATTERN": lambda: (resolution_patterns(g["resolution_notes"], strip_prefix)[0], incident,
+                                        nid("ResolutionPattern", F.col("resolution_pattern_id"))),
+        "RELATES_TO_CHANGE": lambda: (g["incident_changes"], incident,
+                                      nid("ChangeRequest", F.col("change_request_id")), F.col("relationship_type")),
+    }
     if extra:
-        parts += [
-            _edge(g["kb"].where(F.col("category_id").isNotNull()), "KB_APPLIES_TO_CATEGORY",
-                  nid("KnowledgeArticle", F.col("kb_article_id")), nid("Category", F.col("category_id"))),
-            _edge(inc.where(F.col("assignment_group_id").isNotNull() & F.col("category_id").isNotNull())
-                  .select("assignment_group_id", "category_id").distinct(), "GROUP_SUPPORTS_SERVICE",
-                  nid("AssignmentGroup", F.col("assignment_group_id")),
-                  nid("BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")))),
-        ]
+        sources |= {
+            "KB_APPLIES_TO_CATEGORY": lambda: (g["kb"].where(F.col("category_id").isNotNull()), article,
+                                               nid("Category", F.col("category_id"))),
+            "GROUP_SUPPORTS_SERVICE": lambda: (served.select("assignment_group_id", "category_id").distinct(),
+                                               nid("AssignmentGroup", F.col("assignment_group_id")), service),
+        }
+    parts = []
+    for name, source in sources.items():
+        if only is None or name in only:
+            rows, *ends = source()
+            parts.append(_edge(rows, name, *ends))
     out = reduce(DataFrame.unionByName, parts)
     return (out.dropDuplicates(["edge_id"]) if dedupe else out).select(*EDGE_COLUMNS)
 
@@ -233,20 +246,21 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
           directed: bool = False) -> DataFrame:
     """Nodes within ``hops`` hops of the seeds, with their hop distance.
 
-    Each round joins the frontier with the edges, removes visited nodes with an
-    anti join, and checkpoints the visited set (reliable checkpoint in the
-    session's shared checkpoint dir) so lineage stays one round deep and a lost
-    executor recomputes at most one round.
+    Edges are materialised once as they are; a round joins the frontier with
+    their sources and (undirected) with their targets, two equi-joins, so the
+    edge set is neither doubled nor made distinct.  The visited set is
+    checkpointed each round (shared checkpoint dir), so lineage stays one
+    round deep and a lost executor recomputes at most one round.
     """
     from caseflow.session import materialize
-    adj = edges.select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst"))
-    if not directed:
-        adj = adj.unionByName(adj.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    adj = materialize(adj.distinct())  # built once, read by every round
+    adj = materialize(edges.select("source_node_id", "target_node_id"))
+    steps = [("source_node_id", "target_node_id")] + ([] if directed else [("target_node_id", "source_node_id")])
     visited = seeds.select("node_id").distinct().withColumn("hops", F.lit(0))
     frontier = visited
     for h in range(1, hops + 1):
-        nxt = frontier.join(adj, frontier.node_id == adj.src).select(F.col("dst").alias("node_id")).distinct()
+        nxt = reduce(DataFrame.unionByName, [
+            frontier.join(adj, frontier.node_id == adj[here]).select(F.col(there).alias("node_id"))
+            for here, there in steps]).distinct()
         nxt = nxt.join(visited.select("node_id"), "node_id", "left_anti").withColumn("hops", F.lit(h))
         visited = materialize(visited.unionByName(nxt))
         frontier = visited.where(F.col("hops") == h)

@@ -136,11 +136,13 @@ def filter_from_dict(filters: dict[str, Any] | str | None) -> Column:
     return _and(preds)
 
 
+CONTENT_TYPES = ("kb_article", "incident", "attachment")
+
+
 def content_type_filter(types: list[str] | None, col: str = "source_type") -> Column:
     """OR over content types; none / unknown only = no restriction."""
-    if not types:
-        return F.lit(True)
-    return F.col(col).isin(list(types))
+    known = [t for t in types or [] if t in CONTENT_TYPES]
+    return F.col(col).isin(known) if known else F.lit(True)
 
 
 def pick_col(df: DataFrame, candidates: list[str], dtype: str = "string") -> Column:
@@ -161,13 +163,6 @@ def skip_blank_text(col: str) -> Column:
     return F.col(col).isNotNull() & (F.trim(F.col(col)) != "")
 
 
-def drop_inapplicable(df: DataFrame, asset_class: str) -> DataFrame:
-    """Drop columns not meaningful for the asset class."""
-    drop = {"attachment": ["width_px", "height_px"], "document": ["width_px", "height_px"],
-            "image": ["file_size_kb"]}.get(asset_class, [])
-    return df.drop(*[c for c in drop if c in df.columns])
-
-
 # ---- C1 / C2 / C3 / C4 / C5 --------------------------------------------------------------
 
 def incident_with_dims(incidents: DataFrame, users: DataFrame, assignees: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def keyed_upsert(base: DataFrame, updates: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
     """Full outer join on the keys; per column ``coalesce(new, old)`` when the update applies."""
     value_cols = [c for c in base.columns if c not in keys]
@@ -40,7 +41,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest ``v=<batch>`` directory whose write committed (has ``_SUCCESS``), or None."""
+    """Newest ``v=<number>-<source>-<batch>`` directory whose write committed (has ``_SUCCESS``), or None."""
     fs, jroot = _fs(spark, root)
     if not fs.exists(jroot):
         return None
@@ -61,15 +62,25 @@ def read_current(spark: SparkSession, root: str, schema) -> DataFrame:
 
 
 def merge_into(spark: SparkSession, root: str, updates: DataFrame, keys: list[str], batch_id: int,
-               order_col: str | None = None) -> str:
-    """Merge ``updates`` into the table under ``root`` and publish version ``batch_id``.
+               order_col: str | None = None, source: str = "batch") -> str:
+    """Merge ``updates`` into the table under ``root`` and publish the next version.
 
-    The new version becomes visible only when Spark's commit writes its
-    ``_SUCCESS`` marker; a failed or retried batch rewrites the same version
-    directory, which readers ignore until it commits (idempotent retries).
+    The version follows the table's newest one, whatever the batch is called,
+    so a stream that starts anew on an existing table goes on from it.  The
+    folder's name also tells the source and its batch: a batch that the newest
+    version already holds isn't merged again.  A version becomes visible only
+    when Spark's commit writes its ``_SUCCESS`` marker; a failed attempt is
+    overwritten by the next.
     """
-    current = read_current(spark, root, updates.schema)
-    merged = keyed_upsert(current, updates, keys, order_col)
-    target = root.rstrip("/") + f"/v={int(batch_id):012d}"
+    newest = latest_version(spark, root)
+    tag = f"{source}-{int(batch_id)}"
+    number = 0
+    if newest is not None:
+        version, _, held = newest.rsplit("/v=", 1)[1].partition("-")
+        if held == tag:
+            return newest
+        number = int(version) + 1
+    merged = keyed_upsert(read_current(spark, root, updates.schema), updates, keys, order_col)
+    target = root.rstrip("/") + f"/v={number:012d}-{tag}"
     merged.write.mode("overwrite").parquet(target)
     return target

@@ -16,6 +16,11 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return G.build_nodes(g), G.build_edges(g)
 
 
+def _edges(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
+    """Edges of the named types alone, ends only: duplicates don't matter to distinct counts."""
+    return G.build_edges(graph_inputs(TicketModel(spark, sf_dir)), dedupe=False, only=set(types))
+
+
 @register("k01_k04_nodes", sql("SELECT node_id, node_type, name FROM g_nodes", "g_nodes"))
 def nodes(spark, sf_dir):
     """K1 + K4: every node type, one row per node id (properties JSON not compared)."""
@@ -77,7 +82,8 @@ FROM (SELECT s.node_id AS seed_node_id, e.target_node_id AS neighbour_node_id, e
 LEFT JOIN g_nodes n ON n.node_id = x.neighbour_node_id""", "g_edges", "g_nodes", "inc"))
 def neighbours(spark, sf_dir):
     """K9: everything one hop from the open tickets, both directions."""
-    n, e = _graph(spark, sf_dir)
+    g = graph_inputs(TicketModel(spark, sf_dir))
+    n, e = G.build_nodes(g), G.build_edges(g)
     return G.neighbours(_seed_incidents(spark, sf_dir), n, e).select(
         "seed_node_id", "neighbour_node_id", "relationship_type", "direction", "neighbour_type", "neighbour_name")
 
@@ -91,10 +97,34 @@ JOIN (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relatio
 GROUP BY 1, 2 HAVING count(DISTINCT a.s) >= 2""", "g_edges"))
 def shared_article_and_change(spark, sf_dir):
     """Incidents sharing an article and a change, aggregated per shared pair of nodes."""
-    _, e = _graph(spark, sf_dir)
+    e = _edges(spark, sf_dir, "REFERENCES_KB", "RELATES_TO_CHANGE")
     return G.shared_neighbour_groups(e, "REFERENCES_KB", "RELATES_TO_CHANGE")
 
 
+@register("k10_shared_pattern_and_service", sql("""
+SELECT a.t AS target_a, b.t AS target_b, CAST(count(DISTINCT a.s) AS BIGINT) AS incident_count,
+       min(a.s) AS first_incident_node_id
+FROM (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relationship_type = 'RESOLVED_BY_PATTERN') a
+JOIN (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relationship_type = 'IMPACTS_SERVICE') b
+  ON a.s = b.s
+GROUP BY 1, 2 HAVING count(DISTINCT a.s) >= 2""", "g_edges"))
+def shared_pattern_and_service(spark, sf_dir):
+    """Incidents that share a resolution pattern and a service."""
+    e = _edges(spark, sf_dir, "RESOLVED_BY_PATTERN", "IMPACTS_SERVICE")
+    return G.shared_neighbour_groups(e, "RESOLVED_BY_PATTERN", "IMPACTS_SERVICE")
+
+
+@register("k11_group_service_colinks", sql("""
+SELECT a.t AS anchor_node_id, b.t AS linked_node_id, CAST(count(DISTINCT a.s) AS BIGINT) AS incident_count
+FROM (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relationship_type = 'ASSIGNED_TO_GROUP') a
+JOIN (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relationship_type = 'IMPACTS_SERVICE') b
+  ON a.s = b.s GROUP BY 1, 2""", "g_edges"))
+def group_service_colinks(spark, sf_dir):
+    """Per group, how many of its tickets impact each service."""
+    e = _edges(spark, sf_dir, "ASSIGNED_TO_GROUP", "IMPACTS_SERVICE")
+    return G.co_link_counts(e, None, "ASSIGNED_TO_GROUP", "IMPACTS_SERVICE")
+
+
 @register("k11_group_category_colinks", sql("""
 SELECT anchor_node_id, linked_node_id, incident_count, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY anchor_node_id
@@ -109,7 +139,7 @@ SELECT anchor_node_id, linked_node_id, incident_count, rank FROM (
         GROUP BY 1, 2)) WHERE rank <= 3""", "g_edges", "inc"))
 def group_category_colinks(spark, sf_dir):
     """Per group, the 3 categories most linked by its resolved tickets."""
-    _, e = _graph(spark, sf_dir)
+    e = _edges(spark, sf_dir, "ASSIGNED_TO_GROUP", "BELONGS_TO_CATEGORY")
     inc = TicketModel(spark, sf_dir).incidents_base()
     resolved = inc.where(F.lower("state").isin("resolved", "closed")) \
         .select(G.nid("Incident", F.col("incident_id")).alias("node_id"))
@@ -152,7 +182,7 @@ SELECT anchor_node_id, linked_node_id, incident_count, rank FROM (
         GROUP BY 1, 2)) WHERE rank <= 3""", "g_edges"))
 def kb_reuse_by_group(spark, sf_dir):
     """Per group, the 3 articles most reused by its tickets."""
-    _, e = _graph(spark, sf_dir)
+    e = _edges(spark, sf_dir, "ASSIGNED_TO_GROUP", "REFERENCES_KB")
     c = G.co_link_counts(e, None, "ASSIGNED_TO_GROUP", "REFERENCES_KB")
     return G.top_linked(c, "anchor_node_id", "incident_count", 3, "linked_node_id")
 
@@ -166,7 +196,8 @@ JOIN g_edges e ON e.source_node_id = o.node_id AND e.relationship_type = 'IMPACT
 LEFT JOIN g_nodes n ON n.node_id = e.target_node_id""", "inc", "g_edges", "g_nodes"))
 def service_of_oldest_open(spark, sf_dir):
     """The service nodes of the 10 oldest open tickets (top-k then one hop)."""
-    n, e = _graph(spark, sf_dir)
+    g = graph_inputs(TicketModel(spark, sf_dir))
+    n, e = G.service_nodes(g), G.build_edges(g, dedupe=False, only={"IMPACTS_SERVICE"})
     inc = TicketModel(spark, sf_dir).incidents_base().where(is_open(F.col("state"))) \
         .orderBy(F.col("opened_at").asc(), F.col("incident_id").asc()).limit(10) \
         .select(G.nid("Incident", F.col("incident_id")).alias("incident_node_id"), "opened_at")

@@ -275,22 +275,20 @@ def reopen_events(events: DataFrame, window_days: int = REOPEN_WINDOW_DAYS) -> D
     """M19: 'error' events that follow a 'purchase' (resolution) of the same user within 30 days.
 
     Skew-safe as-of existence test: purchases are first reduced to one row per
-    (user, day) with the day's earliest and latest purchase (map-side partial
-    aggregation), every error fans out to the 31 candidate days, and an
-    equi-join on (user, day) decides existence exactly: interior days always
-    qualify, the error's own day needs min_ts < ts, the boundary day needs
-    max_ts >= ts - 30 days.  No per-user window or sort in one task.
+    (user, span of ``window_days`` days) with the earliest and the latest of
+    them, and each error meets two spans by an equi-join.  Its own span starts
+    less than ``window_days`` before it, so the earliest decides (min_ts < ts);
+    of the span before, the latest decides (max_ts >= ts - window).  No
+    per-user window or sort in one task.
     """
-    p = events.where(F.col("event_type") == "purchase").groupBy(
-        "user_id", F.to_date("ts").alias("day")).agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-    e = events.where(F.col("event_type") == "error").select("event_id", "user_id", "ts") \
-        .withColumn("day", F.explode(F.sequence(F.date_sub(F.to_date("ts"), window_days), F.to_date("ts"))))
+    span = F.floor(F.unix_date(F.to_date("ts")) / window_days)
+    p = events.where(F.col("event_type") == "purchase").groupBy("user_id", span.alias("span")) \
+        .agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
+    e = events.where(F.col("event_type") == "error").select("event_id", "user_id", "ts", span.alias("own")) \
+        .withColumn("span", F.explode(F.array("own", F.col("own") - 1)))
     lo = F.col("ts") - F.make_dt_interval(F.lit(window_days), F.lit(0), F.lit(0), F.lit(0))
-    j = e.join(p, ["user_id", "day"])
-    ok = F.when(F.col("day") == F.to_date("ts"), F.col("min_ts") < F.col("ts")) \
-        .when(F.col("day") == F.date_sub(F.to_date("ts"), window_days), F.col("max_ts") >= lo) \
-        .otherwise(F.lit(True))
-    return j.where(ok).select("event_id", "user_id", "ts").distinct()
+    ok = F.when(F.col("span") == F.col("own"), F.col("min_ts") < F.col("ts")).otherwise(F.col("max_ts") >= lo)
+    return e.join(p, ["user_id", "span"]).where(ok).select("event_id", "user_id", "ts").distinct()
 
 
 @register("m19_reopen_within_30_days", sql("""

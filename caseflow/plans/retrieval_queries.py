@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from caseflow.operators import retrieve as R
 from caseflow.operators import searchdocs as SD
-from caseflow.plans.oracles import sql
+from caseflow.plans.oracles import initcap_sql, sql
 from caseflow.plans.registry import register
 from caseflow.plans.retrieval_sql import bm25_ctes, fuse_ctes, vector_ctes
 from caseflow.sources.domain import TicketModel, is_open, is_resolved
@@ -248,14 +248,15 @@ def index_health(spark, sf_dir):
 
 # ---- J1-J5: search documents ---------------------------------------------------------------------------
 
-@register("j01_kb_search_docs", sql("""
+@register("j01_kb_search_docs", sql(f"""
 SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS id, CAST(kb_article_id AS VARCHAR) AS article_id,
+       {initcap_sql('title_raw')} AS title,
        content_text AS content, category_name AS category, category_subcategory AS subcategory,
        view_count, useful_count, 'https://tickets.example.invalid/kb/' || CAST(kb_article_id AS VARCHAR) AS source_url
 FROM kb""", "kb"))
 def kb_docs(spark, sf_dir):
-    """KB index documents (title not compared: Spark's initcap has no DuckDB twin)."""
-    return SD.kb_search_docs(TicketModel(spark, sf_dir).kb_articles()).drop("title")
+    """KB index documents."""
+    return SD.kb_search_docs(TicketModel(spark, sf_dir).kb_articles())
 
 
 def _incident_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,7 +397,7 @@ def format_hits(spark: SparkSession, sf_dir: str, hits: DataFrame) -> DataFrame:
     """J16 + J17 + J18: uniform result rows (source_type, source_id, title, snippet, url, score)."""
     kb = SD.kb_search_docs(TicketModel(spark, sf_dir).kb_articles()).select(
         F.col("id").alias("doc_id"), F.col("article_id").alias("k_source"), F.col("content").alias("k_text"),
-        F.col("source_url").alias("k_url"), F.lower("title").alias("k_title"))
+        F.col("source_url").alias("k_url"), F.col("title").alias("k_title"))
     inc = _incident_docs(spark, sf_dir).select(
         F.col("id").alias("doc_id"), F.col("incident_id").alias("i_source"), F.col("incident_summary").alias("i_title"),
         F.coalesce(F.nullif("resolution_notes", F.lit("")), F.nullif("work_notes", F.lit("")),
@@ -423,9 +424,9 @@ def format_hits(spark: SparkSession, sf_dir: str, hits: DataFrame) -> DataFrame:
         F.round("score", 4).alias("score"))
 
 
-@register("j16_j17_j18_uniform_hits", sql(MULTI_SQL + """,
+@register("j16_j17_j18_uniform_hits", sql(MULTI_SQL + f""",
 kbd AS (SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, CAST(kb_article_id AS VARCHAR) AS src,
-               lower(title_raw) AS title, content_text AS body,
+               {initcap_sql('title_raw')} AS title, content_text AS body,
                'https://tickets.example.invalid/kb/' || CAST(kb_article_id AS VARCHAR) AS url FROM kb),
 incd2 AS (SELECT id AS doc_id, incident_id AS src, incident_summary AS title, content_type,
                  COALESCE(nullif(resolution_notes, ''), nullif(work_notes, ''), nullif(description, ''), '') AS body,

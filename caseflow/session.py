@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     # 10 MB: broadcast joins only for sides the planner has sized.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # checkpointed frames that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -43,16 +45,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/caseflow-checkpoints") -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set ``fallback`` only when unset.
+    """Use the cluster's shared ``spark.checkpoint.dir``; set ``fallback`` only on a local master.
 
-    On a cluster the setting names a shared folder (HDFS/S3/ABFS); a
-    machine-local folder is only acceptable in local tests.
+    On a cluster the setting names a shared folder (HDFS/S3/ABFS); without it
+    this is an error, since a machine-local folder would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     target = configured or fallback
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

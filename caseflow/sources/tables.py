@@ -51,16 +51,6 @@ def qualify_table(name: str, database: str | None = None) -> str:
     return f"{database}.{name}" if database else name
 
 
-def read_catalog_table(spark: SparkSession, name: str, required: bool = True,
-                       schema: T.StructType | None = None) -> DataFrame:
-    """A9 over the catalog: ``spark.catalog.tableExists`` decides."""
-    if spark.catalog.tableExists(name):
-        return spark.table(name)
-    if required:
-        raise LookupError(f"required table {name!r} does not exist")
-    return spark.createDataFrame([], schema or T.StructType([]))
-
-
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: list[str] | None = None) -> None:
     """Overwrite with schema replacement (a parquet overwrite rewrites the schema)."""
@@ -72,14 +62,6 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
-def overwrite_nonempty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Refuse empty input (returns False and writes nothing), else overwrite."""
-    if df.isEmpty():
-        return False
-    overwrite_table(df, path, fmt)
-    return True
-
-
 def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """(table_name, record_count) ordered by name, one Spark job for all tables."""
     parts = [

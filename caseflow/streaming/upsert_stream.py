@@ -4,12 +4,14 @@
 pre-aggregation to one row per key (newest wins) -> ``foreachBatch`` merge
 into a versioned Parquet table.  The checkpoint location lives under the
 session's shared ``spark.checkpoint.dir``, so a restarted query resumes
-after the last committed batch, and a replayed batch rewrites its own
-version idempotently.
+after the last committed batch; a replayed batch that the table's newest
+version holds is skipped, and a new checkpoint goes on from that version.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +35,11 @@ def start_upsert_stream(spark: SparkSession, source_dir: str, schema: T.StructTy
     if prepare is not None:
         stream = prepare(stream)
 
+    source = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         upd = latest_per_key(batch, keys, order_col, value_cols)
-        merge_into(batch.sparkSession, table_root, upd, keys, batch_id, order_col=order_col)
+        merge_into(batch.sparkSession, table_root, upd, keys, batch_id, order_col=order_col, source=source)
 
     writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -37,6 +37,38 @@ def test_parallel_landing_walks_all_pages(spark):
     assert items.count() == 14
 
 
+def test_each_page_is_fetched_once(spark, tmp_path):
+    inner, log = _fetcher(), str(tmp_path / "fetched")
+
+    def fetch(dataset, page, size):
+        with open(log, "a") as f:
+            f.write(f"{dataset}:{page}\n")
+        return inner(dataset, page, size)
+
+    LD.land_paged_collection(spark, ["incidents"], fetch, LD.work_dir(spark, "land-test"), "2026-06-17", page_size=3)
+    assert sorted(open(log).read().split()) == ["incidents:1", "incidents:2", "incidents:3"]
+
+
+def test_list_pages_are_full_for_any_key(spark):
+    root = LD.work_dir(spark, "pages-test")
+    items = spark.createDataFrame([(f"inc-{i * 7:04d}",) for i in range(23)], "id string")
+    LD.land_list_pages(items, root, "things", "2026-06-17", key_col="id", page_size=10)
+    env = LD.read_landed_json(spark, f"{root}/things/list", schemas.envelope(items.schema)).orderBy("pagination.page")
+    got = [(r.pagination.page, r.pagination.total_pages, r.pagination.total_items, len(r["items"])) for r in env.collect()]
+    assert got == [(1, 3, 23, 10), (2, 3, 23, 10), (3, 3, 23, 3)]
+
+
+def test_articles_that_no_ticket_links_are_curated(spark):
+    from caseflow.operators import curate as C
+    detail = spark.createDataFrame([], schemas.INCIDENT_DETAIL).withColumn("load_date", F.lit("2026-06-17"))
+    article = spark.createDataFrame([{"id": "a1", "number": "KB1", "title": "t", "content_html": "<p>x</p>",
+                                      "category": {"id": "c", "name": "C", "subcategory": None}}], schemas.ARTICLE)
+    t = C.curate(detail, {"kb_articles": article})
+    assert [r.kb_article_id for r in t["kb_articles"].collect()] == ["a1"]
+    assert [r.category_id for r in t["categories"].collect()] == ["c"]
+    assert [(r.source_type, r.clean_text) for r in t["retrieval_documents"].collect()] == [("kb_article", "x")]
+
+
 def test_landing_stops_at_an_empty_page(spark):
     root = LD.work_dir(spark, "land-test")
     pages = LD.land_paged_collection(spark, ["incidents"], _fetcher(total_items=9, empty_from=2), root,

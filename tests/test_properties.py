@@ -65,15 +65,40 @@ def test_vector_topk_matches_numpy_brute_force(spark):
     assert {(r.query_id, r.doc_id, r.rank) for r in got} == expected
 
 
-def test_lsh_recall_against_exact(spark, sf_dir):
+def test_approximate_search_at_its_defaults(spark):
+    """Recall of at least 0.9, k rows per query, and far fewer candidates than pairs."""
     from caseflow.plans.retrieval_queries import doc_vectors, query_vectors
-    tm = TicketModel(spark, sf_dir)
-    exact = R.vector_topk(query_vectors(tm), doc_vectors(tm), 10).select("query_id", "doc_id")
-    approx = R.vector_topk_approx(spark, query_vectors(tm), doc_vectors(tm), 10, bucket_length=2.0,
-                                  num_tables=8, threshold=2.0).select("query_id", "doc_id")
-    n = exact.count()
-    hit = exact.join(approx, ["query_id", "doc_id"]).count()
-    assert n > 0 and hit / n >= 0.9
+    tm = TicketModel(spark, "/root/testdata/sf0.01")
+    q, d = query_vectors(tm), doc_vectors(tm)
+    exact = R.vector_topk(q, d, 10).select("query_id", "doc_id")
+    approx = R.vector_topk_approx(q, d, 10).select("query_id", "doc_id").cache()
+    assert exact.count() == approx.count() == 10 * q.count()
+    assert exact.join(approx, ["query_id", "doc_id"]).count() / exact.count() >= 0.9
+
+
+def test_vector_search_bounds_ties_and_takes_empty_sides(spark):
+    same = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(500)], "doc_id long, dvec array<float>")
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, qvec array<float>")
+    for search in (R.vector_topk, R.vector_topk_approx):
+        assert [r.doc_id for r in search(q, same, 3).orderBy("rank").collect()] == [0, 1, 2]
+        assert search(q.limit(0), same, 3).count() == 0
+        assert search(q, same.limit(0), 3).count() == 0
+    block = R._topk_block(3, False, 6)(q.toPandas(), same.toPandas())
+    assert len(block) == 3
+
+
+def test_boost_lifts_a_document_from_beyond_the_cut(spark):
+    docs = spark.createDataFrame([(i, "word " * (20 - i)) for i in range(20)], "doc_id long, text string")
+    q = spark.createDataFrame([(1, "word")], "query_id long, text string")
+    post = R.build_postings(docs, "doc_id", {"content": "text"})
+    boost = docs.select("doc_id", (F.col("doc_id") == 19).cast("double").alias("add"))
+    assert R.bm25_topk(post, q, 2, profile=boost).orderBy("rank").first().doc_id == 19
+    assert 19 not in {r.doc_id for r in R.bm25_topk(post, q, 2).collect()}
+
+
+def test_tokens_of_any_script(spark):
+    df = spark.createDataFrame([("Crème brûlée, Straße 12 日本語",)], "t string")
+    assert df.select(R.tokens(F.col("t"))).first()[0] == ["crème", "brûlée", "straße", "12", "日本語"]
 
 
 def test_keyword_match_all_queries(spark):

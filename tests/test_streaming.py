@@ -3,7 +3,7 @@ same state as one batch merge over all files (newest value per key wins)."""
 
 from pyspark.sql import functions as F
 
-from caseflow.operators.upsert import read_current
+from caseflow.operators.upsert import merge_into, read_current
 from caseflow.sources import landing as LD
 from caseflow.sources.domain import TicketModel
 from caseflow.streaming.upsert_stream import latest_per_key, start_upsert_stream
@@ -28,3 +28,27 @@ def test_stream_resumes_after_restart(spark, sf_dir):
     expected = latest_per_key(ev.drop("day"), ["user_id"], "ts", VALUES)
     got = read_current(spark, table, expected.schema)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_new_checkpoint_goes_on_from_the_table_and_replays_are_skipped(spark):
+    root = LD.work_dir(spark, "stream-test")
+    src, table = f"{root}/incoming", f"{root}/table"
+    schema = "k long, ts timestamp_ntz, v string"
+
+    def land(k, day):
+        spark.sql(f"SELECT CAST({k} AS BIGINT) AS k, TIMESTAMP_NTZ'2026-01-{day:02d}' AS ts, 'v{k}' AS v") \
+            .write.mode("append").parquet(src)
+
+    def keys(checkpoint):
+        start_upsert_stream(spark, src, spark.createDataFrame([], schema).schema, table, f"{root}/{checkpoint}", ["k"],
+                            "ts", ["ts", "v"]).awaitTermination()
+        return sorted(r.k for r in read_current(spark, table, spark.createDataFrame([], schema).schema).collect())
+
+    for i in (1, 2, 3):
+        land(i, i)
+        assert keys("one") == list(range(1, i + 1))
+    land(99, 9)
+    assert keys("two") == [1, 2, 3, 99]
+    up = spark.createDataFrame([(5, None, "five")], schema)
+    first = merge_into(spark, table, up, ["k"], 7, source="s")
+    assert merge_into(spark, table, up, ["k"], 7, source="s") == first
