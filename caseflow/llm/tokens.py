@@ -14,10 +14,12 @@ from array import array
 
 #: Units one worker remembers in each of two generations: when the young one is
 #: full it becomes the old one, and units found there move on to the next.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Texts cut into units at a time.
 TEXTS = 500
 _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
+#: The vocabulary writes byte 0x20 + n for the n-th byte that isn't visible: for UTF-8 bytes as Latin-1, 0x7F to 0xA0 and 0xAD.
+_VISIBLE = {b: 0x100 + 33 + i for i, b in enumerate([*range(0x7F, 0xA1), 0xAD])}
 _WORKER: dict[tuple, "Encoder"] = {}
 
 
@@ -39,6 +41,15 @@ class Encoder:
         self.old: dict[str, bytes | None] = {}
         self.remembered = remembered
 
+    def _word(self, u: str) -> bytes | None:
+        """ids of a unit that is one word of an old European alphabet, straight from the merges; None for others."""
+        word, first = (u[1:], "") if u[0] == "\0" else (u, "\u0120")
+        if not word.isalpha() or not word.isascii() and max(word) >= "\u0530":
+            return None
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_VISIBLE)
+        return array("I", [t.id for t in self.lib.model.tokenize(first + word)]).tobytes()
+
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -69,7 +80,9 @@ class Encoder:
                 joined.append(u)
                 if known.get(u[:-1]) is None:
                     ask[u[:-1]] = None
-        asked = list(ask)
+        words = {u: self._word(u) if u != "\0" else None for u in ask}
+        asked = [u for u, ids in words.items() if ids is None]
+        known.update(words)
         known.update(zip(asked, self._ask([u[1:] if u[0] == "\0" else " " + u for u in asked])))
         tails = {c: b for c, b in zip(".,", self._ask([".", ","]))}
         for u in joined:
