@@ -45,7 +45,7 @@ DOC_BLOCK = 8192
 CELL_SAMPLE = 16_384
 MAX_CELLS = 1024
 CELL_ROWS = 24
-PROBED_SHARE = 0.5
+PROBED_SHARE = 0.6
 
 
 def tokens(text: Column) -> Column:
