@@ -32,6 +32,8 @@ CHUNK_BYTES = 4096
 MIN_REVISIT_BYTES = 0
 #: An archive file is closed when it has more bytes than this.
 FILE_BYTES = 256 << 20
+#: Tasks that read archive files, at most.
+MAX_READERS = 20_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -215,7 +217,8 @@ def read_archives(files: DataFrame, id_type: str = "bigint") -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    parts = files.repartition("uri").mapInArrow(
+    # a fixed number of tasks: few small rows stand for large files
+    parts = files.repartition(max(1, min(files.count(), MAX_READERS)), "uri").mapInArrow(
         read, "origin string, record_type string, segment int, total long, page_id string, digest string, "
               "refers_id string, block binary")
     whole = parts.groupBy("origin").agg(
