@@ -32,6 +32,8 @@ END_ID = 0
 WIDTH = 2
 #: Bytes read at a time.
 READ_BYTES = 8 << 20
+#: Tasks that read shards, at most.
+MAX_READERS = 20_000
 
 
 def masked(data: bytes) -> int:
@@ -140,7 +142,8 @@ def read_records(shards: DataFrame, width: int = WIDTH) -> DataFrame:
 
     # one small row per shard; the shards' own rows never meet
     placed = shards.withColumn("start", F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens"))
-    return placed.repartition("shard").select("uri", "start").mapInArrow(
+    # a fixed number of tasks: few small rows stand for large files
+    return placed.repartition(max(1, min(shards.count(), MAX_READERS)), "shard").select("uri", "start").mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids binary")
 
 
