@@ -3,7 +3,9 @@
 The byte-level vocabulary cuts a text before every blank that follows a
 non-blank, so a single blank between two other characters is always a cut.
 The ids of such a unit depend on the unit alone; each Python worker remembers
-those it has seen, up to a bound, and asks the tokenizers library for the rest.
+those it has seen, up to a bound, and asks the tokenizers library for the rest:
+for old alphabets piece by piece, a piece being what the library's pattern
+cuts, for others as whole units.
 """
 
 from __future__ import annotations
@@ -14,12 +16,15 @@ from array import array
 
 #: Units one worker remembers in each of two generations: when the young one is
 #: full it becomes the old one, and units found there move on to the next.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Texts cut into units at a time.
 TEXTS = 500
 _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
-#: The vocabulary writes byte 0x20 + n for the n-th byte that isn't visible: for UTF-8 bytes as Latin-1, 0x7F to 0xA0 and 0xAD.
-_VISIBLE = {b: 0x100 + 33 + i for i, b in enumerate([*range(0x7F, 0xA1), 0xAD])}
+#: Letters below this are as old as any Unicode table in use, so the pieces below are the library's.
+_OLD = "\u0530"
+#: How the vocabulary writes bytes: visible Latin-1 as it is, the others from U+0100 on in order.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_WRITTEN = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_VISIBLE))}
 _WORKER: dict[tuple, "Encoder"] = {}
 
 
@@ -34,21 +39,33 @@ class Encoder:
 
     def __init__(self, name: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(tokenizer_file(name))
         self.lib.encode_special_tokens = True
+        self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.known: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
+        self.pieces: dict[str, bytes] = {}
         self.remembered = remembered
 
-    def _word(self, u: str) -> bytes | None:
-        """ids of a unit that is one word of an old European alphabet, straight from the merges; None for others."""
-        word, first = (u[1:], "") if u[0] == "\0" else (u, "\u0120")
-        if not word.isalpha() or not word.isascii() and max(word) >= "\u0530":
-            return None
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_VISIBLE)
-        return array("I", [t.id for t in self.lib.model.tokenize(first + word)]).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        """ids of one piece of the tokenizer's own pattern, by its merges."""
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", "\u0120")
+        else:
+            written = piece.encode().decode("latin-1").translate(_WRITTEN)
+        return array("I", [t.id for t in self.lib.model.tokenize(written)]).tobytes()
+
+    def _unit(self, u: str) -> bytes:
+        """ids of a unit of old alphabets, put together from its pieces."""
+        pieces = self.pieces
+        out = self.cut(u[1:] if u[:1] == "\0" else " " + u)
+        for p in out:
+            if p not in pieces:
+                pieces[p] = self._piece(p)
+        return b"".join(map(pieces.__getitem__, out))
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,22 +88,17 @@ class Encoder:
         kept = new.intersection(old)
         known.update(zip(kept, map(old.__getitem__, kept)))
         new -= kept
-        plain = [u for u in new if len(u) > 1 and not _ODD.search(u) or u == "\0"]
+        plain = [u for u in new if u and not _ODD.search(u)]
         known.update(dict.fromkeys(new))
-        # letters and a final point or comma are two pieces: only the letters may need asking
-        ask, joined = dict.fromkeys(u for u in plain if not self._split(u)), []
+        if len(self.pieces) > self.remembered:
+            self.pieces = {}
+        asked = []
         for u in plain:
-            if self._split(u):
-                joined.append(u)
-                if known.get(u[:-1]) is None:
-                    ask[u[:-1]] = None
-        words = {u: self._word(u) if u != "\0" else None for u in ask}
-        asked = [u for u, ids in words.items() if ids is None]
-        known.update(words)
+            if u.isascii() or max(u) < _OLD:
+                known[u] = self._unit(u)
+            else:
+                asked.append(u)
         known.update(zip(asked, self._ask([u[1:] if u[0] == "\0" else " " + u for u in asked])))
-        tails = {c: b for c, b in zip(".,", self._ask([".", ","]))}
-        for u in joined:
-            known[u] = known[u[:-1]] + tails[u[-1]]
         out, whole = [], []
         for i, parts in enumerate(cut):
             try:
@@ -98,10 +110,6 @@ class Encoder:
             out[i] = ids
         return out
 
-    @staticmethod
-    def _split(u: str) -> bool:
-        return u[-1] in ".," and u[:-1].isalpha()
-
 
 def encoder(name: str) -> Encoder:
     """The encoder of this worker process."""
