@@ -23,6 +23,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.functions.columns import asset_type_from_name
+
 from caseflow.sources.domain import AS_OF, is_open, is_resolved
 
 # Age bucket edges in days (ours; the reference names the bucket but not its edges).
@@ -225,6 +227,22 @@ def bridge_ticket_asset(attachments: DataFrame, images: DataFrame,
     return out
 
 
+def bridge_ticket_article(links: DataFrame) -> DataFrame:
+    """Ticket x article bridge, one row per pair."""
+    return links.select("incident_id", "kb_article_id").distinct()
+
+
+def bridge_ticket_pattern(labelled: DataFrame) -> DataFrame:
+    """Ticket x resolution pattern bridge, one row per pair, from labelled notes (K3)."""
+    return labelled.select("incident_id", "resolution_pattern_id").distinct()
+
+
+def dim_asset_type(bridge: DataFrame) -> DataFrame:
+    """Asset types of the ticket-asset bridge, with the number of assets of each."""
+    return bridge.groupBy(asset_type_from_name(F.col("file_name")).alias("asset_type")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("asset_count"))
+
+
 def kb_article_reuse_count(bridge: DataFrame, axes: list[str]) -> DataFrame:
     """Rows of the ticket-article bridge per axes."""
     return bridge.groupBy(*axes).agg(_blank0(F.count(F.lit(1))).alias("kb_article_reuse_count"))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.operators import measures as M
-from caseflow.plans.oracles import sql
+from caseflow.operators.graph import resolution_patterns
+from caseflow.plans.oracles import ASSET_TYPE_SQL, sql
 from caseflow.plans.registry import register
-from caseflow.sources.domain import AS_OF, TicketModel
+from caseflow.sources.domain import AS_OF, TicketModel, graph_inputs
 
 
 def ticket_fact(spark: SparkSession, sf_dir: str, with_dims: bool = True,
@@ -207,9 +208,35 @@ def fact_tickets_query(spark, sf_dir):
 
 
 @register("e17_fact_sla", sql("""
-SELECT sla_id, incident_id, name, stage, target_hours, elapsed_hours, breached FROM sla""", "sla"))
+SELECT s.sla_id, s.incident_id, s.name, s.stage, s.target_hours, s.elapsed_hours, s.breached,
+       inc.state, inc.priority, inc.requester_id
+FROM sla s LEFT JOIN inc USING (incident_id)""", "sla", "inc"))
 def fact_sla_query(spark, sf_dir):
-    return TicketModel(spark, sf_dir).slas()
+    """SLA rows with the dimension keys of their ticket."""
+    tm = TicketModel(spark, sf_dir)
+    return M.fact_sla(tm.slas(), tm.incidents_base().select("incident_id", "state", "priority", "requester_id"))
+
+
+@register("e17_bridge_ticket_article", sql("SELECT incident_id, kb_article_id FROM kbl", "kbl"))
+def bridge_ticket_article_query(spark, sf_dir):
+    return M.bridge_ticket_article(TicketModel(spark, sf_dir).incident_kb_links())
+
+
+@register("e17_bridge_ticket_pattern", sql("""
+SELECT DISTINCT incident_id, sha256(pattern_label) AS resolution_pattern_id FROM g_pl
+WHERE pattern_label IS NOT NULL""", "g_pl"))
+def bridge_ticket_pattern_query(spark, sf_dir):
+    labelled, _ = resolution_patterns(graph_inputs(TicketModel(spark, sf_dir))["resolution_notes"])
+    return M.bridge_ticket_pattern(labelled)
+
+
+@register("e19_dim_asset_type", sql(f"""
+SELECT {ASSET_TYPE_SQL} AS asset_type, CAST(count(*) AS BIGINT) AS asset_count
+FROM (SELECT file_name FROM att UNION ALL SELECT file_name FROM img) GROUP BY 1""", "att", "img"))
+def dim_asset_type_query(spark, sf_dir):
+    """E19 + I17: asset types with their numbers of assets."""
+    tm = TicketModel(spark, sf_dir)
+    return M.dim_asset_type(M.bridge_ticket_asset(tm.attachments(), tm.images()))
 
 
 @register("e17_bridge_ticket_asset", sql("""

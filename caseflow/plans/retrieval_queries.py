@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from caseflow.operators import retrieve as R
 from caseflow.operators import searchdocs as SD
-from caseflow.plans.oracles import initcap_sql, sql
+from caseflow.plans.oracles import ASSET_TYPE_SQL, initcap_sql, sql
 from caseflow.plans.registry import register
 from caseflow.plans.retrieval_sql import bm25_ctes, fuse_ctes, vector_ctes
 from caseflow.sources.domain import TicketModel, is_open, is_resolved
@@ -295,11 +295,6 @@ def incident_docs(spark, sf_dir):
     return _incident_docs(spark, sf_dir)
 
 
-ASSET_TYPE_SQL = """CASE lower(regexp_extract(file_name, '\\.([^.]*)$', 1))
-         WHEN 'png' THEN 'screenshot' WHEN 'jpg' THEN 'screenshot' WHEN 'jpeg' THEN 'screenshot'
-         WHEN 'gif' THEN 'screenshot' WHEN 'log' THEN 'log' WHEN 'txt' THEN 'log' WHEN 'sql' THEN 'script'
-         WHEN 'ps1' THEN 'script' WHEN 'sh' THEN 'script' WHEN 'py' THEN 'script' WHEN 'pdf' THEN 'document'
-         WHEN 'docx' THEN 'document' WHEN 'xlsx' THEN 'document' ELSE 'other' END"""
 ATT_DOCS_SQL = f"""
 SELECT 'attachment_' || asset_id AS id, asset_id AS attachment_id, file_name,
        lower(regexp_extract(file_name, '\\.([^.]*)$', 1)) AS file_type, description,
