@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseflow.functions.columns import hash_key, json_struct, normalize_pattern
+from caseflow.functions.columns import hash_key, json_struct, label, normalize_pattern
+from caseflow.operators.listing import pick_col
 
 # Node type names and id prefixes; relationship names.
 NODE_PREFIX = {
@@ -95,8 +96,10 @@ def build_nodes(g: dict[str, DataFrame], strip_prefix: str | None = None) -> Dat
         inc.select(F.col("requester_id").alias("user_id")).unionByName(
             inc.select(F.col("assignee_id").alias("user_id"))).distinct(), "user_id", "left_semi")
     parts = [
-        _node(inc, "Incident", F.col("incident_id"), F.col("number"), F.col("state"), F.col("priority"),
-              F.col("opened_at")),
+        _node(inc, "Incident", F.col("incident_id"), label(F.col("number"), F.col("incident_id")),
+              *[F.col(c) for c in ("incident_id", "number")],
+              *[pick_col(inc, [c]).alias(c) for c in ("short_description", "state", "priority")],
+              *[pick_col(inc, [c], "timestamp_ntz").alias(c) for c in ("opened_at", "resolved_at", "closed_at")]),
         _node(users, "User", F.col("user_id"), F.col("full_name"), F.col("title")),
         _node(g["groups"], "AssignmentGroup", F.col("assignment_group_id"), F.col("name")),
         _node(g["categories"], "Category", F.col("category_id"),
@@ -135,20 +138,29 @@ def build_edges(g: dict[str, DataFrame], strip_prefix: str | None = None, extra:
     service = nid("BusinessService", service_key(F.col("assignment_group_id"), F.col("category_id")))
     incident, article = nid("Incident", i), nid("KnowledgeArticle", F.col("kb_article_id"))
     document = nid("Document", F.col("retrieval_document_id"))
+
+    def file_of(df: DataFrame) -> list[Column]:
+        return [pick_col(df, [c]).alias(c) for c in ("content_type", "mock_url")]
+
+    text = [pick_col(docs, ["source_type"]).alias("source_type"),
+            pick_col(docs, ["updated_at"], "timestamp_ntz").alias("updated_at")]
     # relationship -> (source rows, source node, target node, properties)
     sources = {
         "OPENED_BY": lambda: (inc, incident, nid("User", F.col("requester_id"))),
         "ASSIGNED_TO_USER": lambda: (inc, incident, nid("User", F.col("assignee_id"))),
         "ASSIGNED_TO_GROUP": lambda: (inc, incident, nid("AssignmentGroup", F.col("assignment_group_id"))),
         "BELONGS_TO_CATEGORY": lambda: (inc, incident, nid("Category", F.col("category_id"))),
-        "IMPACTS_SERVICE": lambda: (served, incident, service),
+        "IMPACTS_SERVICE": lambda: (served, incident, service,
+                                    F.lit("assignment group x category").alias("derivation")),
         "REFERENCES_KB": lambda: (g["incident_kb_links"], incident, article),
-        "HAS_ATTACHMENT": lambda: (g["attachments"], incident, nid("Attachment", F.col("attachment_id"))),
-        "HAS_IMAGE": lambda: (images(), incident, nid("Image", F.col("image_id"))),
-        "HAS_DOCUMENT": lambda: (docs.where(i.isNotNull()), incident, document),
-        "BACKED_BY_DOCUMENT": lambda: (docs.where(F.col("kb_article_id").isNotNull()), article, document),
+        "HAS_ATTACHMENT": lambda: (g["attachments"], incident, nid("Attachment", F.col("attachment_id")),
+                                   *file_of(g["attachments"])),
+        "HAS_IMAGE": lambda: (images(), incident, nid("Image", F.col("image_id")), *file_of(images())),
+        "HAS_DOCUMENT": lambda: (docs.where(i.isNotNull()), incident, document, *text),
+        "BACKED_BY_DOCUMENT": lambda: (docs.where(F.col("kb_article_id").isNotNull()), article, document, *text),
         "RESOLVED_BY_PATTERN": lambda: (resolution_patterns(g["resolution_notes"], strip_prefix)[0], incident,
-                                        nid("ResolutionPattern", F.col("resolution_pattern_id"))),
+                                        nid("ResolutionPattern", F.col("resolution_pattern_id")),
+                                        F.col("pattern_label")),
         "RELATES_TO_CHANGE": lambda: (g["incident_changes"], incident,
                                       nid("ChangeRequest", F.col("change_request_id")), F.col("relationship_type")),
     }

@@ -23,11 +23,47 @@ def _edges(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
 
 @register("k01_k04_nodes", sql("SELECT node_id, node_type, name FROM g_nodes", "g_nodes"))
 def nodes(spark, sf_dir):
-    """K1 + K4: every node type, one row per node id (properties JSON not compared)."""
+    """K1 + K4: every node type, one row per node id."""
     n, _ = _graph(spark, sf_dir)
     return n.select("node_id", "node_type", "name")
 
 
+@register("k01_incident_properties", sql("""
+SELECT 'incident:' || CAST(incident_id AS VARCHAR) AS node_id, number AS name, number,
+       concat_ws(' ', category_name, 'issue reported by', requester_name) AS short_description, state, priority,
+       strftime(opened_at, '%Y-%m-%d %H:%M:%S') AS opened_at, strftime(resolved_at, '%Y-%m-%d %H:%M:%S') AS resolved_at
+FROM incd""", "incd"))
+def incident_properties(spark, sf_dir):
+    """K1 + I12 + B9: what the JSON properties of incident nodes hold."""
+    n = G.build_nodes(graph_inputs(TicketModel(spark, sf_dir))).where("node_type = 'Incident'")
+
+    def prop(name: str):
+        return F.get_json_object("properties_json", f"$.{name}")
+
+    return n.select("node_id", "name", *[prop(c).alias(c) for c in ("number", "short_description", "state", "priority")],
+                    *[F.date_format(prop(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias(c)
+                      for c in ("opened_at", "resolved_at")])
+
+
+@register("k05_edge_properties", sql("""
+SELECT DISTINCT relationship_type, properties_json FROM (
+  SELECT 'IMPACTS_SERVICE' AS relationship_type, '{"derivation":"assignment group x category"}' AS properties_json
+  FROM g_inc WHERE assignment_group_id IS NOT NULL AND category_id IS NOT NULL
+  UNION ALL SELECT 'HAS_ATTACHMENT', '{"content_type":"' || content_type || '","mock_url":"' || mock_url || '"}' FROM att
+  UNION ALL SELECT 'HAS_IMAGE', '{"content_type":"' || content_type || '","mock_url":"' || mock_url || '"}' FROM img
+  UNION ALL SELECT 'HAS_DOCUMENT', '{"source_type":"' || source_type || '"}' FROM g_docs WHERE incident_id IS NOT NULL
+  UNION ALL SELECT 'BACKED_BY_DOCUMENT', '{"source_type":"kb_article"}' FROM kb
+  UNION ALL SELECT 'RESOLVED_BY_PATTERN', '{"pattern_label":"' || pattern_label || '"}' FROM g_pl
+            WHERE pattern_label IS NOT NULL
+  UNION ALL SELECT 'RELATES_TO_CHANGE', '{"relationship_type":"' || relationship_type || '"}' FROM chl)""",
+                                     "g_inc", "att", "img", "g_docs", "kb", "g_pl", "chl"))
+def edge_properties(spark, sf_dir):
+    """K5 + I12: the distinct JSON properties of edges that have any."""
+    return _edges(spark, sf_dir, "IMPACTS_SERVICE", "HAS_ATTACHMENT", "HAS_IMAGE", "HAS_DOCUMENT",
+                  "BACKED_BY_DOCUMENT", "RESOLVED_BY_PATTERN", "RELATES_TO_CHANGE") \
+        .select("relationship_type", "properties_json").distinct()
+
+
 @register("k05_k07_edges", sql("SELECT edge_id, source_node_id, target_node_id, relationship_type FROM g_edges",
                                "g_edges"))
 def edges(spark, sf_dir):

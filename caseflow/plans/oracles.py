@@ -196,7 +196,7 @@ CTES.update({
   UNION SELECT DISTINCT category_id, category_name, NULL FROM kb"""),
     "g_docs": (("notes", "kb"), f"""
   SELECT 'incident:' || CAST(doc_id AS VARCHAR) AS retrieval_document_id, CAST(doc_id AS VARCHAR) AS incident_id,
-         NULL AS kb_article_id, printf('INC%07d', doc_id) AS title, 'incident' AS source_type
+         NULL AS kb_article_id, printf('INC%07d', doc_id) AS title, 'incident_description' AS source_type
   FROM documents WHERE trim(text) <> ''
   UNION ALL
   SELECT CASE WHEN is_resolution THEN 'resolution-note:' ELSE 'work-note:' END || note_id,

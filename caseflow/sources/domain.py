@@ -326,8 +326,8 @@ def graph_inputs(tm: TicketModel) -> dict[str, DataFrame]:
     """
     s = lambda c: F.col(c).cast("string")
     inc = tm.incidents().join(tm.assignees(), "incident_id", "left").select(
-        s("incident_id").alias("incident_id"), "number", "state", "priority", "opened_at",
-        F.concat(F.lit("C"), s("requester_id")).alias("requester_id"),
+        s("incident_id").alias("incident_id"), "number", "short_description", "state", "priority", "opened_at",
+        "resolved_at", F.concat(F.lit("C"), s("requester_id")).alias("requester_id"),
         F.concat(F.lit("S"), s("assignee_id")).alias("assignee_id"),
         s("assignment_group_id").alias("assignment_group_id"), "category_id")
     kb = tm.kb_articles()
@@ -340,7 +340,7 @@ def graph_inputs(tm: TicketModel) -> dict[str, DataFrame]:
     docs = tm.raw("documents").where(F.trim(F.col("text")) != "").select(
         F.concat(F.lit("incident:"), s("doc_id")).alias("retrieval_document_id"),
         s("doc_id").alias("incident_id"), F.lit(None).cast("string").alias("kb_article_id"),
-        incident_number(F.col("doc_id")).alias("title"), F.lit("incident").alias("source_type")) \
+        incident_number(F.col("doc_id")).alias("title"), F.lit("incident_description").alias("source_type")) \
         .unionByName(notes.select(
             F.concat(F.when(F.col("is_resolution"), "resolution-note:").otherwise("work-note:"),
                      F.col("note_id")).alias("retrieval_document_id"),
@@ -359,8 +359,9 @@ def graph_inputs(tm: TicketModel) -> dict[str, DataFrame]:
         "categories": cats,
         "kb": kb.select(s("kb_article_id").alias("kb_article_id"), "title", "category_id"),
         "attachments": tm.attachments().select("attachment_id", s("incident_id").alias("incident_id"),
-                                               "file_name", "content_type"),
-        "images": tm.images().select("image_id", s("incident_id").alias("incident_id"), "file_name"),
+                                               "file_name", "content_type", "mock_url"),
+        "images": tm.images().select("image_id", s("incident_id").alias("incident_id"), "file_name", "content_type",
+                                     "mock_url"),
         "documents": docs,
         "changes": tm.change_requests().select(s("change_request_id").alias("change_request_id"),
                                                "number", "title"),
