@@ -40,6 +40,8 @@ BLOCK_BYTES = 3 << 20
 #: n-grams of one step of the weights, and the rate of a step.
 STEP, RATE = 1024, 0.5
 APM_CELLS = 33
+#: n-grams whose cost one worker remembers while it scores.
+REMEMBERED = 1_500_000
 _END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token among the words' hashes
 _SHARD_SCHEMA = "shard int, kind int, block long, a binary, b binary, c binary, d binary, e binary"
 
@@ -131,6 +133,9 @@ class Model:
     apm: np.ndarray = field(default_factory=lambda: np.tile(
         1 / (1 + np.exp(-(np.arange(APM_CELLS) - APM_CELLS // 2) / 2.0)), (256, 1)))
 
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # n-grams scored so far, ascending
+    costs: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
     def inputs(self, key: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(log-odds of the orders, gate, bit) of bit ``k``; ``own`` occurrences of the bit itself don't count."""
         at = slots(key, k, self.bits)
@@ -189,14 +194,31 @@ class Model:
             out += np.log10(np.where(bit == 1, p, 1 - p))
         return out
 
+    def known_log10(self, distinct: np.ndarray) -> np.ndarray:
+        """``log10`` of ascending keys, asked for once while they are remembered."""
+        out = np.empty(len(distinct))
+        at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
+        hit = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        out[hit] = self.costs[at[hit]]
+        new = distinct[~hit]
+        if len(new):
+            cost = np.concatenate([self.log10(new[i:i + (1 << 15)]) for i in range(0, len(new), 1 << 15)])
+            out[~hit] = cost
+            if len(self.keys) + len(new) > REMEMBERED:
+                self.keys, self.costs = new, cost
+            else:
+                keys = np.concatenate([self.keys, new])
+                order = np.argsort(keys, kind="stable")
+                self.keys, self.costs = keys[order], np.concatenate([self.costs, cost])[order]
+        return out
+
     def text_scores(self, texts: list[bytes]) -> np.ndarray:
         """Total log10 probability of each text and its end."""
         out = []
         for s in blocks(texts, texts):
             key, start = six_grams(texts[s])
             distinct, place = np.unique(key, return_inverse=True)
-            cost = np.concatenate([self.log10(distinct[i:i + (1 << 16)]) for i in range(0, len(distinct), 1 << 16)])
-            out.append(np.add.reduceat(cost[place], start))
+            out.append(np.add.reduceat(self.known_log10(distinct)[place], start))
         return np.concatenate(out) if out else np.zeros(0)
 
 
