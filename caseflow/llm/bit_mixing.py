@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import mix64, sliced, words, write_once
+from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
 
 ORDERS = 6
 BITS = 20
@@ -433,6 +433,7 @@ def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text
     Rows that repeat score alike.  Words are counted by 64-bit hashes.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     n_shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"),
                        F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("binary").alias("text"))

@@ -15,6 +15,8 @@ from caseflow.session import ensure_checkpoint_dir
 
 #: Characters between words: space and the five ASCII control blanks.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Rows of a batch that goes to Python.
+BATCH_ROWS = 1000
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -36,7 +38,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def small_batches(spark: SparkSession) -> None:
+    """Have this session pass rows to Python a thousand at a time, unless it asks for fewer.
+
+    The default of ten thousand makes a batch of whole texts some tens of MB,
+    held in the JVM and in each Python worker at once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, to bound what a task makes of one batch."""
     for b in batches:
         for i in range(0, b.num_rows, rows):

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseflow.llm.common import small_batches
+
 UNDETERMINED = "und"
 #: Languages one model may hold; the profiles go to every task, so this bounds them.
 MAX_LANGUAGES = 1000
@@ -107,6 +109,8 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size
     model without languages.  Counts are made per batch, then summed by
     (language, n-gram) in Spark; only the profiles reach the driver.
     """
+    small_batches(docs.sparkSession)
+
     def count(batches):
         by_lang: dict[str, list[np.ndarray]] = {}
         held: dict[str, int] = {}
@@ -153,6 +157,7 @@ def identify(docs: DataFrame, model: Profiles, text: str = "text",
     languages the first by name wins.  Columns of ``docs`` that have the names
     of the two results are replaced.  Repeated rows are judged alike.
     """
+    small_batches(docs.sparkSession)
     rest = docs.select(*[c for c in docs.columns if c not in (out, score) or c == text])
     at = rest.columns.index(text)
     schema = T.StructType([f for f in rest.schema if f.name not in (out, score)]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from caseflow.llm.common import write_once
+from caseflow.llm.common import small_batches, write_once
 
 MAX_EPOCHS = 3
 BASE_WEIGHTS = (5, 2, 1)
@@ -46,6 +46,7 @@ def word_count(text: Column) -> Column:
 
 def count_words(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
     """(doc_id, source, th, size) of each row; a null text has no words."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                        F.xxhash64(F.col(text)).alias("th"), word_count(F.col(text)).alias("size"))
 

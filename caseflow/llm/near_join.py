@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import mix64, sliced, words, write_once
+from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
 
 N = 5
 THRESHOLD = 0.8
@@ -234,6 +234,7 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     least id that isn't null.  Rows that repeat an id and a text count as copies.  An empty table gives no rows.  n-grams are compared by 64-bit
     hashes, sets by 128-bit digests.
     """
+    small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sketch = write_once(_sketch(texts, n, bands, rows), "near-sketch")

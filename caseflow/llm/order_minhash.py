@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from caseflow.llm.common import mix64, words
+from caseflow.llm.common import mix64, small_batches, words
 
 K = 3
 SIZE = 64
@@ -166,6 +166,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     text; null ids come first.  An empty table gives no rows.  A fingerprint
     is ``size`` groups of four hex digits.
     """
+    small_batches(docs.sparkSession)
     rows = with_next(docs, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     fields = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.llm import tokens
-from caseflow.llm.common import sliced
+from caseflow.llm.common import sliced, small_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -75,6 +75,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
     has one id.  A document longer than ``capacity`` is cut into pieces of
     ``capacity`` ids, the first of which takes what is left over.
     """
+    small_batches(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.llm import tokens
-from caseflow.llm.common import read_range, run_folder, sliced, write_once
+from caseflow.llm.common import read_range, run_folder, sliced, small_batches, write_once
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -89,6 +89,8 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
     bytes.  Returns (shard, uri, records, tokens), read back from the shared
     folder; an empty table gives no shard.
     """
+    small_batches(docs.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]):
         enc = tokens.encoder(tokenizer)
         shard, end = TaskContext.get().partitionId(), struct.pack("<I", end_id)

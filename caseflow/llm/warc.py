@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import run_folder, write_once
+from caseflow.llm.common import run_folder, small_batches, write_once
 
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4096
@@ -112,6 +112,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     capture must be put together across files.  A task writes to names of its
     own and moves whole files into place.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload")) \
         .withColumns({"row": F.monotonically_increasing_id(), "sha": F.sha1("payload")})
