@@ -37,11 +37,8 @@ GOLDEN = (math.sqrt(5) - 1) / 2
 
 def word_count(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text (long); a null text has none."""
-    @pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(t.split()) if t else 0 for t in texts], dtype="int64")
-
-    return count(text.cast("binary"))
+    parts = F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+")
+    return F.size(F.array_remove(parts, "")).cast("long")
 
 
 def count_words(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:

@@ -27,7 +27,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 #: Members, and n-grams of members, that one block of a bucket holds, about.
 BLOCK_MEMBERS = 256
-BLOCK_GRAMS = 1 << 19
+BLOCK_GRAMS = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
