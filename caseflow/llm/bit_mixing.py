@@ -1,21 +1,23 @@
-"""Language-model scores by online logistic mixing of hashed-context bit predictors.
+"""Language-model scores by online logistic mixing of context bit predictors.
 
 A text is its UTF-8 bytes and a closing zero byte, eight binary decisions a
 byte.  For each decision one predictor per order (0 to 5 bytes of context)
 looks up how often the bit was 0 and 1 in the training documents after the
-same context and the same bits of the byte; orders from 2 on are hashed into
-tables of ``2 ** bits`` slots.  Their log-odds are added with weights from a
-set that a gate selects (bit position, highest order that was ever seen).  The
+same context and the same bits of the byte, by exact keys, so an unseen context
+reads as unseen.  Their log-odds are added with weights from a
+set that a gate selects (bit position, number of orders that were ever seen).  The
 weights are learned online, one step per mini-batch, each n-gram predicted
 without its own occurrence; an adaptive table over (last byte, predicted
 log-odds) refines the result.  The sum over a text is its total log10
 probability, or bits per byte.
 
-Counts of n-grams are made per block of documents, merged by shards of their
-contexts, and cover all training documents; the tables that scoring needs have
-a fixed size.  The base score (unigram counts of words) goes the same way: a
-block sends each shard its distinct words with the documents they stand in,
-the shard merges the counts and returns the documents' sums.
+Counts grow with the corpus and stay in the shared folder.  A block of documents
+sends its distinct n-grams to ranges of the order (last context byte, the one
+before it, ..., byte), and its distinct words to ranges of their hashes.  A
+sample sets the edges of the ranges, so a frequent context is cut over as many ranges as it needs.  A range holds
+all counts of all its contexts but of those that an edge lies in; these are
+summed over the ranges.  What a range makes of a block's n-grams and words goes
+back to the block, one number each, where the documents' sums are made.
 """
 
 from __future__ import annotations
@@ -34,16 +36,14 @@ from pyspark.sql import functions as F
 from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
 
 ORDERS = 6
-BITS = 20
 #: Bytes of text that are handled together.
 BLOCK_BYTES = 3 << 20
 #: n-grams of one step of the weights, and the rate of a step.
 STEP, RATE = 1024, 0.5
 APM_CELLS = 33
-#: n-grams whose cost one worker remembers while it scores.
-REMEMBERED = 1_500_000
+#: Text of one range of n-grams; the text and the n-grams that the ranges' edges are taken from.
+SHARD_BYTES, SAMPLE_BYTES, SAMPLE_KEYS = 8 << 20, 16 << 20, 1_000_000
 _END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token among the words' hashes
-_SHARD_SCHEMA = "shard int, kind int, block long, a binary, b binary, c binary, d binary, e binary"
 
 
 # Packing of arrays into binary columns ------------------------------------------------------------
@@ -60,7 +60,24 @@ def large(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def blocks(ids: list, texts: list[bytes]) -> Iterator[slice]:
+def by_context(key: np.ndarray) -> np.ndarray:
+    """n-grams of ``six_grams`` with the last context byte first and the predicted byte last."""
+    return key.byteswap() >> np.uint64(8) & np.uint64(0xFFFFFFFFFF00) | key & np.uint64(255)
+
+
+def planes(key: np.ndarray) -> bytes:
+    """Six-byte numbers, byte by byte: of ascending numbers the upper bytes compress well."""
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ORDERS].T).tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    """What ``planes`` packed."""
+    out = np.zeros((len(data) // ORDERS, 8), np.uint8)
+    out[:, :ORDERS] = np.frombuffer(data, np.uint8).reshape(ORDERS, -1).T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def blocks(texts: list[bytes]) -> Iterator[slice]:
     """Slices of about BLOCK_BYTES."""
     i = 0
     while i < len(texts):
@@ -99,12 +116,13 @@ def summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, n
     return keys[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
 
-# The model ------------------------------------------------------------------------------------------
+def merged(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, their sums of ``n``, and the place of each given key among them."""
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate(n), len(distinct)).astype(np.int64), place
 
-def _shard_of(key: np.ndarray, n: int) -> np.ndarray:
-    """Shard of an n-gram by its last two bytes of context."""
-    return (mix64(key >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(n)).astype(np.int64)
 
+# The model ------------------------------------------------------------------------------------------
 
 def table_sizes(bits: int) -> list[int]:
     return [1 << 8, 1 << 16] + [1 << bits] * (ORDERS - 2)
@@ -125,16 +143,20 @@ def slots(key: np.ndarray, k: int, bits: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Counts of both bits per slot, mixing weights by gate, and the refining table."""
+    """Mixing weights by gate and the refining table, over counts of both bits in a table of slots.
+
+    The Spark side takes the counts from ``RangeModel`` instead.
+    """
 
     bits: int
-    counts: np.ndarray  # 2 x slots, log(1 + count) in half precision: the model is copied to every worker
+    counts: np.ndarray | None  # 2 x slots, log(1 + count)
     weights: np.ndarray = field(default_factory=lambda: np.full((8, ORDERS + 1, ORDERS), 0.3))
     apm: np.ndarray = field(default_factory=lambda: np.tile(
         1 / (1 + np.exp(-(np.arange(APM_CELLS) - APM_CELLS // 2) / 2.0)), (256, 1)))
 
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # n-grams scored so far, ascending
-    costs: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    def last(self, key: np.ndarray) -> np.ndarray:
+        """The last byte of context."""
+        return (key >> np.uint64(8) & np.uint64(255)).astype(np.int64)
 
     def inputs(self, key: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(log-odds of the orders, gate, bit) of bit ``k``; ``own`` occurrences of the bit itself don't count."""
@@ -154,7 +176,7 @@ class Model:
         """Probability of a 1: the mixer's and the refining table's, averaged."""
         at = np.clip(z * 2 + APM_CELLS // 2, 0, APM_CELLS - 1.001)
         low = at.astype(np.int64)
-        last = (key >> np.uint64(8) & np.uint64(255)).astype(np.int64)
+        last = self.last(key)
         table = self.apm[last, low] * (low + 1 - at) + self.apm[last, low + 1] * (at - low)
         return np.clip(0.5 * table + 0.5 / (1 + np.exp(-z)), 1e-6, 1 - 1e-6)
 
@@ -174,7 +196,7 @@ class Model:
     def apm_counts(self, key: np.ndarray, n: np.ndarray) -> np.ndarray:
         """2 x 256 x cells: weighted ones, and all, by last byte and predicted log-odds."""
         out = np.zeros((2, 256 * APM_CELLS))
-        last = (key >> np.uint64(8) & np.uint64(255)).astype(np.int64)
+        last = self.last(key)
         for k in range(8):
             odds, gate, bit = self.inputs(key, k, 1)
             at = np.clip(self.mixed(odds, gate, k) * 2 + APM_CELLS // 2, 0, APM_CELLS - 1.001)
@@ -194,226 +216,231 @@ class Model:
             out += np.log10(np.where(bit == 1, p, 1 - p))
         return out
 
-    def known_log10(self, distinct: np.ndarray) -> np.ndarray:
-        """``log10`` of ascending keys, asked for once while they are remembered."""
-        out = np.empty(len(distinct))
-        at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
-        hit = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
-        out[hit] = self.costs[at[hit]]
-        new = distinct[~hit]
-        if len(new):
-            cost = np.concatenate([self.log10(new[i:i + (1 << 15)]) for i in range(0, len(new), 1 << 15)])
-            out[~hit] = cost
-            if len(self.keys) + len(new) > REMEMBERED:
-                self.keys, self.costs = new, cost
-            else:
-                keys = np.concatenate([self.keys, new])
-                order = np.argsort(keys, kind="stable")
-                self.keys, self.costs = keys[order], np.concatenate([self.costs, cost])[order]
-        return out
 
-    def text_scores(self, texts: list[bytes]) -> np.ndarray:
-        """Total log10 probability of each text and its end."""
-        out = []
-        for s in blocks(texts, texts):
-            key, start = six_grams(texts[s])
-            distinct, place = np.unique(key, return_inverse=True)
-            out.append(np.add.reduceat(self.known_log10(distinct)[place], start))
-        return np.concatenate(out) if out else np.zeros(0)
+@dataclass
+class RangeModel(Model):
+    """A model of the n-grams of one range, in the order of ``by_context``, by exact counts."""
+
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    levels: list = field(default_factory=list)  # of each order: the place of each key, counts by bits known
+
+    @classmethod
+    def of(cls, key: np.ndarray, n: np.ndarray, cut: dict[tuple[int, int], np.ndarray]) -> RangeModel:
+        """From ascending distinct n-grams and their training counts; ``cut`` has (bytes, counts) of cut contexts."""
+        levels = []
+        for o in range(ORDERS):
+            node = key >> np.uint64(48 - 8 * o) << np.uint64(8) | key & np.uint64(255)
+            more, m = [np.zeros(0, np.uint64)], [n.astype(np.float64)]
+            for (order, context), (byte, times) in cut.items():
+                if order == o:
+                    m[0][node >> np.uint64(8) == np.uint64(context)] = 0
+                    more.append(np.uint64(context << 8) | byte.astype(np.uint64))
+                    m.append(times.astype(np.float64))
+            at, place = np.unique(np.concatenate([node, *more]), return_inverse=True)
+            sums = np.r_[0, np.cumsum(np.bincount(place, np.concatenate(m), len(at)))]
+            known = np.empty((9, len(at)), np.float32)
+            for k in range(9):
+                prefix = at >> np.uint64(8 - k)
+                first = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(at) else np.zeros(0, np.int64)
+                size = np.diff(np.r_[first, len(at)])
+                known[k] = np.repeat(sums[first + size] - sums[first], size)
+            levels.append((place[:len(key)].astype(np.int32), known))
+        return cls(0, None, keys=key, levels=levels)
+
+    def last(self, key: np.ndarray) -> np.ndarray:
+        return (key >> np.uint64(40)).astype(np.int64)
+
+    def inputs(self, key: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, key)
+        bit = (key >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
+        before = np.stack([known[k][place[at]] for place, known in self.levels])
+        same = np.stack([known[k + 1][place[at]] for place, known in self.levels])
+        other, same = before - same, same - np.float32(own)
+        gate = (same + other > 0.5).sum(axis=0)
+        return np.log((same + 0.4) / (other + 0.4)) * (2 * bit - 1), gate, bit
 
 
 # The Spark side -------------------------------------------------------------------------------------
 
-def _count_blocks(rows: DataFrame, n_shards: int) -> DataFrame:
-    """What each block of documents sends to each shard: kind 0 words, 1 its documents, 2 training n-grams."""
-    def count(batches):
+def _write_blocks(rows: DataFrame) -> DataFrame:
+    """(block, docs, th, train, texts, n_bytes): the documents of each block, written to the shared folder."""
+    def gather(batches):
         task, n_blocks = TaskContext.get().partitionId(), 0
-        edges = np.array([(i << 64) // n_shards for i in range(1, n_shards)], np.uint64)
         for b in sliced(batches):
-            ids, train = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), bool)
-            hashes = b.column(2).to_pylist()
             texts = [t or b"" for t in b.column(3).to_pylist()]
-            for s in blocks(ids, texts):
-                block = (task << 24) + n_blocks
-                n_blocks += 1
-                out = list(_word_rows(texts[s], train[s], block, edges))
-                n = np.array([len(words(t)) + 1 for t in texts[s]])
-                out.append((block % n_shards, 1, block, None, None, None, small(n), None))
-                out += _gram_rows([t for t, x in zip(texts[s], train[s]) if x], block, n_shards)
-                kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5)
-                none = [None] * (len(out))
-                docs, th, held = list(none), list(none), list(none)
-                at = next(i for i, r in enumerate(out) if r[1] == 1)
-                docs[at], th[at], held[at] = ids[s], hashes[s], (~train[s]).tolist()
+            for s in blocks(texts):
+                part = b.slice(s.start, s.stop - s.start)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, t) for c, t in zip(zip(*out), kinds)), pa.array(docs, pa.list_(b.column(0).type)),
-                     pa.array(th, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.bool_()))],
-                    names=["shard", "kind", "block", *"abcde", "docs", "th", "held"])
+                    [pa.array([(task << 24) + n_blocks]),
+                     *(pa.array([part.column(i).to_pylist()], pa.list_(part.column(i).type)) for i in range(3)),
+                     pa.array([texts[s]], pa.list_(pa.binary())), pa.array([sum(map(len, texts[s]))])],
+                    names=["block", "docs", "th", "train", "texts", "n_bytes"])
+                n_blocks += 1
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(count, f"{_SHARD_SCHEMA}, docs array<{kind}>, th array<bigint>, held array<boolean>")
+    return write_once(rows.mapInArrow(
+        gather, f"block long, docs array<{kind}>, th array<bigint>, train array<boolean>, texts array<binary>, "
+                "n_bytes long"), "lm-blocks")
+
+
+def _range_edges(rows: DataFrame, n_bytes: int, n_docs: int, n_ranges: int) -> np.ndarray:
+    """Ascending n-grams, by context, that cut what the blocks will send into ranges of about equal size.
+
+    Taken from a sample of documents, of bounded size; which ones are taken
+    changes the balance of the ranges alone.
+    """
+    share = min(1.0, max(SAMPLE_BYTES / max(1, n_bytes), 1000 / max(1, n_docs)))
+    step = max(1, math.ceil(share * n_bytes / SAMPLE_KEYS))
+
+    def sample(batches):
+        for b in sliced(batches):
+            texts = [t or b"" for t in b.column(0).to_pylist()]
+            for s in blocks(texts):
+                key = np.unique(by_context(six_grams(texts[s])[0]))
+                yield pa.RecordBatch.from_pydict({"a": [planes(key[mix64(key) % np.uint64(step) == 0])]})
+
+    taken = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << 20)) < int(share * (1 << 20))
+    got = [unplaned(r.a) for r in rows.where(taken).select("text").mapInArrow(sample, "a binary").collect()]
+    key = np.sort(np.concatenate(got)) if got else np.zeros(0, np.uint64)
+    return np.unique(key[np.arange(1, n_ranges) * len(key) // n_ranges]) if len(key) else key
 
 
-def _word_rows(texts: list[bytes], train: np.ndarray, block: int, edges: np.ndarray):
-    """Per shard: distinct words, their training counts, and (document, count) of each."""
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, documents) of all words and of the end of each text."""
     per_doc = [words(t.lower()) for t in texts]
     h = np.concatenate([np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)) for w in per_doc]
                        + [np.full(len(texts), _END)])
-    doc = np.r_[np.repeat(np.arange(len(texts)), [len(w) for w in per_doc]), np.arange(len(texts))]
-    order = np.argsort(h, kind="stable")
-    h, doc = h[order], doc[order]
-    at = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])
-    pair_h, pair_doc, pair_n = h[at], doc[at], np.diff(np.r_[at, len(h)])
-    first = np.flatnonzero(np.r_[True, pair_h[1:] != pair_h[:-1]])
-    word, per_word = pair_h[first], np.diff(np.r_[first, len(pair_h)])
-    trained = np.add.reduceat(pair_n * train[pair_doc], first)
-    cuts = [0, *np.searchsorted(word, edges).tolist(), len(word)]
-    ends = np.r_[first, len(pair_h)]
-    for shard, (i, j) in enumerate(zip(cuts, cuts[1:])):
-        if i < j:
-            p = slice(ends[i], ends[j])
-            yield (shard, 0, block, word[i:j].tobytes(), small(trained[i:j]), small(per_word[i:j]),
-                   small(pair_doc[p]), small(pair_n[p]))
-
-
-def _gram_rows(texts: list[bytes], block: int, n_shards: int):
-    if texts:
-        key, n = summed(six_grams(texts)[0])
-        shard = _shard_of(key, n_shards)
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
-        for s, (i, j) in enumerate(zip(cuts, cuts[1:])):
-            if i < j:
-                part = np.sort(order[i:j])
-                yield (s, 2, block, key[part].tobytes(), small(n[part]), None, None, None)
+    return h, np.r_[np.repeat(np.arange(len(texts)), [len(w) for w in per_doc]), np.arange(len(texts))]
+
+
+def _count_blocks(docs: DataFrame, edges: np.ndarray) -> DataFrame:
+    """(shard, block, a, b, c, d): distinct n-grams and words of a block in each range, and how often training has them."""
+    n = len(edges) + 1
+    word_edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+
+    def count(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                texts, train = b.column(1)[i].as_py(), np.array(b.column(2)[i].as_py(), bool)
+                key, start = six_grams(texts)
+                key, grams = summed(by_context(key), np.repeat(train, np.diff(np.r_[start, len(key)])).astype(np.int64))
+                h, doc = _word_hashes(texts)
+                h, counts = summed(h, train[doc].astype(np.int64))
+                g = [0, *np.searchsorted(key, edges).tolist(), len(key)]
+                w = [0, *np.searchsorted(h, word_edges).tolist(), len(h)]
+                here = [s for s in range(n) if g[s] < g[s + 1] or w[s] < w[s + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(here, pa.int32()), pa.array([b.column(0)[i].as_py()] * len(here), pa.int64()),
+                     pa.array([planes(key[g[s]:g[s + 1]]) for s in here], pa.binary()),
+                     pa.array([small(grams[g[s]:g[s + 1]]) for s in here], pa.binary()),
+                     pa.array([h[w[s]:w[s + 1]].tobytes() for s in here], pa.binary()),
+                     pa.array([small(counts[w[s]:w[s + 1]]) for s in here], pa.binary())],
+                    names=["shard", "block", *"abcd"])
+
+    return docs.select("block", "texts", "train").mapInArrow(
+        count, "shard int, block long, a binary, b binary, c binary, d binary")
 
 
 def _merge_shards(sent: DataFrame) -> DataFrame:
-    """Per shard: documents' sums back to each block (0), documents (1), merged n-grams (2), totals (3)."""
-    schema = sent.schema
+    """A row per range: its n-grams (a) and training counts (b), and where the n-grams of each block are among them.
 
+    blocks, places and words (the training counts of a block's words) go
+    together; n_train and n_words are the words' totals.
+    """
     def merge(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        out = [r for r in rows if r["kind"] == 1]
-        shard = rows[0]["shard"]
-        empty = dict.fromkeys(table.column_names) | {"shard": shard, "block": -1}
-        some = [r for r in rows if r["kind"] == 0]
-        if some:
-            word = [np.frombuffer(r["a"], np.uint64) for r in some]
-            n = [large(r["b"]) for r in some]
-            distinct, place = np.unique(np.concatenate(word), return_inverse=True)
-            count = np.bincount(place, np.concatenate(n), len(distinct))
-            value, at = np.log10(count + 1), 0
-            for r, w in zip(some, word):
-                mine, at = place[at:at + len(w)], at + len(w)
-                of, doc, times = np.repeat(mine, large(r["c"])), large(r["d"]), large(r["e"])
-                logs = np.bincount(doc, value[of] * times)
-                known = np.bincount(doc, times * (count[of] > 0))
-                there = np.flatnonzero(np.bincount(doc))
-                out.append(empty | {"kind": 0, "block": r["block"], "a": logs[there].tobytes(),
-                                    "b": small(known[there]), "c": small(there)})
-            out.append(empty | {"kind": 3, "b": small(np.array([int(count.sum()), int((count > 0).sum())]))})
-        grams = [r for r in rows if r["kind"] == 2]
-        if grams:
-            key, n = summed(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in grams]),
-                            np.concatenate([large(r["b"]) for r in grams]))
-            out.append(empty | {"kind": 2, "a": key.tobytes(), "b": small(n)})
-        return pa.Table.from_pylist(out, schema=table.schema)
-
-    return sent.groupBy("shard").applyInArrow(merge, schema)
-
-
-def _base_rows(merged: DataFrame) -> DataFrame:
-    """(doc_id, th, held_out, n_tokens, n_known, logs): a row per document, from its block's sums."""
-    kind = merged.schema["docs"].dataType.elementType.simpleString()
-
-    def gather(table: pa.Table) -> pa.Table:
-        docs = {"docs": [], "th": [], "held": [], "n": np.zeros(0, np.int64)}
-        rows = table.to_pylist()
-        for r in rows:
-            if r["kind"] == 1:
-                docs = {"docs": r["docs"], "th": r["th"], "held": r["held"], "n": large(r["d"])}
-        logs, known = np.zeros(len(docs["docs"])), np.zeros(len(docs["docs"]), np.int64)
-        for r in sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["shard"]):
-            there = large(r["c"])
-            logs[there] += np.frombuffer(r["a"])
-            known[there] += large(r["b"])
-        return pa.table([pa.array(docs["docs"], table.schema.field("docs").type.value_type),
-                         pa.array(docs["th"], pa.int64()), pa.array(docs["held"], pa.bool_()),
-                         pa.array(docs["n"]), pa.array(known), pa.array(logs)],
-                        names=["doc_id", "th", "held_out", "n_tokens", "n_known", "logs"])
-
-    return merged.where("kind in (0, 1)").groupBy("block").applyInArrow(
-        gather, f"doc_id {kind}, th long, held_out boolean, n_tokens long, n_known long, logs double")
-
-
-def _count_tables(grams: DataFrame, bits: int) -> np.ndarray:
-    """Logarithms of both bits' counts per slot: summed by ranges of slots, so a bounded table reaches the driver."""
-    span = 1 << 16
-    total = sum(table_sizes(bits))
-
-    def spread(batches):
+        table = table.sort_by("block")
+        keys = [unplaned(x) for x in table.column("a").to_pylist()]
+        distinct, n, place = merged(keys, [large(x) for x in table.column("b").to_pylist()])
+        heard = [np.frombuffer(x, np.uint64) for x in table.column("c").to_pylist()]
+        word, times, at = merged(heard, [large(x) for x in table.column("d").to_pylist()])
+        cut, cut_w = np.cumsum([len(k) for k in keys])[:-1], np.cumsum([len(k) for k in heard])[:-1]
+        return pa.table({
+            "shard": table.column("shard")[:1], "a": [planes(distinct)], "b": [small(n)],
+            "blocks": [table.column("block").to_pylist()],
+            "places": [[small(np.diff(p, prepend=0)) for p in np.split(place, cut)]],
+            "words": [[small(times[p]) for p in np.split(at, cut_w)]],
+            "n_train": [int(times.sum())], "n_words": [int((times > 0).sum())]})
+
+    return sent.groupBy("shard").applyInArrow(
+        merge, "shard int, a binary, b binary, blocks array<bigint>, places array<binary>, words array<binary>, "
+               "n_train long, n_words long")
+
+
+def _edge_counts(grams: DataFrame, edges: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """Byte counts, over all ranges, of the contexts that an edge cuts, by (order, context).
+
+    Summed by Spark; a range cuts at most one context per order, so this is
+    some hundred numbers for each SHARD_BYTES of text.
+    """
+    def send(batches):
         for b in batches:
-            for a, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                key, n = np.frombuffer(a, np.uint64), large(n)
-                for k in range(8):
-                    bit = (key >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
-                    for at in slots(key, k, bits):
-                        cell, m = summed(at * 2 + bit, n)
-                        cuts = np.searchsorted(cell, np.arange(0, 2 * total + 2 * span, 2 * span))
-                        r = np.flatnonzero(cuts[1:] > cuts[:-1])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(r, pa.int32()),
-                             pa.array([small(cell[cuts[x]:cuts[x + 1]] - 2 * span * x) for x in r], pa.binary()),
-                             pa.array([small(m[cuts[x]:cuts[x + 1]]) for x in r], pa.binary())],
-                            names=["range", "cell", "n"])
-
-    def add(table: pa.Table) -> pa.Table:
-        out = np.zeros(2 * span)
-        for c, n in zip(table.column("cell").to_pylist(), table.column("n").to_pylist()):
-            out += np.bincount(large(c), large(n), 2 * span)
-        return pa.table({"range": table.column("range")[:1], "n": pa.array([out.astype("<f4").tobytes()])})
-
-    parts = grams.select("a", "b").mapInArrow(spread, "range int, cell binary, n binary") \
-        .groupBy("range").applyInArrow(add, "range int, n binary").collect()
-    out = np.zeros((-(-total // span), 2 * span), np.float32)
-    for r in parts:
-        out[r.range] = np.frombuffer(r.n, "<f4")
-    return np.ascontiguousarray(np.log1p(out.reshape(-1, 2).T).astype(np.float16))
-
-
-def fit(grams: DataFrame, bits: int = BITS) -> Model:
-    """The model from merged training n-grams (a: keys, b: counts, one row per shard)."""
-    sc = grams.sparkSession.sparkContext
-    model = Model(bits, _count_tables(grams, bits))
-    shared = sc.broadcast(model)
+            for shard, a, n in zip(*(c.to_pylist() for c in b.columns)):
+                key, n = unplaned(a), large(n)
+                for o, context in _cut_contexts(edges, shard):
+                    here = key >> np.uint64(48 - 8 * o) == np.uint64(context)
+                    byte = np.bincount((key[here] & np.uint64(255)).astype(np.int64), n[here], 256).astype(np.int64)
+                    at = np.flatnonzero(byte)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), o)), pa.array(np.full(len(at), context)), pa.array(at),
+                         pa.array(byte[at])], names=["o", "context", "byte", "n"])
+
+    rows = grams.mapInArrow(send, "o long, context long, byte long, n long") \
+        .groupBy("o", "context", "byte").agg(F.sum("n").alias("n")).collect()
+    out = {}
+    for r in rows:
+        out.setdefault((r.o, r.context), []).append((r.byte, r.n))
+    return {k: np.array(sorted(v), np.int64).T for k, v in out.items()}
+
+
+def _cut_contexts(edges: np.ndarray, shard: int) -> list[tuple[int, int]]:
+    """(order, context) of the contexts that the edges of a range lie in."""
+    mine = [int(e) for e in edges[max(0, shard - 1):shard + 1]]
+    return sorted({(o, e >> 48 - 8 * o) for e in mine for o in range(ORDERS)})
+
+
+def _totals(rows: DataFrame) -> np.ndarray:
+    """Sums of the number ``x`` by cell, in whole 2^-20ths so that the order of rows doesn't matter."""
+    got = rows.groupBy("cell").agg(F.sum(F.round(F.col("x") * (1 << 20)).cast("long")).alias("x")).collect()
+    out = np.zeros(max((r.cell for r in got), default=-1) + 1)
+    for r in got:
+        out[r.cell] = r.x / (1 << 20)
+    return out
+
+
+def _cells(x: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(x)
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(x[at])], names=["cell", "x"])
+
+
+def fit(grams: DataFrame, counts) -> Model:
+    """Weights and refining table from the ranges' training n-grams; ``counts`` makes the counts of a range."""
+    model = Model(0, None)
+    shape = model.weights.shape
 
     def weigh(batches):
         for b in batches:
-            for a, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = Model(bits, shared.value.counts)
-                own.learn(np.frombuffer(a, np.uint64), large(n))
-                yield pa.RecordBatch.from_pydict({"w": [own.weights.ravel().tolist()], "n": [float(large(n).sum())]})
-
-    learned = grams.select("a", "b").mapInArrow(weigh, "w array<double>, n double").collect()
-    if learned:
-        learned.sort(key=lambda r: (r.n, r.w))
-        model.weights = np.average([r.w for r in learned], axis=0, weights=[r.n for r in learned]) \
-            .reshape(model.weights.shape)
+            for shard, a, n in zip(*(c.to_pylist() for c in b.columns)):
+                own, key, m = counts(shard, a, n)
+                if len(key):
+                    own.learn(key, m)
+                    yield _cells(np.r_[m.sum(), own.weights.ravel() * m.sum()])
+
+    learned = _totals(grams.mapInArrow(weigh, "cell int, x double"))
+    if len(learned):
+        model.weights = np.pad(learned, (0, 1 + math.prod(shape) - len(learned)))[1:].reshape(shape) / learned[0]
     weights = model.weights
 
     def refine(batches):
         for b in batches:
-            for a, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = Model(bits, shared.value.counts, weights)
-                counts = sum((own.apm_counts(key, m) for key, m in _parts(np.frombuffer(a, np.uint64), large(n))),
-                             np.zeros((2, 256, APM_CELLS)))
-                yield pa.RecordBatch.from_pydict({"c": [counts.tobytes()]})
-
-    refined = sorted(r.c for r in grams.select("a", "b").mapInArrow(refine, "c binary").collect())
-    counts = sum((np.frombuffer(c).reshape(2, 256, APM_CELLS) for c in refined), np.zeros((2, 256, APM_CELLS)))
-    model.apm = (counts[0] + 16 * model.apm) / (counts[1] + 16)
-    shared.destroy()
+            for shard, a, n in zip(*(c.to_pylist() for c in b.columns)):
+                own, key, m = counts(shard, a, n)
+                own.weights = weights
+                yield _cells(sum((own.apm_counts(*part) for part in _parts(key, m)),
+                                 np.zeros((2, 256, APM_CELLS))).ravel())
+
+    refined = _totals(grams.mapInArrow(refine, "cell int, x double"))
+    refined = np.pad(refined, (0, 2 * 256 * APM_CELLS - len(refined))).reshape(2, 256, APM_CELLS)
+    model.apm = (refined[0] + 16 * model.apm) / (refined[1] + 16)
     return model
 
 
@@ -422,39 +449,89 @@ def _parts(key: np.ndarray, n: np.ndarray):
         yield key[i:i + (1 << 16)], n[i:i + (1 << 16)]
 
 
+def _judged(shards: DataFrame, counts, model: Model) -> DataFrame:
+    """(block, shard, costs, words): log10 probabilities of a block's n-grams in a range, and its words' counts."""
+    weights, apm = model.weights, model.apm
+
+    def judge(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                shard, a, n, of, places, heard = (c[i].as_py() for c in b.columns)
+                own, key, _ = counts(shard, a, n, trained=False)
+                own.weights, own.apm = weights, apm
+                cost = np.concatenate([own.log10(part) for part, _ in _parts(key, key)] or [np.zeros(0)]).astype("<f4")
+                for j in range(0, len(of), 64):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(of[j:j + 64], pa.int64()), pa.array([shard] * len(of[j:j + 64]), pa.int32()),
+                         pa.array([cost[np.cumsum(large(p))].tobytes() for p in places[j:j + 64]], pa.binary()),
+                         pa.array(heard[j:j + 64], pa.binary())], names=["block", "shard", "costs", "words"])
+
+    return shards.select("shard", "a", "b", "blocks", "places", "words").mapInArrow(
+        judge, "block long, shard int, costs binary, words binary")
+
+
+def _document_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, logs, score, n_bytes): a row per document, from its block's costs."""
+    kind = docs.schema["docs"].dataType.elementType.simpleString()
+
+    def gather(block: pa.Table, costs: pa.Table) -> pa.Table:
+        row, costs = block.to_pylist()[0], costs.sort_by("shard")
+        texts = row["texts"]
+        cost = np.concatenate([np.frombuffer(c, "<f4") for c in costs.column("costs").to_pylist()]).astype(float)
+        key, start = six_grams(texts)
+        score = np.add.reduceat(cost[np.unique(by_context(key), return_inverse=True)[1]], start)
+        h, doc = _word_hashes(texts)
+        times = np.concatenate([large(w) for w in costs.column("words").to_pylist()])[
+            np.unique(h, return_inverse=True)[1]]
+        n = len(texts)
+        return pa.table([pa.array(row["docs"], block.schema.field("docs").type.value_type),
+                         pa.array([not t for t in row["train"]]), pa.array(np.bincount(doc, minlength=n)),
+                         pa.array(np.bincount(doc, times > 0, n).astype(np.int64)),
+                         pa.array(np.bincount(doc, np.log10(times + 1), n)), pa.array(score),
+                         pa.array([len(t) + 1 for t in texts], pa.int64())],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "n_bytes"])
+
+    return docs.select("block", "docs", "train", "texts").groupBy("block").cogroup(judged.groupBy("block")) \
+        .applyInArrow(gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, "
+                              "score double, n_bytes long")
+
+
 def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-                    bits: int = BITS) -> DataFrame:
+                    bits: int | None = None) -> DataFrame:
     """Base score and model score of every row, learned from the rows where ``train`` holds.
 
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte).  A null text counts as empty: one token, its end.  A row
     where ``train`` is null is held out.  Without training rows every count is
     0 and the predictors know nothing: the base score is 0 for each token.
-    Rows that repeat score alike.  Words are counted by 64-bit hashes.
+    Rows that repeat score alike.  Words are counted by 64-bit hashes, n-grams
+    exactly; ``bits``, once the size of a hashed table, bounds nothing any more.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    n_shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"),
-                       F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("binary").alias("text"))
-    merged = write_once(_merge_shards(_count_blocks(rows, n_shards)), "lm-merged")
-    totals = [large(r.b) for r in merged.where("kind = 3").select("b").collect()]
-    n_train, n_words = (int(sum(t[i] for t in totals)) for i in (0, 1))
-    grams = merged.where("kind = 2").select("a", "b")
-    model = spark.sparkContext.broadcast(fit(grams, bits))
-
-    def judge(batches):
-        for b in sliced(batches):
-            texts = [t or b"" for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(model.value.text_scores(texts)),
-                 pa.array([len(t) + 1 for t in texts], pa.int64())], names=["id_", "th_", "score", "n_bytes"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scores = rows.select("doc_id", "th", "text").mapInArrow(
-        judge, f"id_ {kind}, th_ long, score double, n_bytes long").dropDuplicates(["id_", "th_"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"),
+                       F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("binary").alias("text"))
+    held = _write_blocks(rows)
+    size = held.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes"),
+                    F.coalesce(F.sum(F.size("docs")), F.lit(0)).alias("n")).first()
+    n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = _range_edges(rows, size.bytes, size.n, n_ranges)
+    shards = write_once(_merge_shards(_count_blocks(held, edges)), "lm-merged")
+    n_train, n_words = shards.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    grams = shards.select("shard", "a", "b")
+    shared = spark.sparkContext.broadcast((edges, _edge_counts(grams, edges)))
+
+    def counts(shard: int, a: bytes, n: bytes, trained: bool = True):
+        """The counts of a range, and its n-grams: those of training with how often they occur, or all."""
+        key, n = unplaned(a), large(n)
+        if trained:
+            key, n = key[n > 0], n[n > 0]
+        edges, sums = shared.value
+        cut = {c: sums.get(c, np.zeros((2, 0), np.int64)) for c in _cut_contexts(edges, shard)}
+        return RangeModel.of(key, n, cut), key, n
+
+    rows = _document_rows(held, _judged(shards, counts, fit(grams, counts)))
     each = math.log10(n_train + n_words + 1)
-    return _base_rows(merged).join(scores, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_"))) \
-        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
-                (F.col("logs") - F.col("n_tokens") * F.lit(each)).alias("base_score"), "score",
-                (-F.col("score") / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"))
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
+                       (F.col("logs") - F.col("n_tokens") * F.lit(each)).alias("base_score"), "score",
+                       (-F.col("score") / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"))

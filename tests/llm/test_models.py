@@ -108,6 +108,52 @@ def test_bit_probabilities_sum_to_one():
         assert (10 ** model.log10(key)).sum() == pytest.approx(1)
 
 
+def test_counts_of_ranges_against_plain_python():
+    """Every order's counts are exact, also of contexts that the edges of ranges cut, and an unseen one is unseen."""
+    texts = [b"the tree that the thief then threw " * 3, b"there, then, the theme", b"zzz e e e e e"]
+    unseen = [b"the quiet qqqqqq thx"]
+    counts = Counter(g[i:i + 6] for t in texts for g in [b"\0" * 5 + t + b"\0"] for i in range(len(t) + 1))
+    key, n = bm.summed(bm.by_context(bm.six_grams(texts)[0]))
+    asked = np.unique(bm.by_context(np.concatenate([bm.six_grams(texts)[0], bm.six_grams(unseen)[0]])))
+    for edges in (np.zeros(0, np.uint64), key[5::9]):
+        shard, sums = np.searchsorted(edges, key, side="right"), {}
+        for s in range(len(edges) + 1):
+            for o, context in bm._cut_contexts(edges, s):
+                here = key >> np.uint64(48 - 8 * o) == np.uint64(context)
+                byte = np.bincount((key[here] & np.uint64(255)).astype(int), n[here], 256)
+                sums[o, context] = np.stack([np.arange(256), byte])
+        for s in range(len(edges) + 1):
+            mine = asked[np.searchsorted(edges, asked, side="right") == s]
+            there = np.isin(mine, key)
+            all_n = np.zeros(len(mine), np.int64)
+            all_n[there] = n[shard == s]
+            model = bm.RangeModel.of(mine, all_n, {c: sums[c] for c in bm._cut_contexts(edges, s)})
+            for k in range(8):
+                odds, gate, bit = model.inputs(mine, k, 0)
+                for j, x in enumerate(mine.tolist()):
+                    context, byte = bytes(x >> 8 * (i + 1) & 255 for i in range(5)), x & 255
+                    seen = 0
+                    for o in range(bm.ORDERS):
+                        n01 = [sum(c for g, c in counts.items() if g[5 - o:5] == context[5 - o:]
+                                   and g[5] >> 7 - k == byte >> 8 - k << 1 | b) for b in (0, 1)]
+                        assert odds[o, j] == pytest.approx(math.log((n01[1] + .4) / (n01[0] + .4)), abs=1e-5)
+                        seen += sum(n01) > 0
+                    assert gate[j] == seen and bit[j] == byte >> 7 - k & 1
+
+
+def test_model_grows_with_the_text(spark):
+    """What is kept of the training text is every distinct n-gram, and a held-out text's n-grams count for nothing."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join("".join(map(chr, rng.integers(97, 123, 6))) for _ in range(300)), "en", "a") for i in range(40)]
+    held_docs = bm._write_blocks(frame(spark, rows, []).selectExpr(
+        "doc_id", "xxhash64(text) th", "doc_id % 2 = 0 train", "cast(text as binary) text"))
+    key = np.unique(bm.six_grams([t.encode() for i, t, _, _ in rows if i % 2 == 0])[0])
+    edges = np.sort(bm.by_context(key))[::len(key) // 5]
+    shards = bm._merge_shards(bm._count_blocks(held_docs, edges)).collect()
+    got = np.concatenate([bm.unplaned(r.a)[bm.large(r.b) > 0] for r in shards])
+    assert len(shards) > 4 and sorted(got.tolist()) == sorted(bm.by_context(key).tolist())
+
+
 def test_six_grams():
     key, start = bm.six_grams([b"ab", b"", b"xyz"])
     want = [[b"ab\0"[:i + 1].rjust(6, b"\0") for i in range(3)], [b"\0" * 6],
