@@ -6,6 +6,10 @@ those of its source names the block it gets: the source's documents in a
 hashed order, laid end to end and repeated up to ``MAX_EPOCHS`` times, cut
 into blocks of equal token counts.  Positions come from a two-level prefix
 sum (buckets, then rows of a bucket), so no source passes through one task.
+Each source is then settled against its own target, to the word: its last
+block is cut there, slots beyond it stay empty, and blocks that the schedule
+has no slot for (all of a source whose target is below a slot) follow the last
+slot.
 """
 
 from __future__ import annotations
@@ -74,11 +78,22 @@ class Plan:
     block: int
     slots: int
 
+    def quotas(self) -> list[int]:
+        """Words each source gives: its target in whole words, what rounding leaves to the largest fractions."""
+        out = [math.floor(t + 1e-6) for t in self.targets]
+        left = round(sum(self.targets)) - sum(out)
+        for i in sorted(range(len(out)), key=lambda i: (out[i] - self.targets[i], i)):
+            if left > 0 and out[i] < MAX_EPOCHS * self.sizes[i]:
+                out[i] += 1
+                left -= 1
+        return out
+
     def table(self, spark: SparkSession) -> DataFrame:
-        """One row per source, a bounded table: its totals, target and number of buckets."""
-        rows = [(s, z, t, max(1, math.ceil(n / BUCKET_ROWS)), i)
-                for i, (s, z, n, t) in enumerate(zip(self.sources, self.sizes, self.rows, self.targets))]
-        return spark.createDataFrame(rows, "source string, source_size long, target double, buckets int, k int")
+        """One row per source, a bounded table: its totals, target, words to give and number of buckets."""
+        rows = [(s, z, t, q, max(1, math.ceil(n / BUCKET_ROWS)), i) for i, (s, z, n, t, q) in
+                enumerate(zip(self.sources, self.sizes, self.rows, self.targets, self.quotas()))]
+        return spark.createDataFrame(
+            rows, "source string, source_size long, target double, quota long, buckets int, k int")
 
 
 def plan_mix(sized: DataFrame, block_words: int = BLOCK_WORDS) -> Plan:
@@ -127,6 +142,18 @@ def slot_schedule(spark: SparkSession, plan: Plan) -> DataFrame:
     return dealt.join(before, ["k", "chunk"]).select("slot", "k", (F.col("rank") + F.col("before")).alias("rank"))
 
 
+def settled_slots(spark: SparkSession, plan: Plan) -> DataFrame:
+    """(slot, k, rank) of every block that a source gives: scheduled ones, and those without a slot after them."""
+    schedule = slot_schedule(spark, plan)
+    blocks = [math.ceil(q / plan.block) for q in plan.quotas()]
+    got = dict(schedule.groupBy("k").agg(F.count(F.lit(1))).collect())  # a row per source, like the plan
+    missing = sorted((rank, (k + 0.5) * GOLDEN % 1.0, k) for k, n in enumerate(blocks) for rank in range(got.get(k, 0), n))
+    most = spark.createDataFrame([*enumerate(blocks)], "k long, blocks long")
+    after = spark.createDataFrame([(plan.slots + i, k, rank) for i, (rank, _, k) in enumerate(missing)],
+                                  "slot long, k long, rank long")
+    return schedule.join(F.broadcast(most), "k").where("rank < blocks").select("slot", "k", "rank").unionByName(after)
+
+
 def place(rows: DataFrame, plan: Plan, seed: int = 0) -> DataFrame:
     """``rows`` (source, doc_id, th, size and more) with k, bucket, rn and start, the words of its source before it."""
     sources = plan.table(rows.sparkSession).withColumnRenamed("source", "s_")
@@ -149,10 +176,11 @@ def block_pieces(placed: DataFrame, plan: Plan) -> DataFrame:
     begin = F.col("epoch") * F.col("source_size") + F.col("start")
     out = placed.where("size > 0") \
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)))) \
-        .withColumn("begin", begin.cast("long")) \
-        .withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / n), F.floor((F.col("begin") + size - 1) / n))))
-    low, high = F.greatest("begin", F.col("rank") * n), F.least(F.col("begin") + size, (F.col("rank") + 1) * n)
-    return out.withColumns({"from_word": low - F.col("begin"), "n_words": high - low}).drop("begin")
+        .withColumn("begin", begin.cast("long")).where("begin < quota") \
+        .withColumn("end", F.least(F.col("begin") + size, F.col("quota"))) \
+        .withColumn("rank", F.explode(F.sequence(F.floor(F.col("begin") / n), F.floor((F.col("end") - 1) / n))))
+    low, high = F.greatest("begin", F.col("rank") * n), F.least("end", (F.col("rank") + 1) * n)
+    return out.withColumns({"from_word": low - F.col("begin"), "n_words": high - low}).drop("begin", "end")
 
 
 def mix_slots(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -168,7 +196,7 @@ def mix_slots(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     sized = write_once(count_words(docs, doc_id, text, source), "mix-sizes")
     plan = plan_mix(sized, block_words)
     placed = write_once(place(sized, plan, seed), "mix-places")
-    pieces = block_pieces(placed, plan).join(slot_schedule(docs.sparkSession, plan), ["k", "rank"])
+    pieces = block_pieces(placed, plan).join(settled_slots(docs.sparkSession, plan), ["k", "rank"])
     return placed, pieces, plan
 
 
@@ -205,20 +233,17 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
                   seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` as the mix holds it: a row for each time a document is taken, cut where its source ends.
 
-    The slots of ``slot_schedule`` say how many blocks each source gives; they
-    are its first ones, so each source ends within one document, whose text is
-    cut after the last word taken.  Wordless documents aren't taken.  Returns
+    Each source gives its target in whole words, the first of its hashed order,
+    so it ends within one document, whose text is cut after the last word taken.  Wordless documents aren't taken.  Returns
     the columns of ``docs``.
     """
-    spark = docs.sparkSession
     plan = plan_mix(count_words(docs, doc_id, text, source), block_words)
-    used = slot_schedule(spark, plan).groupBy("k").agg((F.count(F.lit(1)) * plan.block).alias("words"))
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(doc_id).alias("doc_id"),
                        F.col(source).cast("string").alias("source"), F.xxhash64(F.col(text)).alias("th"),
                        word_count(F.col(text)).alias("size")).where("size > 0")
-    placed = place(rows, plan, seed).join(F.broadcast(used), "k")
-    taken = F.least(F.col("words") - F.col("epoch") * F.col("source_size") - F.col("start"), F.col("size"))
+    placed = place(rows, plan, seed)
+    taken = F.least(F.col("quota") - F.col("epoch") * F.col("source_size") - F.col("start"), F.col("size"))
     out = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)))) \
         .withColumn("take", taken).where("take > 0")
     whole = F.col("take") == F.col("size")

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from caseflow.llm import mixing
-from tests.llm.conftest import EDGE
+from tests.llm.conftest import EDGE, frame
 
 
 def n_words(t):
@@ -81,6 +81,28 @@ def test_mixed_pieces_fill_their_slots(docs):
     assert max(by_slot.values()) == plan.block
 
 
+@pytest.mark.parametrize("least", [1, 60])
+def test_each_source_gives_its_own_target(spark, monkeypatch, least):
+    """Sources far below a block, and more of them than slots, are taken to the word."""
+    monkeypatch.setattr(mixing, "CHUNK", 20)
+    rows = [(i, "w " * 400, "en", "big") for i in range(20)]
+    rows += [(100 + 2 * i + j, "v " * (least + i), "en", f"s{i:02}") for i in range(40) for j in range(2)]
+    df, sizes = frame(spark, rows, []), Counter()
+    for _, t, _, s in rows:
+        sizes[s] += n_words(t)
+    want = targets(sizes)
+    assert min(want.values()) < sum(sizes.values()) // 20
+    source, taken, mixed = {r[0]: r[3] for r in rows}, Counter(), Counter()
+    for r in mixing.mix_report(df).collect():
+        taken[source[r.doc_id]] += r.taken
+    for r in mixing.mix_documents(df).collect():
+        mixed[r.source] += n_words(r.text)
+    assert all(abs(taken[s] - want[s]) < 1 for s in sizes) and mixed == taken
+    assert sum(taken.values()) == sum(sizes.values())
+    pieces = mixing.mix_slots(df)[1].collect()
+    assert len({(r.k, r["rank"]) for r in pieces}) == len({r.slot for r in pieces})
+
+
 def test_mixed_documents_are_whole_but_for_the_last_of_a_source(edge, docs):
     for df in (edge, docs):
         out = mixing.mix_documents(df)
