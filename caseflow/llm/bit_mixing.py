@@ -13,8 +13,9 @@ probability, or bits per byte.
 
 Counts grow with the corpus and stay in the shared folder.  A block of documents
 sends its distinct n-grams to ranges of the order (last context byte, the one
-before it, ..., byte), and its distinct words to ranges of their hashes.  A
-sample sets the edges of the ranges, so a frequent context is cut over as many ranges as it needs.  A range holds
+before it, ..., byte), and its distinct words to ranges of their hashes.  The
+number of ranges follows the size of the input, and a sample sets their edges,
+so a frequent context is cut over as many ranges as it needs.  A range holds
 all counts of all its contexts but of those that an edge lies in; these are
 summed over the ranges.  What a range makes of a block's n-grams and words goes
 back to the block, one number each, where the documents' sums are made.
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
@@ -283,6 +284,11 @@ def _write_blocks(rows: DataFrame) -> DataFrame:
                 "n_bytes long"), "lm-blocks")
 
 
+def _n_ranges(spark: SparkSession, n_bytes: int) -> int:
+    """One for each SHARD_BYTES of text, and at least the session's number of shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / SHARD_BYTES))
+
+
 def _range_edges(rows: DataFrame, n_bytes: int, n_docs: int, n_ranges: int) -> np.ndarray:
     """Ascending n-grams, by context, that cut what the blocks will send into ranges of about equal size.
 
@@ -297,7 +303,7 @@ def _range_edges(rows: DataFrame, n_bytes: int, n_docs: int, n_ranges: int) -> n
             texts = [t or b"" for t in b.column(0).to_pylist()]
             for s in blocks(texts):
                 key = np.unique(by_context(six_grams(texts[s])[0]))
-                yield pa.RecordBatch.from_pydict({"a": [planes(key[mix64(key) % np.uint64(step) == 0])]})
+                yield pa.RecordBatch.from_pydict({"a": [planes(key[len(key) % step::step])]})
 
     taken = F.pmod(F.xxhash64("doc_id", "th"), F.lit(1 << 20)) < int(share * (1 << 20))
     got = [unplaned(r.a) for r in rows.where(taken).select("text").mapInArrow(sample, "a binary").collect()]
@@ -514,8 +520,7 @@ def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text
     held = _write_blocks(rows)
     size = held.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes"),
                     F.coalesce(F.sum(F.size("docs")), F.lit(0)).alias("n")).first()
-    n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = _range_edges(rows, size.bytes, size.n, n_ranges)
+    edges = _range_edges(rows, size.bytes, size.n, _n_ranges(spark, size.bytes))
     shards = write_once(_merge_shards(_count_blocks(held, edges)), "lm-merged")
     n_train, n_words = shards.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     grams = shards.select("shard", "a", "b")

@@ -154,6 +154,22 @@ def test_model_grows_with_the_text(spark):
     assert len(shards) > 4 and sorted(got.tolist()) == sorted(bm.by_context(key).tolist())
 
 
+def test_a_frequent_context_is_cut_over_ranges(spark):
+    """Nearly all n-grams follow the same two bytes; no range gets a large part of them, nor of the words' rows."""
+    assert bm._n_ranges(spark, 1 << 40) == (1 << 40) // bm.SHARD_BYTES
+    rng = np.random.default_rng(4)
+    # three random bytes and then the pair, so that the byte after a pair has a context of its own
+    rows = [(i, "".join("".join(map(chr, rng.integers(97, 123, 3))) + "e " for _ in range(2000)), "en", "a")
+            for i in range(40)]
+    df = frame(spark, rows, []).selectExpr(
+        "doc_id", "xxhash64(text) th", "true train", "cast(text as binary) text")
+    edges = bm._range_edges(df, sum(len(r[1]) for r in rows), len(rows), 50)
+    sizes = [len(bm.unplaned(r.a)) for r in bm._merge_shards(bm._count_blocks(bm._write_blocks(df), edges)).collect()]
+    assert len(sizes) > 45 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    pair = ord(" ") << 8 | ord("e")
+    assert sum(int(e) >> 32 == pair for e in edges) >= 4
+
+
 def test_six_grams():
     key, start = bm.six_grams([b"ab", b"", b"xyz"])
     want = [[b"ab\0"[:i + 1].rjust(6, b"\0") for i in range(3)], [b"\0" * 6],
