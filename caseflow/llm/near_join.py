@@ -69,7 +69,7 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, member, n_grams, bands) of each row; member is the 128-bit digest of the n-gram set, null if empty."""
+    """(doc_id, th, member, n_grams, bands) of each row (doc_id, text, th); member is the 128-bit digest of the n-gram set, null if empty."""
     def sketch(batches: Iterator[pa.RecordBatch]):
         for b in sliced(batches):
             member, size, hashes = [], [], []
@@ -79,10 +79,10 @@ def _sketch(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 size.append(len(g))
                 hashes.append(band_hashes(g, bands, rows).astype(np.int64) if len(g) else [])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(member, pa.binary()), pa.array(size, pa.int32()),
-                 pa.array(hashes, pa.list_(pa.int64()))], names=["doc_id", "member", "n_grams", "bands"])
+                [b.column(0), b.column(2), pa.array(member, pa.binary()), pa.array(size, pa.int32()),
+                 pa.array(hashes, pa.list_(pa.int64()))], names=["doc_id", "th", "member", "n_grams", "bands"])
 
-    return docs.mapInArrow(sketch, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, member binary, "
+    return docs.mapInArrow(sketch, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, th long, member binary, "
                                    "n_grams int, bands array<bigint>")
 
 
@@ -234,9 +234,16 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     least id that isn't null.  Rows that repeat an id and a text count as copies.  An empty table gives no rows.  n-grams are compared by 64-bit
     hashes, sets by 128-bit digests.
     """
+    return _classes(docs, doc_id, text, n, threshold, recall).select("doc_id", "class_id", "n_copies", "n_links")
+
+
+def _classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD,
+             recall: float = RECALL) -> DataFrame:
+    """``near_duplicate_classes`` with th, the hash of a row's text, and root, its class; null where it has no n-grams."""
     small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"),
+                        F.xxhash64(F.col(text)).alias("th"))
     sketch = write_once(_sketch(texts, n, bands, rows), "near-sketch")
     members = sketch.where("member is not null").groupBy("member").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.first("n_grams").alias("n_grams"),
@@ -295,21 +302,31 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     named = named.withColumn("root", F.coalesce("root", "member"))
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
     named = write_once(named.join(least, "root").select(
-        "member", "class_id", "copies", F.coalesce("docs", F.lit(0)).alias("docs")), "near-classes")
+        "member", "root", "class_id", "copies", F.coalesce("docs", F.lit(0)).alias("docs")), "near-classes")
     # a member with very many copies is one row of ``named``; Spark may split the copies' side
-    out = sketch.select("doc_id", "member").join(named, "member", "left")
+    out = sketch.select("doc_id", "th", "member").join(named, "member", "left")
     own = F.col("member").isNull()
     return out.select(
-        "doc_id", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "th", "root", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce(F.col("copies") - 1 + F.col("docs"), F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that have another, of lesser id, in their class."""
-    classes = near_duplicate_classes(docs, doc_id, text, **options)
-    gone = classes.where("doc_id != class_id").select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("gone_"), "left_anti")
+    """``docs`` with one document of each class, that of least id, and of least text hash where texts share the id.
+
+    A document is an id and a text: rows that repeat both stay or go together,
+    and another text with the id of one that goes stays.  A null id is above all.
+    """
+    rows = write_once(_classes(docs, doc_id, text, **options).where("root is not null")
+                      .select("doc_id", "th", "root", "class_id"), "near-rows")
+    first = rows.where("doc_id <=> class_id")
+    ties = first.groupBy("root").agg(F.min("th").alias("low"), F.max("th").alias("high")).where("low < high")
+    gone = rows.where("not doc_id <=> class_id").select("doc_id", "th") \
+        .unionByName(first.join(ties, "root").where("th > low").select("doc_id", "th")).distinct() \
+        .select(F.col("doc_id").alias("gone_"), F.col("th").alias("gone_th_"))
+    return docs.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_")) & (F.xxhash64(F.col(text)) == F.col("gone_th_")),
+                     "left_anti")
 
 
 #: DuckDB's words for the classes, every pair with a common n-gram compared.

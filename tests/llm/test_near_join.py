@@ -76,6 +76,14 @@ def test_one_document_of_each_class_stays(edge):
     assert set(left) >= {None, 1, 2, 3, 4, 7, 8, 9, 11, -12}
 
 
+def test_shared_and_null_ids_lose_copies_alone(spark):
+    x, y, z, u = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "la le li lo lu ly",
+                  "ra re ri ro ru ry")
+    rows = [(1, x), (5, x), (5, y), (None, x), (None, z), (7, u), (7, u + " "), (8, u)]
+    left = nj.keep_one_of_each(frame(spark, [(*r, "en", "a") for r in rows], [])).collect()
+    assert sorted((str(r.doc_id), r.text.strip()) for r in left) == [("1", x), ("5", y), ("7", u), ("None", z)]
+
+
 @pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)] + [(50, 51)],
                                    [(7, 3), (3, 9), (9, 7), (1, 2), (20, 3)]])
 def test_components(spark, edges):
