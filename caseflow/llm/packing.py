@@ -6,7 +6,8 @@ the squared number of open bins with that gap smallest; a new bin is opened
 where it fits none (letting a new bin compete leaves some 1.6 % more bins).
 Only the number of bins per gap matters, so a step costs at most ``capacity``
 additions.  Pieces are dealt by hash into groups of bounded size; each group
-is packed by itself.
+is packed by itself.  A piece of ``capacity`` ids is a sequence of its own and
+goes to no group.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.llm import tokens
-from caseflow.llm.common import sliced, small_batches
+from caseflow.llm.common import sliced, small_batches, write_once
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
-#: Documents of one group, about; a group is packed in one task.
-GROUP_DOCS = 16_384
+#: Pieces of one group, about; a group is packed in one task.
+GROUP_PIECES = 16_384
 _NONE = np.iinfo(np.int64).max
 
 
@@ -108,9 +109,12 @@ def pack(pieces: DataFrame, n_groups: int, capacity: int = CAPACITY) -> DataFram
 
     Groups are dealt by a hash of the piece and of the task it comes from, so
     repeated rows spread too.  sequence_id is the group's number times 2^32
-    plus the bin's.
+    plus the bin's; a piece of ``capacity`` has a negative one, from
+    ``monotonically_increasing_id``.
     """
-    salted = pieces.withColumn("group", F.pmod(
+    whole = pieces.where(F.col("length") == capacity).withColumns({
+        "sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    salted = pieces.where(F.col("length") < capacity).withColumn("group", F.pmod(
         F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()), F.lit(n_groups)))
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
@@ -119,7 +123,7 @@ def pack(pieces: DataFrame, n_groups: int, capacity: int = CAPACITY) -> DataFram
         return rows.assign(sequence_id=(rows["group"].to_numpy() << 32) + bins, offset=offsets).drop(columns="group")
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return salted.groupBy("group").applyInPandas(place, f"{schema}, sequence_id long, offset long")
+    return salted.groupBy("group").applyInPandas(place, f"{schema}, sequence_id long, offset long").unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -127,7 +131,9 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Token pieces of all ``docs`` and their places in sequences of ``capacity`` ids.
 
     An empty table gives no rows; rows that repeat are packed as often as they
-    occur.  The number of groups follows the number of documents.
+    occur.  The pieces are written once, and the number of groups follows the
+    number of those shorter than ``capacity``.
     """
-    n_groups = max(1, math.ceil(docs.count() / GROUP_DOCS))
-    return pack(token_pieces(docs, doc_id, text, capacity, end_id, tokenizer, with_ids), n_groups, capacity)
+    pieces = write_once(token_pieces(docs, doc_id, text, capacity, end_id, tokenizer, with_ids), "pack-pieces")
+    n_groups = max(1, math.ceil(pieces.where(F.col("length") < capacity).count() / GROUP_PIECES))
+    return pack(pieces, n_groups, capacity)

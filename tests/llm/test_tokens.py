@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from caseflow.llm import packing, token_records as tr
 from caseflow.llm.common import read_range, run_folder
 from caseflow.llm.tokens import Encoder
+from tests.llm.conftest import LONG, frame
 
 ENC = Encoder("byte_bpe_50k.json")
 
@@ -92,6 +93,20 @@ def test_packing(request, which):
         assert at <= 1024
 
 
+def test_groups_follow_pieces(spark, monkeypatch):
+    """Whole pieces go to no group, and the others to groups by their number."""
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20, raising=False)
+    pieces = packing.token_pieces(frame(spark, [(1, LONG, "en", "a"), (2, LONG, "en", "a"), (3, "a b", "en", "a")], []), capacity=64)
+    assert pieces.count() > 2000
+    rows = packing.pack(pieces, 1, 64).collect()
+    whole = [r.sequence_id for r in rows if r.length == 64]
+    others = {r.sequence_id for r in rows if r.length < 64}
+    assert len(set(whole)) == len(whole) > 2000 and max(whole) < 0 <= min(others) and len(others) == 1
+    docs = frame(spark, [(i, "a few words " * (1 + i % 9), "en", "a") for i in range(200)], [])
+    groups = {r.sequence_id >> 32 for r in packing.pack_documents(docs).collect()}
+    assert len(groups) == 10
+
+
 def cut(ids):
     first = (len(ids) - 1) % 1024 + 1
     edges = [0, *range(first, len(ids) + 1, 1024)]
