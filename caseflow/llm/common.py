@@ -79,3 +79,31 @@ def read_range(uri: str, start: int = 0, length: int | None = None) -> bytes:
     with fs.open_input_file(path) as src:
         src.seek(start)
         return src.read() if length is None else src.read(length)
+
+
+def remove_folder(uri: str) -> None:
+    """Delete a folder of this run, once nothing reads it any more."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    fs.delete_dir(path)
+
+
+#: Groups that ``join_hot`` broadcasts, at most.
+HOT_GROUPS = 1000
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group; null is a key like others.
+
+    ``groups`` has one row for each key, with the number of its rows in
+    ``size``; ``total`` is the sum of these numbers.  Groups of more than
+    ``total / HOT_GROUPS`` rows, which are less than ``HOT_GROUPS``, are
+    broadcast, so no key with more rows than that goes to one task.
+    """
+    named = groups.withColumnRenamed(key, "key_of_group_")
+    hot = F.col(size) > max(1, total // HOT_GROUPS)
+    same = F.col(key).eqNullSafe(F.col("key_of_group_"))
+    few = F.broadcast(named.where(hot))
+    often = rows.join(few, same)
+    seldom = rows.join(F.broadcast(named.where(hot).select("key_of_group_")), same, "left_anti") \
+        .join(named.where(~hot), same)
+    return often.unionByName(seldom).drop("key_of_group_")

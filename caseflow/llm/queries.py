@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from caseflow.llm import (
     bit_mixing,
+    digest_index,
+    importance,
     langid,
     line_spread,
     mixing,
@@ -21,6 +23,7 @@ from caseflow.llm import (
     packing,
     quality,
     token_records,
+    vector_codes,
     warc,
 )
 from caseflow.llm.common import crc_mod
@@ -76,10 +79,25 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resample(documents(spark, sf_dir), target).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_index.exact_duplicates(documents(spark, sf_dir)).drop("row")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_near_join, op2_source_mix, op3_quality_rules, op4_warc, op5_token_records, op6_bit_mixing,
-        op7_language_id, op8_line_spread, op9_packing, op10_order_minhash)
+        op7_language_id, op8_line_spread, op9_packing, op10_order_minhash, op11_importance_resampling,
+        op12_digest_index, op13_vector_codes)
 }
 
 ORACLES: dict[str, str] = {
@@ -87,4 +105,7 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality.ORACLE,
     "op4_warc": warc.ORACLE,
     "op8_line_spread": line_spread.ORACLE,
+    "op11_importance_resampling": importance.ORACLE,
+    "op12_digest_index": digest_index.ORACLE,
+    "op13_vector_codes": vector_codes.oracle(),
 }
