@@ -10,8 +10,8 @@
   pair meets in one ``cogroup`` task that runs a NumPy matrix product and keeps
   only its partial top k; a window then merges partial top-k lists.  No task
   ever holds more than one block of each side, and no pair list is
-  materialised.  ``vector_topk_approx`` (MLlib LSH + exact re-rank) is the
-  sub-quadratic option.
+  materialised.  ``vector_index`` (J9) scans one byte a dimension instead and
+  compares few documents in full.
 * Hybrid: full outer join of keyword and vector candidates per (query, doc),
   linear fusion (or reciprocal-rank fusion) plus signal boosts, then top k.
 """
@@ -41,11 +41,6 @@ INCIDENT_FIELD_WEIGHTS = {"incident_summary": 2.0, "resolution_notes": 1.5, "wor
 # Vector blocks: at most this many rows per side meet in one task.
 QUERY_BLOCK = 2048
 DOC_BLOCK = 8192
-# Approximate search: rows that the cells are fitted on, cells at most, rows of a cell, share of cells probed.
-CELL_SAMPLE = 16_384
-MAX_CELLS = 1024
-CELL_ROWS = 24
-PROBED_SHARE = 0.6
 
 
 def tokens(text: Column) -> Column:
@@ -292,16 +287,12 @@ def _topk_block(k: int, exclude_self: bool, digits: int):
     return fn
 
 
-def vector_topk(queries: DataFrame, docs: DataFrame, k: int, partition_cols: list[str] | None = None,
-                exclude_self: bool = False, digits: int = 6, query_block: int = QUERY_BLOCK,
-                doc_block: int = DOC_BLOCK) -> DataFrame:
-    """Exact cosine top k per query (ties by doc id).
+def meet_in_blocks(queries: DataFrame, docs: DataFrame, partition_cols: list[str] | None, query_cols: list[str],
+                   doc_cols: list[str], query_block: int = QUERY_BLOCK, doc_block: int = DOC_BLOCK):
+    """The two groupings to ``cogroup``: each block of queries with each block of documents of its partition.
 
-    ``queries``: (query_id bigint, qvec array<float>, *partition_cols);
-    ``docs``: (doc_id bigint, dvec array<float>, *partition_cols).  With
-    ``partition_cols`` a query only meets documents of its own partition
-    (blocking, e.g. by category).  Hot partitions are split into more blocks,
-    so a partition holding a third of all rows spreads over many tasks.
+    Blocks are dealt by hash of query_id and doc_id.  A partition with many
+    rows is split into more blocks, so none of its tasks grows.
     """
     pc = partition_cols or []
     q = _blocks(queries, "query_id", pc, query_block, "q")
@@ -319,65 +310,30 @@ def vector_topk(queries: DataFrame, docs: DataFrame, k: int, partition_cols: lis
     # derive from one frame, and cogroup must not see one attribute on both children.
     pk = [F.col(c).alias(f"_pk{i}") for i, c in enumerate(pc)]
     qx = q.withColumn("_b_d", F.explode(F.sequence(F.lit(0), F.col("_nb_d") - 1))) \
-        .select(*pk, "_b_q", "_b_d", "query_id", "qvec")
+        .select(*pk, "_b_q", "_b_d", *query_cols)
     dx = d.withColumn("_b_q", F.explode(F.sequence(F.lit(0), F.col("_nb_q") - 1))) \
-        .select(*pk, "_b_q", "_b_d", "doc_id", "dvec")
+        .select(*pk, "_b_q", "_b_d", *doc_cols)
     keys = [f"_pk{i}" for i in range(len(pc))] + ["_b_q", "_b_d"]
-    partial = qx.groupBy(*keys).cogroup(dx.groupBy(*keys)).applyInPandas(
-        _topk_block(k, exclude_self, digits), "query_id long, doc_id long, cosine double")
-    scored = partial.withColumn("score", F.round("cosine", digits))
-    return rank_top(scored, k, "score")
-
-
-def fit_cells(vectors: DataFrame, column: str, n_cells: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
-    """Unit centres of ``n_cells`` cells, by k-means on at most CELL_SAMPLE rows (cells only; every row is indexed)."""
-    rows = vectors.where(F.col(column).isNotNull()).orderBy(F.xxhash64(F.lit(seed), column)).limit(CELL_SAMPLE) \
-        .select(column).collect()
-    if not rows:
-        return np.zeros((0, 0))
-    x = _unit(np.array([r[0] for r in rows], np.float64))
-    centres = x[np.linspace(0, len(x) - 1, min(n_cells, len(x))).astype(int)]
-    for _ in range(rounds):
-        near = np.argmax(x @ centres.T, axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, near, x)
-        centres = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, _unit(sums), centres)
-    return centres
-
-
-def _unit(x: np.ndarray) -> np.ndarray:
-    n = np.linalg.norm(x, axis=1, keepdims=True)
-    return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
+    return qx.groupBy(*keys), dx.groupBy(*keys)
 
 
-def nearest_cells(vector: Column, centres: np.ndarray, n: int) -> Column:
-    """The ``n`` cells nearest to a vector, nearest first."""
-    @F.pandas_udf("array<int>")
-    def cells(v: pd.Series) -> pd.Series:
-        near = _unit(np.vstack(v.to_numpy()).astype(np.float64)) @ centres.T
-        return pd.Series(list(np.argsort(-near, axis=1, kind="stable")[:, :n].astype(np.int32)))
-
-    return cells(vector)
-
-
-def vector_topk_approx(queries: DataFrame, docs: DataFrame, k: int, partition_cols: list[str] | None = None,
-                       probed_share: float = PROBED_SHARE, cell_rows: int = CELL_ROWS, digits: int = 6) -> DataFrame:
-    """Cosine top k among the documents of the cells nearest to each query, ranked exactly.
+def vector_topk(queries: DataFrame, docs: DataFrame, k: int, partition_cols: list[str] | None = None,
+                exclude_self: bool = False, digits: int = 6, query_block: int = QUERY_BLOCK,
+                doc_block: int = DOC_BLOCK) -> DataFrame:
+    """Exact cosine top k per query (ties by doc id).
 
-    Every document lies in the cell of its nearest centre; a query probes the
-    nearest ``probed_share`` of the cells.  Cells are partitions of the exact
-    search, so one that holds many rows is split into blocks.  Recall at these
-    defaults is measured against J8 in the tests.
+    ``queries``: (query_id bigint, qvec array<float>, *partition_cols);
+    ``docs``: (doc_id bigint, dvec array<float>, *partition_cols).  With
+    ``partition_cols`` a query only meets documents of its own partition
+    (blocking, e.g. by category).  Hot partitions are split into more blocks,
+    so a partition holding a third of all rows spreads over many tasks.
     """
-    n_cells = max(1, min(MAX_CELLS, docs.count() // cell_rows))
-    centres = fit_cells(docs, "dvec", n_cells)
-    if not len(centres):
-        return vector_topk(queries, docs, k, partition_cols, digits=digits)
-    probes = max(1, round(len(centres) * probed_share))
-    q = queries.where(F.col("qvec").isNotNull()) \
-        .withColumn("cell", F.explode(nearest_cells(F.col("qvec"), centres, probes)))
-    d = docs.where(F.col("dvec").isNotNull()).withColumn("cell", nearest_cells(F.col("dvec"), centres, 1)[0])
-    return vector_topk(q, d, k, [*(partition_cols or []), "cell"], digits=digits)
+    left, right = meet_in_blocks(queries, docs, partition_cols, ["query_id", "qvec"], ["doc_id", "dvec"],
+                                 query_block, doc_block)
+    partial = left.cogroup(right).applyInPandas(
+        _topk_block(k, exclude_self, digits), "query_id long, doc_id long, cosine double")
+    scored = partial.withColumn("score", F.round("cosine", digits))
+    return rank_top(scored, k, "score")
 
 
 # ---- J10-J14: fusion and boosts --------------------------------------------------------------------
