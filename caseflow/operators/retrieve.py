@@ -24,9 +24,11 @@ from typing import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caseflow.sources.landing import work_dir
+
 # Fixed values (ours where the reference leaves them to a hosted ranker).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 BM25_K1 = 1.2
@@ -41,6 +43,11 @@ INCIDENT_FIELD_WEIGHTS = {"incident_summary": 2.0, "resolution_notes": 1.5, "wor
 # Vector blocks: at most this many rows per side meet in one task.
 QUERY_BLOCK = 2048
 DOC_BLOCK = 8192
+# Keyword blocks: postings of a document block and terms of a query block, about.
+BLOCK_POSTINGS = 2_000_000
+BLOCK_TERMS = 2_000_000
+# Terms of all queries that are broadcast, at most (some 20 bytes each).
+BROADCAST_TERMS = 300_000
 
 
 def tokens(text: Column) -> Column:
@@ -64,21 +71,35 @@ def build_postings(docs: DataFrame, id_col: str, fields: dict[str, str]) -> Data
 
 
 class TermIndex:
-    """A materialised inverted index: postings plus per-field statistics (scalars)."""
+    """A written inverted index: postings, per-field statistics (scalars) and the number of postings."""
 
-    def __init__(self, postings: DataFrame, stats: dict[str, tuple[float, float]]):
+    def __init__(self, postings: DataFrame, stats: dict[str, tuple[float, float]], size: int | None = None):
         self.postings = postings
         self.stats = stats
+        self.size = postings.count() if size is None else size
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many tasks as there are cores: a small file comes as one partition."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def build_index(docs: DataFrame, id_col: str, fields: dict[str, str], folder: str | None = None) -> TermIndex:
+    """Write the postings below ``folder`` (a new shared one by default) and open them.
+
+    Scoring, statistics and every query read the written table instead of
+    tokenising the corpus again.
+    """
+    folder = folder or work_dir(docs.sparkSession, "postings")
+    texts = spread(docs.select(F.col(id_col), *[F.col(c) for c in dict.fromkeys(fields.values())]))
+    build_postings(texts, id_col, fields).write.parquet(f"{folder}/postings")
+    return open_index(docs.sparkSession, folder)
 
 
-def build_index(docs: DataFrame, id_col: str, fields: dict[str, str], materialize: bool = True) -> TermIndex:
-    """Build the postings once and checkpoint them (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``), so scoring, statistics and every query reuse one
-    materialised index instead of re-tokenising the corpus."""
-    post = build_postings(docs, id_col, fields)
-    if materialize:
-        from caseflow.session import materialize as cut
-        post = cut(post)
+def open_index(spark: SparkSession, folder: str) -> TermIndex:
+    """The index that ``build_index`` wrote."""
+    post = spark.read.parquet(f"{folder}/postings")
     stats = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(post).collect()}
     return TermIndex(post, stats)
 
@@ -96,9 +117,13 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
 
 
 def term_weights(postings: "DataFrame | TermIndex", terms: DataFrame, weights: dict[str, float] | None = None,
-                 k1: float = BM25_K1, b: float = BM25_B) -> tuple[DataFrame, int]:
+                 k1: float = BM25_K1, b: float = BM25_B, few: bool = False) -> tuple[DataFrame, int]:
     """((doc_id, term, c) for the given terms, number of indexed documents).
 
+    ``few`` says that the terms were counted and fit a broadcast
+    (``BROADCAST_TERMS``): postings are then filtered and weighed where they
+    are read; otherwise they meet the terms in a shuffle.
+
     c = sum over fields f of w_f * ln(1 + (N_f - df + 0.5) / (df + 0.5))
         * tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl_f))
     """
@@ -108,8 +133,9 @@ def term_weights(postings: "DataFrame | TermIndex", terms: DataFrame, weights: d
         stat_rows = {r["field"]: (float(r["n_docs"]), float(r["avgdl"])) for r in field_stats(postings).collect()}
     w = weights or {}
     p = postings.where(F.col("field").isin(list(w))) if w else postings
-    hits = p.join(terms, "term", "left_semi")
-    dfs = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    sized = F.broadcast if few else (lambda df: df)
+    hits = p.join(sized(terms), "term", "left_semi")
+    dfs = sized(hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
     # index statistics are a few scalars per field (the caller fixes the fields): inlined as literals
     n_docs, avgdl, wcol = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(1.0)
     for f, (n, length) in stat_rows.items():
@@ -137,31 +163,71 @@ def _first_k(ids: np.ndarray, scores: np.ndarray, k: int, digits: int) -> np.nda
     return some[np.lexsort((ids[some], -np.round(scores[some], digits)))[:k]]
 
 
-def _score_block(k: int, digits: int, columns: list[str]):
+class _Postings:
+    """One block of postings by term, with the largest weight of each term."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        self.doc, self.ids = pd.factorize(pdf["doc_id"])
+        self.n = len(self.ids)
+        order = np.lexsort((self.doc, pdf["term"].to_numpy()))
+        term, self.doc, self.c = pdf["term"].to_numpy()[order], self.doc[order], pdf["c"].to_numpy()[order]
+        self.terms, self.begin = np.unique(term, return_index=True)
+        self.end = np.r_[self.begin[1:], len(term)]
+        self.key = np.searchsorted(self.terms, term) * self.n + self.doc
+        self.most = np.maximum.reduceat(self.c, self.begin)
+
+    def scores(self, terms: np.ndarray, k: int | None, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Sum of the weights of the terms for each document; 0 where it can't be among the first ``k`` wanted ones.
+
+        Terms are added by their largest weight; once the terms to come can't
+        lift a new document to the k-th score, only documents that may still
+        reach it are looked up.
+        """
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        at = at[self.terms[at] == terms]
+        at = at[np.argsort(-self.most[at], kind="stable")]
+        rest = np.r_[np.cumsum(self.most[at][::-1])[::-1], 0.0]
+        total, done, step = np.zeros(self.n), 0, 8
+        while done < len(at):
+            some = at[done:done + step]
+            rows = np.concatenate([np.arange(b, e) for b, e in zip(self.begin[some], self.end[some])])
+            total += np.bincount(self.doc[rows], self.c[rows], self.n)
+            done, step = done + len(some), step * 2
+            if k is None or done >= len(at) or self.n <= k:
+                continue
+            reached = total if wanted is None else total * wanted
+            kth = np.partition(reached, self.n - k)[self.n - k]
+            if kth > 0 and rest[done] < kth * (1 - 1e-9):
+                near = np.flatnonzero((total + rest[done] >= kth * (1 - 1e-9)) & (True if wanted is None else wanted))
+                later = at[done:]
+                if len(near) * len(later) * 4 < (self.end[later] - self.begin[later]).sum():
+                    want = later[:, None] * self.n + near
+                    place = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
+                    out = np.zeros(self.n)
+                    out[near] = total[near] + np.where(self.key[place] == want, self.c[place], 0.0).sum(axis=0)
+                    return out
+        return total
+
+
+def _score_block(k: int, digits: int, columns: list[str], masked: bool, boosted: bool):
     def fn(queries: pd.DataFrame, postings: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(postings):
-            postings = postings.sort_values("term", kind="stable")
-            doc, ids = pd.factorize(postings["doc_id"])
-            names = np.asarray(ids)
+            block = _Postings(postings)
+            names = np.asarray(block.ids)
             names = names.astype(str) if names.dtype == object else names
-            first = postings.drop_duplicates("doc_id").set_index("doc_id").loc[ids]
-            mul, add, owner = (first[c].to_numpy() for c in ("mul", "add", "owner"))
-            terms, begin = np.unique(postings["term"].to_numpy().astype(str), return_index=True)
-            end = np.r_[begin[1:], len(postings)]
-            c = postings["c"].to_numpy()
+            if masked:
+                first = postings.drop_duplicates("doc_id").set_index("doc_id").loc[block.ids]
+                mul, add, owner, kind = (first[c].to_numpy() for c in ("mul", "add", "owner", "kind"))
             for query, own in queries.groupby("query_id", sort=False):
-                t = own["term"].to_numpy().astype(str)
-                at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
-                at = at[terms[at] == t]
-                if not len(at):
-                    continue
-                rows = np.concatenate([np.arange(begin[i], end[i]) for i in at])
-                bm25 = np.bincount(doc[rows], c[rows], len(names))
-                final = np.where(bm25 > 0, bm25 * own["scale"].iloc[0] * mul + add, -np.inf)
-                final[owner == query] = -np.inf
+                wanted = (owner != own["ticket"].iloc[0]) & (kind & own["kinds"].iloc[0] != 0) if masked else None
+                bm25 = block.scores(own["term"].to_numpy(), None if boosted else k, wanted)
+                final = bm25 * own["scale"].iloc[0]
+                if boosted:
+                    final = final * mul + add
+                final[(bm25 <= 0) if wanted is None else (bm25 <= 0) | ~wanted] = -np.inf
                 best = _first_k(names, final, k, digits)
-                out += [(query, ids[i], bm25[i], final[i]) for i in best]
+                out += [(query, block.ids[i], bm25[i], final[i]) for i in best]
         return pd.DataFrame(out, columns=columns)
     return fn
 
@@ -171,35 +237,51 @@ def bm25_topk(postings: "DataFrame | TermIndex", queries: DataFrame, k: int, wei
     """(query_id, doc_id, bm25, score, rank): k best documents that share a term with the query.
 
     score = bm25 * scale * mul + add: ``queries`` may carry a scale, ``profile``
-    (doc_id, mul, add, owner) factors and boosts of documents, so a profile
-    changes the order before the cut; a document isn't given to the query that
-    its ``owner`` names.  Ties go to the lesser doc_id.
+    (doc_id, mul, add, owner, kind) factors and boosts of documents, so a profile
+    changes the order before the cut; a document isn't given to a query whose
+    ``ticket`` (its id by default) is the document's ``owner``, nor to one whose
+    ``kinds`` (bits, all by default) lack its ``kind``.  Ties go to the lesser
+    doc_id.  Terms meet by 64-bit hashes.
+
+    Documents are dealt into blocks by the number of postings, at least one for
+    each core; a block is copied only where the terms of all queries don't fit
+    one task.
     """
     scale = F.col("scale") if "scale" in queries.columns else F.lit(1.0)
-    qt = queries.select("query_id", scale.cast("double").alias("scale"),
-                        F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    c, n_docs = term_weights(postings, qt.select("term").distinct(), weights)
+    kinds = F.col("kinds") if "kinds" in queries.columns else F.lit(-1)
+    ticket = F.col("ticket") if "ticket" in queries.columns else F.col("query_id")
+    qt = queries.select("query_id", scale.cast("double").alias("scale"), kinds.cast("long").alias("kinds"),
+                        ticket.alias("ticket"), F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+    n_terms = qt.count()
+    c, n_docs = term_weights(postings, qt.select("term").distinct(), weights, few=n_terms <= BROADCAST_TERMS)
     query_type, doc_type = dict(qt.dtypes)["query_id"], dict(c.dtypes)["doc_id"]
-    if profile is None:
-        c = c.select("*", F.lit(1.0).alias("mul"), F.lit(0.0).alias("add"), F.lit(None).cast(query_type).alias("owner"))
-    else:
+    c = c.withColumn("term", F.xxhash64("term"))
+    extra_cols = []
+    if profile is not None:
         have = set(profile.columns)
-        extra = profile.select("doc_id", *[
-            (F.col(x) if x in have else F.lit(v)).cast(t).alias(x)
-            for x, v, t in (("mul", 1.0, "double"), ("add", 0.0, "double"), ("owner", None, query_type))])
+        defaults = (("mul", 1.0, "double"), ("add", 0.0, "double"), ("owner", None, dict(qt.dtypes)["ticket"]), ("kind", -1, "long"))
+        extra = profile.select("doc_id", *[(F.col(x) if x in have else F.lit(v)).cast(t).alias(x)
+                                           for x, v, t in defaults])
         c = c.join(extra, "doc_id")
-    n_doc = max(1, -(-n_docs // DOC_BLOCK))
-    n_query = max(1, -(-queries.count() // QUERY_BLOCK))
+        extra_cols = [x for x, _, _ in defaults]
+    size = postings.size if isinstance(postings, TermIndex) else postings.count()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    n_doc = max(1, min(n_docs, max(cores, -(-size // BLOCK_POSTINGS))))
+    n_query = max(1, -(-n_terms // BLOCK_TERMS))
 
-    def spread(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
+    def dealt(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n)).cast("int")) \
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
 
-    left = spread(qt, "query_id", "_qb", n_query, "_db", n_doc).groupBy("_qb", "_db")
-    right = spread(c, "doc_id", "_db", n_doc, "_qb", n_query).groupBy("_qb", "_db")
+    qt = qt.withColumn("term", F.xxhash64("term"))
+    left = dealt(qt, "query_id", "_qb", n_query, "_db", n_doc).groupBy("_qb", "_db")
+    right = dealt(c.select("doc_id", "term", "c", *extra_cols), "doc_id", "_db", n_doc, "_qb", n_query) \
+        .groupBy("_qb", "_db")
     columns = ["query_id", "doc_id", "bm25", "raw"]
     partial = left.cogroup(right).applyInPandas(
-        _score_block(k, digits, columns), f"query_id {query_type}, doc_id {doc_type}, bm25 double, raw double")
+        _score_block(k, digits, columns, profile is not None,
+                     profile is not None and bool({"mul", "add"} & set(profile.columns))),
+        f"query_id {query_type}, doc_id {doc_type}, bm25 double, raw double")
     return rank_top(partial.select("query_id", "doc_id", "bm25", F.round("raw", digits).alias("score")), k)
 
 
@@ -408,14 +490,28 @@ def scoring_profile(score: Column, useful_count: Column, view_count: Column,
 
 # ---- J16 / J17 / J18: uniform hits ---------------------------------------------------------------------
 
-def infer_source_type(id_col: Column) -> Column:
-    """Source type from the document id prefix."""
+def infer_source_type(id_col: Column, fields: DataFrame | None = None) -> Column:
+    """Source type from the document id prefix, else from which of the hits' columns hold a value."""
+    def has(*names: str) -> Column:
+        if fields is None or not set(names) <= set(fields.columns):
+            return F.lit(False)
+        return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+
     return (F.when(id_col.startswith("kb_"), "kb_article")
              .when(id_col.startswith("incident_"), "incident")
              .when(id_col.startswith("attachment_"), "attachment")
+             .when(has("article_id"), "kb_article")
+             .when(has("incident_id", "content_type"), "incident")
+             .when(has("attachment_id"), "attachment")
              .otherwise("unknown"))
 
 
+def present(**values: Column) -> Column:
+    """A map of the given values as text, without those that are null."""
+    entries = [x for name, c in values.items() for x in (F.lit(name), c.cast("string"))]
+    return F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull())
+
+
 def snippet(text: Column, n: int = 300) -> Column:
     """First 300 characters of the text."""
     return F.substring(F.coalesce(text, F.lit("")), 1, n)

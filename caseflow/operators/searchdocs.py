@@ -11,10 +11,12 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions.columns import asset_type_from_name, file_extension
+from caseflow.operators.retrieve import TOKEN_PATTERN, tokens
 from caseflow.sources.domain import INCIDENT_URL_PREFIX, KB_URL_PREFIX
 
 # Embedding batch size (the hosted model takes batches of 100 texts).
@@ -115,28 +117,59 @@ def embed_text(kind: str, df: DataFrame, max_chars: int | None = None) -> Column
 # ---- J5: embedding in batches --------------------------------------------------------------------------
 
 Embedder = Callable[[list[str]], np.ndarray]
+#: Dimensions of the hashed vectors.
+HASHED_DIMS = 64
 
 
-def hashing_embedder(dim: int = 64) -> Embedder:
+def hashing_embedder(dim: int = HASHED_DIMS) -> Embedder:
     """Deterministic signed feature hashing of word tokens, L2-normalised (ours; a
-    stand-in for a hosted embedding model)."""
-    import re
+    stand-in for a hosted embedding model).  ``hashed_vectors`` is the same in column expressions."""
+    import hashlib
 
-    import xxhash
+    import regex
 
-    token_re = re.compile(r"[a-z0-9]+")
+    token_re = regex.compile(TOKEN_PATTERN)
 
     def embed(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dim), dtype=np.float32)
         for i, t in enumerate(texts):
             for tok in token_re.findall((t or "").lower()):
-                h = xxhash.xxh64_intdigest(tok)
-                out[i, h % dim] += 1.0 if (h >> 63) & 1 else -1.0
+                h = hashlib.md5(tok.encode()).hexdigest()
+                out[i, int(h[:8], 16) % dim] += 1.0 if int(h[8], 16) >= 8 else -1.0
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
     return embed
 
 
+def hashed_vectors(texts: DataFrame, dim: int = HASHED_DIMS) -> DataFrame:
+    """(content, vector) of each row of ``texts`` (content, text): signed token counts by hashed dimension.
+
+    Column expressions only: tokens explode, counts are summed by (content,
+    dimension), at most ``dim`` values meet per text.  The counts aren't scaled
+    (a cosine doesn't need it), so they are exact; a text without tokens is a
+    vector of zeros.
+    """
+    h = F.md5(F.encode("token", "UTF-8"))
+    place = (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim).cast("int")
+    sign = F.when(F.substring(h, 9, 1) >= "8", 1).otherwise(-1)
+    sums = texts.select("content", F.explode(tokens(F.col("text"))).alias("token")) \
+        .select("content", place.alias("place"), sign.alias("sign")) \
+        .groupBy("content", "place").agg(F.sum("sign").alias("n"))
+    found = sums.groupBy("content").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", F.col("n").cast("float")))).alias("m"))
+    vector = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                         lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0).cast("float")))
+    return texts.select("content").join(found, "content", "left") \
+        .withColumn("m", F.coalesce("m", F.create_map().cast("map<int,float>"))) \
+        .select("content", vector.alias("vector"))
+
+
+def unit_length(vector: Column) -> Column:
+    """The vector divided by its length, in double; zeros stay."""
+    n = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return F.transform(vector, lambda x: F.coalesce(F.try_divide(x.cast("double"), n), F.lit(0.0)))
+
+
 def embed_batches(df: DataFrame, id_col: str, text_col: str, embedder: Embedder | None = None,
                   batch_size: int = EMBED_BATCH) -> DataFrame:
     """(id, vector) for every row; texts go to the embedder in batches of ``batch_size``,
@@ -152,3 +185,41 @@ def embed_batches(df: DataFrame, id_col: str, text_col: str, embedder: Embedder
                 yield pd.DataFrame({id_col: chunk[id_col].to_numpy(), "vector": list(vecs)})
 
     return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, vector array<float>")
+
+
+class VectorStore:
+    """J5 as an incremental job: vectors by the hash of their text, below ``folder``.
+
+    The folder belongs to one embedder, a function from (content, text) rows to
+    (content, vector) rows.  Each run embeds the texts that the store doesn't
+    hold yet, each once however many rows have it, and appends them.  One
+    writer at a time; a run that fails leaves no rows, as Spark commits the
+    append at its end.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str,
+                 embedder: Callable[[DataFrame], DataFrame] = hashed_vectors):
+        self.spark, self.folder, self.embedder = spark, folder, embedder
+
+    def read(self) -> DataFrame:
+        """(content, vector) of all texts embedded so far."""
+        try:
+            return self.spark.read.schema("content string, vector array<float>").parquet(self.folder)
+        except AnalysisException:  # nothing written yet
+            return self.spark.createDataFrame([], "content string, vector array<float>")
+
+    def add(self, texts: DataFrame, text_col: str) -> int:
+        """Embed the new texts of the column (null as empty); how many they were."""
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        new = texts.select(F.sha2(text, 256).alias("content"), text.alias("text")) \
+            .join(self.read().select("content"), "content", "left_anti") \
+            .groupBy("content").agg(F.first("text").alias("text"))
+        before = self.read().count()
+        self.embedder(new).write.mode("append").parquet(self.folder)
+        return self.read().count() - before
+
+    def vectors(self, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """(id, vector) of each row, embedding what is new first."""
+        self.add(rows, text_col)
+        keyed = rows.select(id_col, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("content"))
+        return keyed.join(self.read(), "content").select(id_col, "vector")

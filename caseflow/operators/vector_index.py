@@ -182,7 +182,8 @@ class VectorIndex:
         """(query_id, doc_id, cosine, score, rank): the k best documents by cosine, ties to the lesser id.
 
         ``queries``: (query_id, qvec, *parts); a query without a vector has no
-        hit, and with parts only documents of its own are searched.
+        hit, and with parts only documents of its own are searched.  A query
+        may have a row for each of several parts: its hits are the best of all.
         """
         if self.codec is None:
             kinds = dict(queries.dtypes)["query_id"], dict(self.docs.dtypes)["doc_id"]
@@ -190,7 +191,7 @@ class VectorIndex:
                 [], f"query_id {kinds[0]}, doc_id {kinds[1]}, cosine double, score double, rank int")
         near = self.candidates(queries, k)
         full = near.join(self.docs.select("doc_id", "dvec"), "doc_id") \
-            .join(queries.select("query_id", "qvec"), "query_id") \
+            .join(queries.select("query_id", "qvec").dropDuplicates(["query_id"]), "query_id") \
             .select("query_id", "doc_id", cosine(F.col("qvec"), F.col("dvec")).alias("cosine"))
         return rank_top(full.withColumn("score", F.round("cosine", digits)), k)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.operators import retrieve as R
@@ -17,7 +17,8 @@ from caseflow.operators import searchdocs as SD
 from caseflow.operators import vector_index as VI
 from caseflow.plans.oracles import ASSET_TYPE_SQL, initcap_sql, sql
 from caseflow.plans.registry import register
-from caseflow.plans.retrieval_sql import bm25_ctes, fuse_ctes, vector_ctes
+from caseflow.plans.retrieval_sql import bm25_ctes, embed_ctes, fuse_ctes, hybrid_ctes, vector_ctes
+from caseflow.plans.search_store import FIELDS, KINDS, SearchIndex, asset_docs, hybrid_search, incident_docs
 from caseflow.sources.domain import TicketModel, is_open, is_resolved
 from caseflow.sources.landing import work_dir
 
@@ -46,8 +47,8 @@ def doc_vectors(tm: TicketModel) -> DataFrame:
 
 
 def doc_postings(tm: TicketModel) -> R.TermIndex:
-    """The document index, built once per query and checkpointed."""
-    return R.build_index(doc_texts(tm), "doc_id", {"content": "text"})
+    """The document index, written once for the session."""
+    return SearchIndex(tm.spark, tm.sf_dir, "documents").terms()
 
 
 Q_SQL = "SELECT item_id AS query_id, text FROM benchmark"
@@ -288,9 +289,7 @@ def kb_docs(spark, sf_dir):
 
 
 def _incident_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tm = TicketModel(spark, sf_dir)
-    return SD.incident_search_docs(tm.incidents(), tm.incident_texts(), tm.work_notes(), tm.resolution_notes(),
-                                   tm.reopen_counts())
+    return incident_docs(TicketModel(spark, sf_dir))
 
 
 INC_DOCS_SQL = """
@@ -318,7 +317,7 @@ idocs AS (SELECT 'incident_' || number || '_' || content_type AS id, CAST(incide
 
 
 @register("j02_incident_search_docs", sql(INC_DOCS_SQL + "\nSELECT * FROM idocs", "incd", "notes", "reo"))
-def incident_docs(spark, sf_dir):
+def incident_search_docs(spark, sf_dir):
     """Up to three documents per incident, blank ones skipped, all texts on each."""
     return _incident_docs(spark, sf_dir)
 
@@ -335,12 +334,7 @@ FROM (SELECT attachment_id AS asset_id, incident_id, file_name, description, fil
 
 
 def _asset_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tm = TicketModel(spark, sf_dir)
-    a = tm.attachments().select(F.col("attachment_id").alias("asset_id"), "incident_id", "file_name",
-                                "description", "file_size_kb", "mock_url")
-    i = tm.images().select(F.col("image_id").alias("asset_id"), "incident_id", "file_name", "description",
-                           F.lit(None).cast("int").alias("file_size_kb"), "mock_url")
-    return SD.attachment_search_docs(a.unionByName(i))
+    return asset_docs(TicketModel(spark, sf_dir))
 
 
 @register("j03_i17_attachment_search_docs", sql(ATT_DOCS_SQL, "att", "img"))
@@ -359,36 +353,37 @@ def embed_text_attachments(spark, sf_dir):
     return d.select("id", SD.embed_text("attachment", d).alias("embed_text"))
 
 
-@register("j05_embed_batches")
+EMBED_KB_SQL = """concat_ws(' ', CASE WHEN trim(title_raw) <> '' THEN title_raw END,
+                     CASE WHEN trim(content_text) <> '' THEN content_text END)"""
+
+
+@register("j05_embed_batches", sql(f"WITH {embed_ctes('e', f'SELECT {EMBED_KB_SQL} AS text FROM kb')}" + f"""
+SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS id, CAST(i AS INTEGER) AS place,
+       COALESCE(round(vec[i + 1] / sqrt(nullif(list_sum(list_transform(vec, lambda x: x * x)), 0)), 6), 0.0e0) AS value
+FROM kb JOIN e_v ON e_v.text = {EMBED_KB_SQL}, (SELECT unnest(range(64)) AS i)""", "kb"))
 def embed_batches(spark, sf_dir):
-    """Vectors for every KB document via the pluggable embedder, batches of 100 (rows-only)."""
+    """(id, place, value) of the unit vector of every KB document, embedded into a new store."""
     kb = SD.kb_search_docs(TicketModel(spark, sf_dir).kb_articles())
     kb = kb.withColumn("embed_text", SD.embed_text("kb", kb))
-    return SD.embed_batches(kb, "id", "embed_text")
+    store = SD.VectorStore(spark, work_dir(spark, "embedded"))
+    vectors = store.vectors(kb, "id", "embed_text").withColumn("vector", SD.unit_length(F.col("vector")))
+    return vectors.select("id", F.posexplode("vector").alias("place", "x")) \
+        .select("id", "place", F.round("x", 6).alias("value"))
 
 
 # ---- J16-J22: uniform hits, multi-index search, knowledge search, similar incidents, assets -------------------
 
-INCIDENT_FIELDS = {f: f for f in ("incident_summary", "description", "work_notes", "resolution_notes")}
+INCIDENT_FIELDS = FIELDS["incident"]
 
 
 def _multi_index(spark: SparkSession, sf_dir: str, k: int,
                  indexes: tuple[str, ...] = ("kb", "incident", "attachment")) -> DataFrame:
     """Keyword top k per (query, index) over the given indexes."""
-    tm = TicketModel(spark, sf_dir)
-    parts = {
-        "kb": lambda: (SD.kb_search_docs(tm.kb_articles()), {"title": "title", "content": "content"},
-                       R.KB_FIELD_WEIGHTS),
-        "incident": lambda: (_incident_docs(spark, sf_dir), INCIDENT_FIELDS, R.INCIDENT_FIELD_WEIGHTS),
-        "attachment": lambda: (_asset_docs(spark, sf_dir), {"file_name": "file_name", "description": "description"},
-                               None),
-    }
-    hits = []
-    for name in indexes:
-        docs, fields, weights = parts[name]()
-        index = R.build_index(docs.withColumnRenamed("id", "doc_id"), "doc_id", fields)
-        hits.append(R.keyword_topk(index, bench_queries(tm), k, weights).withColumn("index_name", F.lit(name)))
-    return reduce(DataFrame.unionByName, hits)
+    queries = bench_queries(TicketModel(spark, sf_dir))
+    found = [(name, SearchIndex(spark, sf_dir, name)) for name in indexes]
+    return reduce(DataFrame.unionByName, [
+        R.keyword_topk(index.terms(), queries, k, index.weights).withColumn("index_name", F.lit(name))
+        for name, index in found])
 
 
 def _multi_sql(k: int) -> str:
@@ -417,103 +412,160 @@ def multi_index_search(spark, sf_dir):
 
 
 def format_hits(spark: SparkSession, sf_dir: str, hits: DataFrame) -> DataFrame:
-    """J16 + J17 + J18: uniform result rows (source_type, source_id, title, snippet, url, score)."""
-    kb = SD.kb_search_docs(TicketModel(spark, sf_dir).kb_articles()).select(
-        F.col("id").alias("doc_id"), F.col("article_id").alias("k_source"), F.col("content").alias("k_text"),
-        F.col("source_url").alias("k_url"), F.col("title").alias("k_title"))
-    inc = _incident_docs(spark, sf_dir).select(
-        F.col("id").alias("doc_id"), F.col("incident_id").alias("i_source"), F.col("incident_summary").alias("i_title"),
-        F.coalesce(F.nullif("resolution_notes", F.lit("")), F.nullif("work_notes", F.lit("")),
-                   F.nullif("description", F.lit("")), F.lit("")).alias("i_body"),
-        F.col("content_type").alias("i_type"), F.col("incident_url").alias("i_url"))
-    att = _asset_docs(spark, sf_dir).select(
-        F.col("id").alias("doc_id"), F.col("attachment_id").alias("a_source"), F.col("file_name").alias("a_title"),
-        F.col("description").alias("a_text"), F.coalesce("mock_url", "incident_url").alias("a_url"))
-    h = hits.join(kb, "doc_id", "left").join(inc, "doc_id", "left").join(att, "doc_id", "left")
-    st = R.infer_source_type(F.col("doc_id"))
-    inc_snip = R.snippet(F.col("i_body"))
-    inc_snip = F.when(F.col("i_type").isNotNull() & ~inc_snip.startswith(F.col("i_type")),
-                      F.concat(F.lit("["), F.col("i_type"), F.lit("] "), inc_snip)).otherwise(inc_snip)
-    return h.select(
-        "query_id", "index_name", "rank", st.alias("source_type"),
-        F.when(st == "kb_article", F.col("k_source")).when(st == "incident", F.col("i_source"))
-         .when(st == "attachment", F.col("a_source")).otherwise(F.col("doc_id")).alias("source_id"),
-        F.when(st == "kb_article", F.col("k_title")).when(st == "incident", F.col("i_title"))
-         .when(st == "attachment", F.col("a_title")).otherwise(F.col("doc_id")).alias("title"),
-        F.when(st == "kb_article", R.snippet(F.col("k_text"))).when(st == "incident", inc_snip)
-         .when(st == "attachment", R.snippet(F.col("a_text"))).otherwise(F.lit("")).alias("snippet"),
-        F.when(st == "kb_article", F.col("k_url")).when(st == "incident", F.col("i_url"))
-         .when(st == "attachment", F.col("a_url")).otherwise(F.lit("")).alias("url"),
-        F.round("score", 4).alias("score"))
-
-
-@register("j16_j17_j18_uniform_hits", sql(MULTI_SQL + f""",
-kbd AS (SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, CAST(kb_article_id AS VARCHAR) AS src,
-               {initcap_sql('title_raw')} AS title, content_text AS body,
-               'https://tickets.example.invalid/kb/' || CAST(kb_article_id AS VARCHAR) AS url FROM kb),
-incd2 AS (SELECT id AS doc_id, incident_id AS src, incident_summary AS title, content_type,
-                 COALESCE(nullif(resolution_notes, ''), nullif(work_notes, ''), nullif(description, ''), '') AS body,
-                 incident_url AS url FROM idocs),
-attd AS (SELECT id AS doc_id, attachment_id AS src, file_name AS title, description AS body,
-                COALESCE(mock_url, incident_url) AS url FROM adocs)
-SELECT h.query_id, h.index_name, h.rank,
-       CASE WHEN h.doc_id LIKE 'kb\\_%' ESCAPE '\\' THEN 'kb_article'
-            WHEN h.doc_id LIKE 'incident\\_%' ESCAPE '\\' THEN 'incident'
-            WHEN h.doc_id LIKE 'attachment\\_%' ESCAPE '\\' THEN 'attachment' ELSE 'unknown' END AS source_type,
-       COALESCE(k.src, i.src, a.src, h.doc_id) AS source_id,
-       COALESCE(k.title, i.title, a.title, h.doc_id) AS title,
-       CASE WHEN k.doc_id IS NOT NULL THEN substr(COALESCE(k.body, ''), 1, 300)
-            WHEN i.doc_id IS NOT NULL THEN
-              CASE WHEN starts_with(substr(i.body, 1, 300), i.content_type) THEN substr(i.body, 1, 300)
-                   ELSE '[' || i.content_type || '] ' || substr(i.body, 1, 300) END
-            WHEN a.doc_id IS NOT NULL THEN substr(COALESCE(a.body, ''), 1, 300) ELSE '' END AS snippet,
-       COALESCE(k.url, i.url, a.url, '') AS url,
+    """J16 + J17 + J18: the hits' columns with source_type, source_id, title, snippet, url and metadata.
+
+    Hits meet the written documents of each index; metadata holds what the kind
+    of source has, without nulls.
+    """
+    c = F.col
+
+    def shaped(name: str, source: str, title: Column, snippet: Column, url: Column, **metadata: Column) -> DataFrame:
+        docs = SearchIndex(spark, sf_dir, name).docs
+        return docs.select("doc_id", F.struct(
+            R.infer_source_type(c("doc_id"), docs).alias("source_type"), c(source).alias("source_id"),
+            title.alias("title"), snippet.alias("snippet"), url.alias("url"),
+            R.present(**metadata).alias("metadata")).alias("shape"))
+
+    body = R.snippet(F.coalesce(*[F.nullif(x, F.lit("")) for x in ("resolution_notes", "work_notes", "description")]))
+    shapes = [
+        shaped("kb", "article_id", c("title"), R.snippet(c("content")), c("source_url"),
+               **{x: c(x) for x in ("category", "subcategory", "view_count", "useful_count")}),
+        shaped("incident", "incident_id", c("incident_summary"),
+               F.when(body.startswith(c("content_type")), body)
+                .otherwise(F.concat(F.lit("["), c("content_type"), F.lit("] "), body)), c("incident_url"),
+               **{x: c(x) for x in ("incident_state", "content_type", "priority", "category", "subcategory",
+                                    "assigned_group", "created_date", "closed_date", "resolution_time_minutes",
+                                    "reopen_count")}),
+        shaped("attachment", "attachment_id", c("file_name"), R.snippet(c("description")),
+               F.coalesce("mock_url", "incident_url"),
+               **{x: c(x) for x in ("file_type", "attachment_type", "incident_id", "size_bytes")}),
+    ]
+    found = reduce(DataFrame.unionByName, shapes)
+    return hits.join(found, "doc_id", "left").select(
+        *[c(x) for x in hits.columns],
+        F.coalesce("shape.source_type", R.infer_source_type(c("doc_id"))).alias("source_type"),
+        F.coalesce("shape.source_id", "doc_id").alias("source_id"), F.coalesce("shape.title", "doc_id").alias("title"),
+        F.coalesce("shape.snippet", F.lit("")).alias("snippet"), F.coalesce("shape.url", F.lit("")).alias("url"),
+        F.coalesce("shape.metadata", F.create_map().cast("map<string,string>")).alias("metadata"))
+
+
+def listed(metadata: Column) -> Column:
+    """A map as 'name=value; ...' in the order it was made."""
+    return F.array_join(F.transform(F.map_entries(metadata), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ")
+
+
+def _listed_sql(*names: str) -> str:
+    return "concat_ws('; ', " + ", ".join(f"'{n}=' || CAST({n} AS VARCHAR)" for n in names) + ")"
+
+
+SHAPES_SQL = f"""
+shapes AS (
+  SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, 'kb_article' AS source_type,
+         CAST(kb_article_id AS VARCHAR) AS source_id, {initcap_sql('title_raw')} AS title,
+         substr(COALESCE(content_text, ''), 1, 300) AS snippet,
+         'https://tickets.example.invalid/kb/' || CAST(kb_article_id AS VARCHAR) AS url,
+         {_listed_sql('category', 'subcategory', 'view_count', 'useful_count')} AS metadata
+  FROM (SELECT *, category_name AS category, category_subcategory AS subcategory FROM kb)
+  UNION ALL
+  SELECT id, 'incident', incident_id, incident_summary,
+         CASE WHEN starts_with(body, content_type) THEN body ELSE '[' || content_type || '] ' || body END, incident_url,
+         {_listed_sql('incident_state', 'content_type', 'priority', 'category', 'subcategory', 'assigned_group',
+                      'created_date', 'closed_date', 'resolution_time_minutes', 'reopen_count')}
+  FROM (SELECT *, substr(COALESCE(nullif(resolution_notes, ''), nullif(work_notes, ''), nullif(description, ''), ''),
+                         1, 300) AS body FROM idocs)
+  UNION ALL
+  SELECT id, 'attachment', attachment_id, file_name, substr(COALESCE(description, ''), 1, 300),
+         COALESCE(mock_url, incident_url), {_listed_sql('file_type', 'attachment_type', 'incident_id', 'size_bytes')}
+  FROM adocs)"""
+
+
+@register("j16_j17_j18_uniform_hits", sql(MULTI_SQL + f""",{SHAPES_SQL}
+SELECT h.query_id, h.index_name, h.rank, s.source_type, s.source_id, s.title, s.snippet, s.url, s.metadata,
        round(h.score, 4) AS score
-FROM hits h LEFT JOIN kbd k USING (doc_id) LEFT JOIN incd2 i USING (doc_id) LEFT JOIN attd a USING (doc_id)""",
-                                          "incd", "notes", "reo", "kb", "att", "img"))
+FROM hits h JOIN shapes s USING (doc_id)""", "incd", "notes", "reo", "kb", "att", "img"))
 def uniform_hits(spark, sf_dir):
-    """Multi-index hits mapped to one uniform result shape."""
-    return format_hits(spark, sf_dir, _multi_index(spark, sf_dir, 3))
+    """Multi-index hits mapped to one uniform result shape, metadata listed."""
+    return format_hits(spark, sf_dir, _multi_index(spark, sf_dir, 3)).select(
+        "query_id", "index_name", "rank", "source_type", "source_id", "title", "snippet", "url",
+        listed(F.col("metadata")).alias("metadata"), F.round("score", 4).alias("score"))
 
 
-@register("j19_search_knowledge", sql(_multi_sql(K_FUSED) + """
-SELECT query_id, doc_id, index_name, score, rank, least(1.0e0, score / 4.0e0) AS confidence FROM (
-  SELECT query_id, doc_id, index_name, score,
-         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS INTEGER) AS rank
-  FROM hits WHERE index_name IN ('kb', 'incident')) WHERE rank <= 5""", "incd", "notes", "reo", "kb", "att", "img"))
-def search_knowledge(spark, sf_dir):
-    """J19 + G5 + I21: KB and incident indexes searched, results merged by score, top 5, confidence."""
-    hits = _multi_index(spark, sf_dir, K_FUSED, ("kb", "incident")).drop("rank")
-    top = R.rank_top(hits, K_FUSED, "score")
-    return top.select("query_id", "doc_id", "index_name", "score", "rank", R.confidence(F.col("score")).alias("confidence"))
-
-
-@register("j20_b12_b13_similar_incidents", sql(INC_DOCS_SQL + ",\n" + bm25_ctes(
-    "bs", "SELECT id AS doc_id, incident_summary, description, work_notes, resolution_notes FROM idocs "
-          "WHERE lower(incident_state) IN ('resolved', 'closed')", INCIDENT_FIELDS,
-    "SELECT d.doc_id AS query_id, d.text FROM documents d JOIN inc ON inc.incident_id = d.doc_id "
-    "WHERE lower(inc.state) IN ('new', 'in progress', 'on hold')",
-    5, R.INCIDENT_FIELD_WEIGHTS) + """
-SELECT query_id, doc_id, score, rank FROM (
-  SELECT query_id, doc_id, score,
-         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS INTEGER) AS rank
-  FROM (SELECT query_id, doc_id, round(bm25, 6) AS score FROM bs_sc)
-  WHERE NOT starts_with(doc_id, 'incident_' || printf('INC%07d', query_id) || '_'))
-WHERE rank <= 5""",
+def search_knowledge(spark: SparkSession, sf_dir: str, queries: DataFrame, k: int = K_FUSED) -> DataFrame:
+    """Hybrid search of the KB and incident indexes, merged: the k best hits of each query as citations.
+
+    ``queries``: (query_id, text, ticket, content_types); a null list of
+    content types asks for all, ``ticket`` is left out of the results.
+    """
+    bits = F.create_map(*[x for n, b in KINDS.items() for x in (F.lit(n), F.lit(b))])
+    kinds = F.when(F.col("content_types").isNull(), F.lit(-1)).otherwise(F.aggregate(
+        "content_types", F.lit(0), lambda s, n: s.bitwiseOR(F.coalesce(F.try_element_at(bits, n), F.lit(0)))))
+    q = queries.select("query_id", "text", F.col("ticket").cast("string").alias("ticket"), kinds.alias("kinds"))
+    hits = reduce(DataFrame.unionByName, [
+        hybrid_search(SearchIndex(spark, sf_dir, name), q, k).withColumn("index_name", F.lit(name))
+        for name in ("kb", "incident")])
+    top = R.rank_top(hits.select("query_id", "doc_id", "index_name", "score"), R.clamp_k(k))
+    return format_hits(spark, sf_dir, top).withColumn("confidence", R.confidence(F.col("score")))
+
+
+def knowledge_queries(tm: TicketModel) -> DataFrame:
+    """The benchmark texts, each asked for the ticket of its number: all content, articles alone, or notes alone."""
+    turn = F.col("query_id") % 3
+    types = F.when(turn == 1, F.array(F.lit("kb_article"))) \
+        .when(turn == 2, F.array(F.lit("work_note"), F.lit("resolution_note")))
+    return bench_queries(tm).select("query_id", "text", F.col("query_id").alias("ticket"), types.alias("content_types"))
+
+
+EMBED_INC_SQL = "concat_ws(' ', " + ", ".join(
+    f"CASE WHEN trim({c}) <> '' THEN {c} END" for c in INCIDENT_FIELDS) + ")"
+KIND_SQL = "CASE content_type WHEN 'description' THEN 2 WHEN 'work_notes' THEN 4 WHEN 'resolution_notes' THEN 8 END"
+INC_HYBRID_SQL = (f"SELECT id AS doc_id, incident_summary, description, work_notes, resolution_notes, "
+                  f"{EMBED_INC_SQL} AS embed, {KIND_SQL} AS kind, incident_id AS owner FROM idocs")
+KB_HYBRID_SQL = (f"SELECT 'kb_' || CAST(kb_article_id AS VARCHAR) AS doc_id, title_raw AS title, content_text AS content, "
+                 f"{EMBED_KB_SQL} AS embed, 1 AS kind, '' AS owner FROM kb")
+KNOWLEDGE_Q_SQL = ("SELECT item_id AS query_id, text, CAST(item_id AS VARCHAR) AS ticket, "
+                   "CASE item_id % 3 WHEN 1 THEN 1 WHEN 2 THEN 12 ELSE -1 END AS kinds FROM benchmark")
+
+
+@register("j19_search_knowledge", sql(INC_DOCS_SQL + f",\nadocs AS ({ATT_DOCS_SQL})," + hybrid_ctes(
+    "k", KB_HYBRID_SQL, FIELDS["kb"], KNOWLEDGE_Q_SQL, K_FUSED, R.KB_FIELD_WEIGHTS) + "," + hybrid_ctes(
+    "i", INC_HYBRID_SQL, INCIDENT_FIELDS, KNOWLEDGE_Q_SQL, K_FUSED, R.INCIDENT_FIELD_WEIGHTS) + f""",
+hits AS (SELECT query_id, doc_id, score, 'kb' AS index_name FROM k_top
+         UNION ALL SELECT query_id, doc_id, score, 'incident' FROM i_top),{SHAPES_SQL}
+SELECT query_id, doc_id, index_name, source_type, source_id, title, snippet, url, score, rank,
+       least(1.0e0, score / 4.0e0) AS confidence FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS INTEGER) AS rank
+  FROM hits) JOIN shapes USING (doc_id) WHERE rank <= 5""", "incd", "notes", "reo", "kb", "att", "img"))
+def knowledge(spark, sf_dir):
+    """J19 + B12 + B14 + G5 + I21: hybrid search of articles and tickets by content type, own ticket left out."""
+    return search_knowledge(spark, sf_dir, knowledge_queries(TicketModel(spark, sf_dir))).drop("metadata")
+
+
+@register("j20_b12_b13_similar_incidents", sql(INC_DOCS_SQL + ",\n" + hybrid_ctes(
+    "bs", INC_HYBRID_SQL.replace(KIND_SQL, f"CASE WHEN lower(incident_state) IN ('resolved', 'closed') THEN {KIND_SQL} "
+                                           "ELSE 0 END"), INCIDENT_FIELDS,
+    "SELECT d.doc_id AS query_id, d.text, CAST(d.doc_id AS VARCHAR) AS ticket, -1 AS kinds FROM documents d "
+    "JOIN inc ON inc.incident_id = d.doc_id WHERE lower(inc.state) IN ('new', 'in progress', 'on hold')",
+    K_FUSED, R.INCIDENT_FIELD_WEIGHTS) + """
+SELECT query_id, doc_id, score, rank, incident_summary AS title, substr(COALESCE(i.resolution_notes, i.work_notes,
+       i.description, ''), 1, 500) AS snippet, nullif(substr(COALESCE(i.resolution_notes, ''), 1, 500), '')
+       AS resolution_note, incident_url AS url, incident_state AS state
+FROM bs_top JOIN idocs i ON i.id = doc_id""",
     "incd", "notes", "reo", "inc"))
 def similar_incidents(spark, sf_dir):
-    """J20 + B12 + B13: for each open ticket, the 5 most similar resolved tickets' documents by its
-    description text, excluding its own documents."""
+    """J20 + B12 + B13: for each open ticket with a description, the 5 most similar documents of other, resolved
+    tickets by hybrid search, with their resolution text."""
     tm = TicketModel(spark, sf_dir)
     seeds = tm.incidents_base().where(is_open(F.col("state")))
     q = doc_texts(tm).join(seeds.select(F.col("incident_id").alias("doc_id")), "doc_id") \
-        .select(F.col("doc_id").alias("query_id"), "text")
-    docs = _incident_docs(spark, sf_dir).where(F.lower("incident_state").isin("resolved", "closed"))
-    docs = docs.withColumnRenamed("id", "doc_id")
-    owner = F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1).cast("long")
-    profile = docs.select("doc_id", owner.alias("owner"))
-    return R.bm25_topk(R.build_index(docs, "doc_id", INCIDENT_FIELDS), q, 5, R.INCIDENT_FIELD_WEIGHTS, profile) \
-        .select("query_id", "doc_id", "score", "rank")
+        .select(F.col("doc_id").alias("query_id"), "text", F.col("doc_id").alias("ticket"))
+    index = SearchIndex(spark, sf_dir, "incident")
+    found = index.docs.select(
+        "doc_id", F.col("incident_summary").alias("title"),
+        R.snippet(F.coalesce("resolution_notes", "work_notes", "description"), 500).alias("snippet"),
+        F.nullif(R.snippet(F.col("resolution_notes"), 500), F.lit("")).alias("resolution_note"),
+        F.col("incident_url").alias("url"), F.col("incident_state").alias("state"))
+    return hybrid_search(index, q, K_FUSED, resolved=True).select("query_id", "doc_id", "score", "rank") \
+        .join(found, "doc_id")
 
 
 @register("j21_attachment_lookup", sql(f"""

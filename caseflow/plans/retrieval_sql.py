@@ -87,3 +87,40 @@ def fuse_ctes(p: str, kw: str, vec: str, k: int, boosts_sql: str | None = None)
 {p}_top AS (SELECT * FROM (
               SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC)
                              AS INTEGER) AS rank FROM {p}_f) WHERE rank <= {k})"""
+
+
+def embed_ctes(p: str, texts_sql: str, dim: int = 64) -> str:
+    """CTE chain ending in ``{p}_v(text, vec)``: hashed vectors of the distinct texts of ``texts_sql`` (text)."""
+    return f"""
+{p}_c AS (SELECT DISTINCT COALESCE(text, '') AS text FROM ({texts_sql})),
+{p}_n AS (SELECT text, ('0x' || md5(term)[1:8])::BIGINT % {dim} AS place,
+                 sum(CASE WHEN md5(term)[9] >= '8' THEN 1 ELSE -1 END) AS n
+          FROM (SELECT text, unnest({TOK.format(x='text')}) AS term FROM {p}_c) GROUP BY 1, 2),
+{p}_v AS (SELECT c.text, list(CAST(COALESCE(n, 0) AS DOUBLE) ORDER BY place) AS vec
+          FROM (SELECT text, unnest(range({dim})) AS place FROM {p}_c) c LEFT JOIN {p}_n USING (text, place)
+          GROUP BY c.text)"""
+
+
+def hybrid_ctes(p: str, docs_sql: str, fields: dict[str, str], queries_sql: str, k: int,
+                weights: dict[str, float] | None = None) -> str:
+    """CTE chain ending in ``{p}_top``: keyword and vector candidates (2k each) of the wanted documents, fused.
+
+    ``docs_sql`` yields doc_id, the fields, embed (the text embedded), kind and
+    owner; ``queries_sql`` yields query_id, text, kinds and ticket.
+    """
+    keyword = bm25_ctes(p, docs_sql, fields, queries_sql, 2 * k, weights).replace(f"{p}_top AS", f"{p}_any AS")
+    wanted = "(q.kinds & d.kind) <> 0 AND (q.ticket IS NULL OR d.owner IS DISTINCT FROM q.ticket)"
+    best = "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS INTEGER) AS rank"
+    return f"""{keyword},
+{p}_kw AS (SELECT * FROM (SELECT *, {best} FROM (
+             SELECT s.query_id, s.doc_id, bm25, round(bm25, 6) AS score
+             FROM {p}_sc s JOIN {p}_d d USING (doc_id) JOIN {p}_q q ON q.query_id = s.query_id WHERE {wanted}))
+           WHERE rank <= {2 * k}),
+{embed_ctes(p + "e", f"SELECT embed AS text FROM {p}_d UNION ALL SELECT text FROM {p}_q").lstrip()},
+{p}_cos AS (SELECT query_id, doc_id, CASE WHEN isnan(c) THEN 0.0e0 ELSE c END AS cosine FROM (
+             SELECT q.query_id, d.doc_id, list_cosine_similarity(a.vec, b.vec) AS c
+             FROM {p}_q q JOIN {p}_d d ON {wanted}
+                  JOIN {p}e_v a ON a.text = COALESCE(q.text, '') JOIN {p}e_v b ON b.text = COALESCE(d.embed, ''))),
+{p}_vec AS (SELECT * FROM (SELECT *, {best} FROM (
+             SELECT query_id, doc_id, cosine, round(cosine, 6) AS score FROM {p}_cos)) WHERE rank <= {2 * k}),
+{fuse_ctes(p, f"{p}_kw", f"{p}_vec", k).lstrip()}"""
