@@ -83,8 +83,10 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
         enc = tokens.encoder(tokenizer)
         for b in sliced(batches):
             rows = []
-            for key, ids in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
-                ids += end
+            flat, bounds = enc.encode_flat(b.column(1))
+            data, bounds = flat.tobytes(), (4 * bounds).tolist()
+            for key, low, high in zip(b.column(0).to_pylist(), bounds, bounds[1:]):
+                ids = data[low:high] + end
                 n = len(ids) // 4
                 first = (n - 1) % capacity + 1
                 edges = [0, *range(first, n + 1, capacity)]

@@ -59,8 +59,11 @@ def unframe(data: bytes, at: int = 0) -> bytes:
 
 
 def serialize(doc_id: int | None, ids: bytes, width: int = WIDTH) -> bytes:
-    """A sequence: id flag, id, token ids (given as little-endian 32-bit numbers)."""
-    body = np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() if width != 4 else ids
+    """A sequence: id flag, id, token ids (given as little-endian 32-bit numbers); ValueError for an id beyond ``width``."""
+    wide = np.frombuffer(ids, "<u4")
+    if width < 4 and len(wide) and int(wide.max()) >> 8 * width:
+        raise ValueError(f"token id {wide.max()} doesn't fit {width} bytes")
+    body = wide.astype(f"<u{width}").tobytes()
     return struct.pack("<Bq", doc_id is not None, doc_id or 0) + body
 
 
@@ -101,12 +104,13 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
             if out is None and b.num_rows:
                 fs.create_dir(path, recursive=True)
                 out = fs.open_output_stream(f"{name}.rec.{mark}", compression=None)
-            rows = enc.encode([t or "" for t in b.column(1).to_pylist()])
-            for key, ids in zip(b.column(0).to_pylist(), rows):
-                record = frame(serialize(key, ids + end, width))
+            flat, edges = enc.encode_flat(b.column(1))
+            data, edges = flat.tobytes(), (4 * edges).tolist()
+            for key, i, j in zip(b.column(0).to_pylist(), edges, edges[1:]):
+                record = frame(serialize(key, data[i:j] + end, width))
                 out.write(record)
                 offsets.append(at)
-                at, total = at + len(record), total + len(ids) // 4 + 1
+                at, total = at + len(record), total + (j - i) // 4 + 1
         if out is not None:
             out.close()
             with fs.open_output_stream(f"{name}.idx.{mark}", compression=None) as index:

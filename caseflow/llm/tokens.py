@@ -3,28 +3,32 @@
 The byte-level vocabulary cuts a text before every blank that follows a
 non-blank, so a single blank between two other characters is always a cut.
 The ids of such a unit depend on the unit alone; each Python worker remembers
-those it has seen, up to a bound, and asks the tokenizers library for the rest:
-for old alphabets piece by piece, a piece being what the library's pattern
-cuts, for others as whole units.
+those it has seen, up to a bound, and asks the tokenizers library for the rest,
+many units in one text: their ids are told apart by the tokens that begin with
+a blank.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units one worker remembers in each of two generations: when the young one is
 #: full it becomes the old one, and units found there move on to the next.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Texts cut into units at a time.
-TEXTS = 500
+TEXTS = 1000
+#: Units asked for at a time.
+ASKED = 1000
 _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
-#: Letters below this are as old as any Unicode table in use, so the pieces below are the library's.
-_OLD = "\u0530"
-#: How the vocabulary writes bytes: visible Latin-1 as it is, the others from U+0100 on in order.
-_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_WRITTEN = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_VISIBLE))}
+#: How the vocabulary writes a blank.
+_BLANK = "\u0120"
+#: Stands for the ids of a unit that can't stand alone; no ids have its length.
+STRANGE = b"\0"
 _WORKER: dict[tuple, "Encoder"] = {}
 
 
@@ -39,76 +43,107 @@ class Encoder:
 
     def __init__(self, name: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(tokenizer_file(name))
         self.lib.encode_special_tokens = True
-        self.cut = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        self.pieces: dict[str, bytes] = {}
+        vocab = self.lib.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids of tokens that begin with a blank
+        self.opens[[i for t, i in vocab.items() if t.startswith(_BLANK)]] = True
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.remembered = remembered
 
-    def _piece(self, piece: str) -> bytes:
-        """ids of one piece of the tokenizer's own pattern, by its merges."""
-        if piece.isascii() and piece.isprintable():
-            written = piece.replace(" ", "\u0120")
-        else:
-            written = piece.encode().decode("latin-1").translate(_WRITTEN)
-        return array("I", [t.id for t in self.lib.model.tokenize(written)]).tobytes()
-
-    def _unit(self, u: str) -> bytes:
-        """ids of a unit of old alphabets, put together from its pieces."""
-        pieces = self.pieces
-        out = self.cut(u[1:] if u[:1] == "\0" else " " + u)
-        for p in out:
-            if p not in pieces:
-                pieces[p] = self._piece(p)
-        return b"".join(map(pieces.__getitem__, out))
+    def _bulk(self, units: list[str]) -> list[bytes]:
+        """ids of units that stand alone, asked for many at a time: each begins with its blank."""
+        out = []
+        for i in range(0, len(units), ASKED):
+            some = units[i:i + ASKED]
+            ids = np.frombuffer(self._ask([" " + " ".join(some)])[0], "<u4")
+            begin = np.flatnonzero(self.opens[ids])
+            if len(begin) != len(some):
+                out += self._ask([" " + u for u in some])
+                continue
+            data, edges = ids.tobytes(), (4 * np.r_[begin, len(ids)]).tolist()
+            out += [data[x:y] for x, y in zip(edges, edges[1:])]
+        return out
 
     def _ask(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One bytes object for each text; an empty text has no ids."""
-        return [ids for i in range(0, len(texts), TEXTS) for ids in self._encode(texts[i:i + TEXTS])]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        ids, edges = self.encode_flat(pa.array(texts, pa.large_string()))
+        data, edges = ids.tobytes(), (4 * edges).tolist()
+        return [data[i:j] for i, j in zip(edges, edges[1:])]
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's ids begin and the last ones end); null as empty.
+
+        A bounded number of texts is cut at a time, by Arrow; only their
+        distinct units are looked up, and the ids are gathered by NumPy.  A
+        text is held whole, as some five numbers a unit.
+        """
+        texts = texts.cast(pa.large_string())
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(texts), TEXTS):
+            flat, n = self._gather(pc.fill_null(texts.slice(i, TEXTS), ""))
+            ids.append(flat)
+            counts.append(n)
+        return np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(counts))].astype(np.int64)
+
+    def _gather(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        begin = lists.offsets.to_numpy().astype(np.int64)
+        begin, n_units = begin[:-1] - begin[0], int(begin[-1] - begin[0])
+        coded = pc.dictionary_encode(lists.flatten())
+        unit, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        # the first unit has no blank before it: "\0" marks it; a text that holds "\0" is asked for whole
+        heads = {}
+        for c in code[begin].tolist():
+            heads.setdefault(c, len(unit) + len(heads))
+        code[begin] = [heads[c] for c in code[begin].tolist()]
+        unit += ["\0" + unit[c] for c in heads]
+        found = self._look_up(unit)
+        size = np.array(list(map(len, found)), np.int64)
+        whole = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        whole |= np.logical_or.reduceat((size == len(STRANGE))[code], begin)
+        rows = np.flatnonzero(whole)
+        if len(rows):  # a unit that can't stand alone: the text's units give nothing, its first one all ids
+            of = np.repeat(np.arange(len(texts)), np.diff(np.r_[begin, n_units]))
+            code[whole[of]] = len(found)
+            code[begin[rows]] = len(found) + 1 + np.arange(len(rows))
+            found = [b"" if x is STRANGE else x for x in found]
+            found += [b"", *self._ask(texts.take(pa.array(rows)).to_pylist())]
+            size = np.array(list(map(len, found)), np.int64)
+        elif (size == len(STRANGE)).any():  # a first unit's other form, which no text has
+            found = [b"" if x is STRANGE else x for x in found]
+        size //= 4
+        pool, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        n = size[code]
+        place = np.repeat(start[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return pool[place], np.add.reduceat(n, begin)
+
+    def _look_up(self, units: list[str]) -> list[bytes]:
+        """ids of each of the distinct units, remembered or asked for; ``STRANGE`` where a unit can't stand alone."""
         if len(self.known) > self.remembered:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
-        # the first unit has no blank before it: "\0" marks it; a text that holds "\0" is asked for whole
-        cut = []
-        for t in texts:
-            parts = t.split(" ") if "\0" not in t else [""]
-            parts[0] = "\0" + parts[0] if parts[0] or "\0" not in t else ""
-            cut.append(parts)
-        new = set().union(*cut).difference(known)
-        kept = new.intersection(old)
-        known.update(zip(kept, map(old.__getitem__, kept)))
-        new -= kept
-        plain = [u for u in new if u and not _ODD.search(u)]
-        known.update(dict.fromkeys(new))
-        if len(self.pieces) > self.remembered:
-            self.pieces = {}
-        asked = []
-        for u in plain:
-            if u.isascii() or max(u) < _OLD:
-                known[u] = self._unit(u)
-            else:
-                asked.append(u)
-        known.update(zip(asked, self._ask([u[1:] if u[0] == "\0" else " " + u for u in asked])))
-        out, whole = [], []
-        for i, parts in enumerate(cut):
-            try:
-                out.append(b"".join(map(known.__getitem__, parts)))
-            except TypeError:  # a unit that can't stand alone: ask for the whole text
-                out.append(b"")
-                whole.append(i)
-        for i, ids in zip(whole, self._ask([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+        found = list(map(known.get, units))
+        heads, inner = [], []
+        for i, x in enumerate(found):
+            if x is None:
+                u = units[i]
+                found[i] = x = old.get(u)
+                if x is not None:
+                    known[u] = x
+                elif not u or "\0" in u[1:] or (u.split() != [u] and _ODD.search(u)):
+                    found[i] = known[u] = STRANGE
+                else:
+                    (heads if u[0] == "\0" else inner).append(i)
+        asked = self._ask([units[i][1:] for i in heads]) + self._bulk([units[i] for i in inner])
+        for i, x in zip(heads + inner, asked):
+            found[i] = known[units[i]] = x
+        return found
 
 
 def encoder(name: str) -> Encoder:
