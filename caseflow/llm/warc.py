@@ -14,9 +14,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -97,8 +99,13 @@ def segments(kind: str, fields: dict[str, object], block: bytes, size: int) -> I
             "WARC-Segment-Total-Length": len(block) if n == len(parts) else None}, part)
 
 
-def record_id(page: object, row: int) -> str:
-    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'capture:{page}:{row}').urn}>"
+def record_id(name: str) -> str:
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, name).urn}>"
+
+
+def header_value(value: object) -> str:
+    """A value on one line: control characters as percent escapes."""
+    return re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m.group()):02X}", str(value))
 
 
 def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
@@ -106,21 +113,43 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """Write every row of ``pages`` as a record; one row (uri) per archive file.
 
     Rows with equal payloads of ``min_bytes`` or more: the one with the largest
-    page_id is the response (of repeated largest ids one row, null the least),
-    the others revisit it.  A null payload is an empty one, a null url is left
-    out.  First records and continuations go to separate files, so that a
-    capture must be put together across files.  A task writes to names of its
-    own and moves whole files into place.
+    page_id is the response (null the least; of rows that share the id the one
+    of largest url, of repeated rows one), the others revisit it.  A null
+    payload is an empty one, a null url is left out, control characters in urls
+    are percent-escaped.  An empty table gives no file.  Other columns
+    of ``pages`` are not read.
+
+    Who responds is decided by values alone, so it holds whichever way a task's
+    rows come when it is run again: a shared payload's response has an
+    identifier made of its digest.  First records and continuations go to
+    separate files, so that a capture must be put together across files.  A
+    task writes to names of its own and moves whole files into place.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload")) \
-        .withColumns({"row": F.monotonically_increasing_id(), "sha": F.sha1("payload")})
-    same = rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha") \
-        .agg(F.max(F.struct("page_id", "row")).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = F.struct("page_id", "row")
-    plan = rows.join(same, "sha", "left").withColumn(
-        "origin", F.when(F.col("origin").isNotNull() & ~own.eqNullSafe(F.col("origin")), F.col("origin")))
+        .withColumn("sha", F.sha1("payload"))
+    same = rows.where(F.octet_length("payload") >= min_bytes) \
+        .groupBy("sha", "page_id", "url").agg(F.count(F.lit(1)).alias("rows")) \
+        .groupBy("sha").agg(F.max(F.struct("page_id", "url", "rows")).alias("top"), F.sum("rows").alias("n")) \
+        .where("n > 1").drop("n")
+    same = write_once(same, "warc-same")
+    top = F.col("page_id").eqNullSafe(F.col("top.page_id")) & F.col("url").eqNullSafe(F.col("top.url"))
+    joined = rows.join(same, "sha", "left")
+    shared, first = F.col("top").isNotNull(), F.coalesce(F.col("top").isNotNull() & top, F.lit(False))
+    columns = ["page_id", "url", "payload", "sha"]
+    plan = joined.select(*columns, shared.alias("shared"), (~shared | first).alias("response"),
+                         (first & (F.col("top.rows") > 1)).alias("repeated"))
+    repeats = same.where("top.rows > 1").select("sha", "top")
+    if not repeats.isEmpty():
+        # rows that repeat the one that responds: one payload of them, summed up where they are read, and a count
+        again = rows.join(repeats, "sha").where(top).groupBy("sha", "page_id", "url") \
+            .agg(F.first("payload").alias("payload"), F.count(F.lit(1)).alias("n")) \
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+        again = again.select("page_id", "url", F.when(F.col("copy") == 1, F.col("payload")).otherwise(F.lit(b""))
+                             .alias("payload"), "sha", F.lit(True).alias("shared"),
+                             (F.col("copy") == 1).alias("response"), F.lit(False).alias("repeated"))
+        plan = plan.where("not repeated").unionByName(again)
 
     def write(batches: Iterator[pa.RecordBatch]):
         fs, path = pafs.FileSystem.from_uri(folder)
@@ -145,24 +174,24 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
         for b in batches:
             for r in b.to_pylist():
-                rid, origin = record_id(r["page_id"], r["row"]), r["origin"]
-                fields = {"WARC-Record-ID": rid, "WARC-Target-URI": r["url"],
+                common = record_id(f"payload:{r['sha']}")
+                own = common if r["shared"] and r["response"] else f"<{uuid.uuid4().urn}>"
+                fields = {"WARC-Record-ID": own, "WARC-Target-URI": None if r["url"] is None else header_value(r["url"]),
                           "WARC-Payload-Digest": f"sha1:{base64.b32encode(bytes.fromhex(r['sha'])).decode()}",
-                          "X-Page-ID": r["page_id"], "Content-Type": "application/http; msgtype=response"}
-                if origin is None:
+                          "X-Page-ID": None if r["page_id"] is None else quote(str(r["page_id"]), safe=""), "Content-Type": "application/http; msgtype=response"}
+                if r["response"]:
                     first = True
                     for data in segments("response", fields, HTTP_HEAD + chunked(r["payload"]), segment_bytes):
                         put("capture" if first else "segment", data)
                         first = False
                 else:
-                    fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(origin["page_id"], origin["row"])}
+                    fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": common}
                     put("capture", record("revisit", fields, HTTP_HEAD))
         for kind in list(files):
             close(kind)
         yield pa.RecordBatch.from_pydict({"uri": pa.array(done, pa.string())})
 
-    return write_once(plan.select("page_id", "url", "payload", "row", "sha", "origin")
-                      .mapInArrow(write, "uri string"), "warc-files")
+    return write_once(plan.select(*columns, "shared", "response").mapInArrow(write, "uri string"), "warc-files")
 
 
 def _fetch(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -209,7 +238,8 @@ def read_archives(files: DataFrame, id_type: str = "bigint") -> DataFrame:
                 for f, block in _fetch(uri):
                     total = f.get("warc-segment-total-length")
                     rows.append((f.get("warc-segment-origin-id", f["warc-record-id"]), f["warc-type"],
-                                 int(f.get("warc-segment-number", 0)), total and int(total), f.get("x-page-id"),
+                                 int(f.get("warc-segment-number", 0)), total and int(total),
+                                 unquote(f["x-page-id"]) if "x-page-id" in f else None,
                                  f.get("warc-payload-digest"), f.get("warc-refers-to"), block))
                     held += len(block)
                     if held > 8 << 20:
@@ -259,12 +289,25 @@ def archive_report(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     seen = write_once(read_archives(files, kind).select(
         "page_id", "record_id", "record_type", "payload_digest", "refers_id",
         F.octet_length("payload").cast("long").alias("payload_bytes")), "warc-captures")
-    origin = seen.where("record_type = 'response'").select(
-        F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"),
-        F.col("payload_bytes").alias("origin_bytes"))
-    return seen.join(origin, "refers_id", "left").select(
-        "page_id", F.coalesce("payload_bytes", "origin_bytes").alias("payload_bytes"), "payload_digest",
-        "record_type", "refers_to")
+    return resolve_revisits(seen).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def resolve_revisits(captures: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each of the ``captures``.
+
+    ``captures``: page_id, record_id, record_type, payload_digest, refers_id,
+    payload_bytes.  A revisit takes the size and page_id of the response that
+    it names; one whose response isn't there raises an error.
+    """
+    kept = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    found = captures.where("record_type = 'response'")
+    origin = found.select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"),
+                          F.col("payload_bytes").alias("origin_bytes"))
+    lost = F.raise_error(F.concat(F.lit("a revisit refers to a capture that isn't there: "), "refers_id")).cast("long")
+    revisits = captures.where("record_type = 'revisit'").drop("payload_bytes").join(origin, "refers_id", "left") \
+        .withColumn("payload_bytes", F.coalesce("origin_bytes", lost)).select(*kept, "refers_to")
+    none = F.lit(None).cast(captures.schema["page_id"].dataType)
+    return found.select(*kept, none.alias("refers_to")).unionByName(revisits)
 
 
 _DIGIT = "('0x' || substr(h, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4)) & 31"

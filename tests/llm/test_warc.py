@@ -67,3 +67,31 @@ def test_chunked_framing():
         assert warc.unchunked(warc.chunked(data)) == data
     with pytest.raises(ValueError):
         warc.unchunked(b"5\r\nabc")
+
+
+def test_rows_dealt_anew_lose_no_payload(spark):
+    """Repeated rows in an input whose partitions come differently each time it is read."""
+    rows = [(i, f"http://h/{i}", f"page {i % 40} " * 50) for i in range(250)]
+    df = pages(spark, rows)
+    out = warc.archive_report(df.unionByName(df).repartition(5)).collect()
+    assert len(out) == 500 and all(r.payload_bytes for r in out)
+    assert sum(r.record_type == "response" for r in out) == 40
+    for r in out:
+        assert r.refers_to == (None if r.record_type == "response" else max(i for i in range(250) if i % 40 == r.page_id % 40))
+
+
+def test_odd_urls_and_ids(spark):
+    urls = ["a\r\n\r\nb", "a\r\nContent-Length: 0", "\x00\x7f", " x ", "", "http://h/%20?q=é", "\n"]
+    df = spark.createDataFrame([(f"id\r\n{i}% ", u, f"t{i}") for i, u in enumerate(urls)],
+                               "page_id string, url string, html string")
+    out = warc.archive_report(df).collect()
+    assert sorted(r.page_id for r in out) == sorted(f"id\r\n{i}% " for i in range(len(urls)))
+    assert all(r.record_type == "response" and r.payload_bytes == 2 for r in out)
+
+
+def test_revisit_without_its_response_is_noticed(spark):
+    files = warc.write_archives(pages(spark, [(1, "u", "same"), (2, "u", "same")]), run_folder(spark, "warc-test"))
+    seen = warc.read_archives(files).selectExpr("*", "cast(length(payload) as long) as payload_bytes")
+    assert warc.resolve_revisits(seen).count() == 2
+    with pytest.raises(Exception, match="isn't there"):
+        warc.resolve_revisits(seen.where("record_type = 'revisit'")).collect()
