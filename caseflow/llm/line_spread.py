@@ -37,19 +37,45 @@ def boilerplate_lines(rows: DataFrame, min_sites: int = MIN_SITES, margin: float
     the (id, th, pos) of the first place in that order.
     """
     lines = _lines(rows)
-    spread = lines.groupBy("h1", "h2").agg(
+    spread = write_once(lines.groupBy("h1", "h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("est"),
-        F.min(F.struct("id", "th", "pos")).alias("first")) \
-        .where(F.coalesce("est", F.lit(0)) >= min_sites * (1 - margin))
+        F.min(F.struct("id", "th", "pos")).alias("first"))
+        .where(F.coalesce("est", F.lit(0)) >= min_sites * (1 - margin)), "spread-estimates")
     sure = spread.where(F.col("est") > min_sites * (1 + margin)).select("h1", "h2", "first")
-    near = spread.where(F.col("est") <= min_sites * (1 + margin))
-    pairs = lines.groupBy("h1", "h2", "site").agg(F.count(F.lit(1)).alias("n"))
-    exact = near.join(pairs, ["h1", "h2"]).groupBy("h1", "h2") \
-        .agg(F.count("site").alias("sites"), F.first("first").alias("first")) \
-        .where(F.col("sites") >= min_sites).select("h1", "h2", "first")
+    near = spread.where(F.col("est") <= min_sites * (1 + margin)).select("h1", "h2", "first")
+    # only places of near lines reach the exact count; as a written table the near lines have a size that Spark knows
+    pairs = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi") \
+        .groupBy("h1", "h2", "site").agg(F.count(F.lit(1)).alias("n"))
+    exact = pairs.groupBy("h1", "h2").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites) \
+        .join(near, ["h1", "h2"]).select("h1", "h2", "first")
     return sure.unionByName(exact)
 
 
+def clean_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
+                min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
+    """(row, text, n_lines, n_removed): each row of ``docs`` as one struct beside its cleaned text; see ``drop_spread_lines``."""
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
+                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"),
+                        F.col(site).cast("string").alias("site"))
+    rows = keyed.select("id", "th", "text", "site")
+    # written first, so that the join below shuffles both sides itself and Spark can split a hot line
+    bad = write_once(boilerplate_lines(rows, min_sites, margin, lg_k), "spread-lines")
+    here = F.struct("id", "th", "pos")
+    gone = _lines(rows).join(bad, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first"))) \
+        .groupBy("id", "th").agg(F.collect_set("pos").alias("gone")) \
+        .select(F.col("id").alias("gone_id"), F.col("th").alias("gone_th"), "gone")
+    joined = keyed.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left")
+    parts = F.split("text", "\n")
+    # the lambda binds the lines once; positions are set-subtracted, so the work grows with the lines
+    kept = F.transform(F.array(parts), lambda ls: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda i: F.get(ls, i)))
+    cleaned = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept[0], "\n"))
+    n_lines = F.coalesce(F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(BLANKS)) != "")), F.lit(0))
+    return joined.select("row", cleaned.alias("text"),
+                         F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
+                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+
+
 def drop_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
                       min_sites: int = MIN_SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
     """``docs`` with cleaned texts, and ``n_lines`` and ``n_removed`` (long) of each.
@@ -62,26 +88,9 @@ def drop_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     alike; a null id is an id of its own.  Columns called n_lines or n_removed
     are replaced.
     """
-    keyed = docs.drop("n_lines", "n_removed").withColumn("_th", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = keyed.select(F.col(doc_id).alias("id"), F.col("_th").alias("th"), F.col(text).alias("text"),
-                        F.col(site).cast("string").alias("site"))
-    # written first, so that the join below shuffles both sides itself and Spark can split a hot line
-    bad = write_once(boilerplate_lines(rows, min_sites, margin, lg_k), "spread-lines")
-    here = F.struct("id", "th", "pos")
-    gone = _lines(rows).join(bad, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first"))) \
-        .groupBy("id", "th").agg(F.collect_set("pos").alias("_gone")) \
-        .select(F.col("id").alias("_id"), F.col("th").alias("_h"), "_gone")
-    joined = keyed.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")), "left")
-    parts = F.split(F.col(text), "\n")
-    # the lambda binds the lines once; positions are set-subtracted, so the work grows with the lines
-    kept = F.transform(F.array(parts), lambda ls: F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i)))
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept[0], "\n"))
-    n_lines = F.coalesce(F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(BLANKS)) != "")), F.lit(0))
-    return joined.select(
-        *[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
-        F.when(F.col(text).isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    done = clean_lines(docs, doc_id, text, site, min_sites, margin, lg_k)
+    return done.select(*[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns
+                         if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
 
 
 #: DuckDB's words for ``drop_spread_lines`` over documents, at the default threshold.

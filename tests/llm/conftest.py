@@ -4,7 +4,9 @@ from pyspark.sql import types as T
 
 #: Names that operators use inside, or return, as extra columns of the input.
 CLASHING = ["score", "size", "h", "start", "bucket", "target", "member", "class_id", "n_lines", "n_removed",
-            "lang_pred", "row", "k", "key", "th", "id", "line", "w", "rank", "band", "piece", "group", "own", "look"]
+            "lang_pred", "row", "k", "key", "th", "id", "line", "w", "rank", "band", "piece", "group", "own", "look",
+            "_gone", "_id", "_h", "_th", "gone", "gone_id", "gone_", "gone_th_", "other_id", "other_th", "slot",
+            "begin", "cut", "spoken", "lang_pred_", "lang_score_", "doc", "site", "first", "root"]
 LONG = " ".join(f"word{i % 977}" for i in range(60_000)) + ".\nEnd of it."
 
 

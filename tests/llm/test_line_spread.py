@@ -1,7 +1,7 @@
 from collections import Counter, defaultdict
 
 from caseflow.llm import line_spread as ls
-from tests.llm.conftest import EDGE, frame
+from tests.llm.conftest import CLASHING, EDGE, frame
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -28,7 +28,9 @@ def brute(rows, min_sites):
 def got(df, **options):
     out = ls.drop_spread_lines(df, **options)
     assert out.columns == [c for c in df.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
-    return Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in out.collect())
+    rows = out.collect()
+    assert all(r[c] == "x" for r in rows for c in CLASHING if c in df.columns and c not in ("n_lines", "n_removed"))
+    return Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in rows)
 
 
 def test_edge_rows(edge, nothing):
@@ -43,3 +45,14 @@ def test_near_lines_are_counted_exactly(spark):
     rows = [(1000 * k + i, t, g, s) for k, (i, t, g, s) in enumerate(rows)]
     assert got(frame(spark, rows, []), min_sites=50) == brute(rows, 50)
     assert got(frame(spark, rows, []), min_sites=50, lg_k=4, margin=0.9) == brute(rows, 50)
+
+
+def test_exact_count_reads_near_lines_alone(spark):
+    """The pairs that are counted exactly come from near lines, not from all lines."""
+    rows = [(i, "\n".join([f"near {i % 3}", *[f"only {i} {j}" for j in range(30)]]), "en", f"site{i % 15}")
+            for i in range(60)]
+    df = frame(spark, rows, []).selectExpr("doc_id as id", "xxhash64(text) as th", "text", "source as site")
+    bad = ls.boilerplate_lines(df, 5)
+    assert bad.count() == 3
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
