@@ -201,13 +201,21 @@ def mix_slots(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
 
 
 def mix_report(docs: DataFrame, **columns: str) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of each row of ``docs``: what ``mix_slots`` takes of it."""
-    placed, pieces, _ = mix_slots(docs, **columns)
+    """(doc_id, size, source_size, target, taken, first_slot, first_offset) of each row of ``docs``.
+
+    first_slot and first_offset say where in the mix a document begins: the
+    slot that the schedule gives its first block, and the words of that block
+    before it; null for a document that isn't taken.
+    """
+    placed, pieces, plan = mix_slots(docs, **columns)
     cols = ["k", "bucket", "rn", "doc_id", "size", "source_size", "target"]
-    both = placed.select(*cols, F.lit(0).cast("long").alias("taken")) \
-        .unionByName(pieces.select(*cols, F.col("n_words").cast("long").alias("taken")))
-    return both.groupBy(*cols).agg(F.sum("taken").alias("taken")) \
-        .select("doc_id", F.col("size"), "source_size", "target", "taken")
+    begin = F.pmod(F.col("epoch") * F.col("source_size") + F.col("start") + F.col("from_word"), F.lit(plan.block))
+    both = placed.select(*cols, F.lit(0).cast("long").alias("taken"),
+                         F.lit(None).cast("struct<first_slot:long,first_offset:long>").alias("at")) \
+        .unionByName(pieces.select(*cols, F.col("n_words").cast("long").alias("taken"), F.struct(
+            F.col("slot").alias("first_slot"), begin.cast("long").alias("first_offset")).alias("at")))
+    return both.groupBy(*cols).agg(F.sum("taken").alias("taken"), F.min("at").alias("at")) \
+        .select("doc_id", F.col("size"), "source_size", "target", "taken", "at.first_slot", "at.first_offset")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -231,25 +239,34 @@ def first_words(text: Column, n: Column) -> Column:
 
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                   seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` as the mix holds it: a row for each time a document is taken, cut where its source ends.
-
-    Each source gives its target in whole words, the first of its hashed order,
-    so it ends within one document, whose text is cut after the last word taken.  Wordless documents aren't taken.  Returns
-    the columns of ``docs``.
+    """``docs`` as the mix holds it: a row for each time a document is taken, in the order of the schedule.
+
+    A row comes with the slot of the block it begins in, after what that block
+    holds before it; rows are range-partitioned by slot and sorted, so a table
+    written from them follows the schedule from file to file, and any first
+    part of it holds the sources by their targets.  Each source gives its
+    target in whole words, so it ends within one document, whose text is cut
+    after the last word taken.  Null and wordless texts aren't taken; a null
+    source is a source, repeated rows are rows of their own, an empty table
+    gives no rows.  Returns the columns of ``docs``.
     """
+    spark = docs.sparkSession
     plan = plan_mix(count_words(docs, doc_id, text, source), block_words)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(doc_id).alias("doc_id"),
                        F.col(source).cast("string").alias("source"), F.xxhash64(F.col(text)).alias("th"),
                        word_count(F.col(text)).alias("size")).where("size > 0")
     placed = place(rows, plan, seed)
-    taken = F.least(F.col("quota") - F.col("epoch") * F.col("source_size") - F.col("start"), F.col("size"))
+    begin = F.col("epoch") * F.col("source_size") + F.col("start")
     out = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)))) \
-        .withColumn("take", taken).where("take > 0")
+        .withColumn("begin", begin.cast("long")) \
+        .withColumn("take", F.least(F.col("quota") - F.col("begin"), F.col("size"))).where("take > 0") \
+        .withColumn("rank", F.floor(F.col("begin") / F.lit(plan.block)))
+    slots = write_once(settled_slots(spark, plan), "mix-slots")
+    ordered = out.join(slots, ["k", "rank"]).repartitionByRange("slot", "begin").sortWithinPartitions("slot", "begin")
     whole = F.col("take") == F.col("size")
     body = F.col("row")[text]
     cut = F.when(whole, body).otherwise(first_words(F.when(~whole, body), F.col("take").cast("long")))
-    out = out.withColumn("cut", cut)
-    return out.select(*[F.col("cut").alias(c) if c == text
-                        else F.length("cut").cast("long").alias(c) if c == "n_chars" else F.col("row")[c].alias(c)
-                        for c in names])
+    return ordered.withColumn("cut", cut).select(*[
+        F.col("cut").alias(c) if c == text else F.length("cut").cast("long").alias(c) if c == "n_chars"
+        else F.col("row")[c].alias(c) for c in names])

@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
 
@@ -313,20 +314,33 @@ def _classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class, that of least id, and of least text hash where texts share the id.
+    """``docs`` with one row of each class, that of least id, and of least text hash where texts share the id.
 
-    A document is an id and a text: rows that repeat both stay or go together,
-    and another text with the id of one that goes stays.  A null id is above all.
+    Another text with the id of a row that goes stays.  Of rows that repeat id
+    and text one stays (that of least hash over its columns); such repeats are
+    summed up where they are read.  A null id is above all.  Rows without
+    n-grams are classes of their own and all stay.
     """
     rows = write_once(_classes(docs, doc_id, text, **options).where("root is not null")
                       .select("doc_id", "th", "root", "class_id"), "near-rows")
     first = rows.where("doc_id <=> class_id")
     ties = first.groupBy("root").agg(F.min("th").alias("low"), F.max("th").alias("high")).where("low < high")
+    # documents that go, and documents that stay but have several rows
     gone = rows.where("not doc_id <=> class_id").select("doc_id", "th") \
-        .unionByName(first.join(ties, "root").where("th > low").select("doc_id", "th")).distinct() \
-        .select(F.col("doc_id").alias("gone_"), F.col("th").alias("gone_th_"))
-    return docs.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_")) & (F.xxhash64(F.col(text)) == F.col("gone_th_")),
-                     "left_anti")
+        .unionByName(first.join(ties, "root").where("th > low").select("doc_id", "th"))
+    many = first.join(ties, "root", "left").where("low is null or th = low") \
+        .groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "th")
+    named = [F.col("doc_id").alias("other_id"), F.col("th").alias("other_th")]
+    gone, many = write_once(gone.distinct().select(*named), "near-gone"), write_once(many.select(*named), "near-many")
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
+                        F.xxhash64(F.col(text)).alias("th"))
+    same = F.col("id").eqNullSafe(F.col("other_id")) & (F.col("th") == F.col("other_th"))
+    out = keyed.join(gone.unionByName(many), same, "left_anti").select("row")
+    if not many.isEmpty():
+        plain = [F.col("row")[f.name] for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        out = out.unionByName(keyed.join(many, same, "left_semi").groupBy("id", "th").agg(
+            F.min_by("row", F.xxhash64(*plain)).alias("row")).select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 #: DuckDB's words for the classes, every pair with a common n-gram compared.

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from caseflow.llm import mixing
+from caseflow.llm.common import write_once
 from tests.llm.conftest import EDGE, frame
 
 
@@ -118,3 +119,26 @@ def test_mixed_documents_are_whole_but_for_the_last_of_a_source(edge, docs):
                 assert any(t.startswith(r.text) for t in whole)
         assert all(n == 1 for n in cut.values())
         assert got == sum(r.taken for r in mixing.mix_report(df).collect()) or df is edge and taken
+
+
+@pytest.mark.parametrize("block", [200, 2000])
+def test_every_first_part_of_the_mix_holds_the_targets(spark, docs, block):
+    """Running shares of the written mix and of op2's places follow the targets, within some blocks."""
+    source = {r.doc_id: r.source for r in docs.collect()}
+    sizes = defaultdict(int)
+    for r in docs.collect():
+        sizes[r.source] += n_words(r.text)
+    want, total = targets(sizes), sum(sizes.values())
+    mixed = [(r.source, n_words(r.text)) for r in write_once(
+        mixing.mix_documents(docs, block_words=block), "mix-test").collect()]
+    report = [r for r in mixing.mix_slots(docs, block_words=block)[1].orderBy("slot", "epoch", "from_word").collect()]
+    longest = max(n for _, n in mixed)
+    for rows in (mixed, [(source[r.doc_id], r.n_words) for r in report]):
+        seen, done = defaultdict(int), 0
+        for s, n in rows:
+            seen[s] += n
+            done += n
+            if done < 0.95 * total:  # blocks that the schedule has no slot for follow at the end
+                assert all(abs(seen[x] - done * want[x] / total) <= 8 * block + 2 * longest for x in want)
+    first = {r.doc_id: r.first_slot for r in mixing.mix_report(docs, ).collect()}
+    assert any(x is not None for x in first.values())

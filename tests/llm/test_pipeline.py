@@ -3,7 +3,7 @@ from collections import Counter
 import corpus_pipeline as cp
 from caseflow.llm import langid, mixing
 from caseflow.llm.common import crc_mod, write_once
-from tests.llm.conftest import EDGE
+from tests.llm.conftest import CLASHING, EDGE
 from tests.llm.test_line_spread import brute as lines_brute
 from tests.llm.test_near_join import brute as near_brute
 from tests.llm.test_tokens import cut, plain
@@ -59,6 +59,8 @@ def test_edge_rows_pass_through(spark, edge, nothing, sf_dir):
         for _, stage in cp.STAGES[:-1]:
             table = write_once(stage(spark, table, sf_dir), "stage-test")
             assert table.columns == df.columns
+            for r in table.collect():
+                assert {r[c] for c in CLASHING} == {"x"}
         assert table.where("text is null").count() == 0
         assert cp.STAGES[-1][1](spark, table, sf_dir).count() >= table.count()
     assert len(EDGE) > 0

@@ -137,3 +137,10 @@ def test_packing_is_tight():
     sizes = rng.integers(1, 1025, 8000)
     bins, _ = packing.sum_of_squares_pack(sizes, 1024)
     assert bins.max() + 1 <= 1.005 * sizes.sum() / 1024
+
+
+def test_ids_beyond_the_width_are_refused():
+    ids = np.array([70_000], "<u4").tobytes()
+    assert tr.parse(tr.serialize(1, ids, 4), 4) == (1, ids)
+    with pytest.raises(ValueError):
+        tr.serialize(1, ids, 2)
