@@ -21,29 +21,37 @@ MIN_LANGUAGE_SCORE = 0.25
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that have letters and are near to some learned language; ``lang`` becomes that language.
 
-    Profiles are learned from the documents whose crc32(doc_id as text) mod 5 isn't 0.
+    Profiles are learned from the documents whose crc32(doc_id as text) mod 5
+    isn't 0 (a null id teaches nothing).  A null, empty or letterless text
+    goes; repeated rows are judged alike.  Other columns stay as they are,
+    whatever their names; an empty table gives no rows.
     """
     model = langid.learn_profiles(docs.where(crc_mod("doc_id", 5) != 0))
-    judged = langid.identify(docs, model, out="lang_pred_", score="lang_score_") \
-        .where((F.col("lang_pred_") != langid.UNDETERMINED) & (F.col("lang_score_") >= MIN_LANGUAGE_SCORE))
-    return judged.withColumn("lang", F.col("lang_pred_")).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), "text")
+    judged = langid.identify(rows, model, out="spoken", score="nearness") \
+        .where((F.col("spoken") != langid.UNDETERMINED) & (F.col("nearness") >= MIN_LANGUAGE_SCORE))
+    return judged.select(*[F.col("spoken").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate lines; a document that had lines and lost them all goes."""
-    cleaned = line_spread.drop_spread_lines(docs)
-    left = cleaned.where("n_removed = 0 or n_removed < n_lines")
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Texts without cross-site boilerplate lines; a document that had lines and lost them all goes.
+
+    ``text`` and ``n_chars`` are new, other columns stay as they are, whatever
+    their names; nulls and repeats as ``line_spread.drop_spread_lines`` has them.
+    """
+    left = line_spread.clean_lines(docs).where("n_removed = 0 or n_removed < n_lines")
+    return left.select(*[F.col("text").alias(c) if c == "text" else F.length("text").cast("long").alias(c)
+                         if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of least id, of each class of near copies."""
-    return near_join.keep_one_of_each(docs).select(*docs.columns)
+    """One document, that of least id, of each class of near copies; repeated rows count once."""
+    return near_join.keep_one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document."""
-    return mixing.mix_documents(docs).select(*docs.columns)
+    """A row for each time the mix takes a document, in the order of the schedule."""
+    return mixing.mix_documents(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
