@@ -60,11 +60,14 @@ def unframe(data: bytes, at: int = 0) -> bytes:
 
 def serialize(doc_id: int | None, ids: bytes, width: int = WIDTH) -> bytes:
     """A sequence: id flag, id, token ids (given as little-endian 32-bit numbers); ValueError for an id beyond ``width``."""
-    wide = np.frombuffer(ids, "<u4")
-    if width < 4 and len(wide) and int(wide.max()) >> 8 * width:
-        raise ValueError(f"token id {wide.max()} doesn't fit {width} bytes")
-    body = wide.astype(f"<u{width}").tobytes()
-    return struct.pack("<Bq", doc_id is not None, doc_id or 0) + body
+    return struct.pack("<Bq", doc_id is not None, doc_id or 0) + narrow(np.frombuffer(ids, "<u4"), width)
+
+
+def narrow(ids: np.ndarray, width: int = WIDTH) -> bytes:
+    """Token ids in ``width`` bytes each; ValueError for one that doesn't fit."""
+    if width < 4 and len(ids) and int(ids.max()) >> 8 * width:
+        raise ValueError(f"token id {ids.max()} doesn't fit {width} bytes")
+    return ids.astype(f"<u{width}").tobytes()
 
 
 def parse(payload: bytes, width: int = WIDTH) -> tuple[int | None, bytes]:
@@ -96,7 +99,7 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
 
     def write(batches: Iterator[pa.RecordBatch]):
         enc = tokens.encoder(tokenizer)
-        shard, end = TaskContext.get().partitionId(), struct.pack("<I", end_id)
+        shard, end = TaskContext.get().partitionId(), narrow(np.array([end_id]), width)
         fs, path = pafs.FileSystem.from_uri(folder)
         name, mark = f"{path}/shard-{shard:06d}", uuid.uuid4().hex
         out, offsets, at, total = None, [], 0, 0
@@ -105,12 +108,13 @@ def write_records(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: st
                 fs.create_dir(path, recursive=True)
                 out = fs.open_output_stream(f"{name}.rec.{mark}", compression=None)
             flat, edges = enc.encode_flat(b.column(1))
-            data, edges = flat.tobytes(), (4 * edges).tolist()
+            data, edges = narrow(flat, width), (width * edges).tolist()
             for key, i, j in zip(b.column(0).to_pylist(), edges, edges[1:]):
-                record = frame(serialize(key, data[i:j] + end, width))
+                record = frame(struct.pack("<Bq", key is not None, key or 0) + data[i:j] + end)
                 out.write(record)
                 offsets.append(at)
-                at, total = at + len(record), total + (j - i) // 4 + 1
+                at += len(record)
+            total += len(flat) + b.num_rows
         if out is not None:
             out.close()
             with fs.open_output_stream(f"{name}.idx.{mark}", compression=None) as index:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Units one worker remembers in each of two generations: when the young one is
 #: full it becomes the old one, and units found there move on to the next.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Texts cut into units at a time.
 TEXTS = 1000
 #: Units asked for at a time.
