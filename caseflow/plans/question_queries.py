@@ -26,7 +26,7 @@ def _days_before(n: int) -> F.Column:
 
 
 #: Day that M2 asks about.
-WEEK_ASKED = "2001-07-29"
+WEEK_ASKED = "2001-07-29 23:59:59"
 
 
 @register("m01_open_by_group_priority", sql("""
@@ -40,7 +40,7 @@ def m01(spark, sf_dir):
 @register("m02_week_resolution_for_category", sql("""
 SELECT category_name, CAST(count(*) AS BIGINT) AS resolved_tickets, round(avg(resolution_hours), 6) AS avg_resolution_hours
 FROM fact WHERE category_name = 'BUILDING' AND is_resolved
-  AND resolved_at >= date_trunc('week', DATE '2001-07-29') AND resolved_at < TIMESTAMP '2001-07-29'
+  AND resolved_at >= date_trunc('week', TIMESTAMP '2001-07-29 23:59:59') AND resolved_at < TIMESTAMP '2001-07-29 23:59:59'
 GROUP BY 1""", "fact"))
 def m02(spark, sf_dir):
     """M2: mean resolution hours of one category for tickets resolved in the (ISO) week up to a given day.
