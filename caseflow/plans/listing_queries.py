@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.operators import listing as L
+from caseflow.operators import nesting as NS
 from caseflow.operators.measures import bridge_ticket_asset
 from caseflow.plans.oracles import sql
 from caseflow.plans.registry import register
-from caseflow.sources.domain import TicketModel
+from caseflow.sources.domain import TicketModel, uploaded_at
 
 HISTORY_KEYWORD = "shanin"
 
@@ -196,25 +197,80 @@ def history_search(spark, sf_dir):
     return out.select("incident_id", "number", "state")
 
 
-def nested_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested document per incident (children as ordered arrays)."""
+#: Items of an array in the query's rows: few, since tickets here have seven of a kind at most.
+DETAIL_CHUNK = 3
+
+
+def detail_children(tm: TicketModel) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The nine nested parts of a ticket's detail, each with its order (the last column breaks ties)."""
+    kb = tm.kb_articles().select("kb_article_id", "kb_article_number", "title", "audience", "category_name")
+
+    def assets(rows: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+        return rows.withColumn("uploaded_at", uploaded_at(F.col("incident_id"))), ["uploaded_at", key]
+
+    return {
+        "slas": (tm.slas(), ["name", "sla_id", "elapsed_hours"]),
+        "related_kb_articles": (L.links_with_kb(tm.incident_kb_links(), kb), ["kb_article_number"]),
+        "change_requests": (L.links_with_change(tm.incident_changes(), tm.change_requests()), ["number"]),
+        "work_notes": (tm.work_notes(), ["created_at", "work_note_id"]),
+        "resolution_notes": (tm.resolution_notes(), ["created_at", "resolution_note_id"]),
+        "attachments": assets(tm.attachments(), "attachment_id"),
+        "images": assets(tm.images(), "image_id"),
+        "documents": assets(tm.document_assets(), "document_id"),
+        "external_references": (tm.external_references(), ["title", "external_reference_id"]),
+    }
+
+
+#: What the query shows of an item, by part.
+DETAIL_FIELDS = {
+    "slas": ["sla_id", "stage"], "related_kb_articles": ["kb_article_number", "audience"],
+    "change_requests": ["number", "state", "relationship_type"], "work_notes": ["work_note_id", "note_text"],
+    "resolution_notes": ["resolution_note_id", "note_text"], "attachments": ["attachment_id", "file_name"],
+    "images": ["image_id", "file_name"], "documents": ["document_id", "file_name"],
+    "external_references": ["external_reference_id", "url"],
+}
+
+
+def _detail_sql() -> str:
+    """The nine parts numbered within their ticket."""
+    source = {
+        "slas": ("sla", "name, sla_id, elapsed_hours"), "related_kb_articles": ("kbl JOIN kb USING (kb_article_id)", "kb_article_number"),
+        "change_requests": ("chl JOIN chg USING (change_request_id)", "number"),
+        "work_notes": ("(SELECT *, note_id AS work_note_id FROM notes WHERE NOT is_resolution)", "created_at, note_id"),
+        "resolution_notes": ("(SELECT *, note_id AS resolution_note_id FROM notes WHERE is_resolution)",
+                             "created_at, note_id"),
+        "attachments": ("att", "attachment_id"), "images": ("img", "image_id"),
+        "documents": ("(SELECT item_id AS incident_id, 'DOC' || CAST(item_id AS VARCHAR) AS document_id, "
+                      "'runbook_' || CAST(item_id AS VARCHAR) || '.pdf' AS file_name FROM benchmark)", "document_id"),
+        "external_references": ("(SELECT page_id AS incident_id, 'REF' || CAST(page_id AS VARCHAR) AS "
+                                "external_reference_id, url FROM pages)", "external_reference_id"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT incident_id, '{kind}' AS part, concat_ws('|', {', '.join(DETAIL_FIELDS[kind])}) AS item, "
+        f"row_number() OVER (PARTITION BY incident_id ORDER BY {order}) - 1 AS place FROM {table}"
+        for kind, (table, order) in source.items())
+
+
+@register("c07_nested_detail", sql(f"""
+SELECT i.incident_id, CASE WHEN place < {DETAIL_CHUNK} THEN number END AS number,
+       CASE WHEN place < {DETAIL_CHUNK} THEN i.state END AS state, CAST(place // {DETAIL_CHUNK} AS BIGINT) AS chunk_no, part,
+       CAST(place % {DETAIL_CHUNK} AS INTEGER) AS position, item
+FROM ({_detail_sql()}) c JOIN inc i USING (incident_id)""",
+    "inc", "sla", "kbl", "kb", "chl", "chg", "notes", "att", "img"))
+def nested_detail_items(spark, sf_dir):
+    """Every ticket's nested detail in chunks, opened again: each item with its chunk and position."""
     tm = TicketModel(spark, sf_dir)
     inc = tm.incidents_base().select("incident_id", "number", "state", "priority", "opened_at")
-    kb = tm.kb_articles().select("kb_article_id", "kb_article_number", "title")
-    children = {
-        "slas": (tm.slas().select("incident_id", "sla_id", "target_hours", "elapsed_hours", "breached"),
-                 "sla_id"),
-        "related_kb_articles": (L.links_with_kb(tm.incident_kb_links(), kb), "kb_article_number"),
-        "change_requests": (L.links_with_change(tm.incident_changes(), tm.change_requests())
-                            .select("incident_id", "number", "state", "relationship_type"), "number"),
-        "work_notes": (tm.work_notes().select("incident_id", "created_at", "work_note_id", "note_text"),
-                       "created_at"),
-        "resolution_notes": (tm.resolution_notes().select("incident_id", "created_at",
-                                                          "resolution_note_id", "note_text"), "created_at"),
-        "attachments": (tm.attachments().select("incident_id", "file_name", "attachment_id"), "file_name"),
-        "images": (tm.images().select("incident_id", "file_name", "image_id"), "file_name"),
-    }
-    return L.nest_children(inc, "incident_id", children)
+    nested = NS.nest_in_chunks(inc, "incident_id", detail_children(tm), chunk=DETAIL_CHUNK)
+
+    def opened(part: str):
+        return F.transform(part, lambda x, at: F.struct(
+            F.lit(part).alias("part"), at.alias("position"),
+            F.concat_ws("|", *[x[f] for f in DETAIL_FIELDS[part]]).alias("item")))
+
+    return nested.select("incident_id", "number", "state", "chunk_no",
+                         F.explode(F.flatten(F.array(*[opened(p) for p in DETAIL_FIELDS]))).alias("x")) \
+        .select("incident_id", "number", "state", "chunk_no", "x.part", "x.position", "x.item")
 
 
 DETAIL_ARRAYS = ["slas", "related_kb_articles", "change_requests", "work_notes", "resolution_notes",
@@ -232,8 +288,11 @@ SELECT i.incident_id, i.number, i.state,
   CAST(COALESCE((SELECT count(*) FROM img m WHERE m.incident_id = i.incident_id), 0) AS BIGINT) AS images_count
 FROM inc i""", "inc", "sla", "kbl", "kb", "chl", "chg", "notes", "att", "img"))
 def detail_summary(spark, sf_dir):
-    """C7 + B16: nest every incident's children, then summarise array sizes."""
-    return L.detail_summary(nested_detail(spark, sf_dir), ["incident_id", "number", "state"], DETAIL_ARRAYS)
+    """Per incident the number of its children of each kind, counted by key alone."""
+    tm = TicketModel(spark, sf_dir)
+    children = detail_children(tm)
+    return NS.child_counts(tm.incidents_base().select("incident_id", "number", "state"), "incident_id",
+                           {name: children[name][0] for name in DETAIL_ARRAYS})
 
 
 @register("c08_business_services", sql("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow.operators import drill as D
 from caseflow.operators import measures as M
 from caseflow.operators.graph import resolution_patterns
 from caseflow.plans.oracles import ASSET_TYPE_SQL, sql
@@ -194,6 +195,72 @@ def summary_by_group_priority(spark, sf_dir):
     return out.withColumn("avg_resolution_hours", F.round("avg_resolution_hours", 6))
 
 
+DRILL_MEASURES = ["ticket_volume", "open_ticket_count", "avg_resolution_hours", "reopened_ticket_count", "reopen_rate",
+                  "sla_breach_rows", "sla_breach_tickets", "sla_breach_rate", "kb_article_reuse_count",
+                  "resolution_pattern_frequency", "ticket_asset_count", "ticket_change_count"]
+
+
+def drill_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The ticket fact and its child facts; each child is read for its key and its measures' columns."""
+    tm = TicketModel(spark, sf_dir)
+    labelled, _ = resolution_patterns(graph_inputs(tm)["resolution_notes"])
+    return ticket_fact(spark, sf_dir), {
+        "reopen": tm.reopen_counts(),
+        "sla": tm.slas(),
+        "article": M.bridge_ticket_article(tm.incident_kb_links()),
+        "pattern": M.bridge_ticket_pattern(labelled).withColumn("incident_id", F.col("incident_id").cast("bigint")),
+        "asset": M.bridge_ticket_asset(tm.attachments(), tm.images()),
+        "change": tm.incident_changes(),
+    }
+
+
+@register("e15_drill_across_group_priority", sql("""
+SELECT assignment_group_name, priority, grouping(assignment_group_name) = 1 AS assignment_group_name_is_total,
+       grouping(priority) = 1 AS priority_is_total,
+       CAST(nullif(sum(tickets), 0) AS BIGINT) AS ticket_volume,
+       CAST(nullif(sum(open), 0) AS BIGINT) AS open_ticket_count,
+       round(sum(hours) / nullif(sum(timed), 0), 6) AS avg_resolution_hours,
+       CAST(nullif(sum(reopened), 0) AS BIGINT) AS reopened_ticket_count,
+       round(CAST(nullif(sum(reopened), 0) AS DOUBLE) / nullif(sum(resolved), 0), 6) AS reopen_rate,
+       CAST(nullif(sum(breached_rows), 0) AS BIGINT) AS sla_breach_rows,
+       CAST(nullif(sum(breached), 0) AS BIGINT) AS sla_breach_tickets,
+       round(CAST(nullif(sum(breached), 0) AS DOUBLE) / nullif(sum(has_sla), 0), 6) AS sla_breach_rate,
+       CAST(nullif(sum(articles), 0) AS BIGINT) AS kb_article_reuse_count,
+       CAST(nullif(sum(patterns), 0) AS BIGINT) AS resolution_pattern_frequency,
+       CAST(nullif(sum(assets), 0) AS BIGINT) AS ticket_asset_count,
+       CAST(nullif(sum(changes), 0) AS BIGINT) AS ticket_change_count
+FROM (
+  SELECT f.assignment_group_name, f.priority, CASE WHEN f.incident_id IS NOT NULL THEN 1 ELSE 0 END AS tickets,
+         CASE WHEN is_open THEN 1 ELSE 0 END AS open, CASE WHEN is_resolved THEN 1 ELSE 0 END AS resolved,
+         CASE WHEN resolved_date_key IS NOT NULL THEN resolution_hours END AS hours,
+         CASE WHEN resolved_date_key IS NOT NULL THEN 1 ELSE 0 END AS timed,
+         CASE WHEN r.n > 0 THEN 1 ELSE 0 END AS reopened, s.breached_rows,
+         CASE WHEN s.breached_rows > 0 THEN 1 ELSE 0 END AS breached, CASE WHEN s.n > 0 THEN 1 ELSE 0 END AS has_sla,
+         k.n AS articles, p.n AS patterns, a.n AS assets, c.n AS changes
+  FROM fact f
+  FULL JOIN (SELECT incident_id, sum(reopen_count) AS n FROM reo GROUP BY 1) r ON r.incident_id = f.incident_id
+  FULL JOIN (SELECT incident_id, count(*) AS n, count(*) FILTER (WHERE breached) AS breached_rows FROM sla GROUP BY 1) s
+    ON s.incident_id = COALESCE(f.incident_id, r.incident_id)
+  FULL JOIN (SELECT incident_id, count(*) AS n FROM kbl GROUP BY 1) k
+    ON k.incident_id = COALESCE(f.incident_id, r.incident_id, s.incident_id)
+  FULL JOIN (SELECT CAST(incident_id AS BIGINT) AS incident_id, count(DISTINCT pattern_label) AS n FROM g_pl
+             WHERE pattern_label IS NOT NULL GROUP BY 1) p
+    ON p.incident_id = COALESCE(f.incident_id, r.incident_id, s.incident_id, k.incident_id)
+  FULL JOIN (SELECT incident_id, count(*) AS n FROM assets GROUP BY 1) a
+    ON a.incident_id = COALESCE(f.incident_id, r.incident_id, s.incident_id, k.incident_id, p.incident_id)
+  FULL JOIN (SELECT incident_id, count(*) AS n FROM chl GROUP BY 1) c
+    ON c.incident_id = COALESCE(f.incident_id, r.incident_id, s.incident_id, k.incident_id, p.incident_id,
+                                a.incident_id))
+GROUP BY GROUPING SETS ((assignment_group_name, priority), (assignment_group_name), (priority), ())""",
+    "fact", "reo", "sla", "kbl", "g_pl", "assets", "chl"))
+def drill_across_group_priority(spark, sf_dir):
+    """E15 across facts: ticket, SLA and bridge measures by group and priority, with both subtotals and the total."""
+    fact, children = drill_inputs(spark, sf_dir)
+    axes = ["assignment_group_name", "priority"]
+    out = D.drill_across(fact, children, axes, DRILL_MEASURES, sets=[tuple(axes), (axes[0],), (axes[1],), ()])
+    return out.withColumns({m: F.round(m, 6) for m in ("avg_resolution_hours", "reopen_rate", "sla_breach_rate")})
+
+
 @register("e16_fact_tickets", sql("""
 SELECT incident_id, opened_date_key, resolved_date_key, priority, priority_rank, state,
        assignment_group_id, category_id, requester_id, round(resolution_hours, 6) AS resolution_hours,

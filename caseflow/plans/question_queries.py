@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from caseflow.functions.columns import asset_type_from_name
 from caseflow.operators import evidence as EV
 from caseflow.operators import measures as M
+from caseflow.operators import nesting as NS
 from caseflow.operators.graph import resolution_patterns
-from caseflow.plans.oracles import pattern_label_sql, sql
+from caseflow.plans.oracles import initcap_sql, pattern_label_sql, sql
 from caseflow.plans import retrieval_queries  # noqa: F401  (registers the J oracles used below)
 from caseflow.plans.registry import ORACLES, register
 from caseflow.plans.measure_queries import sla_fact, ticket_fact
-from caseflow.sources.domain import AS_OF, TicketModel, graph_inputs, is_open, is_resolved
+from caseflow.sources.domain import AS_OF, KB_URL_PREFIX, TicketModel, graph_inputs, is_open, is_resolved
 
 
 
@@ -317,6 +318,24 @@ def m19(spark, sf_dir):
 
 # ---- M18 and L-ops over retrieval evidence ------------------------------------------------------------
 
+SIMILAR_PATTERNS_SQL = f"""
+SELECT s.query_id, p.pattern_label, CAST(count(*) AS BIGINT) AS n_similar
+FROM (SELECT DISTINCT query_id, regexp_extract(doc_id, '^incident_INC0*([0-9]+)_', 1) AS incident_id
+      FROM ({ORACLES['j20_b12_b13_similar_incidents']})) s
+JOIN g_pl p ON p.incident_id = s.incident_id
+WHERE p.pattern_label IS NOT NULL GROUP BY 1, 2"""
+
+
+def similar_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, pattern_label, n_similar): resolution patterns among the tickets similar to an open one."""
+    from caseflow.plans.retrieval_queries import similar_incidents
+    sim = similar_incidents(spark, sf_dir).select(
+        "query_id", F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1).alias("incident_id")).distinct()
+    labelled, _ = resolution_patterns(graph_inputs(TicketModel(spark, sf_dir))["resolution_notes"])
+    return sim.join(labelled, "incident_id").groupBy("query_id", "pattern_label").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_similar"))
+
+
 @register("m18_common_pattern_among_similar", sql(f"""
 SELECT query_id, pattern_label, n_similar FROM (
   SELECT s.query_id, p.pattern_label, CAST(count(*) AS BIGINT) AS n_similar,
@@ -328,12 +347,7 @@ SELECT query_id, pattern_label, n_similar FROM (
   WHERE p.pattern_label IS NOT NULL GROUP BY 1, 2) WHERE rn = 1""", "notes"))
 def m18(spark, sf_dir):
     """Per open ticket, the most common resolution pattern among its similar tickets."""
-    from caseflow.plans.retrieval_queries import similar_incidents
-    sim = similar_incidents(spark, sf_dir).select(
-        "query_id", F.regexp_extract("doc_id", r"^incident_INC0*([0-9]+)_", 1).alias("incident_id")).distinct()
-    labelled, _ = resolution_patterns(graph_inputs(TicketModel(spark, sf_dir))["resolution_notes"])
-    j = sim.join(labelled, "incident_id").groupBy("query_id", "pattern_label").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_similar"))
+    j = similar_patterns(spark, sf_dir)
     from pyspark.sql import Window
     w = Window.partitionBy("query_id").orderBy(F.col("n_similar").desc(), F.col("pattern_label").asc())
     return j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
@@ -481,6 +495,70 @@ def l05(spark, sf_dir):
     return out.fillna(0, ["similar_tickets", "articles", "assets", "changes"])
 
 
+#: Kinds of a bundle, and the items of each at most.
+BUNDLE_KINDS = ["incident", "pattern", "article", "attachment", "change", "structured"]
+BUNDLE_ITEMS = 5
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence beside the citations: patterns among similar tickets, linked articles and changes, in L1's shape."""
+    tm = TicketModel(spark, sf_dir)
+    patterns = similar_patterns(spark, sf_dir).select(
+        F.col("query_id").alias("subject_id"), F.lit("pattern").alias("source_type"),
+        F.sha2("pattern_label", 256).alias("source_id"), F.col("pattern_label").alias("title"),
+        F.concat(F.lit("seen in "), F.col("n_similar").cast("string"), F.lit(" similar tickets")).alias("snippet"),
+        F.lit(None).cast("string").alias("url"), F.least(F.lit(1.0), F.col("n_similar") / 5.0).alias("confidence"))
+    kb = tm.kb_articles().select("kb_article_id", "kb_article_number", "title", "audience")
+    articles = tm.incident_kb_links().join(kb, "kb_article_id").select(
+        F.col("incident_id").alias("subject_id"), F.lit("article").alias("source_type"),
+        F.col("kb_article_number").alias("source_id"), "title", F.col("audience").alias("snippet"),
+        F.concat(F.lit(KB_URL_PREFIX), F.col("kb_article_id").cast("string")).alias("url"), F.lit(1.0).alias("confidence"))
+    changes = tm.incident_changes().join(tm.change_requests(), "change_request_id").select(
+        F.col("incident_id").alias("subject_id"), F.lit("change").alias("source_type"),
+        F.col("number").alias("source_id"), "title", F.concat_ws(", ", F.col("state"), F.concat("risk", F.lit(" risk")))
+        .alias("snippet"), F.lit(None).cast("string").alias("url"),
+        F.when(F.col("risk") == "High", 1.0).otherwise(0.6).alias("confidence"))
+    return EV.citations(patterns, articles, changes)
+
+
+@register("l05_evidence_items", sql(f"""
+SELECT subject_id AS incident_id, source_type, CAST(found AS BIGINT) AS found, CAST(rank AS INTEGER) AS rank, source_id,
+       title, snippet, url, confidence
+FROM (SELECT *, count(*) OVER (PARTITION BY subject_id, source_type) AS found,
+             row_number() OVER (PARTITION BY subject_id, source_type
+                                ORDER BY confidence DESC, source_id, title, snippet, url) AS rank
+      FROM (SELECT subject_id, source_type, source_id, title, snippet, url, round(confidence, 6) AS confidence FROM (
+              {CITATIONS_SQL}
+              UNION ALL
+              SELECT query_id, 'pattern', sha256(pattern_label), pattern_label,
+                     'seen in ' || CAST(n_similar AS VARCHAR) || ' similar tickets', NULL, least(1.0e0, n_similar / 5.0e0)
+              FROM ({SIMILAR_PATTERNS_SQL})
+              UNION ALL
+              SELECT kbl.incident_id, 'article', kb_article_number, {initcap_sql('title_raw')}, audience,
+                     'https://tickets.example.invalid/kb/' || CAST(kb_article_id AS VARCHAR), 1.0e0
+              FROM kbl JOIN kb USING (kb_article_id)
+              UNION ALL
+              SELECT chl.incident_id, 'change', chg.number, chg.title, chg.state || ', ' || chg.risk || ' risk', NULL,
+                     CASE WHEN chg.risk = 'High' THEN 1.0e0 ELSE 0.6e0 END
+              FROM chl JOIN chg USING (change_request_id))))
+JOIN (SELECT incident_id AS subject_id FROM inc WHERE lower(state) IN ('new', 'in progress', 'on hold')) USING (subject_id)
+WHERE rank <= {BUNDLE_ITEMS}""", "inc", "kbl", "kb", "chl", "chg", "g_pl"))
+def l05_items(spark, sf_dir):
+    """The evidence itself, per open ticket the five strongest of each kind, opened from the bundle's arrays."""
+    tm = TicketModel(spark, sf_dir)
+    open_ = tm.incidents_base().where(is_open(F.col("state"))).select("incident_id")
+    evidence = _citations(spark, sf_dir).unionByName(_linked(spark, sf_dir)) \
+        .withColumn("confidence", F.round("confidence", 6)).withColumnRenamed("subject_id", "incident_id")
+    out = NS.bundle(open_, evidence, BUNDLE_KINDS, "incident_id", n=BUNDLE_ITEMS)
+
+    def opened(kind: str):
+        return F.transform(kind, lambda x: F.struct(F.lit(kind).alias("source_type"), F.col(f"n_{kind}").alias("found"),
+                                                    x.alias("item")))
+
+    return out.select("incident_id", F.explode(F.flatten(F.array(*[opened(k) for k in BUNDLE_KINDS]))).alias("x")) \
+        .select("incident_id", "x.source_type", "x.found", "x.item.*")
+
+
 @register("l06_prefer_freshest_note", sql("""
 SELECT incident_id, arg_max(note_text, (created_at, note_text)) AS note_text, max(created_at) AS created_at
 FROM notes GROUP BY incident_id""", "notes"))

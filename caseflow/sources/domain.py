@@ -21,6 +21,8 @@ Mapping (ours, fixed so that SQL oracles can restate it):
 * attachments       <- documents (incident = doc_id); images <- pages (incident = page_id)
 * notes             <- conversations (incident = conv_id): system turns are resolution
                        notes, other turns work notes; created_at = opened_at + turn hours
+* document files    <- benchmark (incident = item_id); references <- pages.url (incident = page_id)
+* uploaded_at       <- as-of date - (key % 28) days, for assets in nested details
 * incident texts    <- description = documents.text, resolution summary = pages.html
 """
 
@@ -57,6 +59,11 @@ def change_number(key: Column) -> Column:
     return F.format_string("CHG%07d", key)
 
 
+def uploaded_at(key: Column) -> Column:
+    """When an asset was uploaded: the as-of date less 0 to 27 days."""
+    return F.date_sub(F.lit(str(AS_OF)).cast("date"), (key % 28).cast("int"))
+
+
 def add_hours(ts: Column, hours: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), hours.cast("int"), F.lit(0), F.lit(0))
 
@@ -272,6 +279,25 @@ class TicketModel:
             (F.col("page_id") % 500 + 480).cast("int").alias("height_px"),
         )
 
+    def document_assets(self) -> DataFrame:
+        """Runbooks: the benchmark texts as document files of the ticket with the same number."""
+        b = self.raw("benchmark").select("item_id", F.length("text").alias("n"))
+        return b.select(
+            F.concat(F.lit("DOC"), F.col("item_id").cast("string")).alias("document_id"),
+            F.col("item_id").alias("incident_id"),
+            F.concat(F.lit("runbook_"), F.col("item_id").cast("string"), F.lit(".pdf")).alias("file_name"),
+            F.lit("application/pdf").alias("content_type"),
+            F.ceil(F.col("n") / 1024).cast("int").alias("file_size_kb"))
+
+    def external_references(self) -> DataFrame:
+        """The page a ticket names, as a reference to another system."""
+        p = self.raw("pages").select("page_id", "url")
+        return p.select(
+            F.concat(F.lit("REF"), F.col("page_id").cast("string")).alias("external_reference_id"),
+            F.col("page_id").alias("incident_id"), F.lit("web_page").alias("reference_type"),
+            F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("title"), "url",
+            F.lit("crawl").alias("source_system"))
+
     # ---- notes and texts ------------------------------------------------
     def notes(self) -> DataFrame:
         """All conversation turns as notes.
