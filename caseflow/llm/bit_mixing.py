@@ -15,10 +15,16 @@ Counts grow with the corpus and stay in the shared folder.  A block of documents
 sends its distinct n-grams to ranges of the order (last context byte, the one
 before it, ..., byte), and its distinct words to ranges of their hashes.  The
 number of ranges follows the size of the input, and a sample sets their edges,
-so a frequent context is cut over as many ranges as it needs.  A range holds
-all counts of all its contexts but of those that an edge lies in; these are
-summed over the ranges.  What a range makes of a block's n-grams and words goes
-back to the block, one number each, where the documents' sums are made.
+so a frequent context is cut over as many ranges as it needs.  Beyond FAN ranges
+the way there has stations: a station gathers about FAN blocks' n-grams of one
+group of ranges, merges them and sends them on to the groups within, so a
+block or station sends to FAN places at most and the rows sent grow with the
+text (times the number of stations on the way, 1 up to 8 GB, 2 up to 8 TB), not with
+blocks times ranges.  A range holds all counts of all its contexts but of
+those that an edge lies in; these are summed over the ranges by Spark and
+joined to the ranges that they cut.  What a range makes of a block's n-grams and
+words goes back the same way, one number each, to the block, where the
+documents' sums are made.
 """
 
 from __future__ import annotations
@@ -44,6 +50,8 @@ STEP, RATE = 1024, 0.5
 APM_CELLS = 33
 #: Text of one range of n-grams; the text and the n-grams that the ranges' edges are taken from.
 SHARD_BYTES, SAMPLE_BYTES, SAMPLE_KEYS = 8 << 20, 16 << 20, 1_000_000
+#: Groups of ranges that a block or a station sends to, at most.
+FAN = 1024
 _END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token among the words' hashes
 
 
@@ -125,51 +133,14 @@ def merged(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.
 
 # The model ------------------------------------------------------------------------------------------
 
-def table_sizes(bits: int) -> list[int]:
-    return [1 << 8, 1 << 16] + [1 << bits] * (ORDERS - 2)
-
-
-def slots(key: np.ndarray, k: int, bits: int) -> np.ndarray:
-    """orders x keys: the slots, over all tables in a row, of bit ``k`` of each key's last byte."""
-    node = np.uint64(1 << k) | (key & np.uint64(255)) >> np.uint64(8 - k)
-    out, base = np.empty((ORDERS, len(key)), np.int64), 0
-    for o, size in enumerate(table_sizes(bits)):
-        where = (key >> np.uint64(8) & np.uint64((1 << 8 * o) - 1)) << np.uint64(8) | node
-        if o >= 2:
-            where = mix64(where * np.uint64(8) + np.uint64(o)) >> np.uint64(64 - bits)
-        out[o] = base + where.astype(np.int64)
-        base += size
-    return out
-
-
 @dataclass
 class Model:
-    """Mixing weights by gate and the refining table, over counts of both bits in a table of slots.
-
-    The Spark side takes the counts from ``RangeModel`` instead.
-    """
+    """Mixing weights by gate and the refining table; ``RangeModel`` adds the counts, and what is asked of them."""
 
-    bits: int
-    counts: np.ndarray | None  # 2 x slots, log(1 + count)
     weights: np.ndarray = field(default_factory=lambda: np.full((8, ORDERS + 1, ORDERS), 0.3))
     apm: np.ndarray = field(default_factory=lambda: np.tile(
         1 / (1 + np.exp(-(np.arange(APM_CELLS) - APM_CELLS // 2) / 2.0)), (256, 1)))
 
-    def last(self, key: np.ndarray) -> np.ndarray:
-        """The last byte of context."""
-        return (key >> np.uint64(8) & np.uint64(255)).astype(np.int64)
-
-    def inputs(self, key: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(log-odds of the orders, gate, bit) of bit ``k``; ``own`` occurrences of the bit itself don't count."""
-        at = slots(key, k, self.bits)
-        bit = (key >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
-        n0, n1 = (np.expm1(c[at].astype(np.float32)) for c in self.counts)
-        if own:
-            n0 = np.maximum(n0 - own * (1 - bit), 0)
-            n1 = np.maximum(n1 - own * bit, 0)
-        gate = (n0 + n1 > 0.5).sum(axis=0)
-        return np.log((n1 + 0.4) / (n0 + 0.4)), gate, bit
-
     def mixed(self, odds: np.ndarray, gate: np.ndarray, k: int) -> np.ndarray:
         return np.clip((self.weights[k][gate].T * odds).sum(axis=0), -12, 12)
 
@@ -246,12 +217,14 @@ class RangeModel(Model):
                 size = np.diff(np.r_[first, len(at)])
                 known[k] = np.repeat(sums[first + size] - sums[first], size)
             levels.append((place[:len(key)].astype(np.int32), known))
-        return cls(0, None, keys=key, levels=levels)
+        return cls(keys=key, levels=levels)
 
     def last(self, key: np.ndarray) -> np.ndarray:
+        """The last byte of context."""
         return (key >> np.uint64(40)).astype(np.int64)
 
     def inputs(self, key: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log-odds of the orders, gate, bit) of bit ``k``; ``own`` occurrences of the bit itself don't count."""
         at = np.searchsorted(self.keys, key)
         bit = (key >> np.uint64(7 - k) & np.uint64(1)).astype(np.int64)
         before = np.stack([known[k][place[at]] for place, known in self.levels])
@@ -292,11 +265,13 @@ def _n_ranges(spark: SparkSession, n_bytes: int) -> int:
 def _range_edges(rows: DataFrame, n_bytes: int, n_docs: int, n_ranges: int) -> np.ndarray:
     """Ascending n-grams, by context, that cut what the blocks will send into ranges of about equal size.
 
-    Taken from a sample of documents, of bounded size; which ones are taken
-    changes the balance of the ranges alone.
+    Taken from a sample of documents; which ones are taken changes the balance
+    of the ranges alone.  The driver gets a million n-grams, or four for each
+    range beyond (24 bytes for 8 MB of text).
     """
-    share = min(1.0, max(SAMPLE_BYTES / max(1, n_bytes), 1000 / max(1, n_docs)))
-    step = max(1, math.ceil(share * n_bytes / SAMPLE_KEYS))
+    n_keys = max(SAMPLE_KEYS, 4 * n_ranges)
+    share = min(1.0, max(SAMPLE_BYTES / max(1, n_bytes), 1000 / max(1, n_docs), n_keys / max(1, n_bytes)))
+    step = max(1, math.ceil(share * n_bytes / n_keys))
 
     def sample(batches):
         for b in sliced(batches):
@@ -319,10 +294,43 @@ def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, np.r_[np.repeat(np.arange(len(texts)), [len(w) for w in per_doc]), np.arange(len(texts))]
 
 
-def _count_blocks(docs: DataFrame, edges: np.ndarray) -> DataFrame:
-    """(shard, block, a, b, c, d): distinct n-grams and words of a block in each range, and how often training has them."""
+def _widths(n_ranges: int) -> list[int]:
+    """Ranges in a group at each step of the way, the last 1: as few steps as ``FAN`` allows, of about equal fan-out."""
+    steps = 1
+    while FAN ** steps < n_ranges:
+        steps += 1
+    fan = next(f for f in range(max(1, round(n_ranges ** (1 / steps)) - 1), FAN + 1) if f ** steps >= n_ranges)
+    return [fan ** i for i in range(steps - 1, -1, -1)]
+
+
+def _cuts(edges: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams and the word hashes that cut ranges into groups of ``width``."""
     n = len(edges) + 1
-    word_edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+    word_edges = np.array([(i << 64) // n for i in range(width, n, width)], np.uint64)
+    return edges[width - 1::width], word_edges
+
+
+def _pieces(block: int, key, grams, h, counts, cuts, word_cuts, first: int) -> pa.RecordBatch:
+    """(shard, block, a, b, c, d): n-grams, their counts, words and theirs, a row for each group that gets some."""
+    g = [0, *np.searchsorted(key, cuts).tolist(), len(key)]
+    w = [0, *np.searchsorted(h, word_cuts).tolist(), len(h)]
+    here = [s for s in range(len(cuts) + 1) if g[s] < g[s + 1] or w[s] < w[s + 1]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([first + s for s in here], pa.int32()), pa.array([block] * len(here), pa.int64()),
+         pa.array([planes(key[g[s]:g[s + 1]]) for s in here], pa.binary()),
+         pa.array([small(grams[g[s]:g[s + 1]]) for s in here], pa.binary()),
+         pa.array([h[w[s]:w[s + 1]].tobytes() for s in here], pa.binary()),
+         pa.array([small(counts[w[s]:w[s + 1]]) for s in here], pa.binary())],
+        names=["shard", "block", *"abcd"])
+
+
+_SENT = "shard int, block long, a binary, b binary, c binary, d binary"
+
+
+def _count_blocks(docs: DataFrame, edges: np.ndarray, width: int = 1) -> DataFrame:
+    """(shard, block, a, b, c, d): distinct n-grams and words of a block in each group of ``width`` ranges, and
+    how often training has them."""
+    cuts, word_cuts = _cuts(edges, width)
 
     def count(batches):
         for b in batches:
@@ -332,19 +340,71 @@ def _count_blocks(docs: DataFrame, edges: np.ndarray) -> DataFrame:
                 key, grams = summed(by_context(key), np.repeat(train, np.diff(np.r_[start, len(key)])).astype(np.int64))
                 h, doc = _word_hashes(texts)
                 h, counts = summed(h, train[doc].astype(np.int64))
-                g = [0, *np.searchsorted(key, edges).tolist(), len(key)]
-                w = [0, *np.searchsorted(h, word_edges).tolist(), len(h)]
-                here = [s for s in range(n) if g[s] < g[s + 1] or w[s] < w[s + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(here, pa.int32()), pa.array([b.column(0)[i].as_py()] * len(here), pa.int64()),
-                     pa.array([planes(key[g[s]:g[s + 1]]) for s in here], pa.binary()),
-                     pa.array([small(grams[g[s]:g[s + 1]]) for s in here], pa.binary()),
-                     pa.array([h[w[s]:w[s + 1]].tobytes() for s in here], pa.binary()),
-                     pa.array([small(counts[w[s]:w[s + 1]]) for s in here], pa.binary())],
-                    names=["shard", "block", *"abcd"])
+                yield _pieces(b.column(0)[i].as_py(), key, grams, h, counts, cuts, word_cuts, 0)
 
-    return docs.select("block", "texts", "train").mapInArrow(
-        count, "shard int, block long, a binary, b binary, c binary, d binary")
+    return docs.select("block", "texts", "train").mapInArrow(count, _SENT)
+
+
+def _merged_pieces(table: pa.Table) -> tuple[pa.Table, tuple, tuple, list, list]:
+    """The pieces by block, the merged n-grams and words with their counts, and where each piece's are among them."""
+    table = table.sort_by("block")
+    keys = [unplaned(x) for x in table.column("a").to_pylist()]
+    distinct, n, place = merged(keys, [large(x) for x in table.column("b").to_pylist()])
+    heard = [np.frombuffer(x, np.uint64) for x in table.column("c").to_pylist()]
+    word, times, at = merged(heard, [large(x) for x in table.column("d").to_pylist()])
+    cut, cut_w = np.cumsum([len(k) for k in keys])[:-1], np.cumsum([len(k) for k in heard])[:-1]
+    return table, (distinct, n), (word, times), np.split(place, cut), np.split(at, cut_w)
+
+
+def _stations(sent: DataFrame, parts: int) -> DataFrame:
+    """A row per group of ranges and part of the blocks: what the part sent there, merged, and how to take it apart.
+
+    ``block`` names the station for the steps after it; blocks, places and
+    spots say where the n-grams and words of each sender are.
+    """
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        shard, part = (k.as_py() for k in key)
+        table, (distinct, n), (word, times), place, at = _merged_pieces(table.drop_columns("part"))
+        return pa.table({
+            "block": [shard * parts + part], "shard": pa.array([shard], pa.int32()), "a": [planes(distinct)],
+            "b": [small(n)], "c": [word.tobytes()], "d": [small(times)], "blocks": [table.column("block").to_pylist()],
+            "places": [[small(np.diff(p, prepend=0)) for p in place]],
+            "spots": [[small(np.diff(p, prepend=0)) for p in at]]})
+
+    part = F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part")
+    return sent.select("*", part).groupBy("shard", "part").applyInArrow(
+        merge, "block long, shard int, a binary, b binary, c binary, d binary, blocks array<bigint>, "
+               "places array<binary>, spots array<binary>")
+
+
+def _send_on(stations: DataFrame, edges: np.ndarray, width: int, fan: int) -> DataFrame:
+    """What stations hold, cut for the groups of ``width`` ranges within theirs."""
+    cuts, word_cuts = _cuts(edges, width)
+
+    def send(batches):
+        for b in batches:
+            for block, shard, a, n, c, d in zip(*(x.to_pylist() for x in b.columns)):
+                mine = slice(shard * fan, shard * fan + fan - 1)
+                yield _pieces(block, unplaned(a), large(n), np.frombuffer(c, np.uint64), large(d), cuts[mine],
+                              word_cuts[mine], shard * fan)
+
+    return stations.select("block", "shard", *"abcd").mapInArrow(send, _SENT)
+
+
+def _hand_back(stations: DataFrame, judged: DataFrame) -> DataFrame:
+    """(block, shard, costs, words) for the senders of each station, from what came back to it."""
+    def apart(station: pa.Table, costs: pa.Table) -> pa.Table:
+        row, costs = station.to_pylist()[0], costs.sort_by("shard")
+        cost = np.concatenate([np.frombuffer(c, "<f4") for c in costs.column("costs").to_pylist()])
+        times = np.concatenate([large(w) for w in costs.column("words").to_pylist()])
+        return pa.table([
+            pa.array(row["blocks"], pa.int64()), pa.array([row["shard"]] * len(row["blocks"]), pa.int32()),
+            pa.array([cost[np.cumsum(large(p))].tobytes() for p in row["places"]], pa.binary()),
+            pa.array([small(times[np.cumsum(large(p))]) for p in row["spots"]], pa.binary())],
+            names=["block", "shard", "costs", "words"])
+
+    return stations.select("block", "shard", "blocks", "places", "spots").groupBy("block") \
+        .cogroup(judged.groupBy("block")).applyInArrow(apart, _JUDGED)
 
 
 def _merge_shards(sent: DataFrame) -> DataFrame:
@@ -354,17 +414,12 @@ def _merge_shards(sent: DataFrame) -> DataFrame:
     together; n_train and n_words are the words' totals.
     """
     def merge(table: pa.Table) -> pa.Table:
-        table = table.sort_by("block")
-        keys = [unplaned(x) for x in table.column("a").to_pylist()]
-        distinct, n, place = merged(keys, [large(x) for x in table.column("b").to_pylist()])
-        heard = [np.frombuffer(x, np.uint64) for x in table.column("c").to_pylist()]
-        word, times, at = merged(heard, [large(x) for x in table.column("d").to_pylist()])
-        cut, cut_w = np.cumsum([len(k) for k in keys])[:-1], np.cumsum([len(k) for k in heard])[:-1]
+        table, (distinct, n), (_, times), place, at = _merged_pieces(table)
         return pa.table({
             "shard": table.column("shard")[:1], "a": [planes(distinct)], "b": [small(n)],
             "blocks": [table.column("block").to_pylist()],
-            "places": [[small(np.diff(p, prepend=0)) for p in np.split(place, cut)]],
-            "words": [[small(times[p]) for p in np.split(at, cut_w)]],
+            "places": [[small(np.diff(p, prepend=0)) for p in place]],
+            "words": [[small(times[p]) for p in at]],
             "n_train": [int(times.sum())], "n_words": [int((times > 0).sum())]})
 
     return sent.groupBy("shard").applyInArrow(
@@ -372,11 +427,12 @@ def _merge_shards(sent: DataFrame) -> DataFrame:
                "n_train long, n_words long")
 
 
-def _edge_counts(grams: DataFrame, edges: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-    """Byte counts, over all ranges, of the contexts that an edge cuts, by (order, context).
+def _cut_counts(grams: DataFrame, edges: np.ndarray) -> DataFrame:
+    """(shard, cut): byte counts, over all ranges, of the contexts that the edges of a range lie in.
 
-    Summed by Spark; a range cuts at most one context per order, so this is
-    some hundred numbers for each SHARD_BYTES of text.
+    Summed by Spark, packed by context (256 bytes at most) and joined to the
+    ranges that need them: two edges and six orders for each.  The contexts of
+    orders 0 and 1, 257 at most, which many ranges share, are broadcast.
     """
     def send(batches):
         for b in batches:
@@ -390,12 +446,22 @@ def _edge_counts(grams: DataFrame, edges: np.ndarray) -> dict[tuple[int, int], n
                         [pa.array(np.full(len(at), o)), pa.array(np.full(len(at), context)), pa.array(at),
                          pa.array(byte[at])], names=["o", "context", "byte", "n"])
 
-    rows = grams.mapInArrow(send, "o long, context long, byte long, n long") \
-        .groupBy("o", "context", "byte").agg(F.sum("n").alias("n")).collect()
-    out = {}
-    for r in rows:
-        out.setdefault((r.o, r.context), []).append((r.byte, r.n))
-    return {k: np.array(sorted(v), np.int64).T for k, v in out.items()}
+    def ask(batches):
+        for b in batches:
+            rows = [(s, *c) for s in b.column(0).to_pylist() for c in _cut_contexts(edges, s)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
+                                              *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))],
+                                             names=["shard", "o", "context"])
+
+    packed = grams.mapInArrow(send, "o long, context long, byte long, n long") \
+        .groupBy("o", "context", "byte").agg(F.sum("n").alias("n")) \
+        .groupBy("o", "context").agg(F.collect_list("byte").alias("byte"), F.collect_list("n").alias("n"))
+    packed = write_once(packed, "lm-cut-contexts")
+    asked = grams.select("shard").mapInArrow(ask, "shard int, o long, context long")
+    got = asked.where("o < 2").join(F.broadcast(packed.where("o < 2")), ["o", "context"], "left") \
+        .unionByName(asked.where("o >= 2").join(packed.where("o >= 2"), ["o", "context"], "left"))
+    return write_once(got.groupBy("shard").agg(F.collect_list(F.struct("o", "context", "byte", "n")).alias("cut")),
+                      "lm-cuts")
 
 
 def _cut_contexts(edges: np.ndarray, shard: int) -> list[tuple[int, int]]:
@@ -418,15 +484,24 @@ def _cells(x: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(x[at])], names=["cell", "x"])
 
 
-def fit(grams: DataFrame, counts) -> Model:
-    """Weights and refining table from the ranges' training n-grams; ``counts`` makes the counts of a range."""
-    model = Model(0, None)
+def _counted(a: bytes, n: bytes, cut: list | None, trained: bool = True) -> tuple[RangeModel, np.ndarray, np.ndarray]:
+    """The counts of a range, and its n-grams: those of training with how often they occur, or all."""
+    key, n = unplaned(a), large(n)
+    if trained:
+        key, n = key[n > 0], n[n > 0]
+    sums = {(c["o"], c["context"]): np.array([c["byte"] or [], c["n"] or []], np.int64) for c in cut or []}
+    return RangeModel.of(key, n, sums), key, n
+
+
+def fit(grams: DataFrame) -> Model:
+    """Weights and refining table from the ranges' training n-grams (a, b, cut)."""
+    model = Model()
     shape = model.weights.shape
 
     def weigh(batches):
         for b in batches:
-            for shard, a, n in zip(*(c.to_pylist() for c in b.columns)):
-                own, key, m = counts(shard, a, n)
+            for a, n, cut in zip(*(c.to_pylist() for c in b.columns)):
+                own, key, m = _counted(a, n, cut)
                 if len(key):
                     own.learn(key, m)
                     yield _cells(np.r_[m.sum(), own.weights.ravel() * m.sum()])
@@ -438,8 +513,8 @@ def fit(grams: DataFrame, counts) -> Model:
 
     def refine(batches):
         for b in batches:
-            for shard, a, n in zip(*(c.to_pylist() for c in b.columns)):
-                own, key, m = counts(shard, a, n)
+            for a, n, cut in zip(*(c.to_pylist() for c in b.columns)):
+                own, key, m = _counted(a, n, cut)
                 own.weights = weights
                 yield _cells(sum((own.apm_counts(*part) for part in _parts(key, m)),
                                  np.zeros((2, 256, APM_CELLS))).ravel())
@@ -455,15 +530,18 @@ def _parts(key: np.ndarray, n: np.ndarray):
         yield key[i:i + (1 << 16)], n[i:i + (1 << 16)]
 
 
-def _judged(shards: DataFrame, counts, model: Model) -> DataFrame:
+_JUDGED = "block long, shard int, costs binary, words binary"
+
+
+def _judged(shards: DataFrame, model: Model) -> DataFrame:
     """(block, shard, costs, words): log10 probabilities of a block's n-grams in a range, and its words' counts."""
     weights, apm = model.weights, model.apm
 
     def judge(batches):
         for b in batches:
             for i in range(b.num_rows):
-                shard, a, n, of, places, heard = (c[i].as_py() for c in b.columns)
-                own, key, _ = counts(shard, a, n, trained=False)
+                shard, a, n, of, places, heard, cut = (c[i].as_py() for c in b.columns)
+                own, key, _ = _counted(a, n, cut, trained=False)
                 own.weights, own.apm = weights, apm
                 cost = np.concatenate([own.log10(part) for part, _ in _parts(key, key)] or [np.zeros(0)]).astype("<f4")
                 for j in range(0, len(of), 64):
@@ -472,8 +550,7 @@ def _judged(shards: DataFrame, counts, model: Model) -> DataFrame:
                          pa.array([cost[np.cumsum(large(p))].tobytes() for p in places[j:j + 64]], pa.binary()),
                          pa.array(heard[j:j + 64], pa.binary())], names=["block", "shard", "costs", "words"])
 
-    return shards.select("shard", "a", "b", "blocks", "places", "words").mapInArrow(
-        judge, "block long, shard int, costs binary, words binary")
+    return shards.select("shard", "a", "b", "blocks", "places", "words", "cut").mapInArrow(judge, _JUDGED)
 
 
 def _document_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
@@ -502,16 +579,17 @@ def _document_rows(docs: DataFrame, judged: DataFrame) -> DataFrame:
                               "score double, n_bytes long")
 
 
-def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
-                    bits: int | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Base score and model score of every row, learned from the rows where ``train`` holds.
 
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte).  A null text counts as empty: one token, its end.  A row
     where ``train`` is null is held out.  Without training rows every count is
     0 and the predictors know nothing: the base score is 0 for each token.
-    Rows that repeat score alike.  Words are counted by 64-bit hashes, n-grams
-    exactly; ``bits``, once the size of a hashed table, bounds nothing any more.
+    Rows that repeat score alike; an empty table gives no rows, other columns
+    aren't read.  Words are counted by 64-bit hashes, n-grams exactly.  A block
+    holds whole texts of BLOCK_BYTES, or one longer text, whose bytes take some
+    60 times their size in a worker.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -521,21 +599,20 @@ def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text
     size = held.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes"),
                     F.coalesce(F.sum(F.size("docs")), F.lit(0)).alias("n")).first()
     edges = _range_edges(rows, size.bytes, size.n, _n_ranges(spark, size.bytes))
-    shards = write_once(_merge_shards(_count_blocks(held, edges)), "lm-merged")
+    widths = _widths(len(edges) + 1)
+    sent, stations, parts = _count_blocks(held, edges, widths[0]), [], max(1, held.count())
+    for width, wider in zip(widths[1:], widths):
+        parts = math.ceil(parts / (wider // width))
+        stations.append(write_once(_stations(sent, parts), "lm-station"))
+        sent = _send_on(stations[-1], edges, width, wider // width)
+    shards = write_once(_merge_shards(sent), "lm-merged")
     n_train, n_words = shards.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
-    grams = shards.select("shard", "a", "b")
-    shared = spark.sparkContext.broadcast((edges, _edge_counts(grams, edges)))
-
-    def counts(shard: int, a: bytes, n: bytes, trained: bool = True):
-        """The counts of a range, and its n-grams: those of training with how often they occur, or all."""
-        key, n = unplaned(a), large(n)
-        if trained:
-            key, n = key[n > 0], n[n > 0]
-        edges, sums = shared.value
-        cut = {c: sums.get(c, np.zeros((2, 0), np.int64)) for c in _cut_contexts(edges, shard)}
-        return RangeModel.of(key, n, cut), key, n
-
-    rows = _document_rows(held, _judged(shards, counts, fit(grams, counts)))
+    # a small table of cuts is broadcast by the planner, a large one is joined by sorting
+    shards = shards.join(_cut_counts(shards.select("shard", "a", "b"), edges), "shard", "left")
+    judged = _judged(shards, fit(shards.select("a", "b", "cut")))
+    for station in reversed(stations):
+        judged = _hand_back(station, judged)
+    rows = _document_rows(held, judged)
     each = math.log10(n_train + n_words + 1)
     return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
                        (F.col("logs") - F.col("n_tokens") * F.lit(each)).alias("base_score"), "score",

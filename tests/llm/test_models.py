@@ -81,7 +81,7 @@ def base_scores(rows):
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_base_score_against_plain_python(request, which):
     df = request.getfixturevalue(which)
-    out = bm.score_documents(df, crc_mod("doc_id", 7) != 2, bits=18).collect()
+    out = bm.score_documents(df, crc_mod("doc_id", 7) != 2).collect()
     got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out)
     assert got == Counter(base_scores([(r.doc_id, r.text) for r in df.collect()]))
     assert all(r.score < 0 and r.bits_per_byte > 0 for r in out)
@@ -93,19 +93,95 @@ def test_base_score_against_plain_python(request, which):
 
 
 def test_no_documents_and_no_training(nothing, spark):
-    assert bm.score_documents(nothing, crc_mod("doc_id", 7) != 2, bits=12).count() == 0
+    assert bm.score_documents(nothing, crc_mod("doc_id", 7) != 2).count() == 0
     df = frame(spark, [(1, "some words", "en", "a"), (2, None, "en", "a")], [])
-    rows = {r.doc_id: r for r in bm.score_documents(df, crc_mod("doc_id", 7) == 99, bits=12).collect()}
+    rows = {r.doc_id: r for r in bm.score_documents(df, crc_mod("doc_id", 7) == 99).collect()}
     assert [(rows[i].n_tokens, rows[i].n_known, rows[i].base_score) for i in (1, 2)] == [(3, 0, 0.0), (1, 0, 0.0)]
 
 
 def test_bit_probabilities_sum_to_one():
-    """Over the 256 values of a byte in a context the model is a distribution."""
-    bits, rng = 12, np.random.default_rng(0)
-    model = bm.Model(bits, np.log1p(rng.integers(0, 20, (2, sum(bm.table_sizes(bits))))).astype(np.float16))
-    for context in (0, 0x6162636465, 0x2074686520):
-        key = np.uint64(context) << np.uint64(8) | np.arange(256, dtype=np.uint64)
-        assert (10 ** model.log10(key)).sum() == pytest.approx(1)
+    """Over the 256 values of a byte in a context the model is a distribution, whatever its counts and weights."""
+    rng = np.random.default_rng(0)
+    for cut in ({}, {(0, 0): np.stack([np.arange(256), rng.integers(1, 99, 256)])}):
+        key = np.concatenate([bm.by_context(np.uint64(context) << np.uint64(8) | np.arange(256, dtype=np.uint64))
+                              for context in (0, 0x6162636465, 0x2074686520, 0x2074686165)])
+        key, n = np.sort(key), rng.integers(0, 20, len(key)) * rng.integers(0, 2, len(key))
+        model = bm.RangeModel.of(key, n, cut)
+        model.weights = rng.uniform(-0.2, 0.6, model.weights.shape)
+        model.apm = rng.uniform(0.05, 0.95, model.apm.shape)
+        context = key >> np.uint64(8)
+        for c in np.unique(context):
+            assert (10 ** model.log10(key[context == c])).sum() == pytest.approx(1)
+
+
+def plain_log10(counts, model, context, byte):
+    """log10 probability of a byte, bit by bit from a dictionary of counts."""
+    out = 0.0
+    for k in range(8):
+        bit, odds, gate = byte >> 7 - k & 1, [], 0
+        for o in range(bm.ORDERS):
+            n01 = [sum(c for b, c in counts.get(context[5 - o:], {}).items() if b >> 7 - k == byte >> 8 - k << 1 | x)
+                   for x in (0, 1)]
+            odds.append(math.log((n01[1] + .4) / (n01[0] + .4)))
+            gate += sum(n01) > 0
+        z = min(12, max(-12, sum(w * x for w, x in zip(model.weights[k][gate], odds))))
+        at = min(max(z * 2 + bm.APM_CELLS // 2, 0), bm.APM_CELLS - 1.001)
+        row, low = model.apm[context[-1]], int(at)
+        p = 0.5 * (row[low] * (low + 1 - at) + row[low + 1] * (at - low)) + 0.5 / (1 + math.exp(-z))
+        p = min(max(p, 1e-6), 1 - 1e-6)
+        out += math.log10(p if bit else 1 - p)
+    return out
+
+
+@pytest.mark.parametrize("fan", [1024, 3])
+def test_score_against_plain_python(spark, monkeypatch, fan):
+    """The whole way to the ranges and back, by one step or through stations, gives what a dictionary of counts gives."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["the", "then", "there", "tree", "trees", "the\u00e9", "zig", "zag"]
+    rows = [(i, " ".join(rng.choice(vocabulary, rng.integers(0, 12))), "en", "a") for i in range(40)] \
+        + [(40, None, "en", "a"), (41, "unseen qqq \u4e2d", "en", "a"), (41, "unseen qqq \u4e2d", "en", "a")]
+    fitted = []
+    monkeypatch.setattr(bm, "FAN", fan)
+    monkeypatch.setattr(bm, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(bm, "_n_ranges", lambda spark, n_bytes: 20)
+    fit = bm.fit
+    monkeypatch.setattr(bm, "fit", lambda grams: fitted.append(fit(grams)) or fitted[-1])
+    got = [(r.doc_id, r.score) for r in
+           bm.score_documents(frame(spark, rows, []), crc_mod("doc_id", 7) != 2).collect()]
+    assert len(bm._widths(20)) == (1 if fan == 1024 else 3)
+    counts = {}
+    for i, text, _, _ in rows:
+        if not held(i, 7, 2):
+            data = b"\0" * 5 + (text or "").encode() + b"\0"
+            for at in range(5, len(data)):
+                for o in range(bm.ORDERS):
+                    byte = counts.setdefault(data[at - o:at], Counter())
+                    byte[data[at]] += 1
+    want = []
+    for i, text, _, _ in rows:
+        data = b"\0" * 5 + (text or "").encode() + b"\0"
+        want.append((i, sum(plain_log10(counts, fitted[0], data[at - 5:at], data[at]) for at in range(5, len(data)))))
+    for (i, a), (j, b) in zip(sorted(got), sorted(want)):
+        assert i == j and a == pytest.approx(b, rel=1e-4)
+
+
+def test_rows_sent_grow_with_the_text(spark, monkeypatch):
+    """A block sends to FAN places at most, however many ranges there are."""
+    monkeypatch.setattr(bm, "FAN", 8)
+    assert bm._widths(1) == [1] and bm._widths(8) == [1] and bm._widths(9) == [3, 1] and bm._widths(500) == [64, 8, 1]
+    monkeypatch.setattr(bm, "FAN", 1024)
+    assert [len(bm._widths(n)) for n in (1024, 1025, 1 << 20, 12_500_000)] == [1, 2, 2, 3]
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join("".join(map(chr, rng.integers(97, 123, 6))) for _ in range(300)), "en", "a") for i in range(40)]
+    monkeypatch.setattr(bm, "BLOCK_BYTES", 2000)
+    held_docs = bm._write_blocks(frame(spark, rows, []).selectExpr(
+        "doc_id", "xxhash64(text) th", "true train", "cast(text as binary) text"))
+    key = np.unique(bm.by_context(bm.six_grams([r[1].encode() for r in rows])[0]))
+    monkeypatch.setattr(bm, "FAN", 8)
+    for n in (60, 500):
+        edges = key[np.arange(1, n) * len(key) // n]
+        width = bm._widths(n)[0]
+        assert bm._count_blocks(held_docs, edges, width).count() <= 8 * held_docs.count()
 
 
 def test_counts_of_ranges_against_plain_python():
