@@ -340,6 +340,7 @@ def _count_blocks(docs: DataFrame, edges: np.ndarray, width: int = 1) -> DataFra
                 key, grams = summed(by_context(key), np.repeat(train, np.diff(np.r_[start, len(key)])).astype(np.int64))
                 h, doc = _word_hashes(texts)
                 h, counts = summed(h, train[doc].astype(np.int64))
+                del texts, start, doc  # while the pieces are sent, these aren't held as well
                 yield _pieces(b.column(0)[i].as_py(), key, grams, h, counts, cuts, word_cuts, 0)
 
     return docs.select("block", "texts", "train").mapInArrow(count, _SENT)
@@ -593,6 +594,8 @@ def score_documents(docs: DataFrame, train: Column, doc_id: str = "doc_id", text
     """
     spark = docs.sparkSession
     small_batches(spark)
+    # a row here is a block or a range, so a batch of a thousand rows would be all that a task reads
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BLOCK_BYTES)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"),
                        F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("binary").alias("text"))
     held = _write_blocks(rows)
