@@ -44,7 +44,7 @@ from caseflow.llm.common import mix64, sliced, small_batches, words, write_once
 
 ORDERS = 6
 #: Bytes of text that are handled together.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 3 << 19
 #: n-grams of one step of the weights, and the rate of a step.
 STEP, RATE = 1024, 0.5
 APM_CELLS = 33
