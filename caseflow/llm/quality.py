@@ -1,9 +1,11 @@
 """Quality rules, line first, in DataFrame functions only.
 
-Each line is held against three rules: it ends like a sentence, it isn't a
-navigation bar, it holds no boilerplate phrase.  Lines that fail are removed;
-a document that loses too much of its text, or fails the base rules on the
-whole text, is rejected.  One pass over the rows, no shuffle.
+Each line is held against three rules: it holds no boilerplate phrase, it
+isn't a navigation bar, it ends like a sentence.  Phrases count as whole words,
+in four languages; calls to act count in short lines alone, as prose uses them
+too.  Lines that fail are removed, each named by the first rule it fails; a
+document that loses too much of its text, or fails the base rules on the whole
+text, is rejected.  One pass over the rows, no shuffle.
 """
 
 from __future__ import annotations
@@ -16,8 +18,31 @@ from caseflow.llm.common import BLANKS
 # Fixed values of the line rules.
 SENTENCE_ENDS = [".", "!", "?", "…", "\"", "'", "”", "’", "»", ")", "。", "！", "？", "।", "؟"]
 SEPARATORS = "|»›•·"
-BOILERPLATE = ["all rights reserved", "cookie", "javascript", "lorem ipsum", "privacy policy", "terms of use",
-               "terms of service", "click here", "sign in", "log in", "subscribe", "read more"]
+SPACED_SEPARATORS = [" > ", " / "]
+#: Boilerplate wherever it stands.
+PHRASES = {
+    "en": ["all rights reserved", "privacy policy", "cookie policy", "uses cookies", "accept cookies",
+           "accept all cookies", "enable javascript", "javascript is disabled", "terms of use", "terms of service",
+           "terms and conditions", "skip to content", "lorem ipsum"],
+    "de": ["alle rechte vorbehalten", "datenschutzerklärung", "cookie-richtlinie", "verwendet cookies",
+           "cookies akzeptieren", "javascript aktivieren", "nutzungsbedingungen", "allgemeine geschäftsbedingungen"],
+    "fr": ["tous droits réservés", "politique de confidentialité", "utilise des cookies", "accepter les cookies",
+           "activer javascript", "mentions légales", "conditions d'utilisation", "conditions générales de vente"],
+    "es": ["todos los derechos reservados", "política de privacidad", "política de cookies", "utiliza cookies",
+           "aceptar cookies", "aviso legal", "condiciones de uso", "términos y condiciones"],
+}
+#: Calls to act: boilerplate in a line of at most CALL_CHARS characters.
+CALLS = {
+    "en": ["click here", "read more", "sign in", "log in", "sign up", "subscribe", "share this", "cookies"],
+    "de": ["hier klicken", "weiterlesen", "mehr erfahren", "anmelden", "registrieren", "abonnieren", "impressum"],
+    "fr": ["cliquez ici", "lire la suite", "en savoir plus", "se connecter", "s'inscrire", "s'abonner"],
+    "es": ["haga clic aquí", "haz clic aquí", "leer más", "más información", "iniciar sesión", "suscríbete",
+           "regístrate"],
+}
+CALL_CHARS = 40
+#: A navigation bar has two separators or more, and parts of at most so many characters, on average.
+NAVIGATION_PART = 25
+RULES = ["boilerplate", "navigation", "no_end"]
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -30,15 +55,23 @@ def _without(text: Column, chars: str) -> Column:
     return text
 
 
-def line_passes(line: Column) -> Column:
-    """True for a line that reads like a sentence; blank lines pass too."""
+def _whole_words(phrases: dict[str, list[str]]) -> str:
+    """A pattern that finds any of the phrases between characters that are neither letters nor digits."""
+    found = "|".join(p for of_language in phrases.values() for p in of_language)
+    return f"(^|[^\\p{{L}}\\p{{N}}])({found})([^\\p{{L}}\\p{{N}}]|$)"
+
+
+def failed_rule(line: Column) -> Column:
+    """The first of ``RULES`` that a line fails; null for a line that reads like a sentence, and for a blank one."""
     body, low = F.btrim(line, F.lit(BLANKS)), F.lower(line)
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase = phrase | F.contains(low, F.lit(p))
+    phrase = F.rlike(low, F.lit(_whole_words(PHRASES))) | \
+        ((F.length(body) <= CALL_CHARS) & F.rlike(low, F.lit(_whole_words(CALLS))))
+    bars = F.length(line) - F.length(_without(line, SEPARATORS))
+    for s in SPACED_SEPARATORS:
+        bars = bars + F.length(line) - F.length(F.replace(line, F.lit(s), F.lit(" " * (len(s) - 1))))
+    navigation = (bars >= 2) & (F.length(body) <= NAVIGATION_PART * (bars + 1))
     sentence = F.right(body, F.lit(1)).isin(SENTENCE_ENDS)
-    navigation = F.length(line) - F.length(_without(line, SEPARATORS)) >= 2
-    return (body == "") | (sentence & ~navigation & ~phrase)
+    return F.when(body == "", None).when(phrase, RULES[0]).when(navigation, RULES[1]).when(~sentence, RULES[2])
 
 
 def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -48,7 +81,8 @@ def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A null text counts as empty: no words, so it fails the base rules; its
     cleaned text is null.  Ties and repeated rows are judged alike; an empty
     table gives an empty result.  Windows are compared by a 64-bit hash of
-    their three words, within one text only.  Other columns aren't read.
+    their three words, within one text only.  ``n_<rule>`` counts the lines
+    removed by each rule.  Other columns aren't read.
     """
     raw = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -60,7 +94,9 @@ def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = F.filter("lines", lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     d = d.select("doc_id", "text", "lines", F.size("w").alias("n_words"),
                  F.when(F.size("w") >= 3, windows).otherwise(F.array().cast("array<bigint>")).alias("h"),
-                 body.alias("body"), F.filter("lines", line_passes).alias("good"))
+                 body.alias("body"), F.transform("lines", lambda x: F.struct(x.alias("line"), failed_rule(x).alias("rule"))).alias("marked"))
+    good = F.transform(F.filter("marked", lambda m: m["rule"].isNull()), lambda m: m["line"])
+    d = d.select("*", good.alias("good"))
     # windows found again: equal neighbours among the sorted (hash, place) pairs
     pairs = F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
     again = F.transform(F.array(pairs), lambda s: F.transform(F.filter(
@@ -73,6 +109,9 @@ def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def chars(lines: str) -> Column:
         return F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(x))
 
+    def failing(rule: str) -> Column:
+        return F.size(F.filter("marked", lambda m: m["rule"] == rule))
+
     d = d.select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"),
         F.length(solid).cast("long").alias("word_chars"),
@@ -81,6 +120,7 @@ def judge_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.when(F.size(F.array_distinct("h")) < F.size("h"), covered).otherwise(0).cast("long")
         .alias("n_repeat_words"),
         (F.size("lines") - F.size("good")).cast("long").alias("n_bad_lines"),
+        *[failing(r).cast("long").alias(f"n_{r}") for r in RULES],
         chars("lines").cast("long").alias("line_chars"), chars("good").cast("long").alias("good_chars"),
         F.when(F.col("text").isNotNull(), F.array_join("good", "\n")).alias("clean_text"))
     failed = (F.col("n_words") < MIN_WORDS) | \
@@ -95,10 +135,14 @@ def _sql_text(s: str) -> str:
 
 
 _BLANKS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_PASSES_SQL = f"""(trim(x, {_BLANKS_SQL}) = '' OR (right(trim(x, {_BLANKS_SQL}), 1)
-  IN ({', '.join(map(_sql_text, SENTENCE_ENDS))})
-  AND length(x) - length(regexp_replace(x, '[{SEPARATORS}]', '', 'g')) < 2
-  AND NOT ({' OR '.join(f'contains(lower(x), {_sql_text(p)})' for p in BOILERPLATE)})))"""
+_BODY_SQL = f"trim(x, {_BLANKS_SQL})"
+_BARS_SQL = f"(length(x) - length(regexp_replace(x, '[{SEPARATORS}]', '', 'g')){''.join(
+    f" + length(x) - length(replace(x, '{s}', '{' ' * (len(s) - 1)}'))" for s in SPACED_SEPARATORS)})"
+_RULE_SQL = f"""CASE WHEN {_BODY_SQL} = '' THEN NULL
+  WHEN regexp_matches(lower(x), {_sql_text(_whole_words(PHRASES))})
+    OR length({_BODY_SQL}) <= {CALL_CHARS} AND regexp_matches(lower(x), {_sql_text(_whole_words(CALLS))}) THEN '{RULES[0]}'
+  WHEN {_BARS_SQL} >= 2 AND length({_BODY_SQL}) <= {NAVIGATION_PART} * ({_BARS_SQL} + 1) THEN '{RULES[1]}'
+  WHEN right({_BODY_SQL}, 1) NOT IN ({', '.join(map(_sql_text, SENTENCE_ENDS))}) THEN '{RULES[2]}' END"""
 #: DuckDB's words for the columns that the query returns.
 ORACLE = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -112,16 +156,18 @@ c AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
 a AS (SELECT w.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
         list_filter(ls, lambda x: trim(x, {_BLANKS_SQL}) <> '') AS body, coalesce(c.n, 0) AS n_repeat_words,
-        list_filter(ls, lambda x: {_PASSES_SQL}) AS good, ls
+        list_transform(ls, lambda x: {_RULE_SQL}) AS rules, ls
       FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
 f AS (SELECT doc_id, n_words, word_chars, n_symbols, len(body) - len(list_distinct(body)) AS n_dup_lines,
-        n_repeat_words, len(ls) - len(good) AS n_bad_lines,
+        n_repeat_words, {', '.join(f"len(list_filter(rules, lambda r: r = '{r}')) AS n_{r}" for r in RULES)},
+        list_transform(range(1, len(ls) + 1), lambda i: CASE WHEN rules[i] IS NULL THEN length(ls[i]) ELSE 0 END) AS good,
         coalesce(list_sum(list_transform(ls, lambda x: length(x))), 0) AS line_chars,
-        coalesce(list_sum(list_transform(good, lambda x: length(x))), 0) AS good_chars,
+        coalesce(list_sum(good), 0) AS good_chars,
         n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM a)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
-  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(n_bad_lines AS BIGINT) AS n_bad_lines, base_failed,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST({' + '.join(f'n_{r}' for r in RULES)} AS BIGINT) AS n_bad_lines,
+  {', '.join(f'CAST(n_{r} AS BIGINT) AS n_{r}' for r in RULES)}, base_failed,
   NOT base_failed AND (CASE WHEN line_chars > 0 THEN 1 - good_chars / line_chars ELSE 0 END) <= {MAX_LOST} AS kept
 FROM f
 """

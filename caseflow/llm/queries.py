@@ -44,7 +44,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bad_lines",
-        "base_failed", "kept")
+        *[f"n_{r}" for r in quality.RULES], "base_failed", "kept")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,3 +35,28 @@ def test_repeated_windows(spark):
     rows = by_id(frame(spark, [(1, "a b c a b c", "en", "s"), (2, "a b c d a b c", "en", "s"), (3, "a a a a", "en", "s"),
                                (4, "a b", "en", "s"), (5, "x y z\ty q", "en", "s")], []))
     assert [rows[i].n_repeat_words for i in range(1, 6)] == [6, 6, 4, 0, 0]
+
+
+def test_each_removed_line_is_named_by_its_rule(spark):
+    lines = {  # line: the rule it fails
+        "I baked a cookie today and it was very good.": None,
+        "Users log in with a password that the office hands out each year.": None,
+        "She subscribed to two magazines.": None,
+        "The ratio of a / b and of c / d was printed beside every figure of the long chapter on rates, as he asked.": None,
+        "\t ": None,
+        "Log in.": "boilerplate",
+        "Read our Privacy Policy!": "boilerplate",
+        "© 2020 Alle Rechte vorbehalten.": "boilerplate",
+        "Lire la suite.": "boilerplate",
+        "Este sitio utiliza cookies para mejorar la experiencia de quienes lo visitan.": "boilerplate",
+        "Home | News | Contact.": "navigation",
+        "Home > Garden > Tools.": "navigation",
+        "Chapter one": "no_end",
+    }
+    got = by_id(frame(spark, [(i, line, "en", "a") for i, line in enumerate(lines)], []))
+    for i, (line, rule) in enumerate(lines.items()):
+        assert [getattr(got[i], f"n_{r}") for r in quality.RULES] == [int(r == rule) for r in quality.RULES], line
+        assert got[i].n_bad_lines == int(rule is not None)
+    whole = by_id(frame(spark, [(1, "\n".join(lines), "en", "a")], []))[1]
+    assert (whole.n_boilerplate, whole.n_navigation, whole.n_no_end) == (5, 2, 1)
+    assert whole.clean_text.split("\n") == [line for line, rule in lines.items() if rule is None]
