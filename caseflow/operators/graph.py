@@ -240,6 +240,28 @@ def shared_neighbour_groups(edges: DataFrame, rel_a: str, rel_b: str, min_size:
         .where(F.col("incident_count") >= min_size)
 
 
+def shared_evidence_types(edges: DataFrame, relations: tuple[str, ...] = ("HAS_IMAGE", "HAS_DOCUMENT"),
+                          min_size: int = 2) -> DataFrame:
+    """Incidents of one category that have evidence of one type, each with the size of its group.
+
+    The type is the content type or source type among the edge's properties;
+    an edge without one counts for nothing.  Sizes come from an aggregation
+    and are joined back, so a type that most incidents have is neither a pair
+    list nor one task's window; repeated edges count once.
+    """
+    category = edges.where("relationship_type = 'BELONGS_TO_CATEGORY'").select(
+        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias("category_node_id")).distinct()
+    kind = F.coalesce(*[F.get_json_object("properties_json", f"$.{k}") for k in ("content_type", "source_type")])
+    evidence = edges.where(F.col("relationship_type").isin(*relations)).select(
+        F.col("source_node_id").alias("incident_node_id"), "relationship_type", kind.alias("evidence_type")) \
+        .where("evidence_type is not null").distinct()
+    keys = ["category_node_id", "relationship_type", "evidence_type"]
+    rows = category.join(evidence, "incident_node_id")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("incident_count")) \
+        .where(F.col("incident_count") >= min_size)
+    return rows.join(sizes, keys).select(*keys, "incident_node_id", "incident_count")
+
+
 def co_link_counts(edges: DataFrame, incident_filter: DataFrame | None, via: str, target_rel: str) -> DataFrame:
     """For each node reached by ``via`` (e.g. the group), how many incidents also link
     to each ``target_rel`` node (e.g. category or service); optional incident filter."""

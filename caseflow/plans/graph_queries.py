@@ -150,6 +150,21 @@ def shared_pattern_and_service(spark, sf_dir):
     return G.shared_neighbour_groups(e, "RESOLVED_BY_PATTERN", "IMPACTS_SERVICE")
 
 
+@register("k10_shared_category_and_evidence", sql("""
+SELECT t AS category_node_id, r AS relationship_type, e AS evidence_type, i AS incident_node_id,
+       CAST(n AS BIGINT) AS incident_count
+FROM (SELECT *, count(*) OVER (PARTITION BY t, r, e) AS n
+      FROM (SELECT DISTINCT s AS i, t FROM g_e0 WHERE r = 'BELONGS_TO_CATEGORY' AND t IS NOT NULL)
+      JOIN (SELECT 'incident:' || CAST(incident_id AS VARCHAR) AS i, 'HAS_IMAGE' AS r, content_type AS e FROM img
+            UNION SELECT 'incident:' || incident_id, 'HAS_DOCUMENT', source_type FROM g_docs
+            WHERE incident_id IS NOT NULL) USING (i)
+      WHERE e IS NOT NULL)
+WHERE n >= 2""", "g_e0", "img", "g_docs"))
+def shared_category_and_evidence(spark, sf_dir):
+    """Which incidents of a category share an image's or a document's type."""
+    return G.shared_evidence_types(_edges(spark, sf_dir, "BELONGS_TO_CATEGORY", "HAS_IMAGE", "HAS_DOCUMENT"))
+
+
 @register("k11_group_service_colinks", sql("""
 SELECT a.t AS anchor_node_id, b.t AS linked_node_id, CAST(count(DISTINCT a.s) AS BIGINT) AS incident_count
 FROM (SELECT source_node_id AS s, target_node_id AS t FROM g_edges WHERE relationship_type = 'ASSIGNED_TO_GROUP') a
