@@ -103,3 +103,20 @@ def test_documents_that_no_query_may_have_are_not_dealt(spark, monkeypatch):
     queries = _docs(spark, texts[:20]).withColumnRenamed("doc_id", "query_id")
     R.bm25_topk(post, queries, 3, profile=profile).collect()
     assert 0 < seen.value < post.count() / 5
+
+
+def test_few_hits_shuffle_no_documents(spark, sf_dir, capsys):
+    from caseflow.plans.retrieval_queries import format_hits
+    from caseflow.plans.search_store import SearchIndex
+    ids = [r.doc_id for r in SearchIndex(spark, sf_dir, "kb").docs.select("doc_id").limit(2).collect()] + ["none"]
+    hits = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "query_id long, doc_id string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")  # hits fit, documents don't
+    try:
+        out = format_hits(spark, sf_dir, hits)
+        rows = {(r.doc_id, r.source_type, r.title == r.doc_id) for r in out.collect()}
+        out.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert rows == {(ids[0], "kb_article", False), (ids[1], "kb_article", False), ("none", "unknown", True)}
+    assert "BroadcastHashJoin [doc_id" in capsys.readouterr().out
