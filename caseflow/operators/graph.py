@@ -311,11 +311,11 @@ def write_adjacency(edges: DataFrame, folder: str, directed: bool = False, hub_d
     ``hub_degree`` of them.
     """
     spark = edges.sparkSession
-    ends = edges.select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next_id"))
-    if not directed:
-        ends = ends.unionByName(ends.select(F.col("next_id").alias("node_id"), F.col("node_id").alias("next_id")))
-    ends.write.parquet(f"{folder}/ends")
+    edges.select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next_id")) \
+        .write.option("compression", "zstd").parquet(f"{folder}/ends")
     ends = spark.read.parquet(f"{folder}/ends")
+    if not directed:  # written one way, read both ways
+        ends = ends.unionByName(ends.select(F.col("next_id").alias("node_id"), F.col("node_id").alias("next_id")))
     hubs = ends.groupBy("node_id").agg(F.count(F.lit(1)).alias("degree")).where(F.col("degree") > hub_degree)
     hubs.select("node_id", F.lit(HUB_SALTS).alias("salts")).write.parquet(f"{folder}/hubs")
     hubs = spark.read.parquet(f"{folder}/hubs")
@@ -329,9 +329,11 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
 
     A round joins the frontier with the edge table on (node, salt): a hub's
     edges lie under many salts and only the hubs of the frontier are copied to
-    all of them, so no task gets a hub's edges whole.  The edge table and each
-    round's nodes are written to the shared folder, so lineage stays one round
-    deep and a lost executor recomputes at most one round.
+    all of them, so no task gets a hub's edges whole.  The edge table, the
+    frontier as it meets it and each round's nodes are written to the shared
+    folder, so lineage stays one round deep, a lost executor recomputes at most
+    one round, and the planner knows a frontier's size: the edges aren't
+    shuffled for a small one.
     """
     folder = work_dir(spark, "reach")
     adj = write_adjacency(edges, folder, directed, hub_degree)
@@ -340,8 +342,10 @@ def reach(spark: SparkSession, seeds: DataFrame, edges: DataFrame, hops: int,
     for h in range(1, hops + 1):
         here = spark.read.parquet(f"{folder}/hop={h - 1}")
         before = spark.read.parquet(*[f"{folder}/hop={i}" for i in range(h)])
-        spread = here.join(hubs, "node_id", "left").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+        here.join(hubs, "node_id", "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts") \
+            .write.parquet(f"{folder}/frontier={h}")
+        spread = spark.read.parquet(f"{folder}/frontier={h}")
         found = spread.join(adj, ["node_id", "salt"]).select(F.col("next_id").alias("node_id")).distinct()
         found.join(before, "node_id", "left_anti").write.parquet(f"{folder}/hop={h}")
     return reduce(DataFrame.unionByName, [
