@@ -5,7 +5,8 @@ non-blank, so a single blank between two other characters is always a cut.
 The ids of such a unit depend on the unit alone; each Python worker remembers
 those it has seen, up to a bound, and asks the tokenizers library for the rest,
 many units in one text: their ids are told apart by the tokens that begin with
-a blank.
+a blank.  The vocabulary also cuts between a letter and the marks that close a
+unit, so these are looked up apart: a word with and without a comma is one.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ _ODD = re.compile(r"^\s|\s$|[\x1c-\x1f]")
 _BLANK = "\u0120"
 #: Stands for the ids of a unit that can't stand alone; no ids have its length.
 STRANGE = b"\0"
+#: Marks that close a unit: neither letters, digits nor blanks; without the apostrophe, which can begin a token of letters.
+CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORKER: dict[tuple, "Encoder"] = {}
 
 
@@ -96,14 +99,20 @@ class Encoder:
         begin = lists.offsets.to_numpy().astype(np.int64)
         begin, n_units = begin[:-1] - begin[0], int(begin[-1] - begin[0])
         coded = pc.dictionary_encode(lists.flatten())
-        unit, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        code = coded.indices.to_numpy().astype(np.int64)
+        piece, first, last = _pieces(coded.dictionary)
         # the first unit has no blank before it: "\0" marks it; a text that holds "\0" is asked for whole
-        heads = {}
-        for c in code[begin].tolist():
-            heads.setdefault(c, len(unit) + len(heads))
-        code[begin] = [heads[c] for c in code[begin].tolist()]
-        unit += ["\0" + unit[c] for c in heads]
-        found = self._look_up(unit)
+        heads, place = np.unique(code[begin], return_inverse=True)
+        code[begin] = len(first) + place
+        first, last = np.r_[first, len(piece) + np.arange(len(heads))], np.r_[last, np.full(len(heads), -1)]
+        piece += ["\0" + u for u in coded.dictionary.take(pa.array(heads)).to_pylist()]
+        # from units to pieces: one, or two where marks close the unit
+        two = last[code] >= 0
+        end = np.cumsum(1 + two)
+        begin, marks, n_units = (end - 1 - two)[begin], last[code[two]], n_units + int(two.sum())
+        code = np.repeat(first[code], 1 + two)
+        code[end[two] - 1] = marks
+        found = self._look_up(piece)
         size = np.array(list(map(len, found)), np.int64)
         whole = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
         whole |= np.logical_or.reduceat((size == len(STRANGE))[code], begin)
@@ -146,6 +155,35 @@ class Encoder:
         return found
 
 
+def _pieces(units: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct pieces, each unit's first piece, its last or -1): marks that follow a letter are a piece of their own.
+
+    Such marks have no blank before them and begin with "\\0".  Letters are
+    those of ASCII and Latin-1; other units are left whole.
+    """
+    edge = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2] or b"", np.uint8)
+    stems = pc.ascii_rtrim(units, characters=CLOSING)
+    size = pc.binary_length(stems).to_numpy().astype(np.int64)
+    end = edge[:-1] + size
+    cut = np.flatnonzero((end < edge[1:]) & (size > 0))
+    at, before = data[end[cut] - 1], data[np.maximum(end[cut] - 2, 0)]
+    plain = ((at | 32) >= ord("a")) & ((at | 32) <= ord("z"))
+    latin = (at >= 128) & (before == 0xC3) & (at != 0x97) & (at != 0xB7)  # all but the signs of times and division
+    cut = cut[plain | latin]
+    mask = np.zeros(len(units), bool)
+    mask[cut] = True
+    firsts = pc.dictionary_encode(pc.if_else(pa.array(mask), stems, units))
+    n = edge[1:][cut] - end[cut]
+    marks = data[np.repeat(end[cut] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    marks = pc.dictionary_encode(pa.LargeStringArray.from_buffers(
+        len(cut), pa.py_buffer(np.r_[0, np.cumsum(n)].astype(np.int64)), pa.py_buffer(marks)))
+    last = np.full(len(units), -1, np.int64)
+    last[cut] = len(firsts.dictionary) + marks.indices.to_numpy()
+    return (firsts.dictionary.to_pylist() + ["\0" + m for m in marks.dictionary.to_pylist()],
+            firsts.indices.to_numpy().astype(np.int64), last)
+
+
 def encoder(name: str) -> Encoder:
     """The encoder of this worker process."""
     if (name,) not in _WORKER:
