@@ -3,13 +3,15 @@
 The facts share the ticket's dimensions and nothing else, so their rows must
 never be joined with each other (a ticket with 3 SLAs and 4 articles would
 count 12 times).  They are stacked instead: every fact is a few additive
-numbers per ticket, the stack is summed by ticket (this also brings a child's
-numbers to its ticket's axes, without a join), then by the axes, then by the
-wanted sets of axes.
-
-Three shuffles, whatever the number of facts: one by ticket, behind partial
-sums (a ticket that owns a third of all child rows sends a row a task), and
-two over rows that are already one per combination of axes.
+numbers per ticket, child rows are summed by ticket, the sums meet the tickets
+in a second sum (this brings a child's numbers to its ticket's axes, without a
+join), then they are summed by the wanted sets of axes.
+
+Three shuffles, whatever the number of facts: child rows by ticket, behind
+partial sums (a ticket that owns a third of all child rows sends a row a
+task); at most two rows a ticket; and sums by members of axes.  Child rows are
+summed by hash: an axis is a text, and a text in the same sum would have each
+task sort all its child rows.
 """
 
 from __future__ import annotations
@@ -125,25 +127,24 @@ def drill_across(tickets: DataFrame, children: dict[str, DataFrame], axes: list[
 
     used = {PARTS[p].fact for p in wanted} - {TICKET}
     ticket_rows = stacked(TICKET, tickets)
-    keyed = reduce(DataFrame.unionByName, [stacked(f, children[f]) for f in sorted(used)],
-                   ticket_rows.where("ticket_key is not null"))
-    by_ticket = keyed.groupBy("ticket_key").agg(*[F.max(c).alias(c) for c in ax.values()],
-                                                *[F.sum(f"part_{p}").alias(f"part_{p}") for p in wanted])
+    sums = [F.sum(f"part_{p}").alias(f"part_{p}") for p in wanted]
+    keyed = ticket_rows.where("ticket_key is not null")
+    if used:
+        rows = reduce(DataFrame.unionByName, [stacked(f, children[f]) for f in sorted(used)])
+        keyed = keyed.unionByName(rows.groupBy("ticket_key").agg(*sums), allowMissingColumns=True)
+    by_ticket = keyed.groupBy("ticket_key").agg(*[F.max(c).alias(c) for c in ax.values()], *sums)
     counted = by_ticket.select(*ax.values(), *[
         (_flag(F.col("ticket_key").isNotNull() & (F.col(f"part_{p}") > 0)) if PARTS[p].tickets
          else F.col(f"part_{p}")).alias(f"part_{p}") for p in wanted])
     # Tickets without a key have no children and aren't one ticket: they go past the sum by key.
     loose = ticket_rows.where("ticket_key is null").drop("ticket_key")
-    by_axes = counted.unionByName(loose).groupBy(*ax.values()).agg(
-        *[F.sum(f"part_{p}").alias(f"part_{p}") for p in wanted])
-
-    sums = [F.sum(f"part_{p}").alias(f"part_{p}") for p in wanted]
+    by_axes = counted.unionByName(loose)
     if axes:
         cols = [F.col(c) for c in ax.values()]
         grouped = by_axes.groupingSets([[F.col(ax[a]) for a in s] for s in sets], *cols)
         out = grouped.agg(*[F.grouping(c).alias(f"total_{c}") for c in ax.values()], *sums)
     else:
-        out = by_axes
+        out = by_axes.agg(*sums)
     out = out.select(*[F.col(ax[a]).alias(a) for a in axes],
                      *[(F.col(f"total_{ax[a]}") == 1).alias(f"{a}_is_total") for a in axes],
                      *[_value(m).alias(m) for m in measures])
