@@ -244,6 +244,18 @@ def neighbours(seeds: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFram
     return out_e.unionByName(in_e).join(n, "neighbour_node_id", "left")
 
 
+#: Tasks for each shuffle partition in which ends meet by incident: every pair of an incident's ends is a row there.
+PAIR_TASKS = 4
+
+
+def _ends(edges: DataFrame, relationship: str, target: str) -> DataFrame:
+    """(incident_node_id, ``target``) of a relationship's edges without repeats, dealt by incident as a join needs them."""
+    n = PAIR_TASKS * int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return edges.where(F.col("relationship_type") == relationship).select(
+        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias(target)) \
+        .repartition(n, "incident_node_id").distinct()
+
+
 def shared_neighbour_groups(edges: DataFrame, rel_a: str, rel_b: str, min_size: int = 2) -> DataFrame:
     """Groups of incidents that share a target of ``rel_a`` AND a target of ``rel_b``.
 
@@ -284,17 +296,13 @@ def shared_evidence_types(edges: DataFrame, relations: tuple[str, ...] = ("HAS_I
 
 def co_link_counts(edges: DataFrame, incident_filter: DataFrame | None, via: str, target_rel: str) -> DataFrame:
     """For each node reached by ``via`` (e.g. the group), how many incidents also link
-    to each ``target_rel`` node (e.g. category or service); optional incident filter."""
-    a = edges.where(F.col("relationship_type") == via).select(
-        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias("anchor_node_id"))
-    b = edges.where(F.col("relationship_type") == target_rel).select(
-        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias("linked_node_id"))
-    j = a.join(b, "incident_node_id")
+    to each ``target_rel`` node (e.g. category or service); optional incident filter.
+    Repeated edges go first, so a task holds a number for each pair of nodes, not its incidents."""
+    j = _ends(edges, via, "anchor_node_id").join(_ends(edges, target_rel, "linked_node_id"), "incident_node_id")
     if incident_filter is not None:
         j = j.join(incident_filter.select(F.col("node_id").alias("incident_node_id")), "incident_node_id",
                    "left_semi")
-    return j.groupBy("anchor_node_id", "linked_node_id").agg(
-        F.count_distinct("incident_node_id").cast("bigint").alias("incident_count"))
+    return j.groupBy("anchor_node_id", "linked_node_id").agg(F.count(F.lit(1)).cast("bigint").alias("incident_count"))
 
 
 #: Edges of a node from which on it is a hub, whose edges are split over ``HUB_SALTS`` tasks.
