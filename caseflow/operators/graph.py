@@ -261,13 +261,11 @@ def shared_neighbour_groups(edges: DataFrame, rel_a: str, rel_b: str, min_size:
 
     Aggregates per (target_a, target_b) instead of emitting incident pairs, so a
     hot shared node costs one aggregation row, not a quadratic pair list.
+    Repeated edges go first, so incidents are counted without being told apart.
     """
-    a = edges.where(F.col("relationship_type") == rel_a).select(
-        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias("target_a"))
-    b = edges.where(F.col("relationship_type") == rel_b).select(
-        F.col("source_node_id").alias("incident_node_id"), F.col("target_node_id").alias("target_b"))
+    a, b = _ends(edges, rel_a, "target_a"), _ends(edges, rel_b, "target_b")
     return a.join(b, "incident_node_id").groupBy("target_a", "target_b").agg(
-        F.count_distinct("incident_node_id").cast("bigint").alias("incident_count"),
+        F.count(F.lit(1)).cast("bigint").alias("incident_count"),
         F.min("incident_node_id").alias("first_incident_node_id")) \
         .where(F.col("incident_count") >= min_size)
 

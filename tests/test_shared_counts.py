@@ -26,3 +26,10 @@ def test_links_are_counted_once_and_without_incidents(edges, capsys):
     only = edges.where("source_node_id <> 'i1'").selectExpr("source_node_id AS node_id").distinct()
     assert {tuple(r) for r in G.co_link_counts(edges, only, "A", "B").collect()} == \
         {("a1", "b1", 1), ("a1", "b2", 1), ("a2", "b2", 1), (None, "b1", 1)}
+
+
+def test_groups_are_counted_once_and_without_incidents(edges, capsys):
+    out = G.shared_neighbour_groups(edges, "A", "B")
+    above = [x.split("functions=")[0] for x in _above_join(out, capsys) if "Aggregate(key" in x]
+    assert above and not [x for x in above if "incident_node_id" in x]
+    assert {tuple(r) for r in out.collect()} == {("a1", "b1", 2, "i1"), ("a1", "b2", 2, "i1")}
