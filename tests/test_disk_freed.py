@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caseflow.operators import curate as C
 from caseflow.plans import curate_queries as CQ
 from caseflow.plans import ticket_fixture as TF
+from caseflow.plans.steps import Steps
 from caseflow.sources import landing as LD
 
 
@@ -42,3 +43,12 @@ def test_shares_hold_every_document_once(spark, sf_dir, monkeypatch):
     CQ._land(spark, sf_dir, root, CQ.DETAILS)
     landed = spark.read.json(f"{root}/incidents/detail")
     assert landed.where(F.col("load_date") == CQ.LOAD_1).count() == sum(map(len, parts))
+
+
+def test_a_step_leaves_no_shuffle_files(spark):
+    steps, before = Steps(spark, LD.work_dir(spark, "steps")), _shuffled(spark)
+    folder = steps.run("sum", lambda to: spark.range(1000).groupBy((F.col("id") % 9).alias("k")).count().write.parquet(to))
+    until = time.time() + 20
+    while _shuffled(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffled(spark) - before and spark.read.parquet(folder).count() == 9
